@@ -69,13 +69,22 @@ def normalize_requests(
     )
 
 
-def stage_requests(raw: DataFrame, ties: Sequence[str] | None = None, on_error: str = "raise") -> DataFrame:
+def stage_requests(
+    raw: DataFrame,
+    ties: Sequence[str] | None = None,
+    on_error: str = "raise",
+    since: datetime | str | None = None,
+) -> DataFrame:
     """Cleaned requests, the latest version of each key.
 
     Equal or NULL update times fall back to the newest load, then to ``ties``; by default
-    all remaining columns, so that the outcome never depends on row order.
+    all remaining columns, so that the outcome never depends on row order. ``since`` keeps
+    keys whose latest update is at or after it; older versions drop out before the shuffle,
+    which gives the same rows as filtering afterwards.
     """
     clean = normalize_requests(raw, on_error=on_error)
+    if since is not None:
+        clean = clean.filter(F.col("updated_at") >= ntz(since))
     if ties is None:
         fixed = ("unique_key", "updated_at", "ingestion_timestamp")
         ties = [c for c in clean.columns if c not in fixed]

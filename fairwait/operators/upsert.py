@@ -65,10 +65,14 @@ def upsert_latest(
     """Target with updates merged in by key; new columns are appended, NULL for old rows.
 
     Without ``order`` an update replaces its key's row, and ``updates`` must hold each key
-    once. With ``order`` the newest version wins whichever side it is on.
+    once. With ``order`` the newest version wins whichever side it is on, and the update
+    where both are equally new.
     """
     keys = list(keys)
     if order is None:
         kept = target.join(updates.select(*keys), keys, "left_anti")
         return kept.unionByName(updates, allowMissingColumns=True)
-    return dedup_latest(target.unionByName(updates, allowMissingColumns=True), keys, order, ties)
+    both = target.withColumn("_new", F.lit(0)).unionByName(
+        updates.withColumn("_new", F.lit(1)), allowMissingColumns=True
+    )
+    return dedup_latest(both, keys, order, ["_new", *ties]).drop("_new")

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import geoid_county, round_exact, season_of
+from ..functions import geoid_county, ntz, round_exact, season_of
 from ..lookups import NO_BOROUGH, NOISE_TYPES
 from ..operators.filters import in_set, min_count, not_in_set
 from ..operators.joins import lookup_default, reindex_spine
@@ -375,8 +375,6 @@ def last_refresh(raw: DataFrame, stamp: str = "ingestion_timestamp") -> DataFram
 
 def freshness_check(df: DataFrame, stamp: str, warn_hours: int = 25, error_hours: int = 49, now=None) -> DataFrame:
     """Age of the newest load in hours and its status: pass, warn or error."""
-    from ..functions import ntz
-
     at = F.current_timestamp().cast("timestamp_ntz") if now is None else ntz(now)
     newest = df.agg(F.max(stamp).alias("newest"))
     seconds = F.timestamp_diff("SECOND", F.col("newest"), at)

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import month_of
 from ..operators.cleaning import normalize_demographics, stage_requests
 from ..operators.spatial import point_in_polygon_join
 from ..operators.upsert import get_watermark
-from ..sinks.tables import append_raw, materialise, write_partition
+from ..sinks.tables import append_raw, materialise, read_or_none, upsert_table, write_partition
 from ..sources.tables import scan_since
 from . import marts
 
@@ -41,7 +41,7 @@ def run_incremental(
     earlier loads is settled when the requests are staged. No news is a no-op.
     """
     spark = source.sparkSession
-    raw = _read_or_none(spark, raw_path)
+    raw = read_or_none(spark, raw_path)
     since = get_watermark(raw, updated, hours, now)
     # Update times are ISO text, so a text literal of the same form compares and pushes down.
     is_text = dict(source.dtypes)[updated] == "string"
@@ -52,19 +52,12 @@ def run_incremental(
     )
     located = point_in_polygon_join(fresh, boundaries, cell=cell)
     staged = located.withColumn("ingestion_date", F.lit(run_date))
-    write_partition(staged, landing_path, "ingestion_date")
-    landed = _read_or_none(spark, f"{landing_path}/ingestion_date={run_date}")
-    if landed is None:
+    if write_partition(staged, landing_path, "ingestion_date") == 0:
         return LoadResult(since, 0)
+    landed = spark.read.parquet(f"{landing_path}/ingestion_date={run_date}")
     return LoadResult(since, append_raw(landed, raw_path))
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    from ..sinks.tables import _has_data
-
-    return spark.read.parquet(path) if _has_data(spark, path) else None
-
-
 def run_backfill(
     source: DataFrame,
     boundaries: DataFrame,
@@ -86,51 +79,47 @@ def run_backfill(
     located = point_in_polygon_join(rows, boundaries, cell=cell)
     write_partition(located.withColumn("created_month", month.cast("string")), landing_path, "created_month")
     return (
-        source.sparkSession.read.option("recursiveFileLookup", False)
-        .parquet(landing_path)
+        source.sparkSession.read.parquet(landing_path)
         .groupBy(F.col("created_month").cast("string").alias("created_month"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
 
 
-def build_marts(raw: DataFrame, demographics: DataFrame, root: str, cell_floor: int = marts.CELL_FLOOR,
-                quintile_floor: int = marts.QUINTILE_FLOOR) -> dict[str, DataFrame]:
+def build_marts(
+    raw: DataFrame,
+    demographics: DataFrame,
+    root: str,
+    run_id: str,
+    cell_floor: int = marts.CELL_FLOOR,
+    quintile_floor: int = marts.QUINTILE_FLOOR,
+    hours: int = 48,
+) -> dict[str, DataFrame]:
     """All marts from the raw tables, each stored under ``root``.
 
-    The intermediate table grows by merge; dimension and facts are written once and read by
-    the marts from there, so their size is known when joins are planned.
+    The intermediate table grows by merge, rewriting only the months with changes; a
+    ``run_id`` that was merged before is not merged again. Dimension and facts are written
+    once and read by the marts from there, so their size is known when joins are planned.
     """
-    staged = stage_requests(raw)
-    tables: dict[str, DataFrame] = {}
-    previous = _snapshot_or_none(raw.sparkSession, f"{root}/intermediate")
-    fresh = marts.build_intermediate(_since(staged, previous))
-    tables["intermediate"] = materialise(fresh, "intermediate", "incremental", root, ["unique_key"])
-    tables["dim_tract"] = materialise(marts.dim_tract(normalize_demographics(demographics)), "dim_tract", "table", root)
-    tables["request_facts"] = materialise(
-        marts.request_facts(tables["intermediate"], tables["dim_tract"]), "request_facts", "table", root
-    )
-    fact, dim = tables["request_facts"], tables["dim_tract"]
-    tables["equity_splits"] = materialise(marts.equity_score(fact, dim), "equity_splits", "table", root)
-    tables["quintile_summary"] = materialise(
-        marts.quintile_summary(fact, dim, cell_floor), "quintile_summary", "table", root
-    )
-    tables["gap_by_type"] = materialise(
-        marts.gap_by_type(tables["quintile_summary"], quintile_floor), "gap_by_type", "table", root
+    spark = raw.sparkSession
+    path = f"{root}/intermediate"
+    previous = read_or_none(spark, path)
+    newest = None if previous is None else previous.agg(F.max("updated_at").alias("m")).first()["m"]
+    since = None if newest is None else newest - timedelta(hours=hours)
+    fresh = marts.build_intermediate(stage_requests(raw, since=since))
+    upsert_table(
+        fresh.withColumn("created_month", month_of("created_at").cast("date").cast("string")),
+        path, ["unique_key"], ["updated_at"], "created_month", run_id,
     )
-    tables["trend_monthly"] = materialise(marts.pooled_trend(fact, dim), "trend_monthly", "table", root)
+    tables = {"intermediate": read_or_none(spark, path)}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        tables[name] = materialise(df, name, "table", root)
+        return tables[name]
+
+    dim = store("dim_tract", marts.dim_tract(normalize_demographics(demographics)))
+    fact = store("request_facts", marts.request_facts(tables["intermediate"], dim))
+    store("equity_splits", marts.equity_score(fact, dim))
+    summary = store("quintile_summary", marts.quintile_summary(fact, dim, cell_floor))
+    store("gap_by_type", marts.gap_by_type(summary, quintile_floor))
+    store("trend_monthly", marts.pooled_trend(fact, dim))
     return tables
-
-
-def _since(staged: DataFrame, previous: DataFrame | None) -> DataFrame:
-    from ..operators.upsert import incremental_filter
-
-    return incremental_filter(staged, previous)
-
-
-def _snapshot_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    from ..sinks.tables import read_snapshot
-
-    try:
-        return read_snapshot(spark, path)
-    except FileNotFoundError:
-        return None

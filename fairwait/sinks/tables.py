@@ -36,16 +36,25 @@ def _has_data(spark: SparkSession, path: str) -> bool:
     return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
-def write_partition(df: DataFrame, path: str, part_col: str, mode: str = "overwrite") -> None:
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, None where there is none yet. Columns that appeared
+    later are NULL in older files."""
+    return spark.read.option("mergeSchema", True).parquet(path) if _has_data(spark, path) else None
+
+
+def write_partition(df: DataFrame, path: str, part_col: str) -> int:
     """Snappy Parquet under ``part_col=value`` folders; only the partitions present in ``df``
-    are replaced, so a rerun is harmless."""
+    are replaced, so a rerun is harmless. Returns the rows written, counted by the write."""
+    seen = Observation()
     (
-        df.write.mode(mode)
+        df.observe(seen, F.count(F.lit(1)).alias("n"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(part_col)
         .parquet(path)
     )
+    return seen.get["n"]
 
 
 def append_raw(df: DataFrame, path: str, part_col: str | None = None) -> int:
@@ -181,7 +190,7 @@ def _folders(spark: SparkSession, path: str, part_col: str) -> dict[str, str]:
 def _typed(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The table at ``path``. Folder names lose their type on reading; take it from ``like``."""
     types = {f.name: f.dataType for f in like.schema}
-    found = spark.read.parquet(path).schema
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
     schema = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in found])
     return spark.read.schema(schema).parquet(path)
 
