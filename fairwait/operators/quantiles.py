@@ -58,10 +58,16 @@ def _source(col: str) -> Column:
 
 
 def _value_counts(df, keys, values, carry) -> DataFrame:
-    """One row per (keys, measure, value) with its frequency ``_n``."""
-    carried = [_source(col).alias(f"_c_{out}") for out, (_, col) in carry.items()]
+    """One row per (keys, measure, value) with its number of rows ``_n``.
+
+    Row counts are not carried apart, ``_n`` has them: so two branches over the same groups
+    ask for the same columns, and Spark reuses the shuffles of the first for the second.
+    """
+    carry = {out: how for out, how in carry.items() if how != ("count", "*")}
+    carried = [F.col(col).alias(f"_c_{out}") for out, (_, col) in carry.items()]
     if len(values) == 1:
-        long = df.select(*keys, F.lit(0).alias("_m"), F.col(values[0]).alias("_v"), *carried)
+        long = df.select(*keys, F.col(values[0]).alias("_v"), *carried)
+        by = [*keys, "_v"]
     else:
         # Carried columns go with the first measure only, so they count once.
         pairs = F.array(
@@ -76,21 +82,21 @@ def _value_counts(df, keys, values, carry) -> DataFrame:
             "_p._v",
             *[F.when(F.col("_p._m") == 0, F.col(f"_c_{o}")).alias(f"_c_{o}") for o in carry],
         )
-    aggs = [F.count("_v").alias("_n")]
-    aggs += [_CARRY[kind][0](F.col(f"_c_{o}")).alias(f"_c_{o}") for o, (kind, _) in carry.items()]
-    by = [*keys, "_m", "_v"] if len(values) > 1 else [*keys, "_v"]
-    return long.groupBy(*by).agg(*aggs)
+        by = [*keys, "_m", "_v"]
+    aggs = [_CARRY[kind][0](F.col(f"_c_{o}")).alias(f"_c_{o}") for o, (kind, _) in carry.items()]
+    return long.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *aggs)
 
 
 def _from_value_counts(hist, keys, values, quantiles, carry) -> DataFrame:
     many = len(values) > 1
     part = [*keys, "_m"] if many else list(keys)
-    ordered = W.partitionBy(*part).orderBy("_v")
-    ranked = hist.withColumn(
-        "_upto", F.sum("_n").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
-    ).withColumn(
-        "_total",
-        F.sum("_n").over(ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)),
+    # NULLs last, so they never enter the running count of a known value. The windows share
+    # one sort, and refer to plain columns: nothing is added to what is shuffled.
+    ordered = W.partitionBy(*part).orderBy(F.col("_v").asc_nulls_last())
+    upto = F.sum("_n").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
+    known = F.max(F.when(F.col("_v").isNotNull(), F.col("_upto")))
+    ranked = hist.withColumn("_upto", upto).withColumn(
+        "_total", known.over(ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     )
 
     aggs, result = [], []
@@ -104,7 +110,11 @@ def _from_value_counts(hist, keys, values, quantiles, carry) -> DataFrame:
         ]
         lo, hi = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")
         result.append((lo + (hi - lo) * F.col(f"_w{i}")).alias(out))
-    for out, (kind, _) in carry.items():
-        aggs.append(_CARRY[kind][1](F.col(f"_c_{out}")).alias(out))
+    for out, (kind, col) in carry.items():
+        if (kind, col) == ("count", "*"):
+            rows = F.when(F.col("_m") == 0, F.col("_n")) if many else F.col("_n")
+            aggs.append(F.sum(rows).alias(out))
+        else:
+            aggs.append(_CARRY[kind][1](F.col(f"_c_{out}")).alias(out))
         result.append(F.col(out))
     return ranked.groupBy(*keys).agg(*aggs).select(*keys, *result)

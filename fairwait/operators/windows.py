@@ -57,7 +57,7 @@ def ntile_bucket(
 
     if partition_by:
         done = ranked_rows.withColumn(out, F.ntile(n).over(W.partitionBy(*partition_by).orderBy(*by)))
-    elif ranked_rows.limit(single_window_rows + 1).count() <= single_window_rows:
+    elif ranked_rows.select(F.lit(1)).limit(single_window_rows + 1).count() <= single_window_rows:
         done = ranked_rows.withColumn(out, F.ntile(n).over(W.orderBy(*by)))
     else:
         done = _global_ntile(ranked_rows, by, n, out)

@@ -89,14 +89,21 @@ def city_baseline(stats: DataFrame, keys: Sequence[str] = BASELINE_KEYS) -> Data
 def equity_score(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """The splits mart: each tract's P90 over the median tract's, by type and month.
 
-    Both branches read the same two shuffles of the facts, so they are computed once.
+    The baseline needs the same counts per cell as the statistics themselves; rows that one
+    of the joins would drop go first, so that both ask for the same shuffles and Spark runs
+    them once.
     """
-    stats = tract_stats(fact)
+    stats = tract_stats(fact.dropna(subset=["tract_geoid", *BASELINE_KEYS]))
+    return score_stats(stats, city_baseline(stats), dim)
+
+
+def score_stats(stats: DataFrame, baseline: DataFrame, dim: DataFrame) -> DataFrame:
+    """Cell statistics with their tract's figures, baseline and score."""
     tracts = dim.select(
         "tract_geoid", "income_quintile", "median_household_income", "pct_below_poverty",
         "total_population", "pop_black", "pop_hispanic",
     )
-    joined = join_baseline(enrich_dim(stats, tracts), city_baseline(stats), BASELINE_KEYS)
+    joined = join_baseline(enrich_dim(stats, tracts), baseline, BASELINE_KEYS)
     return joined.select(
         *TRACT_KEYS,
         "income_quintile", "median_household_income", "pct_below_poverty", "total_population",

@@ -118,7 +118,8 @@ def build_marts(
 
     dim = store("dim_tract", marts.dim_tract(normalize_demographics(demographics)))
     fact = store("request_facts", marts.request_facts(tables["intermediate"], dim))
-    store("equity_splits", marts.equity_score(fact, dim))
+    stats = store("tract_stats", marts.tract_stats(fact))
+    store("equity_splits", marts.score_stats(stats, store("city_baseline", marts.city_baseline(stats)), dim))
     summary = store("quintile_summary", marts.quintile_summary(fact, dim, cell_floor))
     store("gap_by_type", marts.gap_by_type(summary, quintile_floor))
     store("trend_monthly", marts.pooled_trend(fact, dim))

@@ -30,7 +30,8 @@ def month_spine(spark: SparkSession, start: date | str, end: date | str, out: st
     """The first instant of every month from ``start`` to ``end``."""
     bounds = [F.trunc(F.lit(str(d)).cast("date"), "month") for d in (start, end)]
     months = F.sequence(*bounds, F.expr("interval 1 month"))
-    return spark.range(1).select(F.explode(months).cast("timestamp_ntz").alias(out))
+    spine = spark.range(1).select(F.explode(months).alias(out))
+    return spine.select(F.col(out).cast("timestamp_ntz"))
 
 
 def read_parquet_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

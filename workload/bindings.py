@@ -16,24 +16,42 @@ from fairwait.plans import marts
 ROW_FLOOR = 2  # cells of the given tables hold at most a handful of requests
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+# Given, so that no job has to look into the files before a query is planned.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+}
 
 
-def boroughs(spark, sf) -> DataFrame:
-    """(l_suppkey, borough): the region of each supplier."""
-    nations = table(spark, sf, "nation").join(
-        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    return table(spark, sf, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("s_suppkey").alias("l_suppkey"), F.col("r_name").alias("borough")
-    )
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def requests(spark, sf, types: str = "priority") -> DataFrame:
     """Cleaned requests; ``types`` is "priority" (5 types) or "brand" (25)."""
     lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
-    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(boroughs(spark, sf), "l_suppkey")
+    # One after the other, so that each small table is broadcast on its own known size.
+    rows = (
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    )
     kind = "o_orderpriority"
     if types == "brand":
         kind = "p_brand"
@@ -46,7 +64,7 @@ def requests(spark, sf, types: str = "priority") -> DataFrame:
         F.col("o_orderstatus").alias("agency_code"),
         F.col(kind).alias("complaint_type"),
         F.when(F.col("l_linestatus") == "O", "OPEN").otherwise("CLOSED").alias("status"),
-        F.col("borough"),
+        F.col("r_name").alias("borough"),
         F.col("l_suppkey").cast("string").alias("tract_geoid"),
     )
 
@@ -122,7 +140,11 @@ def known_dim(spark, sf) -> DataFrame:
 
 
 def fact(spark, sf, types: str = "priority") -> DataFrame:
-    return marts.request_facts(requests(spark, sf, types), known_dim(spark, sf))
+    # The same tracts as ``known_dim``, which ranks them as well.
+    tracts = normalize_demographics(raw_demographics(spark, sf))
+    return marts.request_facts(
+        requests(spark, sf, types), tracts.filter(F.col("median_household_income").isNotNull())
+    )
 
 
 FACT_SQL = """
