@@ -1,9 +1,11 @@
 """Assign points to the polygon that contains them.
 
-Polygons are cut along a grid: one row per polygon and covered cell, holding only the edges
-that can decide a point of that cell. A point meets the polygons of its own cell through an
-equality join, and an even-odd count of edges crossed to its right settles containment, so
-holes and multi-part polygons need no special case. Points on an edge are not inside.
+Polygons are cut along a grid: one row per polygon and grid cell it reaches into. A cell no
+edge comes near lies wholly inside or outside, which is settled once; for the others the row
+keeps the edges that can decide a point of that cell. A point meets the polygons of its own
+cell through an equality join, and an even-odd count of edges crossed to its right settles
+containment, so holes and multi-part polygons need no special case. Points on an edge are
+not inside.
 """
 
 from __future__ import annotations
@@ -11,89 +13,93 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Bound on the cut polygons for which they are broadcast, in edges (four doubles each).
+# Bound on the cut polygons for which they are broadcast, in edges (six doubles each).
 BROADCAST_EDGES = 1_000_000
 
 
 def polygon_edges(boundaries: DataFrame) -> DataFrame:
-    """(tract_geoid, ord, edges, bounding box), edges over all rings of all parts."""
+    """(tract_geoid, ord, edges, bounding box), edges over all rings of all parts, each from
+    its lower to its upper end."""
+
+    def edge(p: Column, q: Column) -> Column:
+        rises = p["y"] <= q["y"]
+        ends = {
+            "x1": F.when(rises, p["x"]).otherwise(q["x"]),
+            "y1": F.least(p["y"], q["y"]),
+            "x2": F.when(rises, q["x"]).otherwise(p["x"]),
+            "y2": F.greatest(p["y"], q["y"]),
+            "xlo": F.least(p["x"], q["x"]),
+            "xhi": F.greatest(p["x"], q["x"]),
+        }
+        return F.struct(*[c.alias(n) for n, c in ends.items()])
 
     def ring_edges(ring: Column) -> Column:
-        def edge(p: Column, i: Column) -> Column:
-            q = F.get(ring, (i + 1) % F.size(ring))
-            return F.struct(
-                p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2")
-            )
-
-        return F.transform(ring, edge)
+        return F.transform(ring, lambda p, i: edge(p, F.get(ring, (i + 1) % F.size(ring))))
 
     edges = boundaries.select(
         "tract_geoid", "ord", F.flatten(F.transform("rings", ring_edges)).alias("edges")
     )
     return edges.withColumns(
         {
-            "xmin": F.array_min(F.transform("edges", lambda e: e["x1"])),
-            "xmax": F.array_max(F.transform("edges", lambda e: e["x1"])),
+            "xmin": F.array_min(F.transform("edges", lambda e: e["xlo"])),
+            "xmax": F.array_max(F.transform("edges", lambda e: e["xhi"])),
             "ymin": F.array_min(F.transform("edges", lambda e: e["y1"])),
-            "ymax": F.array_max(F.transform("edges", lambda e: e["y1"])),
+            "ymax": F.array_max(F.transform("edges", lambda e: e["y2"])),
         }
     )
 
 
 def grid_polygons(boundaries: DataFrame, cell: float) -> DataFrame:
-    """One row per polygon and grid cell its bounding box touches, with the edges that matter
-    there: level with the cell and not wholly to its left."""
+    """One row per polygon and grid cell it reaches into. ``full`` marks cells wholly inside;
+    the others hold the edges level with the cell and not wholly to its left."""
     size, slack = F.lit(float(cell)), float(cell) * 1e-6
 
     def cells(lo: str, hi: str) -> Column:
         return F.sequence(F.floor(F.col(lo) / size), F.floor(F.col(hi) / size))
 
-    left, low, high = (
-        F.col("cx") * size - slack,
-        F.col("cy") * size - slack,
-        (F.col("cy") + 1) * size + slack,
-    )
+    left, right = F.col("cx") * size - slack, (F.col("cx") + 1) * size + slack
+    low, high = F.col("cy") * size - slack, (F.col("cy") + 1) * size + slack
 
     def matters(e: Column) -> Column:
-        return (
-            (F.greatest(e["y1"], e["y2"]) >= low)
-            & (F.least(e["y1"], e["y2"]) <= high)
-            & (F.greatest(e["x1"], e["x2"]) >= left)
-        )
+        return (e["y2"] >= low) & (e["y1"] <= high) & (e["xhi"] >= left)
 
-    return (
+    middle = (F.col("cx") + 0.5) * size, (F.col("cy") + 0.5) * size
+    cut = (
         polygon_edges(boundaries)
         .withColumn("cx", F.explode(cells("xmin", "xmax")))
         .withColumn("cy", F.explode(cells("ymin", "ymax")))
         .withColumn("edges", F.filter("edges", matters))
-        .filter(F.size("edges") > 0)
+        .withColumn("near", F.exists("edges", lambda e: e["xlo"] <= right))
+        .withColumn("full", ~F.col("near") & contains(F.col("edges"), *middle))
+    )
+    nothing = F.filter("edges", lambda e: F.lit(False))
+    return (
+        cut.filter("near or full")
+        .withColumn("edges", F.when(F.col("full"), nothing).otherwise(F.col("edges")))
+        .drop("near")
     )
 
 
 def contains(edges: Column, x: Column, y: Column) -> Column:
-    """Even-odd test of a point against a list of edges, boundary excluded. No division, so
-    level edges need no guard."""
+    """Even-odd test of a point against a list of rising edges, boundary excluded. No
+    division, so level edges need no guard."""
 
     def side(e: Column) -> Column:
         return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
 
-    def crosses(e: Column) -> Column:
-        up = (e["y1"] <= y) & (y < e["y2"]) & (side(e) > 0)
-        down = (e["y2"] <= y) & (y < e["y1"]) & (side(e) < 0)
-        return up | down
+    def crossed(e: Column) -> Column:
+        return (y < e["y2"]) & (y >= e["y1"]) & (x <= e["xhi"]) & (side(e) > 0)
 
-    def touches(e: Column) -> Column:
-        return (
-            (side(e) == 0)
-            & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        )
+    def touched(e: Column) -> Column:
+        level = (y <= e["y2"]) & (y >= e["y1"])
+        return level & (x <= e["xhi"]) & (x >= e["xlo"]) & (side(e) == 0)
 
-    return (F.size(F.filter(edges, crosses)) % 2 == 1) & ~F.exists(edges, touches)
+    return (F.size(F.filter(edges, crossed)) % 2 == 1) & ~F.exists(edges, touched)
 
 
-def _in_box(p: Column, x: Column, y: Column) -> Column:
-    return x.between(p["xmin"], p["xmax"]) & y.between(p["ymin"], p["ymax"])
+def _inside(p, x: Column, y: Column) -> Column:
+    in_box = x.between(p["xmin"], p["xmax"]) & y.between(p["ymin"], p["ymax"])
+    return p["full"] | (in_box & contains(p["edges"], x, y))
 
 
 def point_in_polygon_join(
@@ -101,7 +107,7 @@ def point_in_polygon_join(
     boundaries: DataFrame,
     x: str = "longitude",
     y: str = "latitude",
-    cell: float = 0.01,
+    cell: float = 0.005,
     out: str = "tract_geoid",
     broadcast_edges: int = BROADCAST_EDGES,
 ) -> DataFrame:
@@ -114,7 +120,8 @@ def point_in_polygon_join(
     """
     points = points.drop(out)
     grid = grid_polygons(boundaries, cell)
-    edges = grid.agg(F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("n")).first()["n"]
+    weight = F.sum(F.size("edges") + 1)
+    edges = grid.agg(F.coalesce(weight, F.lit(0)).alias("n")).first()["n"]
     join = _by_broadcast if edges <= broadcast_edges else _by_shuffle
     return join(points, grid, x, y, cell, out)
 
@@ -125,12 +132,12 @@ def _cell_of(c: str, cell: float) -> Column:
 
 def _by_broadcast(points, grid, x, y, cell, out) -> DataFrame:
     # The whole grid is under the checked bound, and so is the list of each cell.
-    fields = ["ord", "tract_geoid", "xmin", "xmax", "ymin", "ymax", "edges"]
+    fields = ["ord", "tract_geoid", "full", "xmin", "xmax", "ymin", "ymax", "edges"]
     lists = grid.groupBy("cx", "cy").agg(
         F.array_sort(F.collect_list(F.struct(*fields))).alias("_polygons")
     )
     px, py = F.col(x), F.col(y)
-    hits = F.filter("_polygons", lambda p: _in_box(p, px, py) & contains(p["edges"], px, py))
+    hits = F.filter("_polygons", lambda p: _inside(p, px, py))
     return (
         points.withColumns({"cx": _cell_of(x, cell), "cy": _cell_of(y, cell)})
         .join(F.broadcast(lists), ["cx", "cy"], "left")
@@ -148,10 +155,10 @@ def _by_shuffle(points, grid, x, y, cell, out) -> DataFrame:
         .distinct()
         .withColumns({"cx": _cell_of("_x", cell), "cy": _cell_of("_y", cell)})
     )
-    box = {side: F.col(side) for side in ("xmin", "xmax", "ymin", "ymax")}
+    polygon = {c: F.col(c) for c in ("full", "xmin", "xmax", "ymin", "ymax", "edges")}
     found = (
         places.join(grid, ["cx", "cy"])
-        .filter(_in_box(box, px, py) & contains(F.col("edges"), px, py))
+        .filter(_inside(polygon, px, py))
         .groupBy("_x", "_y")
         .agg(F.min_by("tract_geoid", "ord").alias(out))
     )

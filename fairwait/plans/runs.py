@@ -31,7 +31,7 @@ def run_incremental(
     run_date: str,
     updated: str = "resolution_action_updated_date",
     hours: int = 48,
-    cell: float = 0.01,
+    cell: float = 0.005,
     now: datetime | None = None,
 ) -> LoadResult:
     """Land what changed since the raw table's newest update less ``hours``.
@@ -65,7 +65,7 @@ def run_backfill(
     start: str,
     end: str,
     created: str = "created_date",
-    cell: float = 0.01,
+    cell: float = 0.005,
 ) -> DataFrame:
     """Land all months from ``start`` to ``end`` (both included) in one job.
 

@@ -544,10 +544,10 @@ POLYGONS_SQL = """
 
 @query("point_in_polygon_join", "l_orderkey:i l_linenumber:i l_partkey:i tract_geoid:s", POLYGONS_SQL)
 def _(spark, sf):
-    return op.point_in_polygon_join(line_points(spark, sf), grid_boundaries(spark, sf), cell=0.01)
+    return op.point_in_polygon_join(line_points(spark, sf), grid_boundaries(spark, sf), cell=0.0015)
 
 
 # The path for boundaries too large to broadcast.
 @query("point_in_polygon_join_shuffled", "l_orderkey:i l_linenumber:i l_partkey:i tract_geoid:s", POLYGONS_SQL)
 def _(spark, sf):
-    return op.point_in_polygon_join(line_points(spark, sf), grid_boundaries(spark, sf), cell=0.01, broadcast_edges=0)
+    return op.point_in_polygon_join(line_points(spark, sf), grid_boundaries(spark, sf), cell=0.0015, broadcast_edges=0)
