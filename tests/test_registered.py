@@ -1,0 +1,41 @@
+"""Registered queries against their SQL. ``FAIRWAIT_SF`` picks the tables and
+``FAIRWAIT_ALL=1`` runs every query instead of the quick ones and the flagship."""
+
+import os
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as entry_point
+from tests import oracle
+
+SF = os.environ.get("FAIRWAIT_SF", "/root/testdata/sf0.001")
+QUICK = """
+gap_by_type equity_score tract_stats score_trend ntile_bucket_ranged dedup_latest grouped_quantiles dim_tract
+normalize_requests response_hours month_of pct_of safe_ratio read_request_records month_spine read_boundaries
+append_raw lookup_default point_in_polygon_join point_in_polygon_join_shuffled upsert_latest upsert_table
+check_unique check_between_mostly run_checkpoint
+""".split()
+NAMES = sorted(entry_point.oracle_sql()) if os.environ.get("FAIRWAIT_ALL") else QUICK
+
+pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason=f"no tables at {SF}")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return oracle.connect(SF)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_equals_sql(spark, duck, name):
+    df = entry_point.queries()[name](spark, SF)
+    assert oracle.difference(oracle.spark_result(df), oracle.duck_result(duck, entry_point.oracle_sql()[name])) is None
+
+
+def test_entry_has_rows(spark):
+    df = entry_point.entry(spark)
+    assert df.columns[0] == "complaint_type" and df.count() > 0
+
+
+def test_every_sql_has_a_query():
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
