@@ -5,6 +5,10 @@ spreads one hot group over all its distinct values, so what later meets in one p
 group's distinct values, not its rows: for waiting times in hours that is the length of the
 time axis, however many requests there are. Running counts over the distinct values then
 locate the two order statistics around each quantile. The sort and the window spill to disk.
+
+Values without such a bound take the ``wide`` form. It counts per bucket of nearby values
+first, of which there is a fixed number, finds the buckets that hold the wanted ranks, and
+looks into those alone.
 """
 
 from __future__ import annotations
@@ -31,6 +35,7 @@ def grouped_quantiles(
     carry: Mapping[str, tuple[str, str]] | None = None,
     approx: bool = False,
     accuracy: int = 10000,
+    wide: bool = False,
 ) -> DataFrame:
     """Quantiles of one or more columns per group, in one pass over ``df``.
 
@@ -38,6 +43,7 @@ def grouped_quantiles(
     interpolates linearly between neighbours and ignores NULLs. ``carry`` maps an output
     name to ("count" | "sum" | "max" | "min", column); ("count", "*") counts rows.
     ``approx=True`` uses mergeable sketches and returns an element of the group.
+    ``wide=True`` is for few groups with any number of distinct values; same result.
     """
     carry = dict(carry or {})
     if approx:
@@ -50,7 +56,9 @@ def grouped_quantiles(
 
     values = list(dict.fromkeys(value for value, _ in quantiles.values()))
     hist = _value_counts(df, keys, values, carry)
-    return _from_value_counts(hist, keys, values, quantiles, carry)
+    part = [*keys, "_m"] if len(values) > 1 else list(keys)
+    ranked = (_rank_wide if wide else _rank)(hist, part, values, quantiles, carry)
+    return _pick(ranked, keys, values, quantiles, carry)
 
 
 def _source(col: str) -> Column:
@@ -87,22 +95,77 @@ def _value_counts(df, keys, values, carry) -> DataFrame:
     return long.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *aggs)
 
 
-def _from_value_counts(hist, keys, values, quantiles, carry) -> DataFrame:
-    many = len(values) > 1
-    part = [*keys, "_m"] if many else list(keys)
-    # NULLs last, so they never enter the running count of a known value. The windows share
-    # one sort, and refer to plain columns: nothing is added to what is shuffled.
-    ordered = W.partitionBy(*part).orderBy(F.col("_v").asc_nulls_last())
+def _running(df: DataFrame, part: Sequence[str], order: str) -> DataFrame:
+    """Rows up to and including each, and the total, over rows where ``order`` is known.
+
+    NULLs come last, so they never enter the running count of a known value. Both windows
+    share one sort, and refer to plain columns: nothing is added to what is shuffled.
+    """
+    ordered = W.partitionBy(*part).orderBy(F.col(order).asc_nulls_last())
     upto = F.sum("_n").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
-    known = F.max(F.when(F.col("_v").isNotNull(), F.col("_upto")))
-    ranked = hist.withColumn("_upto", upto).withColumn(
+    known = F.max(F.when(F.col(order).isNotNull(), F.col("_upto")))
+    return df.withColumn("_upto", upto).withColumn(
         "_total", known.over(ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     )
 
+
+def _position(p: float) -> Column:
+    return F.lit(float(p)) * (F.col("_total") - 1)
+
+
+def _of(value: str, values: Sequence[str]) -> Column:
+    """Whether a row belongs to the measure."""
+    return (F.col("_m") == values.index(value)) if len(values) > 1 else F.lit(True)
+
+
+def _rank(hist, part, values, quantiles, carry) -> DataFrame:
+    return _running(hist, part, "_v").withColumn("_rows", F.col("_n"))
+
+
+# Buckets per factor of e. A double has at most 2 * 709 * 256 buckets.
+_FINENESS = 256
+
+
+def _rank_wide(hist, part, values, quantiles, carry) -> DataFrame:
+    v = F.col("_v")
+    bucket = (F.signum(v) * F.floor(F.log1p(F.abs(v)) * _FINENESS)).cast("bigint")
+    fine = hist.withColumn("_b", bucket)
+    carried = [
+        _CARRY[kind][1](F.col(f"_c_{o}")).alias(f"_c_{o}")
+        for o, (kind, col) in carry.items()
+        if (kind, col) != ("count", "*")
+    ]
+    coarse = _running(fine.groupBy(*part, "_b").agg(F.sum("_n").alias("_n"), *carried), part, "_b")
+    wanted = F.lit(False)
+    for value, p in quantiles.values():
+        for rank in (F.floor(_position(p)), F.ceil(_position(p))):
+            here = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank)
+            wanted = wanted | (_of(value, values) & here)
+    buckets = coarse.filter(F.col("_b").isNotNull() & wanted).select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(part)],
+        F.col("_b").alias("_kb"),
+        (F.col("_upto") - F.col("_n")).alias("_before"),
+        F.col("_total").alias("_all"),
+    )
+    same = F.col("_b") == F.col("_kb")
+    for i, c in enumerate(part):
+        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    within = W.partitionBy(*part, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = (
+        fine.join(buckets, same)
+        .withColumn("_upto", F.col("_before") + F.sum("_n").over(within))
+        .select(*part, "_v", "_upto", F.col("_all").alias("_total"))
+    )
+    # Counts and carried columns come from the buckets, of which none is left out.
+    totals = coarse.withColumn("_rows", F.col("_n")).drop("_b", "_n", "_upto", "_total")
+    return found.unionByName(totals, allowMissingColumns=True)
+
+
+def _pick(ranked, keys, values, quantiles, carry) -> DataFrame:
+    """The order statistics around each quantile, and what rode along."""
     aggs, result = [], []
     for i, (out, (value, p)) in enumerate(quantiles.items()):
-        pos = F.lit(float(p)) * (F.col("_total") - 1)
-        mine = (F.col("_m") == values.index(value)) if many else F.lit(True)
+        pos, mine = _position(p), _of(value, values)
         aggs += [
             F.min(F.when(mine & (F.col("_upto") > F.floor(pos)), F.col("_v"))).alias(f"_lo{i}"),
             F.min(F.when(mine & (F.col("_upto") > F.ceil(pos)), F.col("_v"))).alias(f"_hi{i}"),
@@ -112,8 +175,7 @@ def _from_value_counts(hist, keys, values, quantiles, carry) -> DataFrame:
         result.append((lo + (hi - lo) * F.col(f"_w{i}")).alias(out))
     for out, (kind, col) in carry.items():
         if (kind, col) == ("count", "*"):
-            rows = F.when(F.col("_m") == 0, F.col("_n")) if many else F.col("_n")
-            aggs.append(F.sum(rows).alias(out))
+            aggs.append(F.sum(F.when(_of(values[0], values), F.col("_rows"))).alias(out))
         else:
             aggs.append(_CARRY[kind][1](F.col(f"_c_{out}")).alias(out))
         result.append(F.col(out))

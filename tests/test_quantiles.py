@@ -11,11 +11,13 @@ VALUES = st.lists(st.one_of(st.none(), st.integers(0, 50)), min_size=1, max_size
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(a=VALUES, b=VALUES)
-def test_equals_linear_interpolation(spark, a, b):
+@pytest.mark.parametrize("wide", [False, True])
+def test_equals_linear_interpolation(spark, wide, a, b):
     data = [("a", v) for v in a] + [("b", v) for v in b]
     df = spark.createDataFrame(data, "k string, v int")
     got = grouped_quantiles(
-        df, ["k"], {f"p{p}": ("v", p / 100) for p in (0, 50, 75, 90, 100)}, {"n": ("count", "*"), "m": ("count", "v")}
+        df, ["k"], {f"p{p}": ("v", p / 100) for p in (0, 50, 75, 90, 100)}, {"n": ("count", "*"), "m": ("count", "v")},
+        wide=wide,
     )
     for row in got.collect():
         group = a if row["k"] == "a" else b
@@ -29,21 +31,23 @@ def test_equals_linear_interpolation(spark, a, b):
         assert quantiles == sorted(quantiles)
 
 
-def test_several_measures_and_carried_aggregates(spark):
+@pytest.mark.parametrize("wide", [False, True])
+def test_several_measures_and_carried_aggregates(spark, wide):
     data = [("a", 1.0, None, 10, 5), ("a", 2.0, 4.0, 20, 7), ("a", 4.0, 8.0, 30, None), ("b", None, 1.0, 1, 1)]
     df = spark.createDataFrame(data, "k string, x double, y double, n int, m int")
     got = grouped_quantiles(
         df, ["k"], {"x50": ("x", 0.5), "y50": ("y", 0.5), "x90": ("x", 0.9)},
-        {"rows": ("count", "*"), "total": ("sum", "n"), "top": ("max", "m")},
+        {"rows": ("count", "*"), "total": ("sum", "n"), "top": ("max", "m")}, wide=wide,
     )
     found = {r["k"]: r.asDict() for r in got.collect()}
     assert found["a"] == {"k": "a", "x50": 2.0, "y50": 6.0, "x90": pytest.approx(3.6), "rows": 3, "total": 60, "top": 7}
     assert found["b"] == {"k": "b", "x50": None, "y50": 1.0, "x90": None, "rows": 1, "total": 1, "top": 1}
 
 
-def test_null_keys_form_a_group(spark):
+@pytest.mark.parametrize("wide", [False, True])
+def test_null_keys_form_a_group(spark, wide):
     df = spark.createDataFrame([(None, 1), (None, 3), ("a", 5)], "k string, v int")
-    got = {r["k"]: r["p"] for r in grouped_quantiles(df, ["k"], {"p": ("v", 0.5)}).collect()}
+    got = {r["k"]: r["p"] for r in grouped_quantiles(df, ["k"], {"p": ("v", 0.5)}, wide=wide).collect()}
     assert got == {None: 2.0, "a": 5.0}
 
 
@@ -66,3 +70,14 @@ def test_a_hot_group_is_counted_before_it_meets(spark):
     assert (hot["n"], hot["p50"]) == (100_000, 48.0)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_count(1)" in plan
+
+
+def test_wide_looks_into_few_buckets(spark):
+    """Doubles without repeats: exact, and only the buckets around the quantiles are read."""
+    values = [((i * 7919) % 20011 - 5000) * 1.37 for i in range(20011)]
+    df = spark.createDataFrame([("a" if i % 3 else "b", v) for i, v in enumerate(values)], "k string, v double")
+    got = grouped_quantiles(df, ["k"], {"p10": ("v", 0.1), "p50": ("v", 0.5), "p99": ("v", 0.99)}, {"n": ("count", "*")}, wide=True)
+    for row in got.collect():
+        group = [v for i, v in enumerate(values) if ("a" if i % 3 else "b") == row["k"]]
+        assert row["n"] == len(group)
+        assert [row["p10"], row["p50"], row["p99"]] == pytest.approx(list(np.percentile(group, [10, 50, 99])))

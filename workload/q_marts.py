@@ -141,7 +141,7 @@ def _(spark, sf):
     return grouped_quantiles(
         rows, ["l_returnflag"],
         {"price_p90": ("l_extendedprice", 0.9), "price_p50": ("l_extendedprice", 0.5), "tax_p50": ("tax", 0.5)},
-        {"n": ("count", "*"), "max_qty": ("max", "l_quantity")},
+        {"n": ("count", "*"), "max_qty": ("max", "l_quantity")}, wide=True,
     )
 
 
