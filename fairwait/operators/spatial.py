@@ -162,4 +162,12 @@ def _by_shuffle(points, grid, x, y, cell, out) -> DataFrame:
         .groupBy("_x", "_y")
         .agg(F.min_by("tract_geoid", "ord").alias(out))
     )
-    return points.join(found, (F.col(x) == px) & (F.col(y) == py), "left").drop("_x", "_y")
+    # Points without coordinates match nothing; spread them instead of hashing all to one task.
+    missing = F.col(x).isNull() | F.col(y).isNull()
+    spread = F.when(missing, F.spark_partition_id() + 1).otherwise(F.lit(0))
+    same = (F.col(x) == px) & (F.col(y) == py) & (F.col("_spread") == F.col("_zero"))
+    return (
+        points.withColumn("_spread", spread)
+        .join(found.withColumn("_zero", F.lit(0)), same, "left")
+        .drop("_x", "_y", "_spread", "_zero")
+    )

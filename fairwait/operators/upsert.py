@@ -10,11 +10,6 @@ from ..functions import ntz
 from .windows import dedup_latest
 
 
-def _as_ntz(df: DataFrame, col: str):
-    # Landed update times are ISO text; a zone suffix is dropped by the cast.
-    return F.col(col).cast("timestamp_ntz") if dict(df.dtypes)[col] == "string" else F.col(col)
-
-
 def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -22,7 +17,8 @@ def _utc_now() -> datetime:
 def watermark_frame(df: DataFrame, col: str, hours: int = 48, now: datetime | None = None) -> DataFrame:
     """One row, ``watermark``: the newest ``col`` less the buffer; ``now`` less the buffer
     when there is none."""
-    newest = F.coalesce(F.max(_as_ntz(df, col)), ntz(now or _utc_now()))
+    # Landed update times are ISO text, which sorts as time does; a zone suffix is dropped.
+    newest = F.coalesce(F.max(col).cast("timestamp_ntz"), ntz(now or _utc_now()))
     return df.agg((newest - F.expr(f"interval {int(hours)} hours")).alias("watermark"))
 
 

@@ -45,9 +45,9 @@ def ntile_bucket(
     ``null_policy``: "last" puts NULL values behind all others, so they share the top
     bucket; "exclude" leaves them out of the ranking with a NULL bucket.
 
-    Without ``partition_by`` the ranking is global. The row count is checked by a job of its
-    own, which stops at the limit: below ``single_window_rows`` one window does the work;
-    above it rows are range-partitioned, checkpointed and ranked within their partition.
+    The ranking is global, or within each group of ``partition_by``. The row count is checked
+    by a job of its own, which stops at the limit: up to ``single_window_rows`` a window does
+    the work; above it rows are range-partitioned, checkpointed and ranked within their range.
     """
     if null_policy not in ("last", "exclude"):
         raise ValueError(f"unknown null_policy {null_policy!r}")
@@ -55,37 +55,44 @@ def ntile_bucket(
     ranked_rows = df.filter(~missing) if null_policy == "exclude" else df
     by = [F.col(value).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]]
 
-    if partition_by:
-        done = ranked_rows.withColumn(out, F.ntile(n).over(W.partitionBy(*partition_by).orderBy(*by)))
-    elif ranked_rows.select(F.lit(1)).limit(single_window_rows + 1).count() <= single_window_rows:
-        done = ranked_rows.withColumn(out, F.ntile(n).over(W.orderBy(*by)))
+    groups = list(partition_by)
+    if ranked_rows.select(F.lit(1)).limit(single_window_rows + 1).count() <= single_window_rows:
+        done = ranked_rows.withColumn(out, F.ntile(n).over(W.partitionBy(*groups).orderBy(*by)))
     else:
-        done = _global_ntile(ranked_rows, by, n, out)
+        done = _ranged_ntile(ranked_rows, groups, by, n, out)
     if null_policy == "exclude":
         done = done.unionByName(df.filter(missing).withColumn(out, F.lit(None).cast("int")))
     return done
 
 
-def _global_ntile(df: DataFrame, by: list[Column], n: int, out: str) -> DataFrame:
+def _ranged_ntile(df: DataFrame, groups: list[str], by: list[Column], n: int, out: str) -> DataFrame:
     spark = df.sparkSession
     checkpoint_root(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The ranges come from a sample, so they must be drawn once: checkpoint the placement.
+    # A group may span many ranges, so a hot one is spread.
+    ranges = [F.col(g).asc_nulls_first() for g in groups] + by
     placed = (
-        df.repartitionByRange(parts, *by).withColumn("_part", F.spark_partition_id()).checkpoint()
+        df.repartitionByRange(parts, *ranges).withColumn("_part", F.spark_partition_id()).checkpoint()
     )
-    # One row per range partition, so the unpartitioned window below is tiny.
-    before = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    upto = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    every = W.orderBy("_part").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    offsets = before.select(
-        "_part",
+    # One row per range and group in it; per group at most one row per range.
+    sizes = placed.groupBy(*groups, "_part").agg(F.count(F.lit(1)).alias("_size"))
+    ordered = W.partitionBy(*groups).orderBy("_part")
+    upto = ordered.rowsBetween(W.unboundedPreceding, -1)
+    every = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    offsets = sizes.select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
+        F.col("_part").alias("_p"),
         F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias("_before"),
         F.sum("_size").over(every).alias("_all"),
     )
-    # At most one row per shuffle partition: a proven bound, so broadcast it.
-    local = placed.withColumn("_rn", F.row_number().over(W.partitionBy("_part").orderBy(*by)))
-    joined = local.join(F.broadcast(offsets), "_part")
+    if not groups:  # as many rows as there are ranges: small whatever the data
+        offsets = F.broadcast(offsets)
+    same = F.col("_part") == F.col("_p")
+    for i, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    local = placed.withColumn("_rn", F.row_number().over(W.partitionBy(*groups, "_part").orderBy(*by)))
+    joined = local.join(offsets, same)
     rank = F.col("_before") + F.col("_rn") - 1
     # With N = q * n + r the first r buckets hold q + 1 rows and the others q.
     q, r = F.expr(f"_all div {n}"), F.col("_all") % n
@@ -93,7 +100,7 @@ def _global_ntile(df: DataFrame, by: list[Column], n: int, out: str) -> DataFram
     bucket = F.when(rank < wide, F.floor(rank / (q + 1))).otherwise(
         r + F.floor((rank - wide) / F.greatest(q, F.lit(1)))
     )
-    return joined.withColumn(out, (bucket + 1).cast("int")).drop("_part", "_rn", "_before", "_all")
+    return joined.select(*df.columns, (bucket + 1).cast("int").alias(out))
 
 
 def top_n_per_group(

@@ -1,5 +1,9 @@
 """Report queries over the marts. Columns called ``avg_*`` hold what the report shows under
-that name, which is a median unless the docstring says mean."""
+that name, which is a median unless the docstring says mean.
+
+Medians of scores over a few groups (quintiles, types) use the ``wide`` form of the quantiles:
+scores take any number of distinct values. Per tract there are at most its types and months.
+"""
 
 from __future__ import annotations
 
@@ -62,6 +66,7 @@ def quintile_rollup(splits: DataFrame, complaint_type: str, floor: int = ROW_FLO
         ["income_quintile"],
         {"avg_equity_score": ("equity_score", 0.5), "avg_p90_hours": ("p90_hours", 0.5)},
         {"total_complaints": ("sum", "request_count")},
+        wide=True,
     )
 
 
@@ -78,7 +83,7 @@ def quintile_ratio(rollup: DataFrame) -> DataFrame:
 def quintile_profile(splits: DataFrame, floor: int = ROW_FLOOR) -> DataFrame:
     rows = min_count(splits.filter(F.col("income_quintile").isNotNull()), n=floor)
     medians = grouped_quantiles(
-        rows, ["income_quintile"], {"p90": ("p90_hours", 0.5), "score": ("equity_score", 0.5)}
+        rows, ["income_quintile"], {"p90": ("p90_hours", 0.5), "score": ("equity_score", 0.5)}, wide=True
     )
     return medians.select(
         "income_quintile",
@@ -158,7 +163,7 @@ def pivot_matrix(
 def borough_quintile_score(splits: DataFrame, floor: int = ROW_FLOOR) -> DataFrame:
     rows = not_in_set(splits, "borough", NO_BOROUGH).filter(F.col("income_quintile").isNotNull())
     medians = grouped_quantiles(
-        min_count(rows, n=floor), ["borough", "income_quintile"], {"score": ("equity_score", 0.5)}
+        min_count(rows, n=floor), ["borough", "income_quintile"], {"score": ("equity_score", 0.5)}, wide=True
     )
     return medians.select("borough", "income_quintile", round_exact("score", 3).alias("avg_equity_score"))
 
@@ -179,6 +184,7 @@ def top_complaints(splits: DataFrame, k: int = 10, floor: int = ROW_FLOOR) -> Da
         ["complaint_type"],
         {"p90": ("p90_hours", 0.5), "score": ("equity_score", 0.5)},
         VOLUME,
+        wide=True,
     )
     return (
         medians.orderBy(F.col("total_requests").desc_nulls_last(), "complaint_type")
@@ -216,6 +222,7 @@ def type_quintile_medians(splits: DataFrame, floor: int = ROW_FLOOR) -> DataFram
         ["complaint_type", "income_quintile"],
         {"avg_equity_score": ("equity_score", 0.5)},
         VOLUME,
+        wide=True,
     )
 
 
@@ -257,6 +264,7 @@ def score_trend(splits: DataFrame, quintiles: Sequence[int] = (1, 5), floor: int
         ["request_month", "income_quintile"],
         {"avg_equity_score": ("equity_score", 0.5)},
         VOLUME,
+        wide=True,
     )
 
 

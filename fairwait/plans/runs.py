@@ -102,7 +102,7 @@ def build_marts(
     """
     spark = raw.sparkSession
     path = f"{root}/intermediate"
-    previous = read_or_none(spark, path)
+    previous = read_or_none(spark, path, merge_schema=True)
     newest = None if previous is None else previous.agg(F.max("updated_at").alias("m")).first()["m"]
     since = None if newest is None else newest - timedelta(hours=hours)
     fresh = marts.build_intermediate(stage_requests(raw, since=since))
@@ -110,16 +110,18 @@ def build_marts(
         fresh.withColumn("created_month", month_of("created_at").cast("date").cast("string")),
         path, ["unique_key"], ["updated_at"], "created_month", run_id,
     )
-    tables = {"intermediate": read_or_none(spark, path)}
+    tables = {"intermediate": read_or_none(spark, path, merge_schema=True)}
 
-    def store(name: str, df: DataFrame) -> DataFrame:
-        tables[name] = materialise(df, name, "table", root)
+    def store(name: str, df: DataFrame, by: str | None = None) -> DataFrame:
+        tables[name] = materialise(df, name, "table", root, part_col=by)
         return tables[name]
 
+    month = "request_month"  # reports ask for ranges of months
     dim = store("dim_tract", marts.dim_tract(normalize_demographics(demographics)))
-    fact = store("request_facts", marts.request_facts(tables["intermediate"], dim))
+    fact = store("request_facts", marts.request_facts(tables["intermediate"], dim), month)
     stats = store("tract_stats", marts.tract_stats(fact))
-    store("equity_splits", marts.score_stats(stats, store("city_baseline", marts.city_baseline(stats)), dim))
+    baseline = store("city_baseline", marts.city_baseline(stats))
+    store("equity_splits", marts.score_stats(stats, baseline, dim), month)
     summary = store("quintile_summary", marts.quintile_summary(fact, dim, cell_floor))
     store("gap_by_type", marts.gap_by_type(summary, quintile_floor))
     store("trend_monthly", marts.pooled_trend(fact, dim))

@@ -36,18 +36,26 @@ def _has_data(spark: SparkSession, path: str) -> bool:
     return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
-def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, None where there is none yet. Columns that appeared
-    later are NULL in older files."""
-    return spark.read.option("mergeSchema", True).parquet(path) if _has_data(spark, path) else None
+def read_or_none(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
+    """The Parquet table at ``path``, None where there is none yet. With ``merge_schema``
+    columns that appeared later are NULL in older files, at the price of reading all footers."""
+    if not _has_data(spark, path):
+        return None
+    return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
-def write_partition(df: DataFrame, path: str, part_col: str) -> int:
+def write_partition(df: DataFrame, path: str, part_col: str, rebalance: bool = True) -> int:
     """Snappy Parquet under ``part_col=value`` folders; only the partitions present in ``df``
-    are replaced, so a rerun is harmless. Returns the rows written, counted by the write."""
+    are replaced, so a rerun is harmless. Returns the rows written, counted by the write.
+
+    ``rebalance`` brings rows of a partition together first, so that not every task writes
+    a small file to every folder; adaptive execution splits a partition that is too large
+    for one task and joins small ones.
+    """
     seen = Observation()
+    placed = df.hint("rebalance", part_col) if rebalance else df
     (
-        df.observe(seen, F.count(F.lit(1)).alias("n"))
+        placed.observe(seen, F.count(F.lit(1)).alias("n"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -87,21 +95,27 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(v for v in numbers if _exists(spark, f"{path}/v={v}/_SUCCESS"))
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The current version of a snapshot table."""
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The current version of a snapshot table. ``schema`` gives a partition column its type,
+    which folder names do not keep."""
     versions = _versions(spark, path)
     if not versions:
         raise FileNotFoundError(f"no complete snapshot under {path}")
-    return spark.read.parquet(f"{path}/v={versions[-1]}")
+    current = f"{path}/v={versions[-1]}"
+    if schema is None:
+        return spark.read.parquet(current)
+    return spark.read.schema(schema).parquet(current).select(*schema.names)
 
 
-def replace_table(df: DataFrame, path: str, keep: int = 2) -> int:
+def replace_table(df: DataFrame, path: str, keep: int = 2, part_col: str | None = None) -> int:
     """Replace the whole table with ``df``, which may read the current version; returns the
     new version number. The latest ``keep`` versions stay."""
     spark = df.sparkSession
     old = _versions(spark, path)
     version = old[-1] + 1 if old else 1
-    df.write.mode("overwrite").parquet(f"{path}/v={version}")
+    placed = df.hint("rebalance", part_col) if part_col else df
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(part_col) if part_col else writer).parquet(f"{path}/v={version}")
     for gone in old[: max(0, len(old) + 1 - keep)]:
         _delete(spark, f"{path}/v={gone}")
     return version
@@ -150,13 +164,14 @@ def upsert_table(
             merged = fresh
         spark.createDataFrame([(v,) for v in values], "part string").write.mode("overwrite").parquet(touched)
         (
-            merged.write.mode("overwrite")
+            merged.hint("rebalance", part_col)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy(part_col)
             .parquet(staged)
         )
     if _folders(spark, staged, part_col):
-        write_partition(_typed(spark, staged, updates), path, part_col)
+        write_partition(_typed(spark, staged, updates), path, part_col, rebalance=False)
     # A partition all of whose keys moved elsewhere has nothing to overwrite it with.
     emptied = {r[0] for r in spark.read.parquet(touched).collect()} - set(_folders(spark, staged, part_col))
     for value, folder in _folders(spark, path, part_col).items():
@@ -219,11 +234,13 @@ def materialise(
     keys: Sequence[str] = (),
     order: Sequence[str] = (),
     ties: Sequence[str] = (),
+    part_col: str | None = None,
 ) -> DataFrame:
     """Make a model available under ``name`` and return it for reading.
 
     "view" registers a temporary view, "table" replaces a snapshot under ``root``, and
-    "incremental" merges by ``keys`` into the snapshot there.
+    "incremental" merges by ``keys`` into the snapshot there. That rewrites the snapshot: a
+    table too large for it takes ``upsert_table``. ``part_col`` makes folders by its value.
     """
     spark = df.sparkSession
     if kind == "view":
@@ -236,7 +253,7 @@ def materialise(
     path = f"{root.rstrip('/')}/{name}"
     if kind == "incremental" and _versions(spark, path):
         df = upsert_latest(read_snapshot(spark, path), df, keys, list(order) or None, ties)
-    replace_table(df, path)
-    current = read_snapshot(spark, path)
+    replace_table(df, path, part_col=part_col)
+    current = read_snapshot(spark, path, df.schema)
     current.createOrReplaceTempView(name)
     return current

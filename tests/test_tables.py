@@ -140,7 +140,7 @@ def test_upsert_table_recovers_after_a_failed_copy(spark, tmp_path, rows, monkey
     tables.upsert_table(first, path, ["k"], ["updated"], "month", 1)
     second = versions(spark, [("1", "b", "new", "2024-01")])
 
-    def lost(df, path, part_col):
+    def lost(df, path, part_col, **_):
         tables._delete(spark, f"{path}/month=2024-01")  # the old partition is gone, the new one not there
         raise RuntimeError("executor lost")
 

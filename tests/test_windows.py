@@ -38,10 +38,17 @@ def test_null_policy(spark):
     assert out == {1: 1, 3: 1, 4: 2, 2: None}
 
 
-def test_ntile_within_groups(spark):
-    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 5), ("b", 4)], "g string, v int")
-    got = {(r["g"], r["v"]): r["bucket"] for r in ntile_bucket(df, "v", 2, ["v"], partition_by=["g"]).collect()}
-    assert got == {("a", 1): 1, ("a", 2): 2, ("b", 4): 1, ("b", 5): 2}
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_ntile_within_groups(spark, limit):
+    data = [(None if i % 3 == 0 else f"g{i % 3}", i * 37 % 101) for i in range(60)]
+    df = spark.createDataFrame(data, "g string, v int")
+    got = ntile_bucket(df, "v", 4, ["v"], partition_by=["g"], single_window_rows=limit)
+    assert got.columns == ["g", "v", "bucket"]
+    found = {(r["g"], r["v"]): r["bucket"] for r in got.collect()}
+    for group in (None, "g1", "g2"):
+        values = [v for g, v in data if g == group]
+        expected = expected_ntile(values, 4)
+        assert {v: expected[i] for i, v in enumerate(values)} == {v: b for (g, v), b in found.items() if g == group}
 
 
 def test_dedup_latest(spark, rows):
