@@ -119,7 +119,7 @@ def _of(value: str, values: Sequence[str]) -> Column:
 
 
 def _rank(hist, part, values, quantiles, carry) -> DataFrame:
-    return _running(hist, part, "_v").withColumn("_rows", F.col("_n"))
+    return _running(hist, part, "_v")
 
 
 # Buckets per factor of e. A double has at most 2 * 709 * 256 buckets.
@@ -130,35 +130,52 @@ def _rank_wide(hist, part, values, quantiles, carry) -> DataFrame:
     v = F.col("_v")
     bucket = (F.signum(v) * F.floor(F.log1p(F.abs(v)) * _FINENESS)).cast("bigint")
     fine = hist.withColumn("_b", bucket)
-    carried = [
-        _CARRY[kind][1](F.col(f"_c_{o}")).alias(f"_c_{o}")
-        for o, (kind, col) in carry.items()
-        if (kind, col) != ("count", "*")
-    ]
+    kinds = {o: kind for o, (kind, col) in carry.items() if (kind, col) != ("count", "*")}
+    carried = [_CARRY[kind][1](F.col(f"_c_{o}")).alias(f"_c_{o}") for o, kind in kinds.items()]
     coarse = _running(fine.groupBy(*part, "_b").agg(F.sum("_n").alias("_n"), *carried), part, "_b")
-    wanted = F.lit(False)
+
+    # What rides along is settled here, where no bucket is left out.
+    whole = (
+        W.partitionBy(*part)
+        .orderBy(F.col("_b").asc_nulls_last())
+        .rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    )
+    totals = {"_t_rows": F.sum("_n").over(whole)}
+    totals |= {f"_t_{o}": _CARRY[kind][1](F.col(f"_c_{o}")).over(whole) for o, kind in kinds.items()}
+
+    # The buckets that hold a wanted rank; of a group without known values its only one.
+    wanted = F.col("_total").isNull()
     for value, p in quantiles.values():
         for rank in (F.floor(_position(p)), F.ceil(_position(p))):
             here = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank)
-            wanted = wanted | (_of(value, values) & here)
-    buckets = coarse.filter(F.col("_b").isNotNull() & wanted).select(
+            wanted = wanted | (F.col("_b").isNotNull() & _of(value, values) & here)
+    buckets = coarse.withColumns(totals).filter(wanted).select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(part)],
         F.col("_b").alias("_kb"),
         (F.col("_upto") - F.col("_n")).alias("_before"),
-        F.col("_total").alias("_all"),
+        "_total",
+        *totals,
     )
-    same = F.col("_b") == F.col("_kb")
+    # Null-safe throughout: NULL keys are groups, and no filter sets the two sides apart.
+    same = F.col("_b").eqNullSafe(F.col("_kb"))
     for i, c in enumerate(part):
         same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
     within = W.partitionBy(*part, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    found = (
-        fine.join(buckets, same)
-        .withColumn("_upto", F.col("_before") + F.sum("_n").over(within))
-        .select(*part, "_v", "_upto", F.col("_all").alias("_total"))
-    )
-    # Counts and carried columns come from the buckets, of which none is left out.
-    totals = coarse.withColumn("_rows", F.col("_n")).drop("_b", "_n", "_upto", "_total")
-    return found.unionByName(totals, allowMissingColumns=True)
+    return fine.join(buckets, same).withColumn("_upto", F.col("_before") + F.sum("_n").over(within))
+
+
+def _totals(ranked: DataFrame, values, out: str, kind: str, col: str) -> Column:
+    """A column that rode along, summed up per group."""
+    first, second = _of(values[0], values), _CARRY[kind][1]
+    if (kind, col) == ("count", "*"):
+        if "_t_rows" in ranked.columns:
+            return F.max(F.when(first, F.col("_t_rows")))
+        return F.sum(F.when(first, F.col("_n")))
+    if f"_t_{out}" in ranked.columns:
+        # The second form is NULL whenever the first is. It makes both sides of the join ask
+        # for the same columns, so that Spark runs the shuffle they share once.
+        return F.coalesce(F.max(f"_t_{out}"), second(F.col(f"_c_{out}")))
+    return second(F.col(f"_c_{out}"))
 
 
 def _pick(ranked, keys, values, quantiles, carry) -> DataFrame:
@@ -174,9 +191,6 @@ def _pick(ranked, keys, values, quantiles, carry) -> DataFrame:
         lo, hi = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")
         result.append((lo + (hi - lo) * F.col(f"_w{i}")).alias(out))
     for out, (kind, col) in carry.items():
-        if (kind, col) == ("count", "*"):
-            aggs.append(F.sum(F.when(_of(values[0], values), F.col("_rows"))).alias(out))
-        else:
-            aggs.append(_CARRY[kind][1](F.col(f"_c_{out}")).alias(out))
+        aggs.append(_totals(ranked, values, out, kind, col).alias(out))
         result.append(F.col(out))
     return ranked.groupBy(*keys).agg(*aggs).select(*keys, *result)
