@@ -152,6 +152,12 @@ def _(spark, sf):
   SELECT 'intermediate' AS mart, count(*) AS n_rows, count(DISTINCT unique_key) AS n_groups FROM requests
   UNION ALL SELECT 'dim_tract', count(*), count(DISTINCT income_quintile) FROM dim
   UNION ALL SELECT 'request_facts', count(*), count(DISTINCT request_month) FROM fact
+  UNION ALL SELECT 'equity_splits', count(*), count(DISTINCT tract_geoid) FROM (
+    SELECT DISTINCT tract_geoid, complaint_type, request_month FROM fact)
+  UNION ALL SELECT 'quintile_summary', count(*), count(DISTINCT complaint_type) FROM (
+    SELECT DISTINCT complaint_type, income_quintile FROM (
+      SELECT complaint_type, income_quintile FROM fact JOIN dim USING (tract_geoid)
+      GROUP BY tract_geoid, complaint_type, income_quintile HAVING count(*) >= 30))
   UNION ALL SELECT 'trend_monthly', count(*), count(DISTINCT q) FROM (
     SELECT DISTINCT request_month, income_quintile AS q FROM fact JOIN dim USING (tract_geoid))""")
 def _(spark, sf):
@@ -160,7 +166,7 @@ def _(spark, sf):
     )
     group = {
         "intermediate": "unique_key", "dim_tract": "income_quintile", "request_facts": "request_month",
-        "trend_monthly": "income_quintile",
+        "equity_splits": "tract_geoid", "quintile_summary": "complaint_type", "trend_monthly": "income_quintile",
     }
     counted = [
         tables[t].agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(g).alias("n_groups")).withColumn("mart", F.lit(t))
@@ -260,8 +266,24 @@ def _(spark, sf):
     return run_checkpoint(orders, "orders", path, datetime(2024, 1, 2), {"orders": ORDER_SUITE})
 
 
+def splits_check(name: str, col: str, judged: str, failed: str) -> str:
+    return check_sql("equity_splits", name, col, judged, failed, source="splits")
+
+
+KNOWN = "tract_geoid complaint_type request_month p50_hours p75_hours p90_hours request_count income_quintile".split()
+GRAIN = "tract_geoid,complaint_type,request_month"
+
+
 # One pass for all the checks of a mart's own suite.
-@query("run_checks", CHECK)
+@query("run_checks", CHECK, b.splits_ctes() + " UNION ALL ".join([
+    *[splits_check("not_null", c, "count(*)", f"count(*) FILTER ({c} IS NULL)") for c in KNOWN],
+    splits_check("between_mostly", "equity_score", "count(equity_score)", "count(*) FILTER (equity_score < 0.01 OR equity_score > 100)"),
+    splits_check("in_set", "income_quintile", "count(income_quintile)", "count(*) FILTER (income_quintile NOT IN (1, 2, 3, 4, 5))"),
+    splits_check("between_mostly", "request_count", "count(request_count)", "count(*) FILTER (request_count < 1)"),
+    splits_check("row_count", "*", "1", "CASE WHEN count(*) >= 10000 THEN 0 ELSE 1 END"),
+    splits_check("percentile_order", "p50_hours,p75_hours,p90_hours", "count(*)", "count(*) FILTER (p50_hours > p75_hours OR p75_hours > p90_hours)"),
+    unique_sql("splits", "unique_combination", GRAIN, "true").replace("'splits'", "'equity_splits'"),
+]))
 def _(spark, sf):
     return run_checkpoint(b.splits(spark, sf), "equity_splits")
 
