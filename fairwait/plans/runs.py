@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import month_of
+from ..functions import month_of, ntz
 from ..operators.cleaning import normalize_demographics, stage_requests
 from ..operators.spatial import point_in_polygon_join
 from ..operators.upsert import get_watermark
@@ -72,12 +72,16 @@ def run_backfill(
     Each month is a partition, replaced on a rerun; months without rows write nothing, and
     a failure anywhere fails the job. Returns rows per month as written.
     """
-    at = F.col(created).cast("timestamp_ntz")
-    month = month_of(at).cast("date")
-    bounds = [F.trunc(F.lit(d).cast("date"), "month") for d in (start, end)]
-    rows = source.filter(month.between(*bounds))
+    first = date.fromisoformat(start).replace(day=1).isoformat()
+    last = date.fromisoformat(end)
+    after = date(last.year + last.month // 12, last.month % 12 + 1, 1).isoformat()
+    # ISO text sorts as time does, so text bounds reach the Parquet reader as they are.
+    if dict(source.dtypes)[created] != "string":
+        first, after = ntz(first), ntz(after)
+    rows = source.filter((F.col(created) >= first) & (F.col(created) < after))
     located = point_in_polygon_join(rows, boundaries, cell=cell)
-    write_partition(located.withColumn("created_month", month.cast("string")), landing_path, "created_month")
+    month = month_of(F.col(created).cast("timestamp_ntz")).cast("date").cast("string")
+    write_partition(located.withColumn("created_month", month), landing_path, "created_month")
     return (
         source.sparkSession.read.parquet(landing_path)
         .groupBy(F.col("created_month").cast("string").alias("created_month"))

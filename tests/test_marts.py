@@ -294,6 +294,17 @@ def test_from_landing_to_marts(spark, tmp_path, rows):
     assert rows(again["equity_splits"]) == rows(tables["equity_splits"])
 
 
+def test_reports_read_only_the_months_asked_for(spark, cells, tmp_path):
+    from fairwait.sinks import materialise
+
+    stored = materialise(cells, "equity_splits", "table", str(tmp_path), part_col="request_month")
+    assert stored.schema == cells.schema
+    df = reports.score_trend(op.date_range(stored, "request_month", "2024-01-01", "2024-01-31"))
+    scan = next(line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
+    assert "PartitionFilters: [isnotnull(request_month" in scan and "p50_hours" not in scan.split("ReadSchema")[1]
+    assert df.count() == 2
+
+
 def test_backfill(spark, tmp_path, rows):
     data = [record(str(i), f"2024-{m:02d}-{d:02d}T23:59:59.900", None, None, 0.5, 0.5) for i, (m, d) in enumerate([(1, 31), (2, 1), (4, 30), (5, 1)])]
     df = spark.createDataFrame(data, RAW_REQUESTS)
