@@ -109,13 +109,13 @@ def _running(df: DataFrame, part: Sequence[str], order: str) -> DataFrame:
     )
 
 
-def _position(p: float) -> Column:
-    return F.lit(float(p)) * (F.col("_total") - 1)
+def _position(p: float) -> str:
+    return f"{float(p)!r}D * (_total - 1)"
 
 
-def _of(value: str, values: Sequence[str]) -> Column:
+def _of(value: str, values: Sequence[str]) -> str:
     """Whether a row belongs to the measure."""
-    return (F.col("_m") == values.index(value)) if len(values) > 1 else F.lit(True)
+    return f"_m = {values.index(value)}" if len(values) > 1 else "true"
 
 
 def _rank(hist, part, values, quantiles, carry) -> DataFrame:
@@ -144,12 +144,12 @@ def _rank_wide(hist, part, values, quantiles, carry) -> DataFrame:
     totals |= {f"_t_{o}": _CARRY[kind][1](F.col(f"_c_{o}")).over(whole) for o, kind in kinds.items()}
 
     # The buckets that hold a wanted rank; of a group without known values its only one.
-    wanted = F.col("_total").isNull()
+    wanted = ["_total is null"]
     for value, p in quantiles.values():
-        for rank in (F.floor(_position(p)), F.ceil(_position(p))):
-            here = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank)
-            wanted = wanted | (F.col("_b").isNotNull() & _of(value, values) & here)
-    buckets = coarse.withColumns(totals).filter(wanted).select(
+        for rank in (f"floor({_position(p)})", f"ceil({_position(p)})"):
+            here = f"_upto > {rank} and _upto - _n <= {rank}"
+            wanted.append(f"(_b is not null and {_of(value, values)} and {here})")
+    buckets = coarse.withColumns(totals).filter(" or ".join(wanted)).select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(part)],
         F.col("_b").alias("_kb"),
         (F.col("_upto") - F.col("_n")).alias("_before"),
@@ -169,8 +169,8 @@ def _totals(ranked: DataFrame, values, out: str, kind: str, col: str) -> Column:
     first, second = _of(values[0], values), _CARRY[kind][1]
     if (kind, col) == ("count", "*"):
         if "_t_rows" in ranked.columns:
-            return F.max(F.when(first, F.col("_t_rows")))
-        return F.sum(F.when(first, F.col("_n")))
+            return F.expr(f"max(case when {first} then _t_rows end)")
+        return F.expr(f"sum(case when {first} then _n end)")
     if f"_t_{out}" in ranked.columns:
         # The second form is NULL whenever the first is. It makes both sides of the join ask
         # for the same columns, so that Spark runs the shuffle they share once.
@@ -184,12 +184,11 @@ def _pick(ranked, keys, values, quantiles, carry) -> DataFrame:
     for i, (out, (value, p)) in enumerate(quantiles.items()):
         pos, mine = _position(p), _of(value, values)
         aggs += [
-            F.min(F.when(mine & (F.col("_upto") > F.floor(pos)), F.col("_v"))).alias(f"_lo{i}"),
-            F.min(F.when(mine & (F.col("_upto") > F.ceil(pos)), F.col("_v"))).alias(f"_hi{i}"),
-            F.max(F.when(mine, pos - F.floor(pos))).alias(f"_w{i}"),
+            F.expr(f"double(min(case when {mine} and _upto > floor({pos}) then _v end)) as _lo{i}"),
+            F.expr(f"double(min(case when {mine} and _upto > ceil({pos}) then _v end)) as _hi{i}"),
+            F.expr(f"max(case when {mine} then {pos} - floor({pos}) end) as _w{i}"),
         ]
-        lo, hi = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")
-        result.append((lo + (hi - lo) * F.col(f"_w{i}")).alias(out))
+        result.append(F.expr(f"_lo{i} + (_hi{i} - _lo{i}) * _w{i}").alias(out))
     for out, (kind, col) in carry.items():
         aggs.append(_totals(ranked, values, out, kind, col).alias(out))
         result.append(F.col(out))
