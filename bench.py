@@ -37,7 +37,6 @@ WHOLE = [
     "point_in_polygon_join",
     "point_in_polygon_join_shuffled",
     "upsert_latest",
-    "check_percentile_order",
 ]
 # From the stored splits mart, as reports run.
 REPORTS = {
