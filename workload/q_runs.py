@@ -17,7 +17,7 @@ from fairwait.streaming import stream_upsert
 
 from . import bindings as b
 from .q_marts import gap
-from .q_tables import CLEAN_SQL, grid_boundaries, line_points, minute_requests, raw_requests
+from .q_tables import CLEAN_SQL, PLACES_SQL, grid_boundaries, raw_requests
 from .registry import query
 
 KEYS = ["user_id", "event_type"]
@@ -94,17 +94,14 @@ def _(spark, sf):
     return marts.build_intermediate(op.stage_requests(raw, ties), target)
 
 
-@query("run_incremental", "unique_key:s tract_geoid:s n_loads:i", """
-  SELECT p.unique_key, tract_geoid, n_loads FROM (
-    SELECT l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR AS unique_key, l_shipdate AS d,
-           l_discount + l_quantity / 500 AS x, l_tax + l_linenumber / 1000 AS y, l_returnflag FROM lineitem) p
-  LEFT JOIN (SELECT s_suppkey::VARCHAR AS tract_geoid, (s_suppkey % 40) * 0.005::DOUBLE AS x0,
-                    floor(s_suppkey / 40) * 0.004::DOUBLE AS y0, s_suppkey % 7 = 0 AS holed FROM supplier)
-    ON l_returnflag <> 'R' AND x > x0 AND x < x0 + 0.005::DOUBLE AND y > y0 AND y < y0 + 0.004::DOUBLE
-    AND NOT (holed AND x >= x0 + 0.001::DOUBLE AND x <= x0 + 0.002::DOUBLE AND y >= y0 + 0.001::DOUBLE AND y <= y0 + 0.003::DOUBLE)
-  JOIN (VALUES (1), (2)) t(n_loads)
-    ON (n_loads = 1 AND d < TIMESTAMP '1998-01-01')
-    OR (n_loads = 2 AND d >= (SELECT max(l_shipdate) FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01') - INTERVAL 48 HOUR)""")
+@query("run_incremental", "unique_key:s tract_geoid:s n_loads:i", f"""
+  WITH p AS (SELECT l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR AS unique_key, l_shipdate AS d,
+           CASE WHEN l_returnflag <> 'R' THEN l_discount + l_quantity / 500 END AS x, l_tax + l_linenumber / 1000 AS y
+           FROM lineitem), {PLACES_SQL},
+  edge AS (SELECT max(l_shipdate) - INTERVAL 48 HOUR AS since FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'),
+  loads AS (SELECT *, 1 AS n_loads FROM p WHERE d < TIMESTAMP '1998-01-01'
+            UNION ALL SELECT *, 2 AS n_loads FROM p WHERE d >= (SELECT since FROM edge))
+  SELECT unique_key, s_suppkey::VARCHAR AS tract_geoid, n_loads FROM loads LEFT JOIN m USING (x, y)""")
 def _(spark, sf):
     rows = b.table(spark, sf, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("unique_key"),

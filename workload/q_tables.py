@@ -532,14 +532,17 @@ def line_points(spark, sf):
     )
 
 
-POLYGONS_SQL = """
-  WITH p AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_returnflag <> 'R' THEN l_discount + l_quantity / 500 END AS x,
-                    l_tax + l_linenumber / 1000 AS y FROM lineitem),
-  s AS (SELECT s_suppkey, (s_suppkey % 40) * 0.005::DOUBLE AS x0, floor(s_suppkey / 40) * 0.004::DOUBLE AS y0 FROM supplier)
-  SELECT l_orderkey, l_linenumber, l_partkey, s_suppkey::VARCHAR AS tract_geoid FROM p LEFT JOIN s
+# Settled per place: an outer join on ranges alone repeats unmatched rows in DuckDB.
+PLACES_SQL = """
+  s AS (SELECT s_suppkey, (s_suppkey % 40) * 0.005::DOUBLE AS x0, floor(s_suppkey / 40) * 0.004::DOUBLE AS y0 FROM supplier),
+  m AS (SELECT x, y, min(s_suppkey) AS s_suppkey FROM (SELECT DISTINCT x, y FROM p WHERE x IS NOT NULL) JOIN s
     ON x > x0 AND x < x0 + 0.005::DOUBLE AND y > y0 AND y < y0 + 0.004::DOUBLE
     AND NOT (s_suppkey % 7 = 0 AND x >= x0 + 0.001::DOUBLE AND x <= x0 + 0.002::DOUBLE
-             AND y >= y0 + 0.001::DOUBLE AND y <= y0 + 0.003::DOUBLE)"""
+             AND y >= y0 + 0.001::DOUBLE AND y <= y0 + 0.003::DOUBLE) GROUP BY x, y)"""
+POLYGONS_SQL = f"""
+  WITH p AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_returnflag <> 'R' THEN l_discount + l_quantity / 500 END AS x,
+                    l_tax + l_linenumber / 1000 AS y FROM lineitem), {PLACES_SQL}
+  SELECT l_orderkey, l_linenumber, l_partkey, s_suppkey::VARCHAR AS tract_geoid FROM p LEFT JOIN m USING (x, y)"""
 
 
 @query("point_in_polygon_join", "l_orderkey:i l_linenumber:i l_partkey:i tract_geoid:s", POLYGONS_SQL)
