@@ -121,7 +121,6 @@ def top_products(vectors: DataFrame, queries: Column, k: int, id_col: str = "vec
     for it. Vectors of unequal length are compared as if filled with zeros; products beyond a long are held to
     its range. Fewer than k other rows give fewer results.
     """
-    spark = vectors.sparkSession
     rows = vectors.filter(F.col(id_col).isNotNull() & finite(F.col(vector_col)))
     rows = rows.withColumn("_q", F.coalesce(queries, F.lit(False))).select(
         F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"), "_q"
@@ -134,12 +133,17 @@ def top_products(vectors: DataFrame, queries: Column, k: int, id_col: str = "vec
     # Classes are few whatever the rows: the range of doubles holds about 30,000 of them.
     part = F.ceil(F.col("count") / PART_ROWS).cast("int").alias("parts")
     classes = rows.groupBy("level").agg(F.count("*").alias("count"), F.max("norm").alias("longest")).select("level", "longest", part)
+    listed = classes.toPandas()
+    level_of = np.repeat(listed["level"].to_numpy(dtype="int32"), listed["parts"].to_numpy(dtype="int64"))
+    longest = np.repeat(listed["longest"].to_numpy(dtype="float64"), listed["parts"].to_numpy(dtype="int64"))
+    part_of = np.concatenate([np.arange(n, dtype="int32") for n in listed["parts"]] or [np.zeros(0, "int32")])
     n_blocks = max(1, -(-rows.filter("is_query").count() // QUERY_ROWS))
 
     seeds = rows.orderBy(F.desc("norm"), "vec_id").select("vec_id", "v").limit(SEEDS).toPandas()
     ids, seed = seeds["vec_id"].to_numpy(dtype="int64"), padded(list(seeds["v"]))
 
-    def thresholds(batches):
+    def route(batches):
+        """Each query's threshold and the parts whose longest vector can reach it."""
         for q in batches:
             scores = products(padded(list(q["v"])), seed).astype(np.float64)
             scores[q["vec_id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
@@ -147,20 +151,19 @@ def top_products(vectors: DataFrame, queries: Column, k: int, id_col: str = "vec
             if scores.shape[1] >= k:
                 floor = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
             # a product beyond 2^53 is rounded here; the margin keeps the threshold below it
-            yield q.assign(floor=np.where(np.abs(floor) > 2.0**50, floor - np.abs(floor) * 1e-12, floor))
-
-    asked = rows.filter("is_query").select("vec_id", "v", "norm").mapInPandas(thresholds, "vec_id bigint, v array<double>, norm double, floor double")
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int"))
-    need = F.col("floor") / F.col("norm") * (1 - 1e-9)
-    # Every class whose longest vector can reach the threshold; classes are a short list kept with each query.
-    listed = classes.agg(F.collect_list(F.struct("level", "longest", "parts")).alias("classes"))
-    reach = F.filter("classes", lambda c: (F.col("floor") <= 0) | (F.col("norm") == 0) | (c["longest"] >= need))
+            floor = np.where(np.abs(floor) > 2.0**50, floor - np.abs(floor) * 1e-12, floor)
+            need = np.where(floor > 0, floor * (1 - 1e-9), -1.0)
+            reached = [np.flatnonzero(longest * n >= f) for n, f in zip(q["norm"], need)]
+            yield q.assign(floor=floor, levels=[level_of[r] for r in reached], parts=[part_of[r] for r in reached])
+
     routed = (
-        asked.withColumn("_one", F.lit(1))
-        .join(F.broadcast(listed.withColumn("_one", F.lit(1))), "_one")
-        .withColumn("class", F.explode(reach))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("class.parts") - 1)))
-        .select("vec_id", "v", "norm", "floor", F.col("class.level").alias("level"), "part", "block")
+        rows.filter("is_query")
+        .select("vec_id", "v", "norm")
+        .mapInPandas(route, "vec_id bigint, v array<double>, norm double, floor double, levels array<int>, parts array<int>")
+        .withColumn("visit", F.explode(F.arrays_zip("levels", "parts")))
+        .select("vec_id", "v", "norm", "floor", "visit.levels", "visit.parts")
+        .toDF("vec_id", "v", "norm", "floor", "level", "part")
+        .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int"))
     )
     parts = (
         rows.join(F.broadcast(classes), "level")

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import norm_search, url_filter
+from . import bpe, norm_search, url_filter
 from .common import table
 
+# Vocabulary file of the queries; it lies at the same path on every machine.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -49,3 +53,17 @@ def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Every page's URL judged by the given rules, else by the mined ones."""
     pages = table(spark, sf, "pages").select("page_id", "url")
     return url_filter.judge(pages, "url", URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of every document's tokens and of the text decoded from them."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY)
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
