@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, norm_search, url_filter
+from . import bpe, near_dedup, norm_search, url_filter
 from .common import table
 
 # Vocabulary file of the queries; it lies at the same path on every machine.
@@ -67,3 +67,10 @@ def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op8_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Components of documents that share four fifths of their four-word shingles."""
+    groups = near_dedup.near_groups(table(spark, sf, "documents"), words=4, percent=80)
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
