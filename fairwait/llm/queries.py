@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, near_dedup, norm_search, url_filter
+from . import bpe, near_dedup, norm_search, packing, url_filter
 from .common import table
 
 # Vocabulary file of the queries; it lies at the same path on every machine.
@@ -74,3 +74,12 @@ def op8_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Components of documents that share four fifths of their four-word shingles."""
     groups = near_dedup.near_groups(table(spark, sf, "documents"), words=4, percent=80)
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens, piece by piece."""
+    pieces = packing.pack(table(spark, sf, "documents"), VOCABULARY, 1024)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
