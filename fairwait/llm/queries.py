@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, near_dedup, norm_search, packing, url_filter
+from . import bpe, langid, near_dedup, norm_search, packing, url_filter
 from .common import table
 
 # Vocabulary file of the queries; it lies at the same path on every machine.
@@ -83,3 +83,12 @@ def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op4_language(spark: SparkSession, sf: str) -> DataFrame:
+    """The language of every document, learned from three quarters of the labelled ones."""
+    docs = table(spark, sf, "documents")
+    model = langid.fit(docs, ~langid.held_out())
+    asked = docs.select("doc_id", langid.held_out().alias("held_out"), "text")
+    return langid.predict(asked, model).select("doc_id", "held_out", "lang_pred", "score")
