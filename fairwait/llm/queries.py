@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, near_dedup, norm_search, packing, url_filter
+from . import bpe, langid, line_dedup, near_dedup, norm_search, packing, url_filter
 from .common import table
 
 # Vocabulary file of the queries; it lies at the same path on every machine.
@@ -92,3 +92,10 @@ def op4_language(spark: SparkSession, sf: str) -> DataFrame:
     model = langid.fit(docs, ~langid.held_out())
     asked = docs.select("doc_id", langid.held_out().alias("held_out"), "text")
     return langid.predict(asked, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document less its runs of lines that stand earlier, with the number of lines deleted."""
+    kept = line_dedup.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "text", F.col("n_dropped").cast("bigint").alias("n_dropped"))
