@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, line_dedup, near_dedup, norm_search, packing, url_filter
+from . import bpe, html_text, langid, line_dedup, near_dedup, norm_search, packing, url_filter
 from .common import table
 
 # Vocabulary file of the queries; it lies at the same path on every machine.
@@ -99,3 +99,10 @@ def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every document less its runs of lines that stand earlier, with the number of lines deleted."""
     kept = line_dedup.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "text", F.col("n_dropped").cast("bigint").alias("n_dropped"))
+
+
+@query
+def op6_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The main text of every page."""
+    found = html_text.extract(table(spark, sf, "pages").select("page_id", "url", "html"), out="text")
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
