@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, langid, line_dedup, near_dedup, norm_search, packing, url_filter
+from . import ann, bpe, html_text, langid, line_dedup, near_dedup, norm_search, packing, url_filter
 from .common import table
 
 # Vocabulary file of the queries; it lies at the same path on every machine.
@@ -106,3 +106,9 @@ def op6_main_text(spark: SparkSession, sf: str) -> DataFrame:
     """The main text of every page."""
     found = html_text.extract(table(spark, sf, "pages").select("page_id", "url", "html"), out="text")
     return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@query
+def op3_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    """The 5 nearest vectors found for every fiftieth one."""
+    return ann.nearest(table(spark, sf, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, 5)
