@@ -21,7 +21,7 @@ SHARD_ROWS = 4096
 QUERY_ROWS = 4096  # queries in a block
 DEGREE = 24
 BEAM = 48  # while building
-SEARCH_BEAM = 64
+SEARCH_BEAM = 128
 ALPHA = 1.2
 ENTRIES = 16  # random places where searches begin, beside the most central vector
 _BATCH = 512

@@ -70,7 +70,6 @@ class Vocabulary:
         self.bytes_of |= {i: t.encode() for t, i in special.items()}
         self.special = special
         self.id_of = {b: i for t, b in plain.items() if t not in special for i in (spec["model"]["vocab"][t],)}
-        self.longest = max(map(len, self.id_of))
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         ids = spec["model"]["vocab"]
         self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
@@ -93,6 +92,11 @@ class Vocabulary:
         self.byte_ids = [self.id_of.get(bytes([b])) for b in range(256)]
         self.byte_table = np.array([-1 if i is None else i for i in self.byte_ids], dtype=np.int64)
         self.sound = self._sound()
+        # The longest token with given first three bytes; where there is none, tokens have two bytes at most.
+        self.reach: dict[bytes, int] = {}
+        for token in self.sound:
+            if len(token) > 2:
+                self.reach[token[:3]] = max(len(token), self.reach.get(token[:3], 0))
         self.split, self.split_any, self.beyond = splitter(), regex.compile(PATTERN), re.compile("[\U00010000-\U0010ffff]")
         self.cut = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.named = {t: np.int32(i).tobytes() for t, i in special.items()}
@@ -183,9 +187,9 @@ class Vocabulary:
     def propose(self, word: bytes) -> list[int] | None:
         """Greedy longest matches; None if some byte has no token."""
         out, at, end = [], 0, len(word)
-        known = self.sound
+        known, reach = self.sound, self.reach.get
         while at < end:
-            for stop in range(min(end, at + self.longest), at, -1):
+            for stop in range(min(end, at + reach(word[at : at + 3], 2)), at, -1):
                 token = known.get(word[at:stop])
                 if token is not None:
                     out.append(token)
