@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_text, langid, line_dedup, near_dedup, norm_search, packing, url_filter
+from . import ann, bpe, html_text, langid, license_scan, line_dedup, near_dedup, norm_search, packing, url_filter
 from .common import table
 
 # Vocabulary file of the queries; it lies at the same path on every machine.
@@ -112,3 +112,11 @@ def op6_main_text(spark: SparkSession, sf: str) -> DataFrame:
 def op3_nearest(spark: SparkSession, sf: str) -> DataFrame:
     """The 5 nearest vectors found for every fiftieth one."""
     return ann.nearest(table(spark, sf, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, 5)
+
+
+@query
+def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    """The licence of every document, its own or that of the nearest folder; folders are source, then hundreds of ids."""
+    path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string"))
+    files = table(spark, sf, "documents").select("doc_id", path.alias("path"), "text")
+    return license_scan.scan(files).select("doc_id", "license", F.round("score", 6).alias("score"), "origin", "origin_path")
