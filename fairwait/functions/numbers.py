@@ -24,6 +24,6 @@ def safe_ratio(a: Column | str, b: Column | str, digits: int) -> Column:
 
 
 def pct_of(a: Column | str, b: Column | str, digits: int = 2) -> Column:
-    """``100 * a / b`` in decimal arithmetic; NULL when ``b`` is zero."""
-    share = F.lit(100) * _col(a).cast("decimal(18,0)") / nullif(_col(b).cast("decimal(18,0)"), 0)
+    """``100 * a / b`` in decimal arithmetic, six places of either kept; NULL when ``b`` is zero."""
+    share = F.lit(100) * _col(a).cast("decimal(18,6)") / nullif(_col(b).cast("decimal(18,6)"), 0)
     return F.round(share, digits).cast(f"decimal(20,{digits})")

@@ -88,6 +88,15 @@ def reindex_spine(df: DataFrame, spine: DataFrame, key: str, fill: Mapping[str,
     return aligned.fillna(dict(fill)) if fill else aligned
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, the same one in every run: the largest in the order of the other columns."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    largest = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row"))
+    return largest.select(*[F.col(f"_row.{c}").alias(c) if c in rest else c for c in df.columns])
+
+
 def categorize_types(
     types: DataFrame,
     reference: DataFrame,
@@ -96,8 +105,11 @@ def categorize_types(
     description: str = "A valid request type without a description yet.",
     agency: str = "Various",
 ) -> DataFrame:
-    """Category, description and agency of each live type, with defaults for unknown ones."""
-    known = reference.dropDuplicates([key]).withColumn("is_known", F.lit(True))
+    """Category, description and agency of each live type, with defaults for unknown ones.
+
+    Of several reference rows for a type the largest in the order of its columns counts.
+    """
+    known = one_per_key(reference, [key]).withColumn("is_known", F.lit(True))
     return types.join(known, key, "left").select(
         key,
         F.coalesce("category", F.lit(category)).alias("category"),
@@ -109,6 +121,6 @@ def categorize_types(
 
 def insert_if_absent(target: DataFrame, rows: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """The rows of ``rows`` whose key ``target`` lacks: append them, and their count is the
-    number inserted."""
+    number inserted. Of several rows for a key the largest in the order of its columns counts."""
     keys = [key] if isinstance(key, str) else list(key)
-    return rows.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
+    return one_per_key(rows, keys).join(target.select(*keys), keys, "left_anti")

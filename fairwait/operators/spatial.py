@@ -1,9 +1,9 @@
 """Assign points to the polygon that contains them.
 
-Polygons are cut along a grid: one row per polygon and grid cell it reaches into. A cell no
-edge comes near lies wholly inside or outside, which is settled once; for the others the row
-keeps the edges that can decide a point of that cell. A point meets the polygons of its own
-cell through an equality join, and an even-odd count of edges crossed to its right settles
+Polygons are cut along a grid of two levels: first into blocks, and those that an edge comes near into
+cells, so that the inside of a large polygon takes few rows. A square no edge comes near lies wholly inside
+or outside, which is settled once; for the others the row keeps the edges that can decide a point of it. Each distinct
+place meets the polygons of its block and of its cell through one equality join, and an even-odd count of edges crossed to its right settles
 containment, so holes and multi-part polygons need no special case. Points on an edge are
 not inside.
 """
@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Bound on the cut polygons for which they are broadcast, in edges (six doubles each).
-BROADCAST_EDGES = 1_000_000
+# Cells along the side of a block. Blocks wholly inside a polygon stay one row.
+BLOCK = 16
 
 
 def polygon_edges(boundaries: DataFrame) -> DataFrame:
@@ -50,13 +50,34 @@ def polygon_edges(boundaries: DataFrame) -> DataFrame:
 
 
 def grid_polygons(boundaries: DataFrame, cell: float) -> DataFrame:
-    """One row per polygon and grid cell it reaches into. ``full`` marks cells wholly inside;
-    the others hold the edges level with the cell and not wholly to its left."""
-    size, slack = F.lit(float(cell)), float(cell) * 1e-6
+    """(level, cx, cy, full, edges, ...) per polygon and square it reaches into: blocks (level 1)
+    wholly inside, and the cells (level 0) of all other blocks. ``full`` marks squares wholly inside; the others
+    hold the edges level with the square and not wholly to its left."""
+    block = float(cell) * BLOCK
 
     def cells(lo: str, hi: str) -> Column:
-        return F.sequence(F.floor(F.col(lo) / size), F.floor(F.col(hi) / size))
+        return F.sequence(F.floor(F.col(lo) / block), F.floor(F.col(hi) / block))
 
+    blocks = (
+        polygon_edges(boundaries)
+        .withColumn("cx", F.explode(cells("xmin", "xmax")))
+        .withColumn("cy", F.explode(cells("ymin", "ymax")))
+    )
+    blocks = _settled(blocks, block).withColumn("level", F.lit(1))
+    within = F.sequence(F.lit(0), F.lit(BLOCK - 1))
+    cut = (
+        blocks.filter("NOT full")
+        .withColumn("_x", F.explode(within))
+        .withColumn("_y", F.explode(within))
+        .withColumns({"cx": F.col("cx") * BLOCK + F.col("_x"), "cy": F.col("cy") * BLOCK + F.col("_y"), "level": F.lit(0)})
+        .drop("_x", "_y")
+    )
+    return blocks.filter("full").unionByName(_settled(cut, float(cell)))
+
+
+def _settled(squares: DataFrame, size: float) -> DataFrame:
+    """Squares that a polygon reaches into, with the edges that matter there and whether it is full."""
+    slack = size * 1e-6
     left, right = F.col("cx") * size - slack, (F.col("cx") + 1) * size + slack
     low, high = F.col("cy") * size - slack, (F.col("cy") + 1) * size + slack
 
@@ -65,10 +86,7 @@ def grid_polygons(boundaries: DataFrame, cell: float) -> DataFrame:
 
     middle = (F.col("cx") + 0.5) * size, (F.col("cy") + 0.5) * size
     cut = (
-        polygon_edges(boundaries)
-        .withColumn("cx", F.explode(cells("xmin", "xmax")))
-        .withColumn("cy", F.explode(cells("ymin", "ymax")))
-        .withColumn("edges", F.filter("edges", matters))
+        squares.withColumn("edges", F.filter("edges", matters))
         .withColumn("near", F.exists("edges", lambda e: e["xlo"] <= right))
         .withColumn("full", ~F.col("near") & contains(F.col("edges"), *middle))
     )
@@ -109,58 +127,26 @@ def point_in_polygon_join(
     y: str = "latitude",
     cell: float = 0.005,
     out: str = "tract_geoid",
-    broadcast_edges: int = BROADCAST_EDGES,
 ) -> DataFrame:
     """All points with the id of the polygon strictly containing them in ``out``.
 
-    NULL without coordinates or without a polygon; the lowest ``ord`` wins where several
-    match. The size of the cut polygons is measured first, by a job over the polygons
-    alone: up to ``broadcast_edges`` edges they are broadcast and points do not move;
-    beyond that both sides are shuffled by cell.
+    NULL without coordinates or without a polygon; where several match, the lowest ``ord`` wins and
+    then the lowest id. Each distinct place is settled once, however many points share it. Spark broadcasts the cut
+    polygons or the places if it finds them small, and else shuffles both; the result is the same.
     """
     points = points.drop(out)
     grid = grid_polygons(boundaries, cell)
-    weight = F.sum(F.size("edges") + 1)
-    edges = grid.agg(F.coalesce(weight, F.lit(0)).alias("n")).first()["n"]
-    join = _by_broadcast if edges <= broadcast_edges else _by_shuffle
-    return join(points, grid, x, y, cell, out)
-
-
-def _cell_of(c: str, cell: float) -> Column:
-    return F.floor(F.col(c) / F.lit(float(cell)))
-
-
-def _by_broadcast(points, grid, x, y, cell, out) -> DataFrame:
-    # The whole grid is under the checked bound, and so is the list of each cell.
-    fields = ["ord", "tract_geoid", "full", "xmin", "xmax", "ymin", "ymax", "edges"]
-    lists = grid.groupBy("cx", "cy").agg(
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("_polygons")
-    )
-    px, py = F.col(x), F.col(y)
-    hits = F.filter("_polygons", lambda p: _inside(p, px, py))
-    return (
-        points.withColumns({"cx": _cell_of(x, cell), "cy": _cell_of(y, cell)})
-        .join(F.broadcast(lists), ["cx", "cy"], "left")
-        .withColumn(out, F.get(hits, F.lit(0))["tract_geoid"])
-        .drop("cx", "cy", "_polygons")
-    )
-
-
-def _by_shuffle(points, grid, x, y, cell, out) -> DataFrame:
-    # Each distinct place is settled once, however many points share it.
     px, py = F.col("_x"), F.col("_y")
-    places = (
-        points.select(F.col(x).alias("_x"), F.col(y).alias("_y"))
-        .dropna()
-        .distinct()
-        .withColumns({"cx": _cell_of("_x", cell), "cy": _cell_of("_y", cell)})
-    )
+    square = lambda size: F.struct(F.floor(px / size).alias("cx"), F.floor(py / size).alias("cy"))
+    places = points.select(F.col(x).alias("_x"), F.col(y).alias("_y")).dropna().distinct()
+    squares = F.array(square(F.lit(float(cell))), square(F.lit(float(cell) * BLOCK)))
+    asked = places.select("_x", "_y", F.posexplode(squares).alias("level", "at")).select("_x", "_y", "level", "at.cx", "at.cy")
     polygon = {c: F.col(c) for c in ("full", "xmin", "xmax", "ymin", "ymax", "edges")}
     found = (
-        places.join(grid, ["cx", "cy"])
+        asked.join(grid, ["level", "cx", "cy"])
         .filter(_inside(polygon, px, py))
         .groupBy("_x", "_y")
-        .agg(F.min_by("tract_geoid", "ord").alias(out))
+        .agg(F.min(F.struct("ord", "tract_geoid"))["tract_geoid"].alias(out))
     )
     # Points without coordinates match nothing; spread them instead of hashing all to one task.
     missing = F.col(x).isNull() | F.col(y).isNull()

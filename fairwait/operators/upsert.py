@@ -3,22 +3,41 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ntz
 from .windows import dedup_latest
 
 
-def _utc_now() -> datetime:
+def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def instant(df: DataFrame, col: str) -> Column:
+    """``col`` as UTC time without zone. ISO text may end in a zone, "Z" or an offset; text
+    without one is UTC already."""
+    c = F.col(col)
+    if dict(df.dtypes)[col] != "string":
+        return c.cast("timestamp_ntz")
+    zoned = c.rlike(r"[0-9][T ].*(Z|[+-][0-9]{2}(:?[0-9]{2})?)$")
+    there = F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(zoned, there).otherwise(c.try_cast("timestamp_ntz"))
+
+
+def since_filter(df: DataFrame, col: str, since: datetime) -> Column:
+    """Rows whose ``col`` is at or after ``since``. ISO text is bounded as text first, a day
+    earlier for zones, so that the bound reaches the Parquet reader."""
+    exact = instant(df, col) >= ntz(since)
+    if dict(df.dtypes)[col] != "string":
+        return exact
+    return (F.col(col) >= (since - timedelta(days=1)).date().isoformat()) & exact
+
+
 def watermark_frame(df: DataFrame, col: str, hours: int = 48, now: datetime | None = None) -> DataFrame:
     """One row, ``watermark``: the newest ``col`` less the buffer; ``now`` less the buffer
     when there is none."""
-    # Landed update times are ISO text, which sorts as time does; a zone suffix is dropped.
-    newest = F.coalesce(F.max(col).cast("timestamp_ntz"), ntz(now or _utc_now()))
+    newest = F.coalesce(F.max(instant(df, col)), ntz(now or utc_now()))
     return df.agg((newest - F.expr(f"interval {int(hours)} hours")).alias("watermark"))
 
 
@@ -28,7 +47,7 @@ def get_watermark(df: DataFrame | None, col: str, hours: int = 48, now: datetime
     ``df=None`` stands for a missing table.
     """
     if df is None:
-        return (now or _utc_now()) - timedelta(hours=hours)
+        return (now or utc_now()) - timedelta(hours=hours)
     return watermark_frame(df, col, hours, now).first()["watermark"]
 
 

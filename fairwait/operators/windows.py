@@ -6,10 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
-
-# A window without partitions runs in one task; beyond this many rows it is not used.
-SINGLE_WINDOW_ROWS = 200_000
+# Rows drawn per range to find the bounds between ranges.
+DRAWN = 20
 
 
 def dedup_latest(
@@ -38,16 +36,17 @@ def ntile_bucket(
     out: str = "bucket",
     null_policy: str = "last",
     partition_by: Sequence[str] = (),
-    single_window_rows: int = SINGLE_WINDOW_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Split rows into ``n`` buckets of equal size by ``value``, lowest first.
 
     ``null_policy``: "last" puts NULL values behind all others, so they share the top
     bucket; "exclude" leaves them out of the ranking with a NULL bucket.
 
-    The ranking is global, or within each group of ``partition_by``. The row count is checked
-    by a job of its own, which stops at the limit: up to ``single_window_rows`` a window does
-    the work; above it rows are range-partitioned, checkpointed and ranked within their range.
+    The ranking is global, or within each group of ``partition_by``. Rows are cut into ``ranges`` (as
+    many as there are shuffle partitions) at bounds drawn from the rows by a small job of its own, ranked within
+    their range, and moved up by the sizes of the ranges before. The bounds are literals, so a row
+    falls into the same range whenever it is worked out again. A hot group spans many ranges.
     """
     if null_policy not in ("last", "exclude"):
         raise ValueError(f"unknown null_policy {null_policy!r}")
@@ -56,25 +55,54 @@ def ntile_bucket(
     by = [F.col(value).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]]
 
     groups = list(partition_by)
-    if ranked_rows.select(F.lit(1)).limit(single_window_rows + 1).count() <= single_window_rows:
-        done = ranked_rows.withColumn(out, F.ntile(n).over(W.partitionBy(*groups).orderBy(*by)))
-    else:
-        done = _ranged_ntile(ranked_rows, groups, by, n, out)
+    done = _ranged_ntile(ranked_rows, groups, [value, *ties], by, n, out, ranges)
     if null_policy == "exclude":
         done = done.unionByName(df.filter(missing).withColumn(out, F.lit(None).cast("int")))
     return done
 
 
-def _ranged_ntile(df: DataFrame, groups: list[str], by: list[Column], n: int, out: str) -> DataFrame:
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The ranges come from a sample, so they must be drawn once: checkpoint the placement.
-    # A group may span many ranges, so a hot one is spread.
-    ranges = [F.col(g).asc_nulls_first() for g in groups] + by
-    placed = (
-        df.repartitionByRange(parts, *ranges).withColumn("_part", F.spark_partition_id()).checkpoint()
+def _place(df: DataFrame, cols: list[str]) -> Column:
+    """A struct that sorts as the columns do, NULLs last."""
+    parts = []
+    for i, c in enumerate(cols):
+        parts += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")]
+    return F.struct(*parts)
+
+
+def range_of(df: DataFrame, cols: list[str], ranges: int) -> Column:
+    """The number of a row's range in the order of ``cols``, from bounds drawn by hash."""
+    drawn = (
+        df.select(_place(df, cols).alias("place"))
+        .orderBy(F.xxhash64("place"), "place")
+        .limit(DRAWN * ranges)
+        .orderBy("place")
+        .collect()
     )
+    step = max(1, -(-len(drawn) // ranges))
+    bounds = [r["place"] for r in drawn[step::step]]
+    types = dict(df.dtypes)
+    here = _place(df, cols)
+
+    def literal(place) -> Column:
+        parts = []
+        for i, c in enumerate(cols):
+            parts += [F.lit(place[f"n{i}"]).alias(f"n{i}"), F.lit(place[f"v{i}"]).cast(types[c]).alias(f"v{i}")]
+        return F.struct(*parts)
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(here < literal(bounds[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
+
+    return search(0, len(bounds))
+
+
+def _ranged_ntile(
+    df: DataFrame, groups: list[str], cols: list[str], by: list[Column], n: int, out: str, ranges: int | None
+) -> DataFrame:
+    parts = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.withColumn("_part", range_of(df, [*groups, *cols], parts))
     # One row per range and group in it; per group at most one row per range.
     sizes = placed.groupBy(*groups, "_part").agg(F.count(F.lit(1)).alias("_size"))
     ordered = W.partitionBy(*groups).orderBy("_part")

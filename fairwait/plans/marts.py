@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import month_of, pct_of, resolution_status, response_hours, round_exact, safe_ratio
+from ..operators.cleaning import stamp_refresh
 from ..operators.filters import closed_requests
 from ..operators.joins import enrich_dim, join_baseline, matched_fact, quintile_self_join
 from ..operators.quantiles import grouped_quantiles
@@ -86,7 +88,7 @@ def city_baseline(stats: DataFrame, keys: Sequence[str] = BASELINE_KEYS) -> Data
     return grouped_quantiles(stats, keys, {"city_p90": ("p90_hours", 0.5)})
 
 
-def equity_score(fact: DataFrame, dim: DataFrame) -> DataFrame:
+def equity_score(fact: DataFrame, dim: DataFrame, refreshed_at: datetime | None = None) -> DataFrame:
     """The splits mart: each tract's P90 over the median tract's, by type and month.
 
     The baseline needs the same counts per cell as the statistics themselves; rows that one
@@ -94,23 +96,24 @@ def equity_score(fact: DataFrame, dim: DataFrame) -> DataFrame:
     them once.
     """
     stats = tract_stats(fact.dropna(subset=["tract_geoid", *BASELINE_KEYS]))
-    return score_stats(stats, city_baseline(stats), dim)
+    return score_stats(stats, city_baseline(stats), dim, refreshed_at)
 
 
-def score_stats(stats: DataFrame, baseline: DataFrame, dim: DataFrame) -> DataFrame:
-    """Cell statistics with their tract's figures, baseline and score."""
+def score_stats(stats: DataFrame, baseline: DataFrame, dim: DataFrame, refreshed_at: datetime | None = None) -> DataFrame:
+    """Cell statistics with their tract's figures, baseline and score, and the time of refresh."""
     tracts = dim.select(
         "tract_geoid", "income_quintile", "median_household_income", "pct_below_poverty",
         "total_population", "pop_black", "pop_hispanic",
     )
     joined = join_baseline(enrich_dim(stats, tracts), baseline, BASELINE_KEYS)
-    return joined.select(
+    scored = joined.select(
         *TRACT_KEYS,
         "income_quintile", "median_household_income", "pct_below_poverty", "total_population",
         "pop_black", "pop_hispanic", "request_count", "p50_hours", "p75_hours", "p90_hours",
         "city_p90",
         safe_ratio("p90_hours", "city_p90", 4).alias("equity_score"),
     )
+    return stamp_refresh(scored, refreshed_at)
 
 
 def with_quintile(fact: DataFrame, dim: DataFrame) -> DataFrame:

@@ -2,19 +2,38 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import month_of, ntz
 from ..operators.cleaning import normalize_demographics, stage_requests
+from ..operators.quality import Check
 from ..operators.spatial import point_in_polygon_join
-from ..operators.upsert import get_watermark
-from ..sinks.tables import append_raw, materialise, read_or_none, upsert_table, write_partition
-from ..sources.tables import scan_since
+from ..operators.series import result_fingerprint
+from ..operators.upsert import instant, since_filter, utc_now
+from ..sinks.tables import (
+    by_name,
+    expire_versions,
+    high_water_mark,
+    materialise,
+    names,
+    read_or_none,
+    read_snapshot,
+    read_text,
+    upsert_table,
+    write_partition,
+    write_text,
+)
 from . import marts
+from .suites import SUITES, run_checkpoint
+
+# Column by which raw and landed rows tell their load; run dates and backfills.
+LOAD = "ingestion_date"
 
 
 @dataclass(frozen=True)
@@ -23,6 +42,25 @@ class LoadResult:
     rows: int
 
 
+def load_raw(rows: DataFrame, raw_path: str, load: str, updated: str) -> int:
+    """Write ``rows`` as one load into the raw table, a partition of its own which a rerun
+    replaces. The newest update time is kept beside it, so that the next run need not scan for it."""
+    spark = rows.sparkSession
+    if read_or_none(spark, raw_path) is not None:
+        have = spark.read.parquet(raw_path).drop(LOAD).schema
+        rows = by_name(rows.drop(LOAD), have, "widen")
+    newest = rows.agg(F.max(instant(rows, updated)).cast("string")).first()[0]
+    n = write_partition(rows.withColumn(LOAD, F.lit(load)), raw_path, LOAD)
+    write_text(spark, f"{raw_path}/_newest/{load}", newest or "")
+    return n
+
+
+def newest_before(spark: SparkSession, raw_path: str, load: str) -> datetime | None:
+    """The newest update time of the loads before ``load`` in the order of their names."""
+    marks = [read_text(spark, f"{raw_path}/_newest/{n}") for n in names(spark, f"{raw_path}/_newest") if n < load]
+    return max((datetime.fromisoformat(m) for m in marks if m), default=None)
+
+
 def run_incremental(
     source: DataFrame,
     boundaries: DataFrame,
@@ -34,28 +72,21 @@ def run_incremental(
     cell: float = 0.005,
     now: datetime | None = None,
 ) -> LoadResult:
-    """Land what changed since the raw table's newest update less ``hours``.
+    """Land what changed since the newest update loaded before ``run_date``, less ``hours``.
 
-    Rows get their tract, go to ``landing_path`` under the run date (a rerun of the day
-    replaces that partition), and are appended to ``raw_path`` from there. Overlap with
-    earlier loads is settled when the requests are staged. No news is a no-op.
+    Rows get their tract, go to ``landing_path`` under the run date, and from there to ``raw_path``, both
+    partitioned by ingestion date. A rerun of the day starts from the same loads as the first run did,
+    so it fetches no less, and replaces that day's partitions. Overlap with earlier loads is settled when the
+    requests are staged. No news is a no-op.
     """
     spark = source.sparkSession
-    raw = read_or_none(spark, raw_path)
-    since = get_watermark(raw, updated, hours, now)
-    # Update times are ISO text, so a text literal of the same form compares and pushes down.
-    is_text = dict(source.dtypes)[updated] == "string"
-    fresh = (
-        source.filter(F.col(updated) >= since.isoformat(timespec="seconds"))
-        if is_text
-        else scan_since(source, updated, since)
-    )
-    located = point_in_polygon_join(fresh, boundaries, cell=cell)
-    staged = located.withColumn("ingestion_date", F.lit(run_date))
-    if write_partition(staged, landing_path, "ingestion_date") == 0:
+    newest = newest_before(spark, raw_path, run_date)
+    since = (newest or now or utc_now()) - timedelta(hours=hours)
+    located = point_in_polygon_join(source.filter(since_filter(source, updated, since)), boundaries, cell=cell)
+    if write_partition(located.withColumn(LOAD, F.lit(run_date)), landing_path, LOAD) == 0:
         return LoadResult(since, 0)
-    landed = spark.read.parquet(f"{landing_path}/ingestion_date={run_date}")
-    return LoadResult(since, append_raw(landed, raw_path))
+    landed = spark.read.schema(located.schema).parquet(f"{landing_path}/{LOAD}={run_date}")
+    return LoadResult(since, load_raw(landed, raw_path, run_date, updated))
 
 
 def run_backfill(
@@ -66,27 +97,37 @@ def run_backfill(
     end: str,
     created: str = "created_date",
     cell: float = 0.005,
+    raw_path: str | None = None,
+    updated: str = "resolution_action_updated_date",
 ) -> DataFrame:
-    """Land all months from ``start`` to ``end`` (both included) in one job.
+    """Land all months from ``start`` to ``end`` (both included) in one job, and load them into ``raw_path``.
 
     Each month is a partition, replaced on a rerun; months without rows write nothing, and
-    a failure anywhere fails the job. Returns rows per month as written.
+    a failure anywhere fails the job. Raw gets one load per range, named before any run date, so daily runs go on
+    from its newest update. Returns rows per month as written, of these months only.
     """
     first = date.fromisoformat(start).replace(day=1).isoformat()
     last = date.fromisoformat(end)
     after = date(last.year + last.month // 12, last.month % 12 + 1, 1).isoformat()
     # ISO text sorts as time does, so text bounds reach the Parquet reader as they are.
-    if dict(source.dtypes)[created] != "string":
-        first, after = ntz(first), ntz(after)
-    rows = source.filter((F.col(created) >= first) & (F.col(created) < after))
+    bounds = (first, after) if dict(source.dtypes)[created] == "string" else (ntz(first), ntz(after))
+    rows = source.filter((F.col(created) >= bounds[0]) & (F.col(created) < bounds[1]))
     located = point_in_polygon_join(rows, boundaries, cell=cell)
     month = month_of(F.col(created).cast("timestamp_ntz")).cast("date").cast("string")
     write_partition(located.withColumn("created_month", month), landing_path, "created_month")
-    return (
-        source.sparkSession.read.parquet(landing_path)
-        .groupBy(F.col("created_month").cast("string").alias("created_month"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    landed = source.sparkSession.read.schema(f"{_ddl(located)}, created_month string").parquet(landing_path)
+    landed = landed.filter((F.col("created_month") >= first) & (F.col("created_month") < after))
+    if raw_path is not None:
+        load_raw(landed.drop("created_month"), raw_path, f"0-backfill-{first}-{after}", updated)
+    return landed.groupBy("created_month").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
+class CheckFailed(RuntimeError):
+    """A stored table broke checks of severity "error"."""
 
 
 def build_marts(
@@ -97,36 +138,89 @@ def build_marts(
     cell_floor: int = marts.CELL_FLOOR,
     quintile_floor: int = marts.QUINTILE_FLOOR,
     hours: int = 48,
+    suites: dict[str, list[Check]] | None = None,
+    refreshed_at: datetime | None = None,
+    keep: int = 2,
 ) -> dict[str, DataFrame]:
-    """All marts from the raw tables, each stored under ``root``.
+    """All marts from the raw tables, each stored under ``root`` and checked.
+
+    The intermediate table grows by merge, rewriting only the months with changes; a ``run_id`` that was
+    merged before is not merged again. Raw is read from the table's own high-water mark on. Facts,
+    statistics, baseline and splits are worked out for the months that changed, and taken over
+    from the version before for the others; a new dimension, or a run that broke off, has all months redone. Every
+    table is written once and read by the next from there, so its size is known when joins are planned.
 
-    The intermediate table grows by merge, rewriting only the months with changes; a
-    ``run_id`` that was merged before is not merged again. Dimension and facts are written
-    once and read by the marts from there, so their size is known when joins are planned.
+    ``suites`` (``SUITES`` by default; an empty dict checks nothing) run on the stored tables. Their results are kept
+    in ``checks``; a failed check of severity "error" stops the run. All but ``keep`` versions
+    of each mart expire at the end.
     """
     spark = raw.sparkSession
+    suites = SUITES if suites is None else suites
     path = f"{root}/intermediate"
-    previous = read_or_none(spark, path, merge_schema=True)
-    newest = None if previous is None else previous.agg(F.max("updated_at").alias("m")).first()["m"]
-    since = None if newest is None else newest - timedelta(hours=hours)
+    newest = high_water_mark(spark, path)
+    since = None if newest is None else datetime.fromisoformat(newest) - timedelta(hours=hours)
     fresh = marts.build_intermediate(stage_requests(raw, since=since))
-    upsert_table(
+    changed = upsert_table(
         fresh.withColumn("created_month", month_of("created_at").cast("date").cast("string")),
-        path, ["unique_key"], ["updated_at"], "created_month", run_id,
+        path, ["unique_key"], ["updated_at"], "created_month", run_id, high_water="updated_at",
     )
-    tables = {"intermediate": read_or_none(spark, path, merge_schema=True)}
+    tables = {"intermediate": read_or_none(spark, path)}
+
+    def check(name: str) -> None:
+        if not suites.get(name):
+            return
+        results = run_checkpoint(tables[name], name, f"{root}/checks", refreshed_at, suites)
+        broken = results.filter("NOT passed AND severity = 'error'").collect()  # at most one row per check
+        if broken:
+            raise CheckFailed("; ".join(f"{r['table_name']}: {r['check_name']}({r['column_name']})" for r in broken))
+
+    check("intermediate")
 
     def store(name: str, df: DataFrame, by: str | None = None) -> DataFrame:
         tables[name] = materialise(df, name, "table", root, part_col=by)
+        check(name)
         return tables[name]
 
-    month = "request_month"  # reports ask for ranges of months
     dim = store("dim_tract", marts.dim_tract(normalize_demographics(demographics)))
-    fact = store("request_facts", marts.request_facts(tables["intermediate"], dim), month)
-    stats = store("tract_stats", marts.tract_stats(fact))
-    baseline = store("city_baseline", marts.city_baseline(stats))
-    store("equity_splits", marts.score_stats(stats, baseline, dim), month)
+    mark = result_fingerprint({"dim": dim}).first()[0]
+    built = set(names(spark, f"{root}/_built"))
+    merged = set(names(spark, f"{path}/_done")) - {str(run_id)}
+    same_dim = read_text(spark, f"{root}/_dim") == mark
+    # Whether the versions before hold every month but the changed ones.
+    partial = changed is not None and same_dim and merged <= built and bool(built)
+    months = [m for m in changed or [] if m[:4].isdigit()]
+    here = F.col("request_month").cast("date").cast("string").isin(months)
+
+    def of_month(name: str, redo) -> DataFrame:
+        """The table with ``redo(keep)`` for the changed months; ``keep`` filters inputs to them."""
+        if not partial:
+            return store(name, redo(lambda df: df), "request_month")
+        before = read_snapshot(spark, f"{root}/{name}", schemas[name])
+        return store(name, redo(lambda df: df.filter(here)).unionByName(before.filter(~here)), "request_month")
+
+    facts = marts.request_facts(tables["intermediate"].filter(F.col("created_month").isin(months)) if partial else tables["intermediate"], dim)
+    schemas = _schemas(spark, root) if partial else {}
+    fact = of_month("request_facts", lambda cut: cut(facts))
+    stats = of_month("tract_stats", lambda cut: marts.tract_stats(cut(fact)))
+    baseline = of_month("city_baseline", lambda cut: marts.city_baseline(cut(stats)))
+    of_month("equity_splits", lambda cut: marts.score_stats(cut(stats), cut(baseline), dim, refreshed_at))
+    write_text(spark, f"{root}/_schemas", json.dumps({n: tables[n].schema.jsonValue() for n in MONTHLY}))
     summary = store("quintile_summary", marts.quintile_summary(fact, dim, cell_floor))
     store("gap_by_type", marts.gap_by_type(summary, quintile_floor))
     store("trend_monthly", marts.pooled_trend(fact, dim))
+    write_text(spark, f"{root}/_dim", mark)
+    write_text(spark, f"{root}/_built/{run_id}", "")
+    for batch in merged:
+        write_text(spark, f"{root}/_built/{batch}", "")
+    for name in tables:
+        if name != "intermediate":
+            expire_versions(spark, f"{root}/{name}", keep)
     return tables
+
+
+# Marts of one row or more per month, redone by month.
+MONTHLY = ("request_facts", "tract_stats", "city_baseline", "equity_splits")
+
+
+def _schemas(spark: SparkSession, root: str) -> dict[str, T.StructType]:
+    return {n: T.StructType.fromJson(x) for n, x in json.loads(read_text(spark, f"{root}/_schemas")).items()}

@@ -7,6 +7,8 @@ highest one that Spark marked as complete is current, so readers never see half
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -38,12 +40,39 @@ def _has_data(spark: SparkSession, path: str) -> bool:
 
 def read_or_none(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
     """The Parquet table at ``path``, None where there is none yet. With ``merge_schema``
-    columns that appeared later are NULL in older files, at the price of reading all footers."""
+    columns that appeared later are NULL in older files; tables that keep their schema
+    (``upsert_table``) do so without reading any footer."""
     if not _has_data(spark, path):
         return None
+    schema = _kept_schema(spark, path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _path(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return None
+    source = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def _kept_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    text = read_text(spark, f"{path}/_schema")
+    return None if text is None else T.StructType.fromJson(json.loads(text))
+
+
 def write_partition(df: DataFrame, path: str, part_col: str, rebalance: bool = True) -> int:
     """Snappy Parquet under ``part_col=value`` folders; only the partitions present in ``df``
     are replaced, so a rerun is harmless. Returns the rows written, counted by the write.
@@ -65,21 +94,30 @@ def write_partition(df: DataFrame, path: str, part_col: str, rebalance: bool = T
     return seen.get["n"]
 
 
-def append_raw(df: DataFrame, path: str, part_col: str | None = None) -> int:
+def by_name(df: DataFrame, have: T.StructType, extra: str = "raise") -> DataFrame:
+    """``df`` in the columns and types of ``have``, matched by name without regard to case;
+    what ``df`` lacks is NULL. Columns that ``have`` lacks "raise", "drop" or "widen": the
+    last keeps them behind the others."""
+    if extra not in ("raise", "drop", "widen"):
+        raise ValueError(f"unknown extra {extra!r}")
+    mine = {c.lower(): c for c in df.columns}
+    more = [c for n, c in mine.items() if n not in {f.name.lower() for f in have}]
+    if more and extra == "raise":
+        raise ValueError(f"columns the table lacks: {more}")
+    known = [
+        (F.col(mine[f.name.lower()]) if f.name.lower() in mine else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in have
+    ]
+    return df.select(*known, *(more if extra == "widen" else []))
+
+
+def append_raw(df: DataFrame, path: str, part_col: str | None = None, extra: str = "raise") -> int:
     """Append by column name without dedup; returns the rows loaded, counted by the write
-    itself."""
+    itself. ``extra`` says what becomes of columns the table does not have (see ``by_name``);
+    widened tables are read with ``merge_schema``."""
     spark = df.sparkSession
     if _has_data(spark, path):
-        have = spark.read.parquet(path).schema
-        by_name = {c.lower(): c for c in df.columns}
-        df = df.select(
-            *[
-                (F.col(by_name[f.name.lower()]) if f.name.lower() in by_name else F.lit(None))
-                .cast(f.dataType)
-                .alias(f.name)
-                for f in have
-            ]
-        )
+        df = by_name(df, spark.read.parquet(path).schema, extra)
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append")
     (writer.partitionBy(part_col) if part_col else writer).parquet(path)
@@ -107,20 +145,27 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | None =
     return spark.read.schema(schema).parquet(current).select(*schema.names)
 
 
-def replace_table(df: DataFrame, path: str, keep: int = 2, part_col: str | None = None) -> int:
+def replace_table(df: DataFrame, path: str, part_col: str | None = None) -> int:
     """Replace the whole table with ``df``, which may read the current version; returns the
-    new version number. The latest ``keep`` versions stay."""
+    new version number. Older versions stay for their readers until ``expire_versions``."""
     spark = df.sparkSession
     old = _versions(spark, path)
     version = old[-1] + 1 if old else 1
     placed = df.hint("rebalance", part_col) if part_col else df
     writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(part_col) if part_col else writer).parquet(f"{path}/v={version}")
-    for gone in old[: max(0, len(old) + 1 - keep)]:
-        _delete(spark, f"{path}/v={gone}")
     return version
 
 
+def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Delete all but the latest ``keep`` complete versions of a snapshot table, which ends what
+    still reads them; returns the versions deleted."""
+    gone = _versions(spark, path)[: -max(keep, 1)]
+    for version in gone:
+        _delete(spark, f"{path}/v={version}")
+    return gone
+
+
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> bool:
     """Create an empty table with this schema unless one is there; whether it was created."""
     if _has_data(spark, path):
@@ -138,50 +183,121 @@ def upsert_table(
     batch_id: int | str,
     ties: Sequence[str] = (),
     stable_partition: bool = False,
-) -> bool:
+    high_water: str | None = None,
+) -> list[str] | None:
     """Merge ``updates`` into a partitioned table, rewriting only the partitions concerned.
 
-    The newest version of a key wins. The merged partitions are written to a side folder
-    first and copied over from there: a failure before that copy leaves the table as it
-    was, one during it is repaired by running the batch again, and a finished batch is
-    skipped (returns False). So a batch that runs twice counts once.
+    The newest version of a key wins. Returns the partitions rewritten (as text), or None if
+    the batch was merged before: a batch that runs twice counts once. Use one ``batch_id`` per
+    batch of the table, whoever writes it; one writer at a time.
+
+    The merged partitions are written to a side folder first and moved into place after that.
+    A failure before the move leaves the table as it was. Whichever batch comes next, the same or
+    another, first finishes a move that was begun and throws away what was not ready, so a
+    merge always starts from the table as it is.
 
     A key whose partition value changed is removed from its old partition, which takes a
     scan of the key column; ``stable_partition=True`` states that this cannot happen.
+    ``high_water`` names a column whose maximum over all batches is kept with the table.
     """
     spark = updates.sparkSession
-    done, staged, touched = (f"{path}/{d}/{batch_id}" for d in ("_done", "_staged", "_touched"))
-    if _exists(spark, done):
-        return False
-    if not _exists(spark, f"{staged}/_SUCCESS"):
-        fresh = dedup_latest(updates, keys, order, ties)
-        values: list[str] = []
-        if _has_data(spark, path):
-            table = _typed(spark, path, updates)
-            concerned, values = _concerned(table, fresh, keys, part_col, stable_partition)
-            merged = upsert_latest(table.filter(concerned), fresh, keys, order, ties)
-        else:
-            merged = fresh
-        spark.createDataFrame([(v,) for v in values], "part string").write.mode("overwrite").parquet(touched)
-        (
-            merged.hint("rebalance", part_col)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(part_col)
-            .parquet(staged)
+    settle(spark, path, part_col)
+    if _exists(spark, f"{path}/_done/{batch_id}"):
+        return None
+    touched = stage_batch(updates, path, keys, order, part_col, batch_id, ties, stable_partition, high_water)
+    settle(spark, path, part_col)
+    return touched
+
+
+def stage_batch(
+    updates: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    part_col: str,
+    batch_id: int | str,
+    ties: Sequence[str] = (),
+    stable_partition: bool = False,
+    high_water: str | None = None,
+) -> list[str]:
+    """The first half of ``upsert_table``: the merged partitions and a plan of the move,
+    in side folders. Returns the partitions concerned."""
+    spark = updates.sparkSession
+    own, staged = f"{path}/_fresh/{batch_id}", f"{path}/_staged/{batch_id}"
+    # The increment is worked out once and read back from here.
+    dedup_latest(updates, keys, order, ties).write.mode("overwrite").parquet(own)
+    fresh = spark.read.schema(updates.schema).parquet(own)
+    types = {f.name: f.dataType for f in updates.schema}
+    if _has_data(spark, path):
+        # Folder names lose their type on reading; the kept schema or the updates have it.
+        schema = _kept_schema(spark, path) or T.StructType(
+            [T.StructField(f.name, types.get(f.name, f.dataType)) for f in read_or_none(spark, path, True).schema]
         )
-    if _folders(spark, staged, part_col):
-        write_partition(_typed(spark, staged, updates), path, part_col, rebalance=False)
-    # A partition all of whose keys moved elsewhere has nothing to overwrite it with.
-    emptied = {r[0] for r in spark.read.parquet(touched).collect()} - set(_folders(spark, staged, part_col))
-    for value, folder in _folders(spark, path, part_col).items():
-        if value in emptied:
-            _delete(spark, f"{path}/{folder}")
-    fs, p = _path(spark, done)
-    fs.create(p, True).close()
-    _delete(spark, staged)
-    _delete(spark, touched)
-    return True
+        table = spark.read.schema(schema).parquet(path)
+        concerned, values = _concerned(table, fresh, keys, part_col, stable_partition)
+        merged = upsert_latest(table.filter(concerned), fresh, keys, order, ties)
+    else:
+        values = [_NULL_FOLDER if r[0] is None else r[0] for r in fresh.select(F.col(part_col).cast("string")).distinct().collect()]
+        merged = fresh
+    (
+        merged.hint("rebalance", part_col)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(part_col)
+        .parquet(staged)
+    )
+    newest = None if high_water is None else fresh.agg(F.max(high_water).cast("string")).first()[0]
+    plan = {
+        "schema": merged.schema.json(),
+        "move": _folders(spark, staged, part_col),
+        # A partition all of whose keys moved elsewhere has nothing to replace it with.
+        "empty": sorted(set(values) - set(_folders(spark, staged, part_col))),
+        "high_water": newest,
+    }
+    write_text(spark, f"{path}/_plan/{batch_id}.part", json.dumps(plan))
+    fs, ready = _path(spark, f"{path}/_plan/{batch_id}")
+    fs.rename(_path(spark, f"{path}/_plan/{batch_id}.part")[1], ready)
+    return sorted(values)
+
+
+def settle(spark: SparkSession, path: str, part_col: str) -> None:
+    """Finish every planned move and delete what was staged without a plan. Each step may
+    be repeated: a folder that is no longer in the side folder has been moved already."""
+    for batch in names(spark, f"{path}/_plan"):
+        if batch.endswith(".part"):
+            _delete(spark, f"{path}/_plan/{batch}")
+            continue
+        plan, staged = json.loads(read_text(spark, f"{path}/_plan/{batch}")), f"{path}/_staged/{batch}"
+        for folder in plan["move"].values():
+            if _exists(spark, f"{staged}/{folder}"):
+                _delete(spark, f"{path}/{folder}")
+                fs, source = _path(spark, f"{staged}/{folder}")
+                if not fs.rename(source, _path(spark, f"{path}/{folder}")[1]):
+                    raise OSError(f"cannot move {staged}/{folder}")
+        here = _folders(spark, path, part_col)
+        for value in plan["empty"]:
+            if value in here:
+                _delete(spark, f"{path}/{here[value]}")
+        write_text(spark, f"{path}/_schema", plan["schema"])
+        if plan["high_water"] is not None:
+            known = high_water_mark(spark, path)
+            write_text(spark, f"{path}/_high_water", max(known or "", plan["high_water"]))
+        write_text(spark, f"{path}/_done/{batch}", "")
+        _delete(spark, f"{path}/_plan/{batch}")
+    _delete(spark, f"{path}/_staged")
+    _delete(spark, f"{path}/_fresh")
+
+
+def high_water_mark(spark: SparkSession, path: str) -> str | None:
+    """The largest value, as text, of the column named by ``high_water`` in all merged batches."""
+    return read_text(spark, f"{path}/_high_water") or None
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(p)) if not n.endswith(".crc"))
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -202,14 +318,6 @@ def _folders(spark: SparkSession, path: str, part_col: str) -> dict[str, str]:
     return {unquote(n[len(prefix):]): n for n in names if n.startswith(prefix)}
 
 
-def _typed(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """The table at ``path``. Folder names lose their type on reading; take it from ``like``."""
-    types = {f.name: f.dataType for f in like.schema}
-    found = spark.read.option("mergeSchema", True).parquet(path).schema
-    schema = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in found])
-    return spark.read.schema(schema).parquet(path)
-
-
 def _concerned(table, fresh, keys, part_col, stable_partition) -> tuple[Column, list[str]]:
     """The partitions to rewrite, as a filter on literals and as text."""
     keys = list(keys)
@@ -239,8 +347,9 @@ def materialise(
     """Make a model available under ``name`` and return it for reading.
 
     "view" registers a temporary view, "table" replaces a snapshot under ``root``, and
-    "incremental" merges by ``keys`` into the snapshot there. That rewrites the snapshot: a
-    table too large for it takes ``upsert_table``. ``part_col`` makes folders by its value.
+    "incremental" merges by ``keys`` into the table there. With ``part_col`` and ``order`` that is a
+    partitioned table of which only the partitions concerned are rewritten (``upsert_table``);
+    otherwise a snapshot, rewritten whole. ``part_col`` makes folders by its value.
     """
     spark = df.sparkSession
     if kind == "view":
@@ -251,6 +360,11 @@ def materialise(
     if root is None:
         raise ValueError(f"{kind} needs a root folder")
     path = f"{root.rstrip('/')}/{name}"
+    if kind == "incremental" and part_col and order:
+        upsert_table(df, path, keys, order, part_col, uuid.uuid4().hex, ties)
+        current = read_or_none(spark, path)
+        current.createOrReplaceTempView(name)
+        return current
     if kind == "incremental" and _versions(spark, path):
         df = upsert_latest(read_snapshot(spark, path), df, keys, list(order) or None, ties)
     replace_table(df, path, part_col=part_col)

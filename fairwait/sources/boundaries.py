@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +15,7 @@ def read_boundaries(
 
     By default each file is one feature collection, as boundary files are published;
     ``lines=True`` reads one feature per line, which Spark splits. ``ord`` is the position
-    of the feature; with ``lines`` it follows the file order of ``monotonically_increasing_id``.
+    of the feature over all files; with ``lines`` it follows the file order of ``monotonically_increasing_id``.
     """
     feature = T.StructType(
         [
@@ -37,8 +38,13 @@ def read_boundaries(
             spark.read.schema(whole)
             .option("multiLine", True)
             .json(path)
-            .select(F.posexplode("features").alias("ord", "f"))
+            .select(F.input_file_name().alias("file"), F.posexplode("features").alias("at", "f"))
         )
+        # Positions go on from file to file, in the order of the files' names; one short row per file.
+        files = features.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+        before = F.sum("n").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1))
+        offsets = files.select("file", F.coalesce(before, F.lit(0)).alias("before"))
+        features = features.join(offsets, "file").select((F.col("before") + F.col("at")).alias("ord"), "f")
     # A polygon is a list of rings, a multipolygon a list of polygons.
     text = F.col("f.geometry.coordinates")
     one = F.from_json(text, T.ArrayType(T.ArrayType(_POINT)))

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sinks.tables import upsert_table
+from ..sinks.tables import read_text, upsert_table
 
 
 def stream_upsert(
@@ -21,14 +22,16 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Merge a stream of request versions into a partitioned table, the newest per key.
 
-    Spark may deliver a micro-batch again after a failure; the batch id makes the repeat a
-    no-op. ``once`` takes what is there and stops (the daily run); otherwise the query
+    Spark may deliver a micro-batch again after a failure; the stream's own id, which its
+    checkpoint keeps, and the batch id make the repeat a no-op. Several streams, or one with a
+    new checkpoint, may write to one table, one at a time. ``once`` takes what is there and stops (the daily run); otherwise the query
     keeps going. Versions arriving out of order are settled by ``order``.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        log = read_text(batch.sparkSession, f"{checkpoint}/metadata")
         upsert_table(
-            batch, path, keys, order, part_col, f"batch-{batch_id}", ties, stable_partition
+            batch, path, keys, order, part_col, f"{json.loads(log)['id']}-{batch_id}", ties, stable_partition
         )
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -49,7 +49,7 @@ def test_equity_score(spark):
     for t, row in got.items():
         assert row["city_p90"] == pytest.approx(city)
         assert row["equity_score"] == pytest.approx(round(p90[t] / city, 4))
-    assert len(got["t1"]) == 16
+    assert len(got["t1"]) == 17 and "mart_refreshed_at" in got["t1"]
 
 
 def test_two_boroughs_count_twice_and_are_reported(spark):
@@ -260,6 +260,9 @@ def record(key, created, closed, updated, x, y, kind="Noise"):
     return tuple(r.get(n) for n in RAW_REQUESTS.names)
 
 
+NO_CHECKS: dict = {}
+
+
 def test_from_landing_to_marts(spark, tmp_path, rows):
     tracts = shapes(spark, [("1", [square(0, 0)]), ("2", [square(1, 0)])])
     source = [
@@ -284,13 +287,14 @@ def test_from_landing_to_marts(spark, tmp_path, rows):
     demo = spark.createDataFrame(
         [("1400000US1", 10.0, 100.0, 5.0, 1.0, 1.0, 1.0, "36", "005", "1", "005", 2022), ("1400000US2", 90.0, 100.0, 5.0, 1.0, 1.0, 1.0, "36", "005", "2", "005", 2022)],
         RAW_DEMOGRAPHICS)
-    tables = runs.build_marts(raw.filter("resolution_action_updated_date < '2024-01-03'"), demo, root, "day-1", 1, 1)
+    tables = runs.build_marts(raw.filter("resolution_action_updated_date < '2024-01-03'"), demo, root, "day-1", 1, 1, suites=NO_CHECKS)
     assert rows(tables["request_facts"], "unique_key", "response_time_hours") == [("b", 2)]
-    tables = runs.build_marts(raw, demo, root, "day-2", 1, 1)
+    stamp = datetime(2024, 1, 6)
+    tables = runs.build_marts(raw, demo, root, "day-2", 1, 1, suites=NO_CHECKS, refreshed_at=stamp)
     assert rows(tables["request_facts"], "unique_key", "response_time_hours") == [("a", 96), ("b", 2)]
     assert rows(tables["intermediate"], "unique_key", "resolution_status") == [("a", "closed"), ("b", "closed"), ("c", "closed")]
     assert tables["equity_splits"].count() == 2 and tables["trend_monthly"].count() == 2
-    again = runs.build_marts(raw, demo, root, "day-2", 1, 1)
+    again = runs.build_marts(raw, demo, root, "day-2", 1, 1, suites=NO_CHECKS, refreshed_at=stamp)
     assert rows(again["equity_splits"]) == rows(tables["equity_splits"])
 
 
@@ -314,6 +318,75 @@ def test_backfill(spark, tmp_path, rows):
     assert rows(runs.run_backfill(*args)) == expected
 
 
+def test_a_rerun_of_a_day_keeps_what_was_landed(spark, tmp_path, rows):
+    tracts = shapes(spark, [("1", [square(0, 0)])])
+    raw_path, landing = str(tmp_path / "raw"), str(tmp_path / "landing")
+    days = ["2024-01-01", "2024-01-04", "2024-01-08", "2024-01-09"]
+    df = spark.createDataFrame([record(d, *[f"{d}T10:00:00"] * 3, 0.5, 0.5) for d in days], RAW_REQUESTS)
+    for _ in range(2):
+        got = runs.run_incremental(df, tracts, raw_path, landing, "2024-01-10", cell=0.4, now=datetime(2024, 1, 2))
+        assert got.rows == 4
+        assert rows(spark.read.parquet(landing), "unique_key") == rows(spark.read.parquet(raw_path), "unique_key") == [(d,) for d in days]
+    late = runs.run_incremental(df, tracts, raw_path, landing, "2024-01-11", cell=0.4)
+    assert late.rows == 2 and late.watermark == datetime(2024, 1, 7, 10)
+
+
+def test_daily_run_goes_on_from_a_backfill(spark, tmp_path, rows):
+    tracts = shapes(spark, [("1", [square(0, 0)])])
+    raw_path, landing = str(tmp_path / "raw"), str(tmp_path / "landing")
+    df = spark.createDataFrame([record(str(m), *[f"2024-{m:02d}-10T10:00:00"] * 3, 0.5, 0.5) for m in range(1, 7)], RAW_REQUESTS)
+    backfill = (df, tracts, str(tmp_path / "months"))
+    assert rows(runs.run_backfill(*backfill, "2024-01-01", "2024-02-15", raw_path=raw_path)) == [("2024-01-01", 1), ("2024-02-01", 1)]
+    for _ in range(2):  # a rerun replaces its own load
+        assert rows(runs.run_backfill(*backfill, "2024-03-01", "2024-04-15", raw_path=raw_path)) == [("2024-03-01", 1), ("2024-04-01", 1)]
+    got = runs.run_incremental(df, tracts, raw_path, landing, "2024-06-30", cell=0.4)
+    assert got.watermark == datetime(2024, 4, 8, 10) and got.rows == 3
+    assert rows(spark.read.parquet(raw_path), "unique_key") == [("1",), ("2",), ("3",), ("4",), ("4",), ("5",), ("6",)]
+
+
+def test_failed_checks_stop_the_marts(spark, tmp_path):
+    demo = spark.createDataFrame([("1400000US1", 10.0, 100.0, 5.0, 1.0, 1.0, 1.0, "36", "005", "1", "005", 2022)], RAW_DEMOGRAPHICS)
+    raw = spark.createDataFrame([record("a", "2024-01-01T10:00:00", "2024-01-02T10:00:00", "2024-01-02T10:00:00", 0.5, 0.5)], RAW_REQUESTS)
+    with pytest.raises(runs.CheckFailed, match="dim_tract: row_count"):
+        runs.build_marts(raw, demo, str(tmp_path / "m"), "1", 1, 1)
+    assert spark.read.parquet(str(tmp_path / "m" / "checks")).filter("NOT passed").count() >= 1
+
+
+def test_only_changed_months_are_redone(spark, tmp_path, rows):
+    demo = spark.createDataFrame(
+        [("1400000US1", 10.0, 100.0, 5.0, 1.0, 1.0, 1.0, "36", "005", "1", "005", 2022), ("1400000US2", 90.0, 100.0, 5.0, 1.0, 1.0, 1.0, "36", "005", "2", "005", 2022)],
+        RAW_DEMOGRAPHICS)
+
+    def raw(records):
+        df = spark.createDataFrame(records, RAW_REQUESTS)
+        return df.withColumn("tract_geoid", F.when(F.col("longitude") < 1, "1").otherwise("2"))
+
+    def request(key, month, hours, updated, x=0.5):
+        return record(key, f"2024-{month:02d}-01T00:00:00", f"2024-{month:02d}-01T{hours:02d}:00:00", updated, x, 0.5)
+
+    old = [request(f"{m}{x}", m, 5, "2024-05-01T00:00:00", x) for m in (1, 2, 3) for x in (0.5, 1.5)] + [request("5", 5, 1, "2024-05-20T00:00:00")]
+    new = [request("20.5", 2, 9, "2024-06-01T00:00:00"), request("30.5", 3, 7, "2024-06-01T00:00:00"), request("4", 4, 3, "2024-06-01T00:00:00")]
+    first, second = datetime(2024, 5, 2), datetime(2024, 6, 2)
+    root = str(tmp_path / "m")
+    runs.build_marts(raw(old), demo, root, "1", 1, 1, suites=NO_CHECKS, refreshed_at=first)
+    tables = runs.build_marts(raw(old + new), demo, root, "2", 1, 1, suites=NO_CHECKS, refreshed_at=second)
+    whole = runs.build_marts(raw(old + new), demo, str(tmp_path / "w"), "1", 1, 1, suites=NO_CHECKS, refreshed_at=second)
+    for name in ("request_facts", "tract_stats", "city_baseline", "quintile_summary", "gap_by_type", "trend_monthly"):
+        assert rows(tables[name].select(sorted(tables[name].columns))) == rows(whole[name].select(sorted(whole[name].columns))), name
+    stamps = {(r["request_month"].month, r["mart_refreshed_at"]) for r in tables["equity_splits"].collect()}
+    assert stamps == {(1, first), (2, second), (3, second), (4, second), (5, second)}
+
+
+def test_the_bound_of_a_daily_run_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.createDataFrame([record("a", *["2024-01-01T10:00:00"] * 3, 0.5, 0.5)], RAW_REQUESTS).write.parquet(path)
+    df = op.stage_requests(spark.read.parquet(path), since=datetime(2024, 1, 1))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    scan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(resolution_action_updated_date,2023-12-31)" in scan
+    assert df.count() == 1
+
+
 def test_checkpoint_stores_each_run(spark, tmp_path):
     path = str(tmp_path / "results")
     df = spark.createDataFrame([("NOISE", 1.5, 3.0, 2.0), ("HEAT", 30.0, 3.0, None)], "complaint_type string, q1_over_q5_gap double, q1_p90_hours double, q5_p90_hours double")

@@ -141,3 +141,26 @@ def test_fingerprint_ignores_order(spark):
     assert mark(a) == mark(a.orderBy(F.desc("a")).repartition(3))
     assert mark(a) != mark(a.distinct()) != mark(a.withColumn("a", F.lit(1)))
     assert len(mark(a.filter("false"))) == 32
+    # The place of a NULL and the names of the columns count.
+    pair = "a string, b string"
+    assert mark(spark.createDataFrame([("x", None)], pair)) != mark(spark.createDataFrame([(None, "x")], pair))
+    assert mark(a) != mark(a.withColumnRenamed("a", "c")) and mark(a) == mark(a.select("b", "a"))
+
+
+def test_one_row_per_key_is_the_same_in_every_run(spark, rows):
+    types = spark.createDataFrame([("NOISE",)], "complaint_type string")
+    known = [("NOISE", "b", "x", "2"), ("NOISE", "b", "a", "3"), ("NOISE", "a", "z", "1")]
+    schema = "complaint_type string, category string, description string, agency string"
+    target = spark.createDataFrame([], "k int, v int")
+    for data in (known, known[::-1]):
+        got = op.categorize_types(types, spark.createDataFrame(data, schema).repartition(3))
+        assert rows(got) == [("NOISE", "b", "x", "2", True)]
+    for data in ([(1, 5), (1, 7)], [(1, 7), (1, 5)]):
+        assert rows(op.insert_if_absent(target, spark.createDataFrame(data, "k int, v int"), "k")) == [(1, 7)]
+
+
+def test_pct_of_keeps_fractions(spark, rows):
+    from fairwait.functions import pct_of
+
+    df = spark.createDataFrame([(2.5, 10.0), (1.0, 0.0)], "a double, b double")
+    assert [r[0] if r[0] is None else float(r[0]) for r in df.select(pct_of("a", "b")).collect()] == [25.0, None]

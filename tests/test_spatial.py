@@ -2,8 +2,10 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from fairwait.operators import point_in_polygon_join
+from fairwait.operators.spatial import grid_polygons
 from fairwait.schemas import BOUNDARIES
 from fairwait.sources import read_boundaries
 
@@ -19,17 +21,16 @@ def shapes(spark, polygons):
     return spark.createDataFrame(data, BOUNDARIES)
 
 
-def assign(spark, polygons, points, cell=0.4, limit=1_000_000):
+def assign(spark, polygons, points, cell=0.4):
     df = spark.createDataFrame([(i, x, y, "stale") for i, (x, y) in enumerate(points)], POINTS)
-    got = point_in_polygon_join(df, shapes(spark, polygons), cell=cell, broadcast_edges=limit)
+    got = point_in_polygon_join(df, shapes(spark, polygons), cell=cell)
     assert set(got.columns) == {"id", "longitude", "latitude", "tract_geoid"}
     found = {r["id"]: r["tract_geoid"] for r in got.collect()}
     assert len(found) == len(points)
     return [found[i] for i in range(len(points))]
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_cases(spark, limit):
+def test_cases(spark):
     polygons = [
         ("a", [square(0, 0)]),
         ("b", [square(1, 0)]),  # shares an edge with a
@@ -45,7 +46,7 @@ def test_cases(spark, limit):
         "a", "b", None, None, None, "a", None, None, None,
         "hole", None, None, "hole", "parts", None, "parts", "a",
     ]
-    assert assign(spark, polygons, points, limit=limit) == expected
+    assert assign(spark, polygons, points) == expected
 
 
 def inside(rings, x, y):
@@ -74,8 +75,14 @@ def test_against_brute_force(spark, cell):
     points += points[:100]  # many requests from one place
     expected = [next((name for name, rings in polygons if inside(rings, x, y)), None) for x, y in points]
     assert any(expected) and not all(expected)
-    for limit in (1_000_000, 0):
-        assert assign(spark, polygons, points, cell, limit) == expected
+    assert assign(spark, polygons, points, cell) == expected
+    # The same whether Spark broadcasts or shuffles.
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert assign(spark, polygons, points, cell) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
 
 
 def test_grid_of_tracts_takes_each_inner_point_once(spark):
@@ -104,8 +111,23 @@ def test_read_geojson(spark, tmp_path, lines):
     assert tuple(got[1]["rings"][1][0]) == (4.0, 4.0)
 
 
-def test_points_do_not_move_when_boundaries_are_small(spark):
+def test_equal_ord_takes_the_lowest_id(spark):
     df = spark.createDataFrame([(1, 0.5, 0.5, None)], POINTS)
-    plan = point_in_polygon_join(df, shapes(spark, [("a", [square(0, 0)])]), cell=0.4)
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in text
+    both = shapes(spark, [("b", [square(0, 0)]), ("a", [square(0, 0)])]).withColumn("ord", F.lit(0).cast("long"))
+    for given in (both, both.orderBy("tract_geoid"), both.orderBy(F.desc("tract_geoid"))):
+        assert point_in_polygon_join(df, given, cell=0.4).first()["tract_geoid"] == "a"
+
+
+def test_the_inside_of_a_large_polygon_takes_few_rows(spark):
+    grid = grid_polygons(shapes(spark, [("a", [square(0, 0, 5)])]), 0.005)
+    assert grid.count() < 100_000 and grid.filter("level = 1 AND full").count() > 3_000
+
+
+def test_order_is_unique_over_files(spark, tmp_path):
+    ring = [list(p) for p in square(0, 0)]
+    for name in ("one", "two"):
+        features = [feature(f"{name}-{i}", "Polygon", [ring]) for i in range(3)]
+        (tmp_path / f"{name}.json").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    got = read_boundaries(spark, str(tmp_path)).orderBy("ord").collect()
+    assert [r["ord"] for r in got] == list(range(6))
+    assert [r["tract_geoid"] for r in got] == [f"{n}-{i}" for n in ("one", "two") for i in range(3)]

@@ -71,9 +71,14 @@ def test_ensure_append_and_new_columns(spark, tmp_path, rows):
     schema = T.StructType([T.StructField("A", T.StringType()), T.StructField("b", T.DoubleType())])
     assert sinks.ensure_table(spark, path, schema)
     assert spark.read.parquet(path).columns == ["A", "b"]
-    loaded = sinks.append_raw(spark.createDataFrame([(7, "x", "extra")], "B int, a string, c string"), path)
+    more = spark.createDataFrame([(7, "x", "extra")], "B int, a string, c string")
+    with pytest.raises(ValueError, match="c"):
+        sinks.append_raw(more, path)
+    loaded = sinks.append_raw(more, path, extra="drop")
     assert loaded == 1 and not sinks.ensure_table(spark, path, schema)
     assert rows(spark.read.parquet(path)) == [("x", 7.0)]
+    sinks.append_raw(more, path, extra="widen")
+    assert rows(sinks.read_or_none(spark, path, True), "a", "b", "c") == [("x", 7.0, "extra"), ("x", 7.0, None)]
 
 
 def test_snapshots_switch_as_a_whole(spark, tmp_path, rows):
@@ -83,6 +88,9 @@ def test_snapshots_switch_as_a_whole(spark, tmp_path, rows):
     for n in (3, 2, 1):
         sinks.replace_table(spark.range(n).withColumn("n", F.lit(n)), path)
     assert sinks.read_snapshot(spark, path).count() == 1
+    reader = spark.read.parquet(f"{path}/v=1")
+    assert reader.count() == 3  # older versions stay until they are expired
+    assert sinks.expire_versions(spark, path) == [1]
     # A version without its completion mark is not seen.
     spark.range(9).withColumn("n", F.lit(9)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/v=4")
     assert sinks.read_snapshot(spark, path).count() == 1
@@ -132,25 +140,70 @@ def test_upsert_table(spark, tmp_path, rows):
     assert now() == expected
 
 
-def test_upsert_table_recovers_after_a_failed_copy(spark, tmp_path, rows, monkeypatch):
-    from fairwait.sinks import tables
+UPSERT = (["k"], ["updated"], "month")
 
-    path = str(tmp_path / "t")
-    first = versions(spark, [("1", "a", "x", "2024-01"), ("2", "a", "y", "2024-01")])
-    tables.upsert_table(first, path, ["k"], ["updated"], "month", 1)
-    second = versions(spark, [("1", "b", "new", "2024-01")])
 
-    def lost(df, path, part_col, **_):
-        tables._delete(spark, f"{path}/month=2024-01")  # the old partition is gone, the new one not there
-        raise RuntimeError("executor lost")
+def test_upsert_table_recovers_after_a_failed_move(spark, tmp_path, rows, monkeypatch):
+    from fairwait.sinks import tables
 
-    monkeypatch.setattr(tables, "write_partition", lost)
+    path = str(tmp_path / "t")
+    first = versions(spark, [("1", "a", "x", "2024-01"), ("2", "a", "y", "2024-01"), ("5", "a", "w", "2024-02")])
+    tables.upsert_table(first, path, *UPSERT, 1)
+    second = versions(spark, [("1", "b", "new", "2024-01"), ("5", "b", "new", "2024-02")])
+    delete, lost = tables._delete, []
+
+    def failing(session, folder):
+        delete(session, folder)
+        if "/month=" in folder:  # the old partition is gone, the new one not there
+            lost.append(folder)
+            raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(tables, "_delete", failing)
     with pytest.raises(RuntimeError):
-        tables.upsert_table(second, path, ["k"], ["updated"], "month", 2)
+        tables.upsert_table(second, path, *UPSERT, 2)
     monkeypatch.undo()
-    assert not _exists(spark, f"{path}/_done/2")
-    tables.upsert_table(second, path, ["k"], ["updated"], "month", 2)
-    assert rows(spark.read.parquet(path), "k", "v") == [("1", "new"), ("2", "y")]
+    assert lost and not _exists(spark, f"{path}/_done/2")
+    # Another batch comes first: it finishes the move, and the retry has nothing left to do.
+    assert tables.upsert_table(versions(spark, [("3", "a", "z", "2024-01")]), path, *UPSERT, 3)
+    assert tables.upsert_table(second, path, *UPSERT, 2) is None
+    assert rows(spark.read.parquet(path), "k", "v") == [("1", "new"), ("2", "y"), ("3", "z"), ("5", "new")]
+
+
+def test_what_was_staged_without_a_plan_is_thrown_away(spark, tmp_path, rows, monkeypatch):
+    from fairwait.sinks import tables
+
+    path = str(tmp_path / "t")
+    tables.upsert_table(versions(spark, [("1", "a", "x", "m")]), path, *UPSERT, 1)
+
+    def broken(*_):
+        raise RuntimeError("driver lost")
+
+    second = versions(spark, [("2", "a", "y", "m")])
+    with monkeypatch.context() as m:
+        m.setattr(tables, "write_text", broken)
+        with pytest.raises(RuntimeError):
+            tables.upsert_table(second, path, *UPSERT, 2)
+    tables.upsert_table(versions(spark, [("3", "a", "z", "m")]), path, *UPSERT, 3)
+    assert tables.upsert_table(second, path, *UPSERT, 2) == ["m"]
+    assert rows(spark.read.parquet(path), "k", "v") == [("1", "x"), ("2", "y"), ("3", "z")]
+
+
+def test_high_water_mark_and_schema_are_kept(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch, updated in enumerate(["b", "c", "a"]):
+        more = versions(spark, [(str(batch), updated, "x", "m")])
+        sinks.upsert_table(more.withColumn("extra", F.lit(1)) if batch == 1 else more, path, *UPSERT, batch, high_water="updated")
+    assert sinks.high_water_mark(spark, path) == "c"
+    assert sinks.read_or_none(spark, path).columns == ["k", "updated", "v", "extra", "month"]
+    assert sinks.read_or_none(spark, path).filter("extra IS NULL").count() == 2
+
+
+def test_incremental_model_rewrites_only_its_partitions(spark, tmp_path, rows):
+    for data in ([("1", "a", "x", "m1"), ("2", "a", "y", "m2")], [("1", "b", "new", "m1")]):
+        df = sinks.materialise(versions(spark, data), "t", "incremental", str(tmp_path), ["k"], ["updated"], part_col="month")
+        untouched = {p.name for p in (tmp_path / "t" / "month=m2").iterdir()}
+    assert rows(df, "k", "v") == [("1", "new"), ("2", "y")]
+    assert untouched == {p.name for p in (tmp_path / "t" / "month=m2").iterdir()}
 
 
 def test_watermark(spark):
@@ -160,6 +213,8 @@ def test_watermark(spark):
     assert op.get_watermark(empty, "u", 48, now) == datetime(2024, 5, 1, 12)
     iso = spark.createDataFrame([("2024-01-05T10:00:00Z",), ("2024-01-04T00:00:00.000",), (None,)], "u string")
     assert op.get_watermark(iso, "u") == datetime(2024, 1, 3, 10)
+    zoned = spark.createDataFrame([("2024-01-05T23:30:00-05:00",), ("2024-01-06T01:00:00",), ("2024-01-06T03:00:00+09:00",)], "u string")
+    assert op.get_watermark(zoned, "u") == datetime(2024, 1, 4, 4, 30)
 
 
 def test_incremental_filter(spark, rows):
@@ -188,3 +243,15 @@ def test_stream_survives_a_restart(spark, tmp_path, rows):
     versions(spark, [("1", "b", "x2", "m1"), ("3", "a", "z", "m2")]).coalesce(1).write.mode("append").parquet(landing)
     versions(spark, [("1", "0", "stale", "m1")]).coalesce(1).write.mode("append").parquet(landing)
     assert run() == [("1", "x2"), ("2", "y"), ("3", "z")]
+
+
+def test_streams_with_logs_of_their_own_share_a_table(spark, tmp_path, rows):
+    from fairwait.streaming import stream_upsert
+
+    path = str(tmp_path / "table")
+    for n, data in enumerate([[("1", "a", "x", "m")], [("2", "a", "y", "m")], [("1", "b", "x2", "m")]]):
+        landing = str(tmp_path / f"landing{n}")
+        versions(spark, data).write.parquet(landing)
+        stream = spark.readStream.schema(V).parquet(landing)
+        stream_upsert(stream, path, *UPSERT, str(tmp_path / f"log{n}")).awaitTermination()
+    assert rows(spark.read.parquet(path), "k", "v") == [("1", "x2"), ("2", "y")]

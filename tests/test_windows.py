@@ -20,10 +20,10 @@ def expected_ntile(values, n, nulls_last=True):
 
 @settings(**QUIET)
 @given(values=st.lists(st.one_of(st.none(), st.integers(-3, 3)), min_size=1, max_size=30), n=st.integers(1, 7))
-@pytest.mark.parametrize("limit", [1000, 0])
-def test_ntile_both_ways(spark, values, n, limit):
+@pytest.mark.parametrize("ranges", [None, 1, 9])
+def test_ntile_both_ways(spark, values, n, ranges):
     df = spark.createDataFrame(list(enumerate(values)), "id int, v int")
-    got = ntile_bucket(df, "v", n, ["id"], single_window_rows=limit)
+    got = ntile_bucket(df, "v", n, ["id"], ranges=ranges)
     found = {r["id"]: r["bucket"] for r in got.collect()}
     assert found == expected_ntile(values, n)
     sizes = [list(found.values()).count(b) for b in range(1, n + 1)]
@@ -38,11 +38,11 @@ def test_null_policy(spark):
     assert out == {1: 1, 3: 1, 4: 2, 2: None}
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
-def test_ntile_within_groups(spark, limit):
+@pytest.mark.parametrize("ranges", [None, 1, 9])
+def test_ntile_within_groups(spark, ranges):
     data = [(None if i % 3 == 0 else f"g{i % 3}", i * 37 % 101) for i in range(60)]
     df = spark.createDataFrame(data, "g string, v int")
-    got = ntile_bucket(df, "v", 4, ["v"], partition_by=["g"], single_window_rows=limit)
+    got = ntile_bucket(df, "v", 4, ["v"], partition_by=["g"], ranges=ranges)
     assert got.columns == ["g", "v", "bucket"]
     found = {(r["g"], r["v"]): r["bucket"] for r in got.collect()}
     for group in (None, "g1", "g2"):

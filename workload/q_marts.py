@@ -49,14 +49,14 @@ def _(spark, sf):
     return ntile_bucket(b.table(spark, sf, "supplier"), "s_acctbal", 7, ["s_suppkey"])
 
 
-# The path for inputs too large for one window, over a large table with many equal values.
+# Many ranges over a large table with many equal values.
 @query("ntile_bucket_ranged", "o_orderkey:i bucket:i", """
   SELECT o_orderkey, ntile(11) OVER (ORDER BY v NULLS LAST, o_orderkey) AS bucket
   FROM (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN floor(o_totalprice / 1000) END AS v FROM orders)""")
 def _(spark, sf):
     value = F.when(F.col("o_orderstatus") != "P", F.floor(F.col("o_totalprice") / 1000))
     rows = b.table(spark, sf, "orders").select("o_orderkey", value.alias("v"))
-    return ntile_bucket(rows, "v", 11, ["o_orderkey"], single_window_rows=0)
+    return ntile_bucket(rows, "v", 11, ["o_orderkey"], ranges=40)
 
 
 STATS = (

@@ -17,8 +17,8 @@ from fairwait.streaming import stream_upsert
 
 from . import bindings as b
 from .q_marts import gap
-from .q_tables import CLEAN_SQL, PLACES_SQL, grid_boundaries, raw_requests
-from .registry import query
+from .q_tables import CLEAN_SQL, LATEST_SQL, PLACES_SQL, grid_boundaries, raw_requests
+from .registry import ORACLE, SPECS, query
 
 KEYS = ["user_id", "event_type"]
 EVENT = "user_id:i event_type:s ts:t value:d"
@@ -77,21 +77,48 @@ def _(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("upsert_streams", EVENT, LATEST_EVENTS)
+def _(spark, sf):
+    """Two streams with logs of their own into one table."""
+    whole, path = b.table(spark, sf, "events"), scratch_path(spark, "stream-table")
+    for part in (0, 1):
+        landing = scratch_path(spark, "landing")
+        whole.filter(F.col("event_id") % 2 == part).repartition(2, "event_id").write.parquet(landing)
+        stream = spark.readStream.schema(whole.schema).parquet(landing).withColumn("day", F.to_date("ts").cast("string"))
+        stream_upsert(stream, path, KEYS, ["ts"], "day", scratch_path(spark, "stream-log"), ["event_id"]).awaitTermination()
+    return sinks.read_or_none(spark, path)
+
+
+@query("upsert_after_failure", EVENT, LATEST_EVENTS)
+def _(spark, sf):
+    """A batch that failed between its two halves, another batch, then the first one again."""
+    events = b.table(spark, sf, "events").withColumn("day", F.to_date("ts").cast("string"))
+    path = scratch_path(spark, "upserted")
+    args = (path, KEYS, ["ts"], "day")
+    parts = [events.filter(F.col("event_id") % 3 == i) for i in range(3)]
+    sinks.upsert_table(parts[0], *args, "a", ["event_id"])
+    sinks.stage_batch(parts[1], *args, "b", ["event_id"])
+    sinks.upsert_table(parts[2], *args, "c", ["event_id"])
+    sinks.upsert_table(parts[1], *args, "b", ["event_id"])
+    return sinks.read_or_none(spark, path)
+
+
 INTERMEDIATE = "unique_key:s updated_at:t response_time_hours:i resolution_status:s"
 
 
+# The early load holds all rows without update time; a later one never lets such rows pass.
 @query("build_intermediate", INTERMEDIATE, f"""
+  WITH early AS (SELECT * FROM ({LATEST_SQL.replace(CLEAN_SQL, f"SELECT * FROM ({CLEAN_SQL}) WHERE updated_at IS NULL OR updated_at < TIMESTAMP '1998-01-01'")})),
+  late AS (SELECT * FROM ({LATEST_SQL}) WHERE updated_at >= (SELECT max(updated_at) - INTERVAL 48 HOUR FROM early)),
+  merged AS (SELECT * FROM late UNION ALL SELECT * FROM early WHERE unique_key NOT IN (SELECT unique_key FROM late))
   SELECT *, CASE WHEN closed_at > created_at THEN date_diff('hour', created_at, closed_at) END AS response_time_hours,
          CASE WHEN closed_at > created_at THEN 'closed' WHEN status = 'OPEN' THEN 'open' ELSE 'other' END AS resolution_status
-  FROM (SELECT unique_key, created_at, closed_at, updated_at, status FROM ({CLEAN_SQL}) WHERE updated_at IS NOT NULL
-        QUALIFY row_number() OVER (PARTITION BY unique_key ORDER BY updated_at DESC, created_at DESC, status DESC) = 1)""")
+  FROM merged""")
 def _(spark, sf):
-    # Rows without an update time never pass a later build, so leave them out of both.
-    raw = raw_requests(spark, sf).filter("resolution_action_updated_date is not null")
-    ties = ["created_at", "status"]
-    early = op.stage_requests(raw.filter("resolution_action_updated_date < '1998'"), ties)
-    target = marts.build_intermediate(early)
-    return marts.build_intermediate(op.stage_requests(raw, ties), target)
+    raw = raw_requests(spark, sf)
+    updated = F.col("resolution_action_updated_date")
+    target = marts.build_intermediate(op.stage_requests(raw.filter(updated.isNull() | (updated < "1998"))))
+    return marts.build_intermediate(op.stage_requests(raw), target)
 
 
 @query("run_incremental", "unique_key:s tract_geoid:s n_loads:i", f"""
@@ -116,8 +143,9 @@ def _(spark, sf):
         rows.filter("resolution_action_updated_date < '1998'"), shapes, raw, landing, "2024-01-01",
         now=datetime(1900, 1, 3),
     )
-    runs.run_incremental(rows, shapes, raw, landing, "2024-01-02")
-    loaded = spark.read.parquet(landing)
+    for _ in range(2):  # a rerun of the day loads the same again, once
+        runs.run_incremental(rows, shapes, raw, landing, "2024-01-02")
+    loaded = spark.read.parquet(raw)
     return loaded.withColumn("n_loads", F.dayofmonth("ingestion_date"))
 
 
@@ -132,46 +160,89 @@ def _(spark, sf):
         (F.col("o_custkey") % 9 / 1000).alias("latitude"),
     )
     landing = scratch_path(spark, "backfill")
-    for _ in range(2):  # a rerun changes nothing
-        months = runs.run_backfill(rows, grid_boundaries(spark, sf), landing, "1996-03-15", "1998-07-02")
+    shapes = grid_boundaries(spark, sf)
+    runs.run_backfill(rows, shapes, landing, "1995-01-01", "1995-02-01")
+    for _ in range(2):  # a rerun changes nothing, and earlier months are not counted again
+        months = runs.run_backfill(rows, shapes, landing, "1996-03-15", "1998-07-02")
     return months
 
 
-@query("build_marts", "mart:s n_rows:i n_groups:i", b.ctes(
+@query("backfill_then_daily", "o_orderkey:i tract_geoid:s load:s", f"""
+  WITH p AS (SELECT o_orderkey, o_orderdate AS d, o_custkey % 100 / 500 AS x, o_custkey % 9 / 1000 AS y FROM orders), {PLACES_SQL},
+  old AS (SELECT * FROM p WHERE (d >= DATE '1994-02-01' AND d < DATE '1994-04-01') OR (d >= DATE '1996-03-01' AND d < DATE '1998-01-01')),
+  loads AS (SELECT *, CASE WHEN d < DATE '1995-01-01' THEN 'first' ELSE 'second' END AS load FROM old
+            UNION ALL SELECT *, 'daily' FROM p WHERE d >= (SELECT max(d) - INTERVAL 48 HOUR FROM old))
+  SELECT o_orderkey, s_suppkey::VARCHAR AS tract_geoid, load FROM loads LEFT JOIN m USING (x, y)""")
+def _(spark, sf):
+    rows = b.table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("created_date"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("resolution_action_updated_date"),
+        (F.col("o_custkey") % 100 / 500).alias("longitude"),
+        (F.col("o_custkey") % 9 / 1000).alias("latitude"),
+    )
+    landing, months, raw = (scratch_path(spark, n) for n in ("landing", "months", "raw"))
+    shapes = grid_boundaries(spark, sf)
+    for start, end in (("1994-02-01", "1994-03-31"), ("1996-03-15", "1997-12-02"), ("1996-03-15", "1997-12-02")):
+        runs.run_backfill(rows, shapes, months, start, end, raw_path=raw)
+    runs.run_incremental(rows, shapes, raw, landing, "2024-01-01")
+    load = F.when(F.col("ingestion_date").startswith("0-backfill-1994"), "first").when(F.col("ingestion_date").startswith("0-"), "second").otherwise("daily")
+    return spark.read.parquet(raw).withColumn("load", load)
+
+
+MARTS_SQL = b.ctes(
     b.DEMOGRAPHICS_SQL,
-    f"""requests AS (SELECT unique_key, created_at, closed_at, complaint_type, 'NONE' AS borough, tract_geoid FROM ({CLEAN_SQL})
-        QUALIFY row_number() OVER (PARTITION BY unique_key ORDER BY updated_at DESC NULLS LAST, ingestion_timestamp DESC,
-          created_at DESC, closed_at DESC, agency_code DESC, complaint_type DESC, descriptor DESC, status DESC,
-          l_partkey::VARCHAR || '/' || l_quantity::VARCHAR DESC) = 1),
-    fact AS (SELECT *, date_trunc('month', created_at) AS request_month, date_diff('hour', created_at, closed_at) AS response_time_hours
-        FROM requests WHERE closed_at > created_at AND tract_geoid IN (SELECT tract_geoid FROM dim))""",
+    f"requests AS ({LATEST_SQL})",
+    """hours AS (SELECT *, CASE WHEN closed_at > created_at THEN date_diff('hour', created_at, closed_at) END AS h FROM requests),
+    fact AS (SELECT *, date_trunc('month', created_at) AS request_month, h AS response_time_hours
+        FROM hours WHERE h IS NOT NULL AND tract_geoid IN (SELECT tract_geoid FROM dim))""",
+    b.SPLITS_SQL,
+    b.SUMMARY_SQL.format(floor=20, guard=100),
 ) + """
-  SELECT 'intermediate' AS mart, count(*) AS n_rows, count(DISTINCT unique_key) AS n_groups FROM requests
-  UNION ALL SELECT 'dim_tract', count(*), count(DISTINCT income_quintile) FROM dim
-  UNION ALL SELECT 'request_facts', count(*), count(DISTINCT request_month) FROM fact
-  UNION ALL SELECT 'equity_splits', count(*), count(DISTINCT tract_geoid) FROM (
-    SELECT DISTINCT tract_geoid, complaint_type, request_month FROM fact)
-  UNION ALL SELECT 'quintile_summary', count(*), count(DISTINCT complaint_type) FROM (
-    SELECT DISTINCT complaint_type, income_quintile FROM (
-      SELECT complaint_type, income_quintile FROM fact JOIN dim USING (tract_geoid)
-      GROUP BY tract_geoid, complaint_type, income_quintile HAVING count(*) >= 30))
-  UNION ALL SELECT 'trend_monthly', count(*), count(DISTINCT q) FROM (
-    SELECT DISTINCT request_month, income_quintile AS q FROM fact JOIN dim USING (tract_geoid))""")
+  SELECT 'intermediate' AS mart, unique_key AS k1, complaint_type AS k2, created_at AS at, h AS v1, NULL AS v2, NULL AS v3 FROM hours
+  UNION ALL SELECT 'dim_tract', tract_geoid, county_fips, NULL, income_quintile, median_household_income, pct_below_poverty FROM dim
+  UNION ALL SELECT 'request_facts', unique_key, tract_geoid, request_month, response_time_hours, latitude, longitude FROM fact
+  UNION ALL SELECT 'tract_stats', tract_geoid, complaint_type || coalesce(borough, ''), request_month, p50_hours, p75_hours, p90_hours FROM stats
+  UNION ALL SELECT 'city_baseline', complaint_type, NULL, request_month, city_p90, NULL, NULL FROM baseline
+  UNION ALL SELECT 'equity_splits', tract_geoid, complaint_type || coalesce(borough, ''), request_month, equity_score, city_p90, request_count FROM splits
+  UNION ALL SELECT 'quintile_summary', complaint_type, income_quintile::VARCHAR, NULL, n_tracts, median_tract_p90_hours, n_complaints FROM summary
+  UNION ALL SELECT 'gap_by_type', complaint_type, NULL, NULL, q1_p90_hours, q5_p90_hours, q1_over_q5_gap FROM gap
+  UNION ALL SELECT 'trend_monthly', income_quintile::VARCHAR, NULL, request_month,
+    round(quantile_cont(response_time_hours, 0.9)::DECIMAL(38,10), 1)::DOUBLE, round(quantile_cont(response_time_hours, 0.5)::DECIMAL(38,10), 1)::DOUBLE, count(*)
+    FROM fact JOIN dim USING (tract_geoid) GROUP BY income_quintile, request_month"""
+WHERE = "complaint_type || coalesce(borough, '')"
+SHOWN = {  # mart -> k1, k2, at, v1, v2, v3
+    "intermediate": ("unique_key", "complaint_type", "created_at", "response_time_hours", "null", "null"),
+    "dim_tract": ("tract_geoid", "county_fips", "null", "income_quintile", "median_household_income", "pct_below_poverty"),
+    "request_facts": ("unique_key", "tract_geoid", "request_month", "response_time_hours", "latitude", "longitude"),
+    "tract_stats": ("tract_geoid", WHERE, "request_month", "p50_hours", "p75_hours", "p90_hours"),
+    "city_baseline": ("complaint_type", "null", "request_month", "city_p90", "null", "null"),
+    "equity_splits": ("tract_geoid", WHERE, "request_month", "equity_score", "city_p90", "request_count"),
+    "quintile_summary": ("complaint_type", "income_quintile", "null", "n_tracts", "median_tract_p90_hours", "n_complaints"),
+    "gap_by_type": ("complaint_type", "null", "null", "q1_p90_hours", "q5_p90_hours", "q1_over_q5_gap"),
+    "trend_monthly": ("income_quintile", "null", "month", "p90_hours", "p50_hours", "n_complaints"),
+}
+MART_SUITES = {
+    "intermediate": [qc.check_unique("unique_key"), qc.check_not_null("response_time_hours", "warn")],
+    "dim_tract": [qc.check_unique("tract_geoid"), qc.check_in_set("income_quintile", [1, 2, 3, 4, 5])],
+    "equity_splits": [qc.check_percentile_order()],
+}
+
+
+# Two runs: the later one brings newer versions and redoes the months they fall into.
+@query("build_marts", "mart:s k1:s k2:s at:t v1:d v2:d v3:d", MARTS_SQL)
 def _(spark, sf):
-    tables = runs.build_marts(
-        raw_requests(spark, sf), b.raw_demographics(spark, sf), scratch_path(spark, "marts"), "run-1", 30, 500
-    )
-    group = {
-        "intermediate": "unique_key", "dim_tract": "income_quintile", "request_facts": "request_month",
-        "equity_splits": "tract_geoid", "quintile_summary": "complaint_type", "trend_monthly": "income_quintile",
-    }
-    counted = [
-        tables[t].agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(g).alias("n_groups")).withColumn("mart", F.lit(t))
-        for t, g in group.items()
-    ]
-    out = counted[0]
-    for more in counted[1:]:
-        out = out.unionByName(more)
+    raw, root = raw_requests(spark, sf), scratch_path(spark, "marts")
+    updated = F.col("resolution_action_updated_date")
+    for day, rows in (("1", raw.filter(updated.isNull() | (updated < "1994"))), ("2", raw)):
+        tables = runs.build_marts(rows, b.raw_demographics(spark, sf), root, day, 20, 100, suites=MART_SUITES)
+    out = None
+    for mart, (k1, k2, at, *values) in SHOWN.items():
+        shown = tables[mart].select(
+            F.lit(mart).alias("mart"), F.expr(f"cast({k1} as string)").alias("k1"), F.expr(f"cast({k2} as string)").alias("k2"),
+            F.expr(f"cast({at} as timestamp_ntz)").alias("at"), *[F.expr(f"cast({v} as double)").alias(f"v{i}") for i, v in enumerate(values, 1)],
+        )
+        out = shown if out is None else out.unionByName(shown)
     return out
 
 
@@ -285,7 +356,22 @@ def _(spark, sf):
     return run_checkpoint(b.splits(spark, sf), "equity_splits")
 
 
-@query("result_fingerprint", "fingerprint:s")
+def fingerprint_sql(tables: dict[str, str]) -> str:
+    """The fingerprint of registered queries' results; the tables' names lead to the queries'."""
+    kinds = {"d": "printf('%.6f', {c})", "t": "{c}", "s": "{c}", "i": "{c}::VARCHAR", "b": "{c}::VARCHAR"}
+    parts = []
+    for table, name in sorted(tables.items()):
+        texts = [
+            f"CASE WHEN {c} IS NULL THEN '{c} null' ELSE '{c}=' || {kinds[k].format(c=c)} END" for c, k in sorted(SPECS[name])
+        ]
+        row = " || chr(31) || ".join(texts)
+        parts.append(
+            f"SELECT '{table}:' || count(*) || ':' || coalesce(sum(('0x' || substr(md5({row}), 1, 15))::BIGINT), 0)::VARCHAR AS p FROM ({ORACLE[name]})"
+        )
+    return f"SELECT md5(string_agg(p, '|' ORDER BY p)) AS fingerprint FROM ({' UNION ALL '.join(parts)})"
+
+
+@query("result_fingerprint", "fingerprint:s", fingerprint_sql({"gap": "gap_by_type", "trend": "score_trend"}))
 def _(spark, sf):
     splits = b.splits(spark, sf)
     return op.result_fingerprint({"gap": gap(spark, sf), "trend": r.score_trend(splits, floor=b.ROW_FLOOR)})

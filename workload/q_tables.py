@@ -114,6 +114,24 @@ def _(spark, sf):
     )
 
 
+# As published: a feature collection per file, several files, one order over all of them.
+@query("read_boundaries_collections", "tract_geoid:s ord:i n_points:i", """
+  WITH f AS (SELECT s_suppkey, s_nationkey % 3 AS part FROM supplier)
+  SELECT s_suppkey::VARCHAR AS tract_geoid, row_number() OVER (ORDER BY part, s_suppkey) - 1 AS ord, 5 AS n_points FROM f""")
+def _(spark, sf):
+    key = F.col("s_suppkey")
+    feature = F.concat(
+        F.lit('{"type":"Feature","properties":{"tract_geoid":"'), key.cast("string"),
+        F.lit('"},"geometry":{"type":"Polygon","coordinates":['), _fill("[[{0},0],[{0}.5,0],[{0}.5,1],[{0},1],[{0},0]]", key), F.lit("]}}"),
+    )
+    features = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, feature.alias("f")))), lambda x: x["f"]), ",")
+    files = b.table(spark, sf, "supplier").groupBy((F.col("s_nationkey") % 3).alias("part")).agg(features.alias("f"))
+    path = scratch_path(spark, "collections")
+    whole = F.concat(F.lit('{"type":"FeatureCollection","features":['), "f", F.lit("]}"))
+    files.select("part", whole.alias("value")).repartition("part").write.partitionBy("part").text(path)
+    return sources.read_boundaries(spark, path).select("tract_geoid", "ord", F.size(F.flatten("rings")).alias("n_points"))
+
+
 def _fill(pattern: str, key):
     pieces = pattern.split("{0}")
     cols = [F.lit(pieces[0])]
@@ -153,9 +171,14 @@ def _(spark, sf):
     )
 
 
-@query("explore_raw", "n_rows:i latest:t", "SELECT count(*) AS n_rows, max(ts) AS latest FROM events")
+# The preview may be any five rows: each must be one of the table's.
+@query("explore_raw", "n_rows:i latest:t n_preview:i n_known:i",
+       "SELECT count(*) AS n_rows, max(ts) AS latest, 5 AS n_preview, 5 AS n_known FROM events")
 def _(spark, sf):
-    return sources.explore_raw(b.table(spark, sf, "events"), "ts")[1]
+    events = b.table(spark, sf, "events")
+    preview, summary = sources.explore_raw(events, "ts")
+    known = events.join(preview, events.columns, "left_semi").count()
+    return summary.withColumns({"n_preview": F.lit(preview.count()), "n_known": F.lit(known)})
 
 
 # -- sinks -------------------------------------------------------------------------------
@@ -245,13 +268,19 @@ def raw_requests(spark, sf):
         "closed_date": F.date_format("l_shipdate", iso),
         "resolution_action_updated_date": F.when(F.col("l_returnflag") != "N", F.date_format("l_shipdate", iso)),
         "agency": F.concat(F.lit(" "), F.lower("o_orderstatus"), F.lit("  ")),
+        "agency_name": F.concat(F.lit(" dept "), "l_linestatus"),
         "complaint_type": F.concat(F.lower("o_orderpriority"), F.lit(" ")),
+        "location_type": F.when(F.col("l_linenumber") % 2 == 0, "Street "),
+        "incident_zip": F.concat(F.lit(" "), F.col("o_custkey").cast("string")),
+        "incident_address": F.concat(F.col("l_partkey").cast("string"), F.lit(" Main St ")),
+        "borough": F.when(F.col("l_suppkey") % 3 == 0, "Bronx").when(F.col("l_suppkey") % 3 == 1, " queens"),
+        "open_data_channel_type": F.lit(" PHONE "),
         "descriptor": F.col("l_returnflag"),
         "status": F.when(F.col("l_linestatus") == "O", " Open ").otherwise("closed"),
         "latitude": F.col("l_discount") + 40,
         "longitude": F.col("l_tax") - 74,
         "tract_geoid": F.col("l_suppkey").cast("string"),
-        "resolution_description": F.concat_ws("/", "l_partkey", "l_quantity", "l_extendedprice"),
+        "resolution_description": F.concat_ws("/", "l_partkey", F.col("l_quantity").cast("int"), F.round(F.col("l_extendedprice") * 100).cast("bigint")),
         "ingestion_timestamp": F.col("l_shipdate"),
     }
     from fairwait.schemas import RAW_REQUESTS
@@ -261,14 +290,21 @@ def raw_requests(spark, sf):
     )
 
 
-CLEAN = "unique_key:s created_at:t closed_at:t updated_at:t agency_code:s complaint_type:s descriptor:s status:s latitude:d longitude:d tract_geoid:s"
+CLEAN = (
+    "unique_key:s created_at:t closed_at:t updated_at:t agency_code:s agency_name:s complaint_type:s descriptor:s location_type:s "
+    "incident_zip:s incident_address:s borough:s status:s channel_type:s resolution_description:s latitude:d longitude:d "
+    "tract_geoid:s ingestion_timestamp:t"
+)
 CLEAN_SQL = """
   SELECT l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR AS unique_key, o_orderdate AS created_at,
          l_shipdate AS closed_at, CASE WHEN l_returnflag <> 'N' THEN l_shipdate END AS updated_at,
-         upper(o_orderstatus) AS agency_code, upper(o_orderpriority) AS complaint_type, l_returnflag AS descriptor,
+         upper(o_orderstatus) AS agency_code, 'DEPT ' || l_linestatus AS agency_name, upper(o_orderpriority) AS complaint_type,
+         l_returnflag AS descriptor, CASE WHEN l_linenumber % 2 = 0 THEN 'STREET' END AS location_type,
+         o_custkey::VARCHAR AS incident_zip, l_partkey::VARCHAR || ' Main St' AS incident_address,
+         CASE l_suppkey % 3 WHEN 0 THEN 'BRONX' WHEN 1 THEN 'QUEENS' END AS borough, 'PHONE' AS channel_type,
+         l_partkey::VARCHAR || '/' || l_quantity::INTEGER || '/' || round(l_extendedprice * 100)::BIGINT AS resolution_description,
          CASE WHEN l_linestatus = 'O' THEN 'OPEN' ELSE 'CLOSED' END AS status, l_discount + 40 AS latitude,
-         l_tax - 74 AS longitude, l_suppkey::VARCHAR AS tract_geoid, l_shipdate AS ingestion_timestamp,
-         l_partkey, l_quantity, l_extendedprice
+         l_tax - 74 AS longitude, l_suppkey::VARCHAR AS tract_geoid, l_shipdate AS ingestion_timestamp
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber < 7"""
 
 
@@ -277,11 +313,14 @@ def _(spark, sf):
     return op.normalize_requests(raw_requests(spark, sf))
 
 
-# Only the key and the update times are compared: versions that tie on both of them differ
-# in columns whose text the two engines would print differently.
-@query("stage_requests", "unique_key:s updated_at:t ingestion_timestamp:t", f"""
-  SELECT unique_key, updated_at, ingestion_timestamp FROM ({CLEAN_SQL})
-  QUALIFY row_number() OVER (PARTITION BY unique_key ORDER BY updated_at DESC NULLS LAST, ingestion_timestamp DESC) = 1""")
+# The latest version of every request; equal ones are settled by all other columns in turn.
+TIES = CLEAN.replace("unique_key:s ", "").replace(" updated_at:t", "").replace(" ingestion_timestamp:t", "").split()
+LATEST_SQL = f"""
+  SELECT * FROM ({CLEAN_SQL}) QUALIFY row_number() OVER (PARTITION BY unique_key
+    ORDER BY updated_at DESC NULLS LAST, ingestion_timestamp DESC, {", ".join(c.split(":")[0] + " DESC NULLS LAST" for c in TIES)}) = 1"""
+
+
+@query("stage_requests", CLEAN, LATEST_SQL)
 def _(spark, sf):
     return op.stage_requests(raw_requests(spark, sf))
 
@@ -550,7 +589,9 @@ def _(spark, sf):
     return op.point_in_polygon_join(line_points(spark, sf), grid_boundaries(spark, sf), cell=0.0015)
 
 
-# The path for boundaries too large to broadcast.
+# Every tract twice, under one order: the lowest id counts, however the join is done.
 @query("point_in_polygon_join_shuffled", "l_orderkey:i l_linenumber:i l_partkey:i tract_geoid:s", POLYGONS_SQL)
 def _(spark, sf):
-    return op.point_in_polygon_join(line_points(spark, sf), grid_boundaries(spark, sf), cell=0.0015, broadcast_edges=0)
+    shapes = grid_boundaries(spark, sf).withColumn("ord", F.lit(0).cast("long"))
+    twice = shapes.withColumn("tract_geoid", F.concat(F.lit("z"), "tract_geoid")).unionByName(shapes)
+    return op.point_in_polygon_join(line_points(spark, sf), twice, cell=0.0015)

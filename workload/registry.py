@@ -11,6 +11,8 @@ from fairwait.functions import round_exact
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+# Columns and kinds of the queries with SQL, for what is worked out from their results.
+SPECS: dict[str, list[list[str]]] = {}
 
 # Column kinds: s text, i whole number, d double rounded to six places, t timestamp as text,
 # b boolean. Both engines are brought to the same form.
@@ -39,6 +41,7 @@ def query(name: str, columns: str, sql: str | None = None):
             return fn(spark, sf).select(*[_SPARK[k](c).alias(c) for c, k in spec])
 
         QUERIES[name] = run
+        SPECS[name] = spec
         if sql is not None:
             shown = ", ".join(f'{_SQL[k].format(c=chr(34) + c + chr(34))} AS "{c}"' for c, k in spec)
             ORACLE[name] = f"SELECT {shown} FROM ({sql.strip()}) AS result"
