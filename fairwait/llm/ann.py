@@ -124,7 +124,7 @@ class Graph:
             np.put_along_axis(mark, take, False, 1)
             open_[rows] = mark
             if keep:
-                log = np.full((b, _EXPAND), -1, np.int32)
+                log = np.full((b, picked.shape[1]), -1, np.int32)
                 log[rows] = np.where(picked < self.n, picked, -1)
                 looked.append(log)
             next_ = np.where((picked < self.n)[:, :, None], self.edges[np.minimum(picked, self.n - 1)], -1).reshape(len(rows), -1)

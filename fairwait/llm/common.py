@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fairwait.session import scratch_path
 
 # A Python worker handles so many bytes of text at once, whatever the rows' sizes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

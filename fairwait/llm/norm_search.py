@@ -67,15 +67,13 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
 def visit(q: pd.DataFrame, p: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k best of one part for each query of one block."""
     p = p.sort_values("norm", ascending=False, kind="stable")
-    ids, lengths, vectors = p["vec_id"].to_numpy(), p["norm"].to_numpy(), padded(list(p["v"]))
-    wide = max((len(x) for x in q["v"]), default=0)
-    if vectors.shape[1] < wide:
-        vectors = np.pad(vectors, ((0, 0), (0, wide - vectors.shape[1])))
+    ids, lengths, both = p["vec_id"].to_numpy(), p["norm"].to_numpy(), padded([*p["v"], *q["v"]])
+    vectors, asked = both[: len(p)], both[len(p) :]
     with np.errstate(divide="ignore", invalid="ignore"):
         directions = np.where(lengths[:, None] > 0, vectors / lengths[:, None], 0.0)
     exact_in_doubles = not len(p) or float(np.abs(vectors).max(initial=0)) < 2.0**22
     found = []
-    for own, length, floor, v in zip(q["vec_id"], q["norm"], q["floor"], padded(list(q["v"]))):
+    for own, length, floor, v in zip(q["vec_id"], q["norm"], q["floor"], asked):
         keep = len(ids)
         near = slice(0, keep)
         if floor > 0 and length > 0:
@@ -97,7 +95,7 @@ def visit(q: pd.DataFrame, p: pd.DataFrame, k: int) -> pd.DataFrame:
         if not len(rows):
             continue
         if exact_in_doubles and float(np.abs(v).max(initial=0)) * 2.0**22 * len(v) < 2.0**53:
-            scores = (rows @ v[: rows.shape[1]]).astype(np.int64)
+            scores = (rows @ v).astype(np.int64)
         else:
             scores = products(v[None, :], rows)[0]
         kept = ids[near]
