@@ -4,7 +4,8 @@ Lines are hashed; blank ones do not count. From every line on, the shortest run
 Within every stretch of ``guarantee - noise`` words the smallest gram hash is a fingerprint, so every repeated run of
 ``guarantee`` words or more has a fingerprint wherever it stands, and nothing shorter than ``noise`` words is ever
 matched. Each fingerprint is joined to the first place where its gram stands; the match is extended line by line to
-both sides, and the later run is deleted. A deleted line always equals an earlier one, so each text stays somewhere once.
+both sides, and the later run is deleted. So of a repeated run at least ``noise`` words go; a short line at its edge goes only if
+it also stands beside the first place. A deleted line always equals an earlier one, so each text stays somewhere once.
 
 DataFrame functions only. Texts are read twice and shuffled once; everything between handles hashes and places.
 """
@@ -25,13 +26,12 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def fingerprints(docs: DataFrame, doc: list[str], text: str, noise: int = NOISE, guarantee: int = GUARANTEE) -> DataFrame:
-    """(*doc, pos, gram, size, left, around): the selected grams.
+def grams(docs: DataFrame, doc: list[str], text: str, noise: int = NOISE, guarantee: int = GUARANTEE) -> DataFrame:
+    """(*doc, pos, at, hash, words, gram, size, chosen) per non-blank line.
 
-    ``pos`` counts the non-blank lines; the gram spans ``size`` lines; ``around`` holds (hash, at) of the lines about it, of which
-    ``left`` come before it; ``at`` is the line's place in the text.
+    ``pos`` counts the non-blank lines, ``at`` all lines; the gram from the line on spans ``size`` lines and is null where
+    the text ends before ``noise`` words; ``chosen`` marks the fingerprints.
     """
-    before, after = guarantee - noise, 2 * guarantee
     rows = docs.select(*doc, F.posexplode(_lines(F.col(text))).alias("at", "line"))
     rows = rows.withColumn("line", F.trim("line", F.lit(" \t\r\f\x0b"))).filter("line <> ''")
     words = F.size(F.split("line", r"[ \t\r\f\x0B]+"))
@@ -41,25 +41,17 @@ def fingerprints(docs: DataFrame, doc: list[str], text: str, noise: int = NOISE,
     again = F.lag("at").over(per.orderBy("at"))
     rows = rows.withColumn("again", F.coalesce(again == F.col("at"), F.lit(False))).filter("NOT again").drop("again")
     upto = per.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumns(
-        {
-            "pos": F.row_number().over(per.orderBy("at")),
-            "done": F.coalesce(F.sum("words").over(upto), F.lit(0)),
-            "around": F.collect_list(F.struct("hash", "at")).over(per.orderBy("at").rowsBetween(-before, after)),
-        }
-    )
+    rows = rows.withColumns({"pos": F.row_number().over(per.orderBy("at")), "done": F.coalesce(F.sum("words").over(upto), F.lit(0))})
     # Every line has a word or more, so the words before a line tell the lines apart and order them.
     span = per.orderBy("done").rangeBetween(0, noise - 1)
-    rows = rows.withColumns({"size": F.count("*").over(span), "held": F.sum("words").over(span)})
-    rows = rows.withColumn("left", F.least(F.col("pos") - 1, F.lit(before)))
-    own = F.transform(F.slice("around", F.col("left") + 1, F.col("size")), lambda x: x["hash"])
-    rows = rows.withColumn("gram", F.when(F.col("held") >= noise, F.xxhash64(own)))
+    rows = rows.withColumns({"own": F.collect_list("hash").over(span), "held": F.sum("words").over(span)})
+    rows = rows.select(*doc, "pos", "at", "hash", "words", "done", F.size("own").alias("size"), F.when(F.col("held") >= noise, F.xxhash64("own")).alias("gram"))
     # Of equal hashes in a stretch the last one counts, as usual in winnowing.
-    least = F.min(F.when(F.col("gram").isNotNull(), F.struct("gram", -F.col("pos"))))
-    rows = rows.withColumn("least", least.over(per.orderBy("done").rangeBetween(0, guarantee - noise)))
-    chosen = F.collect_set(-F.col("least")["col2"]).over(per.orderBy("done").rangeBetween(noise - guarantee, 0))
-    rows = rows.withColumn("chosen", F.array_contains(chosen, F.col("pos")))
-    return rows.filter("chosen AND gram IS NOT NULL").select(*doc, "pos", "gram", "size", "left", "around")
+    least = F.min(F.when(F.col("gram").isNotNull(), F.struct("gram", (-F.col("pos")).alias("minus"))))
+    rows = rows.withColumn("least", -least.over(per.orderBy("done").rangeBetween(0, guarantee - noise))["minus"])
+    picked = F.collect_set("least").over(per.orderBy("done").rangeBetween(noise - guarantee, 0))
+    chosen = F.col("gram").isNotNull() & F.array_contains(picked, F.col("pos"))
+    return rows.withColumn("chosen", chosen).drop("done", "least")
 
 
 def _agreeing(x: Column, y: Column) -> Column:
@@ -69,24 +61,41 @@ def _agreeing(x: Column, y: Column) -> Column:
     return F.when(miss > 0, miss - 1).otherwise(F.size(both)).cast("int")
 
 
-def repeats(prints: DataFrame, doc: list[str]) -> DataFrame:
-    """(*doc, at): the lines to delete, those of every run that matches an earlier one."""
-    place = F.struct(*doc, "pos", "left", "around")
-    first = prints.groupBy("gram").agg(F.min(place).alias("first"), F.count("*").alias("times")).filter("times > 1")
-    met = prints.join(first.select("gram", "first"), "gram")
-    later = ~F.struct(*doc, "pos").eqNullSafe(F.struct(*[F.col("first")[c].alias(c) for c in [*doc, "pos"]]))
-    hashes = lambda c: F.transform(c, lambda x: x["hash"])
-    rest = lambda around, left: F.slice(hashes(around), left + F.col("size") + 1, F.size(around))
-    head = lambda around, left: F.reverse(F.slice(hashes(around), F.lit(1), left))
-    theirs, their_left = F.col("first")["around"], F.col("first")["left"]
-    met = met.filter(later).withColumns(
-        {
-            "fore": _agreeing(head(F.col("around"), F.col("left")), head(theirs, their_left)),
-            "aft": _agreeing(rest(F.col("around"), F.col("left")), rest(theirs, their_left)),
-        }
+def _within(lines: Column, limit: int) -> Column:
+    """Hashes of the leading lines (hash, words) that begin within ``limit`` words."""
+    empty = F.struct(F.lit(0).cast("bigint").alias("words"), F.array().cast("array<bigint>").alias("hashes"))
+    grow = lambda s, x: F.when(
+        s["words"] < limit, F.struct((s["words"] + x["words"]).alias("words"), F.concat(s["hashes"], F.array(x["hash"])).alias("hashes"))
+    ).otherwise(s)
+    return F.aggregate(lines, empty, grow)["hashes"]
+
+
+def repeats(lines: DataFrame, doc: list[str], noise: int = NOISE, guarantee: int = GUARANTEE) -> DataFrame:
+    """(*doc, pos): the lines to delete, those of every run that matches an earlier one.
+
+    A run reaches at most ``guarantee - noise`` words before its first fingerprint and ``guarantee`` words behind the gram of
+    its last one, so matches need not be extended farther than that from any fingerprint.
+    """
+    prints = lines.filter("chosen").select(*doc, "pos", "gram", "size")
+    first = prints.groupBy("gram").agg(F.min(F.struct(*doc, "pos")).alias("first"), F.count("*").alias("times")).filter("times > 1")
+    met = prints.join(first.select("gram", "first"), "gram").filter(~F.struct(*doc, "pos").eqNullSafe(F.col("first"))).drop("gram")
+    whole = stored(lines.groupBy(*doc).agg(F.array_sort(F.collect_list(F.struct("pos", "hash", "words"))).alias("lines")), "lines_of")
+    reach, before, after = F.col("pos") + F.col("size"), guarantee - noise, guarantee
+    head = F.reverse(F.slice("lines", F.greatest(F.lit(1), F.col("pos") - before), F.least(F.col("pos") - 1, F.lit(before))))
+    # Neighbours are cut out at once, so that no whole text's lines travel on with a match.
+    near = met.join(whole, doc).select(
+        *doc, "pos", "size", "first", _within(head, before).alias("head"), _within(F.slice("lines", reach, F.lit(after)), after).alias("tail")
     )
-    run = F.slice("around", F.col("left") - F.col("fore") + 1, F.col("fore") + F.col("size") + F.col("aft"))
-    return met.select(*doc, F.explode(run).alias("line")).select(*doc, F.col("line.at").alias("at")).distinct()
+    theirs = whole.select(*[F.col(c).alias("f" + c) for c in doc], "lines")
+    same = [F.col("first")[c] == F.col("f" + c) for c in doc]
+    met = near.join(theirs, same)
+    place = F.col("first")["pos"]
+    hashes = lambda c: F.transform(c, lambda x: x["hash"])
+    their_head = F.reverse(F.slice("lines", F.greatest(F.lit(1), place - before), F.least(place - 1, F.lit(before))))
+    fore = _agreeing(F.col("head"), hashes(their_head))
+    aft = _agreeing(F.col("tail"), hashes(F.slice("lines", place + F.col("size"), F.lit(after))))
+    run = met.select(*doc, (F.col("pos") - fore).alias("start"), (reach + aft - 1).alias("end"))
+    return run.select(*doc, F.explode(F.sequence("start", "end")).alias("pos")).distinct()
 
 
 def without(lines: Column, drop: Column) -> Column:
@@ -109,7 +118,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", noi
     keyed = docs.withColumns({last: F.col(id_col).isNull(), own: F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)), mark: F.xxhash64(F.col(text))})
     key = [last, own, mark]
     distinct = keyed.filter(F.col(text).isNotNull()).select(*key, text)
-    gone = repeats(stored(fingerprints(distinct, key, text, noise, guarantee), "fingerprints"), key)
+    rows = stored(grams(distinct, key, text, noise, guarantee), "lines")
+    gone = repeats(rows, key, noise, guarantee).join(rows.select(*key, "pos", "at"), [*key, "pos"])
     per_doc = gone.groupBy(*key).agg(F.array_sort(F.collect_set("at")).alias(drop))
     joined = keyed.join(per_doc, key, "left")
     left = F.array_join(without(_lines(F.col(text)), F.col(drop)), "\n")
