@@ -8,9 +8,9 @@
    its hubs only, so pairs stay linear in the members however large a group of copies is.
 3. Pairs are estimated by the joint likelihood of their registers; those clearly below the threshold go. The rest is
    verified on the whole sets.
-4. Buckets that still hold several components are contested. There, the shingles that a node shares with any other node
-   bound its similarity to every node of a given size; whatever pairs this leaves open is estimated and verified too. So no
-   link between nodes of a bucket is lost, up to the estimate's margin of ``MARGIN`` standard errors.
+4. Buckets that still hold several components are contested. There, what a node shares with the hub, and with any other node
+   outside it, bounds its similarity to every other member; whatever pairs this leaves open is estimated and verified too. So
+   no link between nodes of a bucket is lost, up to the estimate's margin of ``MARGIN`` standard errors.
 """
 
 from __future__ import annotations
@@ -196,13 +196,18 @@ def set_table(docs: DataFrame, id_col: str, text: str, words: int, wanted: DataF
     return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
-def links_of(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets reach the threshold."""
+def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, inter, na, nb) from the whole sets of each pair."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     met = pairs.join(left, "a").join(right, "b")
     inter = F.size(F.array_intersect("sa", "sb"))
-    return met.withColumn("inter", inter).filter(F.col("inter") * 100 >= percent * (F.size("sa") + F.size("sb") - F.col("inter"))).select("a", "b")
+    return met.select("a", "b", inter.alias("inter"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
+
+
+def links_of(pairs: DataFrame, percent: int) -> DataFrame:
+    """The measured pairs that reach the threshold."""
+    return pairs.filter(F.col("inter") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("inter"))).select("a", "b")
 
 
 def sizes_fit(x: Column, y: Column, percent: int) -> Column:
@@ -226,38 +231,47 @@ def buckets(nodes: DataFrame) -> DataFrame:
     return met.select("bucket", "node", "n").join(mass, "node")
 
 
-def contested_pairs(members: DataFrame, roots: DataFrame, shared: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes in a bucket that are in different components and that no bound rules out.
+def contested_pairs(grouped: DataFrame, shared: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes under one hub that are in different components and that no bound rules out.
 
-    ``shared`` holds (node, common): the number of a node's shingles that any other node has too. For nodes x and y the
-    intersection is at most the smaller common number, which leaves an interval of sizes for y given x. Nodes are met by
-    bucket and size class, so only classes inside the interval are looked at.
+    ``grouped`` holds (hub, node, n, root), ``shared`` (node, common), the number of a node's shingles that any other node
+    has too, and ``tried`` the measured pairs with hubs. Two nodes share at most the smaller of their
+    intersections with the hub, and outside it at most the smaller number of other common shingles; so nearly all
+    members that only resemble the hub are settled by counts. The common number also leaves an interval of sizes for a
+    partner: nodes are met by hub and size class, so only classes inside the interval are looked at.
     """
-    placed = members.join(roots, "node").join(shared, "node")
-    share = placed.groupBy("bucket", "root").agg(F.count("*").alias("size"))
-    main = share.groupBy("bucket").agg(F.max(F.struct("size", "root"))["root"].alias("main"))
-    placed = placed.join(main, "bucket").filter(F.col("common") * 100 >= F.col("n") * percent)
+    seen = tried.select("a", "b", "inter").union(tried.select("b", "a", "inter")).toDF("hub", "node", "inter")
+    placed = grouped.join(shared, "node").join(seen, ["hub", "node"], "left")
+    own = F.col("node") == F.col("hub")
+    placed = placed.withColumns(
+        {
+            "core": F.when(own, F.col("n")).otherwise(F.coalesce("inter", "common")),
+            "rest": F.when(own, F.lit(0)).otherwise(F.col("common") - F.coalesce("inter", F.lit(0))),
+        }
+    )
+    share = placed.groupBy("hub", "root").agg(F.count("*").alias("size"))
+    main = share.groupBy("hub").agg(F.max(F.struct("size", "root"))["root"].alias("main"))
+    placed = placed.join(main, "hub").filter(F.col("common") * 100 >= F.col("n") * percent)
     low = F.ceil(F.col("n") * percent / 100)
     high = F.floor(F.least(F.col("n") * 100 / percent, F.col("common") * (100 + percent) / percent - F.col("n")))
     level = lambda c: F.floor(F.log(c.cast("double")) / math.log(SIZE_STEP)).cast("int")
+    columns = ("node", "n", "core", "rest", "root")
     seekers = (
         placed.filter("root <> main")
         .withColumns({"low": low, "high": high})
         .filter("low <= high")
         .withColumn("level", F.explode(F.sequence(level(F.col("low")) - 1, level(F.col("high")) + 1)))
-        .select("bucket", "level", "low", "high", *[F.col(c).alias("x_" + c) for c in ("node", "n", "common", "root")])
-    )
-    sought = placed.withColumn("level", level(F.col("n"))).select(
-        "bucket", "level", "main", *[F.col(c).alias("y_" + c) for c in ("node", "n", "common", "root")]
+        .select("hub", "level", "low", "high", *[F.col(c).alias("x_" + c) for c in columns])
     )
-    most = F.least("x_common", "y_common")
+    sought = placed.withColumn("level", level(F.col("n"))).select("hub", "level", "main", *[F.col(c).alias("y_" + c) for c in columns])
+    most = F.least("x_core", "y_core") + F.least("x_rest", "y_rest")
     open_ = (
         (F.col("x_root") != F.col("y_root"))
         & F.col("y_n").between(F.col("low"), F.col("high"))
         & (most * 100 >= percent * (F.col("x_n") + F.col("y_n") - most))
         & ((F.col("y_root") == F.col("main")) | (F.col("x_node") < F.col("y_node")))
     )
-    keys = (seekers["bucket"] == sought["bucket"]) & (seekers["level"] == sought["level"])
+    keys = (seekers["hub"] == sought["hub"]) & (seekers["level"] == sought["level"])
     found = seekers.join(sought, keys & open_).select(*ordered(F.col("x_node"), F.col("y_node"))).distinct()
     return found.join(tried, ["a", "b"], "left_anti")
 
@@ -292,21 +306,23 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wor
         return stored(set_table(docs, id_col, text, words, wanted), "sets")
 
     ends = open_.select(F.col("a").alias("node")).union(open_.select(F.col("b").alias("node"))).distinct()
-    links = stored(links_of(open_, sets_for(ends), percent), "links")
+    tried = stored(measured(open_, sets_for(ends)), "measured")
+    links = links_of(tried, percent)
     grown = nodes.select("node").join(components(links, "a", "b"), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     roots = stored(grown, "roots")
 
     several = (
         members.join(roots, "node").groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("bucket")
     )
-    contested = stored(members.join(several, "bucket", "left_semi"), "contested")
+    under = members.join(several, "bucket", "left_semi").join(hub, "bucket").select(F.col("hub.node").alias("hub"), "node", "n").distinct()
+    contested = stored(under.join(roots, "node"), "contested")
     sets = sets_for(contested.select("node").distinct())
     spread = sets.select("node", F.explode("shingles").alias("shingle"))
     lone = spread.groupBy("shingle").agg(F.count("*").alias("times"), F.first("node").alias("node")).filter("times = 1")
     alone = lone.groupBy("node").agg(F.count("*").alias("lone"))
     shared = sets.join(alone, "node", "left").select("node", (F.size("shingles") - F.coalesce("lone", F.lit(0))).alias("common"))
-    left_open = stored(contested_pairs(contested, roots, shared, stars, percent), "contested_pairs")
-    late = links_of(likely(left_open, nodes, percent), sets, percent)
+    left_open = stored(contested_pairs(contested, shared, tried, percent), "contested_pairs")
+    late = links_of(measured(likely(left_open, nodes, percent), sets), percent)
     final = components(links.union(late), "a", "b")
 
     placed = rows.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
