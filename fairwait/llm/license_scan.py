@@ -1,8 +1,8 @@
 """Licences of files by sparse TF-IDF cosine to templates, and inheritance from directories.
 
 DataFrame functions only. Every line of every text is looked at. A template's heaviest words, taken until the others
-together weigh too little to reach the threshold, are its cues: a segment without any of them cannot match, so only lines
-with a cue go on. Segments are such lines, runs of neighbouring ones, and whole licence files. A segment's words are joined to the
+together weigh too little to reach the threshold, are its cues: a segment without any of them cannot match. Segments are lines
+with a cue, runs of neighbouring lines that are mostly words of templates, and whole licence files. A segment's words are joined to the
 templates' words, and products add up to the cosine. A file takes its best segment's licence; a file without one takes that of
 the nearest directory above it that has a licence file.
 """
@@ -66,16 +66,23 @@ def cues(weights: DataFrame, threshold: float) -> list[str]:
     return sorted(r["word"] for r in rows)
 
 
-def segments(files: DataFrame, key: list[str], text: str, cue_words: list[str], license_file: Column) -> DataFrame:
-    """(*key, segment, chars, words): lines with a cue, runs of several neighbouring ones, and whole licence files."""
+def segments(files: DataFrame, key: list[str], text: str, cue_words: list[str], known: list[str], license_file: Column) -> DataFrame:
+    """(*key, segment, chars, words): lines with a cue, runs of several lines, and whole licence files.
+
+    A notice may be wrapped: neighbouring lines of which at least half the words are ``known`` from templates make a run,
+    if one of them has a cue.
+    """
     cued = lambda line: F.exists(F.split(F.lower(line), "[^a-z0-9]+"), lambda w: w.isin(cue_words))
     lines = F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.struct(i.alias("at"), x.alias("line")))
-    rows = files.select(*key, F.explode(F.filter(lines, lambda x: cued(x["line"]))).alias("x")).select(*key, "x.at", "x.line").distinct()
+    mostly = lambda line: F.size(F.filter(words_of(line), lambda w: w.isin(known))) * 2 >= F.greatest(F.size(words_of(line)), F.lit(1))
+    near = F.filter(F.transform(lines, lambda x: F.struct(x["at"], x["line"], cued(x["line"]).alias("cue"), mostly(x["line"]).alias("mostly"))), lambda x: x["cue"] | x["mostly"])
+    near = F.when(F.exists(near, lambda x: x["cue"]), near)
+    rows = files.select(*key, F.explode(near).alias("x")).select(*key, "x.at", "x.line", "x.cue", "x.mostly").distinct()
     place = Window.partitionBy(*key).orderBy("at")
-    rows = rows.withColumn("run", F.col("at") - F.row_number().over(place))
-    single = rows.select(*key, F.format_string("line %d", "at").alias("segment"), F.length("line").alias("chars"), words_of(F.col("line")).alias("words"))
+    single = rows.filter("cue").select(*key, F.format_string("line %d", "at").alias("segment"), F.length("line").alias("chars"), words_of(F.col("line")).alias("words"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n")
-    runs = rows.groupBy(*key, "run").agg(F.min("at").alias("at"), F.count("*").alias("n"), joined.alias("line")).filter("n > 1")
+    close = rows.filter("mostly").withColumn("run", F.col("at") - F.row_number().over(place))
+    runs = close.groupBy(*key, "run").agg(F.min("at").alias("at"), F.count("*").alias("n"), F.max("cue").alias("cue"), joined.alias("line")).filter("n > 1 AND cue")
     several = runs.select(*key, F.format_string("run %d", "at").alias("segment"), F.length("line").alias("chars"), words_of(F.col("line")).alias("words"))
     whole = files.filter(license_file & cued(F.col(text))).select(*key, F.lit("file").alias("segment"), F.length(text).alias("chars"), words_of(F.col(text)).alias("words")).distinct()
     return single.unionByName(several).unionByName(whole)
@@ -103,11 +110,12 @@ def scan(
     key = ["_path", "_hash"]
     keyed = files.withColumns({"_path": F.coalesce(F.col(path), F.lit("")), "_hash": F.xxhash64(F.col(text))})
     named = F.col("_path").rlike(FILE_NAME)
-    parts = stored(segments(keyed.filter(F.col(text).isNotNull()), key, text, cues(weights, threshold), named), "segments")
+    words = sorted(r["word"] for r in idf.select("word").collect())  # the templates' own words
+    parts = stored(segments(keyed.filter(F.col(text).isNotNull()), key, text, cues(weights, threshold), words, named), "segments")
 
     # Counts of a segment's words, then their weights; words outside the templates count for the length only.
-    words = parts.select(*key, "segment", "chars", F.explode("words").alias("word"))
-    counted = words.groupBy(*key, "segment", "chars", "word").agg(F.count("*").alias("tf"))
+    listed = parts.select(*key, "segment", "chars", F.explode("words").alias("word"))
+    counted = listed.groupBy(*key, "segment", "chars", "word").agg(F.count("*").alias("tf"))
     valued = counted.join(idf, "word", "left").withColumn("raw", F.col("tf") * F.coalesce("idf", unseen))
     valued = stored(valued.select(*key, "segment", "chars", "word", "raw"), "words")
     length = valued.groupBy(*key, "segment").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"), F.first("chars").alias("chars"))
