@@ -76,6 +76,23 @@ def op8_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+ORACLE["op8_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, shingle FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS shingle FROM w)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM met JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * m >= 80 * (x.n + y.n - m)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+"""
+
+
 @query
 def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All documents in sequences of 1024 tokens, piece by piece."""
