@@ -137,3 +137,42 @@ def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
     path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string"))
     files = table(spark, sf, "documents").select("doc_id", path.alias("path"), "text")
     return license_scan.scan(files).select("doc_id", "license", F.round("score", 6).alias("score"), "origin", "origin_path")
+
+
+_WORDS = "list_filter(string_split_regex(lower({}), '[^a-z0-9]+'), lambda x: x <> '')"
+_TEMPLATES = ", ".join(f"('{name}', '{text}')" for name, text in license_scan.TEMPLATES.items())
+# Every line is scored here, with or without a cue: cues only save work.
+ORACLE["op10_licenses"] = f"""
+WITH t(license, text) AS (VALUES {_TEMPLATES}),
+tc AS (SELECT license, word, count(*) AS tf FROM (SELECT license, unnest({_WORDS.format("text")}) AS word FROM t) GROUP BY ALL),
+idf AS (SELECT word, ln({1 + len(license_scan.TEMPLATES)}.0 / (1 + count(*))) + 1 AS idf FROM tc GROUP BY word),
+weights AS (SELECT license, word, r / sqrt(sum(r * r) OVER (PARTITION BY license)) AS weight
+  FROM (SELECT license, word, tf * idf AS r FROM tc JOIN idf USING (word))),
+files AS (SELECT doc_id, source || '/' || (doc_id // 100)::VARCHAR || '/' || doc_id::VARCHAR AS path, text FROM documents),
+lines AS (SELECT doc_id, pos, line, {_WORDS.format("line")} AS words FROM (
+  SELECT doc_id, unnest(range(len(l))) AS pos, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM files))),
+near AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run
+  FROM lines JOIN (SELECT list(word) AS known FROM idf) ON true
+  WHERE 2 * len(list_filter(words, lambda x: list_contains(known, x))) >= greatest(len(words), 1)),
+segments AS (
+  SELECT doc_id, 'line' AS kind, pos, length(line) AS chars, words FROM lines
+  UNION ALL SELECT doc_id, 'run', min(pos), length(string_agg(line, chr(10) ORDER BY pos)), flatten(list(words ORDER BY pos))
+    FROM near GROUP BY doc_id, run HAVING count(*) > 1),
+counted AS (SELECT doc_id, kind, pos, chars, word, count(*) AS tf FROM (SELECT doc_id, kind, pos, chars, unnest(words) AS word FROM segments) GROUP BY ALL),
+valued AS (SELECT counted.*, tf * coalesce(idf, ln({1 + len(license_scan.TEMPLATES)}.0) + 1) AS raw FROM counted LEFT JOIN idf USING (word)),
+sized AS (SELECT doc_id, kind, pos, chars, sqrt(sum(raw * raw)) AS size FROM valued GROUP BY ALL),
+dots AS (SELECT doc_id, kind, pos, license, sum(raw * weight) AS dot FROM valued JOIN weights USING (word) GROUP BY ALL),
+scored AS (SELECT *, round(dot / size, 9) AS score FROM dots JOIN sized USING (doc_id, kind, pos) WHERE round(dot / size, 9) >= {license_scan.THRESHOLD}),
+own AS (SELECT doc_id, license, score FROM scored QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) = 1),
+chars AS (SELECT doc_id, greatest(coalesce(sum(chars) FILTER (kind = 'line'), 0), coalesce(sum(chars) FILTER (kind = 'run'), 0)) AS licensed
+  FROM (SELECT DISTINCT doc_id, kind, pos, chars FROM scored) GROUP BY doc_id),
+holders AS (SELECT regexp_extract(path, '^(.*)/', 1) AS folder, license, score, path FROM files JOIN own USING (doc_id) JOIN chars USING (doc_id)
+  WHERE licensed >= {license_scan.FILE_SHARE} * length(text)),
+folders AS (SELECT * FROM holders QUALIFY row_number() OVER (PARTITION BY folder ORDER BY score DESC, path, license) = 1),
+up AS (SELECT doc_id, f.license, f.score, f.path FROM files JOIN folders f ON files.path LIKE f.folder || '/%'
+  WHERE doc_id NOT IN (SELECT doc_id FROM own) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(f.folder) DESC) = 1)
+SELECT doc_id, coalesce(own.license, up.license) AS license, round(coalesce(own.score, up.score), 6) AS score,
+  CASE WHEN own.license IS NOT NULL THEN 'own' WHEN up.license IS NOT NULL THEN 'inherited' END AS origin,
+  CASE WHEN own.license IS NOT NULL THEN files.path ELSE up.path END AS origin_path
+FROM files LEFT JOIN own USING (doc_id) LEFT JOIN up USING (doc_id)
+"""
