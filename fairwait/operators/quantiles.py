@@ -8,7 +8,8 @@ locate the two order statistics around each quantile. The sort and the window sp
 
 Values without such a bound take the ``wide`` form. It counts per bucket of nearby values
 first, of which there is a fixed number, finds the buckets that hold the wanted ranks, and
-looks into those alone.
+looks into those alone; they are cut once more in the same way, so that values that lie close
+together, as latitudes or the timestamps of a month do, do not stay in one bucket.
 """
 
 from __future__ import annotations
@@ -122,14 +123,16 @@ def _rank(hist, part, values, quantiles, carry) -> DataFrame:
     return _running(hist, part, "_v")
 
 
-# Buckets per factor of e. A double has at most 2 * 709 * 256 buckets.
+# Buckets per factor of e. A double has at most 2 * 709 * 256 buckets, each cut into so many parts.
 _FINENESS = 256
+_PARTS = 65_536
 
 
 def _rank_wide(hist, part, values, quantiles, carry) -> DataFrame:
     v = F.col("_v")
-    bucket = (F.signum(v) * F.floor(F.log1p(F.abs(v)) * _FINENESS)).cast("bigint")
-    fine = hist.withColumn("_b", bucket)
+    scale = F.log1p(F.abs(v)) * _FINENESS
+    cut = F.signum(v) * F.floor((scale - F.floor(scale)) * _PARTS)
+    fine = hist.withColumns({"_b": (F.signum(v) * F.floor(scale)).cast("bigint"), "_b2": cut.cast("bigint")})
     kinds = {o: kind for o, (kind, col) in carry.items() if (kind, col) != ("count", "*")}
     carried = [_CARRY[kind][1](F.col(f"_c_{o}")).alias(f"_c_{o}") for o, kind in kinds.items()]
     coarse = _running(fine.groupBy(*part, "_b").agg(F.sum("_n").alias("_n"), *carried), part, "_b")
@@ -150,18 +153,28 @@ def _rank_wide(hist, part, values, quantiles, carry) -> DataFrame:
             here = f"_upto > {rank} and _upto - _n <= {rank}"
             wanted.append(f"(_b is not null and {_of(value, values)} and {here})")
     buckets = coarse.withColumns(totals).filter(" or ".join(wanted)).select(
-        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(part)],
-        F.col("_b").alias("_kb"),
-        (F.col("_upto") - F.col("_n")).alias("_before"),
-        "_total",
-        *totals,
+        *part, "_b", (F.col("_upto") - F.col("_n")).alias("_before"), "_total", *totals
     )
-    # Null-safe throughout: NULL keys are groups, and no filter sets the two sides apart.
-    same = F.col("_b").eqNullSafe(F.col("_kb"))
-    for i, c in enumerate(part):
+    there = _null_safe_join(fine, buckets, [*part, "_b"])
+    # The same once more inside the buckets found.
+    parts = there.groupBy(*part, "_b", "_b2").agg(
+        F.sum("_n").alias("_n"), F.first("_before").alias("_before"), F.first("_total").alias("_total")
+    )
+    upto = W.partitionBy(*part, "_b").orderBy(F.col("_b2").asc_nulls_last()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    parts = parts.withColumn("_upto", F.col("_before") + F.sum("_n").over(upto)).filter(" or ".join(wanted))
+    starts = parts.select(*part, "_b", "_b2", (F.col("_upto") - F.col("_n")).alias("_from"))
+    within = W.partitionBy(*part, "_b", "_b2").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = _null_safe_join(there, starts, [*part, "_b", "_b2"])
+    return found.withColumn("_upto", F.col("_from") + F.sum("_n").over(within))
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on all keys: NULL keys are groups too, and no filter sets the two sides apart."""
+    named = right.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(keys)})
+    same = F.lit(True)
+    for i, c in enumerate(keys):
         same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
-    within = W.partitionBy(*part, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return fine.join(buckets, same).withColumn("_upto", F.col("_before") + F.sum("_n").over(within))
+    return left.join(named, same).drop(*[f"_k{i}" for i in range(len(keys))])
 
 
 def _totals(ranked: DataFrame, values, out: str, kind: str, col: str) -> Column:

@@ -81,3 +81,24 @@ def test_wide_looks_into_few_buckets(spark):
         group = [v for i, v in enumerate(values) if ("a" if i % 3 else "b") == row["k"]]
         assert row["n"] == len(group)
         assert [row["p10"], row["p50"], row["p99"]] == pytest.approx(list(np.percentile(group, [10, 50, 99])))
+
+
+@pytest.mark.parametrize("low,high", [(40.5, 40.9), (1.7e15, 1.7e15 + 2.6e12), (-74.3, -73.7), (-0.003, 0.003)])
+def test_wide_form_over_a_narrow_band(spark, low, high):
+    rng = np.random.default_rng(1)
+    values = np.concatenate([rng.uniform(low, high, 3000), [0.0, 1e18, -1e18]])
+    df = spark.createDataFrame([("a", float(v)) for v in values], "k string, v double")
+    named = {f"p{p}": ("v", p / 100) for p in (0, 1, 50, 90, 100)}
+    got = grouped_quantiles(df, ["k"], named, wide=True).first()
+    for p in (0, 1, 50, 90, 100):
+        assert got[f"p{p}"] == pytest.approx(np.percentile(values, p), rel=1e-12)
+
+
+def test_no_part_of_a_narrow_band_holds_many_values(spark):
+    from fairwait.operators import quantiles as q
+
+    v = F.lit(40.5) + F.col("id") * 0.4 / 100_000
+    hist = spark.range(100_000).select(v.alias("_v"))
+    scale = F.log1p(F.abs("_v")) * q._FINENESS
+    parts = hist.groupBy(F.floor((scale - F.floor(scale)) * q._PARTS)).count()
+    assert parts.agg(F.max("count")).first()[0] <= 20

@@ -149,6 +149,15 @@ def _(spark, sf):
     )
 
 
+# Values in a narrow band, as latitudes are.
+@query("grouped_quantiles_narrow", "l_returnflag:s p50:d p90:d", """
+  SELECT l_returnflag, quantile_cont(40.5::DOUBLE + l_extendedprice / 1000000, 0.50) AS p50,
+         quantile_cont(40.5::DOUBLE + l_extendedprice / 1000000, 0.90) AS p90 FROM lineitem GROUP BY ALL""")
+def _(spark, sf):
+    rows = b.table(spark, sf, "lineitem").withColumn("latitude", F.lit(40.5) + F.col("l_extendedprice") / 1_000_000)
+    return grouped_quantiles(rows, ["l_returnflag"], {"p50": ("latitude", 0.5), "p90": ("latitude", 0.9)}, wide=True)
+
+
 @query("dedup_latest", "l_orderkey:i l_linenumber:i l_partkey:i l_suppkey:i l_quantity:d l_shipdate:t", """
   SELECT * FROM lineitem
   QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST,
