@@ -92,6 +92,7 @@ class Vocabulary:
         self.byte_ids = [self.id_of.get(bytes([b])) for b in range(256)]
         self.byte_table = np.array([-1 if i is None else i for i in self.byte_ids], dtype=np.int64)
         self.sound = self._sound()
+        self._tree()
         # The longest token with given first three bytes; where there is none, tokens have two bytes at most.
         self.reach: dict[bytes, int] = {}
         for token in self.sound:
@@ -141,9 +142,12 @@ class Vocabulary:
                     heappush(heap, (ranks[parts[i], parts[j]][0], i, (parts[i], parts[j])))
         return [i for i in parts if i >= 0]
 
-    def exact_batch(self, words: list[bytes]) -> list[np.ndarray]:
-        """``exact`` of many short words at once: in each round every word merges its lowest-ranked pairs."""
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+    def exact_batch(self, words: list[bytes]) -> list[bytes]:
+        """``exact`` of many short words at once: in each round every word merges its lowest-ranked pairs.
+
+        Returns the ids as little-endian 32-bit integers.
+        """
+        out = [b""] * len(words)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         tok = self.byte_table[np.frombuffer(b"".join(words), np.uint8)]
         owner = np.repeat(np.arange(len(words)), sizes)[tok >= 0]
@@ -155,8 +159,9 @@ class Vocabulary:
             least = np.minimum.reduceat(rank, starts)
             done = least == _NEVER
             if done.any():
-                for s, n in zip(starts[done].tolist(), lengths[done].tolist()):
-                    out[owner[s]] = tok[s : s + n]
+                raw = tok.astype("<i4").tobytes()
+                for w, s, n in zip(owner[starts[done]].tolist(), starts[done].tolist(), lengths[done].tolist()):
+                    out[w] = raw[4 * s : 4 * (s + n)]
                 rest = np.repeat(~done, lengths)
                 tok, owner, rank, merged = tok[rest], owner[rest], rank[rest], merged[rest]
                 least, lengths = least[~done], lengths[~done]
@@ -199,6 +204,59 @@ class Vocabulary:
                 return None
         return out
 
+    def propose_batch(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``propose`` of many words at once: (word, token) in the words' order, and which words have no proposal.
+
+        All words walk down a tree of the tokens byte by byte; where a word can go no further, the longest token on its way
+        is taken, and it starts again behind that.
+        """
+        data = np.frombuffer(b"".join(words) + b"\0", np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        at = np.r_[0, ends[:-1]]
+        live = np.flatnonzero(at < ends)
+        node, token, taken = np.zeros(len(words), np.int64), np.full(len(words), -1, np.int64), at.copy()
+        none = np.zeros(len(words), bool)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(live):
+            here, inside = at[live], at[live] < ends[live]
+            key = node[live] * 256 + data[np.where(inside, here, 0)]
+            place = np.minimum(np.searchsorted(self.tree_keys, key), len(self.tree_keys) - 1)
+            goes = inside & (self.tree_keys[place] == key)
+            on, child = live[goes], self.tree_next[place[goes]]
+            node[on] = child
+            at[on] += 1
+            ids = self.tree_token[child]
+            whole = ids >= 0
+            token[on[whole]], taken[on[whole]] = ids[whole], at[on[whole]]
+            off = live[~goes]
+            lost = token[off] < 0
+            none[off[lost]] = True
+            off = off[~lost]
+            found.append((off, token[off]))
+            at[off], node[off], token[off] = taken[off], 0, -1
+            live = live[~none[live] & ((at[live] < ends[live]) | (token[live] >= 0) | (node[live] > 0))]
+        owner, ids = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+        order = np.argsort(owner, kind="stable")
+        return owner[order], ids[order], none
+
+    def _tree(self) -> None:
+        """The tokens as a tree: keys (node, byte) in order, the node each leads to, and the token that ends there."""
+        follow: dict[int, int] = {}
+        ends = [-1]
+        for word, i in self.sound.items():
+            node = 0
+            for byte in word:
+                key = node * 256 + byte
+                if key not in follow:
+                    follow[key] = len(ends)
+                    ends.append(-1)
+                node = follow[key]
+            ends[node] = i
+        keys = np.fromiter(follow, np.int64, len(follow))
+        order = np.argsort(keys)
+        self.tree_keys, self.tree_token = keys[order], np.array(ends, np.int64)
+        self.tree_next = np.fromiter(follow.values(), np.int64, len(follow))[order]
+
     def merge_rank(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Rank at which the pairs merge; _NEVER if they do not."""
         keys = x * self.size + y
@@ -235,26 +293,34 @@ class Vocabulary:
             until[live[second]] = rv[second] + 1
         return good
 
-    def learn(self, words: list[str]) -> None:
-        """Tokens of new words into the store."""
+    def stays(self, ids: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """The owners of which some adjacent pair of tokens does not stay apart."""
+        inside = np.flatnonzero(owner[1:] == owner[:-1])
+        pairs, back = np.unique(ids[inside] * self.size + ids[inside + 1], return_inverse=True)
+        return owner[inside[~self.apart(pairs // self.size, pairs % self.size)[back]]]
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """Token ids of the words, as little-endian 32-bit integers."""
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
-        guesses = [self.propose(w) for w in raw]
-        known = [i for i, g in enumerate(guesses) if g is not None]
-        sizes = np.array([len(guesses[i]) for i in known], dtype=np.int64)
-        flat = np.fromiter(chain.from_iterable(guesses[i] for i in known), np.int64, int(sizes.sum()))
-        owner = np.repeat(np.array(known, dtype=np.int64), sizes)
-        wrong = np.ones(len(words), bool)
-        wrong[known] = False
-        if len(flat) > 1:
-            inside = np.flatnonzero(owner[1:] == owner[:-1])
-            pairs, back = np.unique(flat[inside] * self.size + flat[inside + 1], return_inverse=True)
-            bad = ~self.apart(pairs // self.size, pairs % self.size)[back]
-            wrong[owner[inside[bad]]] = True
-        short = [i for i in np.flatnonzero(wrong).tolist() if len(raw[i]) <= SHORT_BYTES]
-        merged = dict(zip(short, self.exact_batch([raw[i] for i in short])))
-        for i, w in enumerate(words):
-            ids = guesses[i] if not wrong[i] else merged[i] if i in merged else self.exact(raw[i])
-            self.words[w] = np.asarray(ids, np.int32).tobytes() if i in merged else array("i", ids).tobytes()
+        short = [i for i, w in enumerate(raw) if len(w) <= SHORT_BYTES]
+        out: list[bytes] = [b""] * len(words)
+        if len(short) < len(words):
+            for i in set(range(len(words))).difference(short):
+                ids = self.propose(raw[i])
+                if ids is None or len(self.stays(np.array(ids, np.int64), np.zeros(len(ids), np.int64))):
+                    ids = self.exact(raw[i])
+                out[i] = array("i", ids).tobytes()
+        few = [raw[i] for i in short]
+        owner, ids, wrong = self.propose_batch(few)
+        wrong[self.stays(ids, owner)] = True
+        flat, cuts = ids.astype("<i4").tobytes(), np.searchsorted(owner, np.arange(len(few) + 1)) * 4
+        for i, bad, a, z in zip(short, wrong.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
+            if not bad:
+                out[i] = flat[a:z]
+        again = np.flatnonzero(wrong).tolist()
+        for k, found in zip(again, self.exact_batch([few[k] for k in again])):
+            out[short[k]] = found
+        return dict(zip(words, out))
 
     def cut_up(self, text: str) -> list[str]:
         """Words and special tokens of a text, in order."""
@@ -271,11 +337,17 @@ class Vocabulary:
         """Token ids of each text, as little-endian 32-bit integers."""
         cut = [self.cut_up(text) for text in batch]
         met = set().union(*cut)
-        if len(self.words) + len(met) > MEMORY_WORDS:
-            self.words = {w: self.words[w] for w in met if w in self.words}
-        self.words |= self.named
-        self.learn([w for w in met if w not in self.words])
-        get = self.words.__getitem__
+        # The batch's own words in a small table: most lookups then stay in the processor's cache.
+        known = self.words.get
+        here = {w: known(w) for w in met}
+        new = self.learn([w for w, ids in here.items() if ids is None and w not in self.named])
+        here |= new
+        here |= self.named
+        if len(self.words) + len(new) > MEMORY_WORDS:
+            self.words = here.copy()
+        else:
+            self.words |= new
+        get = here.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 
     def decode(self, ids) -> str:

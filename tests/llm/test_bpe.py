@@ -42,7 +42,10 @@ def test_speculation_and_exact_merging_agree():
     rng = random.Random(3)
     words = ["".join(rng.choice("aeinrsthlo") for _ in range(rng.randint(1, 14))).encode() for _ in range(800)]
     batch = v.exact_batch(words)
+    owner, ids, none = v.propose_batch(words)
+    assert not none.any() and [ids[owner == i].tolist() for i in range(len(words))] == [v.propose(w) for w in words]
     for word, found in zip(words, batch):
+        found = np.frombuffer(found, np.int32)
         assert v.exact(word) == found.tolist()
         guess = v.propose(word)
         pairs = np.array(list(zip(guess, guess[1:])), dtype=np.int64).reshape(-1, 2)
