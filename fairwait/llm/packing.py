@@ -68,17 +68,26 @@ def hilbert(cells: np.ndarray) -> np.ndarray:
     return key.astype(np.int64)
 
 
+def id_bytes(size: int, end_id: int) -> int:
+    """Bytes for a token id while documents are moved: two are enough for most vocabularies."""
+    return 2 if max(size - 1, end_id) < 1 << 16 else 4
+
+
 def tokenised(docs: DataFrame, path: str, id_col: str, text: str, end_id: int) -> DataFrame:
-    """(doc_id, key, n, ids) per row: token ids with ``end_id`` last, as little-endian 32-bit integers."""
+    """(doc_id, key, n, ids) per row: token ids with ``end_id`` last, as little-endian integers of ``id_bytes`` bytes."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         table, end = directions(max(v.size, end_id + 1)), np.int32(end_id).tobytes()
         for batch in slices(batches, "text"):
-            ids = [x + end for x in v.encode(texts(batch.column("text")))]
-            n = np.array([len(x) // 4 for x in ids], np.int64)
-            key = hilbert(points(np.frombuffer(b"".join(ids), "<i4"), n, table))
+            coded = [x + end for x in v.encode(texts(batch.column("text")))]
+            n = np.array([len(x) // 4 for x in coded], np.int64)
+            flat = np.frombuffer(b"".join(coded), "<i4")
+            key = hilbert(points(flat, n, table))
+            width = id_bytes(v.size, end_id)
+            raw, cuts = flat.astype(f"<u{width}").tobytes(), (np.r_[0, np.cumsum(n)] * width).tolist()
+            ids = [raw[a:z] for a, z in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(key), pa.array(n), pa.array(ids, pa.binary())], ["doc_id", "key", "n", "ids"]
             )
@@ -126,10 +135,11 @@ def pack(docs: DataFrame, path: str, length: int = 1024, id_col: str = "doc_id",
     edges = np.array(tail, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = f"<u{id_bytes(vocabulary(path).size, end_id)}"
         for batch in slices(batches, "ids"):
             out: list[tuple] = []
             for doc, n, ids, first in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "ids", "at"))):
-                here, end = first, first + n
+                here, end, ids = first, first + n, np.frombuffer(ids, kind).astype("<u4")
                 while here < end:
                     if here < edges[0]:
                         seq, begin = here // length, here - here % length
@@ -138,7 +148,7 @@ def pack(docs: DataFrame, path: str, length: int = 1024, id_col: str = "doc_id",
                         k = int(np.searchsorted(edges, here, side="right")) - 1
                         seq, begin, stop = whole + k, int(edges[k]), int(edges[k + 1])
                     stop = min(stop, end)
-                    out.append((doc, here - first, stop - here, ids[4 * (here - first) : 4 * (stop - first)], n, seq, here - begin))
+                    out.append((doc, here - first, stop - here, ids[here - first : stop - first].tobytes(), n, seq, here - begin))
                     here = stop
             columns = list(zip(*out)) or [[]] * 7
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
