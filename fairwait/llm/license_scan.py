@@ -1,14 +1,15 @@
 """Licences of files by sparse TF-IDF cosine to templates, and inheritance from directories.
 
 DataFrame functions only. Every line of every text is looked at. A template's heaviest words, taken until the others
-together weigh too little to reach the threshold, are its cues: a segment without any of them cannot match. Segments are lines
-with a cue, runs of neighbouring lines that are mostly words of templates, and whole licence files. A segment's words are joined to the
+together weigh too little to reach the threshold, are its cues: a segment without any of them cannot match, nor can one that
+consists too little of words of templates. Segments are the other lines, runs of neighbouring lines that are mostly words of templates, and whole licence files. A segment's words are joined to the
 templates' words, and products add up to the cosine. A file takes its best segment's licence; a file without one takes that of
 the nearest directory above it that has a licence file.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -66,25 +67,50 @@ def cues(weights: DataFrame, threshold: float) -> list[str]:
     return sorted(r["word"] for r in rows)
 
 
-def segments(files: DataFrame, key: list[str], text: str, cue_words: list[str], known: list[str], license_file: Column) -> DataFrame:
-    """(*key, segment, chars, words): lines with a cue, runs of several lines, and whole licence files.
+def segments(files: DataFrame, key: list[str], text: str, cue_words: list[str], idf: dict[str, float], unseen: float, threshold: float, license_file: Column) -> DataFrame:
+    """(*key, segment, chars, words): lines that may match, runs of several lines, and whole licence files.
 
-    A notice may be wrapped: neighbouring lines of which at least half the words are ``known`` from templates make a run,
-    if one of them has a cue.
+    A line may match if it has a cue and words of templates make up enough of its length as a vector: words outside
+    count for nothing in a product, so their share bounds the cosine. A notice may be wrapped: neighbouring
+    lines of which at least half the words are known from templates make a run, if one of them has a cue.
     """
-    cued = lambda line: F.exists(F.split(F.lower(line), "[^a-z0-9]+"), lambda w: w.isin(cue_words))
-    lines = F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.struct(i.alias("at"), x.alias("line")))
-    mostly = lambda line: F.size(F.filter(words_of(line), lambda w: w.isin(known))) * 2 >= F.greatest(F.size(words_of(line)), F.lit(1))
-    near = F.filter(F.transform(lines, lambda x: F.struct(x["at"], x["line"], cued(x["line"]).alias("cue"), mostly(x["line"]).alias("mostly"))), lambda x: x["cue"] | x["mostly"])
+    vocabulary = sorted(idf)
+    table = F.create_map(*[F.lit(x) for w in vocabulary for x in (w, idf[w])])
+    lines = F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.struct(i.alias("at"), x.alias("line"), words_of(x).alias("words")))
+    lines = F.transform(
+        lines, lambda x: F.struct(x["at"], x["line"], x["words"], F.filter(x["words"], lambda w: w.isin(vocabulary)).alias("known"))
+    )
+    cue = lambda x: F.exists(x["known"], lambda w: w.isin(cue_words))
+    mostly = lambda x: F.size(x["known"]) * 2 >= F.greatest(F.size(x["words"]), F.lit(1))
+
+    def known_mass(x: Column) -> Column:
+        """Squared length of the known words: the sum over their occurrences of count times squared idf."""
+        times = lambda w: F.size(F.filter(x["known"], lambda o: o == w))
+        return F.aggregate(x["known"], F.lit(0.0), lambda s, w: s + times(w) * F.pow(F.element_at(table, w), F.lit(2.0)))
+
+    def enough(x: Column) -> Column:
+        others = F.size(F.array_distinct(x["words"])) - F.size(F.array_distinct(x["known"]))
+        mass = known_mass(x)
+        return mass >= (threshold - 1e-6) ** 2 * (mass + others * unseen**2)
+
+    marked = F.transform(
+        F.filter(lines, lambda x: F.size(x["known"]) > 0),
+        lambda x: F.struct(x["at"], x["line"], x["words"], x["known"], cue(x).alias("cue"), mostly(x).alias("mostly")),
+    )
+    marked = F.transform(
+        F.filter(marked, lambda x: x["cue"] | x["mostly"]),
+        lambda x: F.struct(x["at"], x["line"], x["words"], x["cue"], x["mostly"], (x["cue"] & enough(x)).alias("alone")),
+    )
+    near = F.filter(marked, lambda x: x["alone"] | x["mostly"])
     near = F.when(F.exists(near, lambda x: x["cue"]), near)
-    rows = files.select(*key, F.explode(near).alias("x")).select(*key, "x.at", "x.line", "x.cue", "x.mostly").distinct()
+    rows = files.select(*key, F.explode(near).alias("x")).select(*key, "x.*").distinct()
     place = Window.partitionBy(*key).orderBy("at")
-    single = rows.filter("cue").select(*key, F.format_string("line %d", "at").alias("segment"), F.length("line").alias("chars"), words_of(F.col("line")).alias("words"))
+    single = rows.filter("alone").select(*key, F.format_string("line %d", "at").alias("segment"), F.length("line").alias("chars"), "words")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n")
     close = rows.filter("mostly").withColumn("run", F.col("at") - F.row_number().over(place))
     runs = close.groupBy(*key, "run").agg(F.min("at").alias("at"), F.count("*").alias("n"), F.max("cue").alias("cue"), joined.alias("line")).filter("n > 1 AND cue")
     several = runs.select(*key, F.format_string("run %d", "at").alias("segment"), F.length("line").alias("chars"), words_of(F.col("line")).alias("words"))
-    whole = files.filter(license_file & cued(F.col(text))).select(*key, F.lit("file").alias("segment"), F.length(text).alias("chars"), words_of(F.col(text)).alias("words")).distinct()
+    whole = files.filter(license_file).select(*key, F.lit("file").alias("segment"), F.length(text).alias("chars"), words_of(F.col(text)).alias("words")).distinct()
     return single.unionByName(several).unionByName(whole)
 
 
@@ -110,8 +136,9 @@ def scan(
     key = ["_path", "_hash"]
     keyed = files.withColumns({"_path": F.coalesce(F.col(path), F.lit("")), "_hash": F.xxhash64(F.col(text))})
     named = F.col("_path").rlike(FILE_NAME)
-    words = sorted(r["word"] for r in idf.select("word").collect())  # the templates' own words
-    parts = stored(segments(keyed.filter(F.col(text).isNotNull()), key, text, cues(weights, threshold), words, named), "segments")
+    known_idf = {r["word"]: r["idf"] for r in idf.collect()}  # the templates' own words
+    off = math.log(1.0 + len(templates)) + 1
+    parts = stored(segments(keyed.filter(F.col(text).isNotNull()), key, text, cues(weights, threshold), known_idf, off, threshold, named), "segments")
 
     # Counts of a segment's words, then their weights; words outside the templates count for the length only.
     listed = parts.select(*key, "segment", "chars", F.explode("words").alias("word"))
