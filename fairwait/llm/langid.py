@@ -4,6 +4,9 @@ A text is the set of its letter n-grams (a blended spectrum: lengths 1 to 3, pre
 The kernel of two texts is the size of their sets' intersection over the root of the product of their sizes. Nyström landmarks turn it into
 features, on which ridge regression learns one score per language against the rest. Whole batches of texts are
 scored by matrix products.
+
+The scores of all languages add up to 1, so the best one cannot tell an unknown text. That is told by the share of a text's
+n-grams that two rows or more of the sample have: a script that was not learned, or noise, has few of them.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import slices, texts, unused
+from .common import slices, texts
 
 GRAMS = 3
 WIDTH = 1 << 15
@@ -29,6 +32,8 @@ RIDGE = 1e-3
 ROWS_PER_LANGUAGE = 400
 ROWS_IN_ALL = 4096
 UNKNOWN = "und"
+# A floor of known n-grams is lowered to what so large a share of the sample's rows reach, each measured by the others.
+CLEAN = 0.99
 _TEXTS = 64  # texts in a matrix product
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -72,6 +77,8 @@ class Model:
     landmarks: bytes  # packed rows of 0 and 1
     weights: np.ndarray  # landmarks x languages
     bias: np.ndarray
+    known: bytes  # packed 0 and 1 per place: whether two rows or more have it
+    clean: float  # share of known n-grams that nearly all rows reach
 
     def kernel(self, x: np.ndarray) -> np.ndarray:
         marks = np.unpackbits(np.frombuffer(self.landmarks, np.uint8).reshape(-1, WIDTH // 8), axis=1).astype(np.float32)
@@ -80,6 +87,14 @@ class Model:
     def scores(self, x: np.ndarray) -> np.ndarray:
         return self.kernel(x) @ self.weights + self.bias
 
+    def familiar(self, x: np.ndarray) -> np.ndarray:
+        """Share of each row's n-grams that are known."""
+        return share(x, np.unpackbits(np.frombuffer(self.known, np.uint8)))
+
+
+def share(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return (x.astype(np.float32) @ known.astype(np.float32)) / np.maximum(x.sum(1, dtype=np.float64), 1)
+
 
 def normalised(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     x = x.astype(np.float32)
@@ -91,7 +106,10 @@ def learn(rows: np.ndarray, labels: list[str], ridge: float = RIDGE, landmarks:
     """Nyström features and one-versus-rest kernel ridge regression; no rows give a model without languages."""
     languages = sorted(set(labels))
     if not languages:
-        return Model([], b"", np.zeros((0, 0)), np.zeros(0))
+        return Model([], b"", np.zeros((0, 0)), np.zeros(0), bytes(WIDTH // 8), 0.0)
+    # What one row alone has is not known, so every row is measured by the others.
+    known = rows.sum(0, dtype=np.int64) >= 2
+    clean = float(np.quantile(share(rows, known), 1 - CLEAN, method="lower"))
     # Landmarks: the languages in turn, in the order of the sample.
     turn, seen = [], dict.fromkeys(languages, 0)
     for x in labels:
@@ -110,7 +128,7 @@ def learn(rows: np.ndarray, labels: list[str], ridge: float = RIDGE, landmarks:
     z_mean, y_mean = (weight * z).sum(0), (weight * y).sum(0)
     zc, yc = z - z_mean, y - y_mean
     solved = np.linalg.solve(zc.T @ (weight * zc) + ridge / len(languages) * np.eye(z.shape[1]), zc.T @ (weight * yc))
-    return Model(languages, np.packbits(marks, axis=1).tobytes(), root @ solved, y_mean - z_mean @ solved)
+    return Model(languages, np.packbits(marks, axis=1).tobytes(), root @ solved, y_mean - z_mean @ solved, np.packbits(known).tobytes(), clean)
 
 
 def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
@@ -175,10 +193,22 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def accepted(docs: DataFrame, floor: float, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The documents whose language is told with a score of at least ``floor``, unchanged."""
+    """The documents in a language of the labelled ones, unchanged: those whose share of known n-grams is at least ``floor``.
+
+    A sample too small to know its own languages' n-grams lowers the floor, to what ``CLEAN`` of its rows reach. Texts without a
+    letter, and all texts if no language was learned, go.
+    """
     model = fit(docs, ~held_out(id_col), id_col, text, lang)
-    if {"lang_pred", "score"} & {c.lower() for c in docs.columns}:
-        names = unused(docs, *[c if c not in ("lang_pred", "score") else c + "_" for c in docs.columns])
-        back = predict(docs.toDF(*names), model, names[docs.columns.index(text)])
-        return back.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= floor)).select(*names).toDF(*docs.columns)
-    return predict(docs, model, text).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= floor)).drop("lang_pred", "score")
+    if not model.languages:
+        return docs.filter("false")
+    least = min(floor, model.clean) - 1e-9
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            whole, keep = texts(batch.column(text)), []
+            for at in range(0, len(whole), _TEXTS):
+                x = presence(whole[at : at + _TEXTS])
+                keep += (x.any(1) & (model.familiar(x) >= least)).tolist()
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -70,3 +70,17 @@ def test_the_sample_is_bounded_and_the_kernel_counts_shared_grams(spark, monkeyp
     assert a.sum() == len(grams("abc"))
     assert langid.normalised(a, b.astype(np.float32))[0, 0] == pytest.approx(len(grams("abc") & grams("abd")) / len(grams("abc")))
     assert (langid.presence(["Ab  1 c"]) == langid.presence(["ab\nC"])).all()
+
+
+def test_accepted_drops_unlearned_scripts_and_noise_but_no_clean_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    held = docs.filter(langid.held_out() & F.col("lang").isNotNull())
+    words = sorted({r["text"].split()[0] for r in held.collect()})
+    assert len(words) > 20
+    odd = ["Это русский текст о погоде и природе", "Москва", "这是一个中文句子，关于天气", "日本語のテキストです", "שלום עולם", "asdkjfh qwoeiru zxmcnbv",
+           "xkcd zzxqj vbnmkl", "qwrtzpsdfg hjklyxcvbnm " * 50]
+    rows = [(-1 - i, t, None) for i, t in enumerate(words + odd)]
+    rows.append((-99, "Это русский текст", "en"))  # a wrong label alone makes nothing known
+    got = langid.accepted(docs.union(spark.createDataFrame(rows, docs.schema)), 0.8).collect()
+    assert sorted(r["text"] for r in got if r["doc_id"] < 0) == words
+    assert sum(r["doc_id"] >= 0 for r in got) == docs.count()
