@@ -5,12 +5,19 @@ together weigh too little to reach the threshold, are its cues: a segment withou
 consists too little of words of templates. Segments are the other lines, runs of neighbouring lines that are mostly words of templates, and whole licence files. A segment's words are joined to the
 templates' words, and products add up to the cosine. A file takes its best segment's licence; a file without one takes that of
 the nearest directory above it that has a licence file.
+
+Whole licence texts, their standard headers, SPDX tags, and notices inside prose are far from every template. They are told by forms: phrases of
+which all must stand in the text word for word, whatever wraps them (line ends, comment marks, punctuation). A form scores 1. Headers
+and bodies go before equal cosines, as they say more than one line; notices and copyright lines count where no segment matches.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +48,38 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+_GNU = {"GPL": "gnu general public license", "LGPL": "gnu lesser general public license"}
+_PUBLISHED = "as published by the free software foundation"
+_CC = {"CC-BY-4.0": "attribution", "CC-BY-NC-4.0": "attribution noncommercial", "CC-BY-SA-4.0": "attribution sharealike"}
+_REDISTRIBUTION = "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
+# (licence, phrases that must all be there): headings, bodies and file headers; of several the one with the most words counts.
+FORMS = [
+    ("Apache-2.0", ["apache license version 2 0 january 2004"]),
+    ("Apache-2.0", ["licensed under the apache license version 2 0", "you may not use this file except in compliance with the license"]),
+    ("MIT", ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"]),
+    ("BSD-2-Clause", [_REDISTRIBUTION]),
+    ("BSD-3-Clause", [_REDISTRIBUTION, "endorse or promote products derived from this software without specific prior written permission"]),
+    *[(f"{k}-{n}.0", [f"{_GNU[k]} version {n} {day}"]) for k, n, day in [("GPL", 2, "june 1991"), ("GPL", 3, "29 june 2007"), ("LGPL", 3, "29 june 2007")]],
+    *[(f"{k}-{n}.0", [f"{_GNU[k]} {by}version {n}", "free software"]) for k, n in [("GPL", 2), ("GPL", 3), ("LGPL", 3)] for by in (f"{_PUBLISHED} ", f"{_PUBLISHED} either ")],
+    *[(f"{k}-{n}.0", [f"{_GNU[k]} {_PUBLISHED}", f"either version {n} of the license"]) for k, n in [("GPL", 2), ("GPL", 3), ("LGPL", 3)]],
+    ("MPL-2.0", ["subject to the terms of the mozilla public license v 2 0", "this source code form"]),
+    ("MPL-2.0", ["mozilla public license version 2 0 1 definitions"]),
+    ("EPL-2.0", ["this program and the accompanying materials are made available under the terms of the eclipse public license"]),
+    ("EPL-2.0", ["eclipse public license v 2 0 the accompanying program is provided under the terms of this eclipse public license"]),
+    ("CC0-1.0", ["creative commons legal code cc0 1 0 universal"]),
+    *[(k, [f"creative commons {x} 4 0 international public license"]) for k, x in _CC.items()],
+    ("Unlicense", ["this is free and unencumbered software released into the public domain anyone is free to copy"]),
+]
+# Notices as they stand inside prose; the templates' sentences are such as well.
+NOTICES = [
+    *[(k, f"{x} under the {y}") for k, y in [("MIT", "mit license"), ("Apache-2.0", "apache license version 2 0"), ("BSD-2-Clause", "bsd 2 clause license"), ("BSD-3-Clause", "bsd 3 clause license")]
+      for x in ("licensed", "released", "distributed", "available")],
+    *[(f"{k}-{n}.0", f"under the {terms}{_GNU[k]} {x} {n}") for k, n in [("GPL", 2), ("GPL", 3), ("LGPL", 3)] for terms in ("", "terms of the ") for x in ("version", "v")],
+]
+_SPDX = r"(?i)spdx-license-identifier:[ \t(]*([a-z0-9.+-]+)"
+# Every form, notice and tag has one of these words.
+_ANCHORS = r"(?i)licen[sc]e|copyright|reserved|domain|permission|redistribution|creative"
+
 
 def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
@@ -114,6 +153,36 @@ def segments(files: DataFrame, key: list[str], text: str, cue_words: list[str],
     return single.unionByName(several).unionByName(whole)
 
 
+def _phrase(text: str) -> str:
+    return " " + re.sub("[^a-z0-9]+", " ", text.lower()).strip() + " "
+
+
+def formed(files: DataFrame, key: list[str], text: str, templates: Mapping[str, str]) -> DataFrame:
+    """(*key, f_own, strong, f_chars) of files in which an SPDX tag, a form, a notice or a template's sentence stands word for word.
+
+    ``strong`` tells tags and forms from the rest. Of several kinds tags go first, then forms, notices, and rights reserved at last; of one kind
+    the one with the most words, then the first name. Of an SPDX expression the first licence counts.
+    """
+    tags = {name.lower() + end: name for name in templates for end in ("", "+", "-only", "-or-later")}
+    tag = F.lower(F.regexp_extract(text, _SPDX, 1))
+    named = F.element_at(F.create_map(*[F.lit(x) for pair in tags.items() for x in pair]), tag)
+    plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "), F.lit(" "))
+    plain = F.regexp_replace(plain, "  +", " ")
+    kinds = [(1, name, phrases) for name, phrases in FORMS if name in templates]
+    kinds += [(2, name, [x]) for name, x in NOTICES if name in templates]
+    kinds += [(3 if name == "Proprietary" else 2, name, [x]) for name, x in templates.items() if _phrase(x).strip()]
+    found = []
+    for kind, name, phrases in kinds:
+        phrases = [_phrase(x) for x in phrases]
+        there = reduce(and_, [F.col("_plain").contains(x) for x in phrases])
+        size = sum(len(x) for x in phrases)
+        found.append(F.when(there, F.struct(F.lit(kind).alias("kind"), F.lit(-size).alias("minus"), F.lit(name).alias("license"))))
+    found.append(F.when(F.col("_named").isNotNull(), F.struct(F.lit(0).alias("kind"), (-25 - F.length("_named")).alias("minus"), F.col("_named").alias("license"))))
+    likely = files.filter(F.col(text).rlike(_ANCHORS)).select(*key, plain.alias("_plain"), named.alias("_named"))
+    best = likely.select(*key, F.array_min(F.array_compact(F.array(*found))).alias("b")).filter("b IS NOT NULL").distinct()
+    return best.select(*key, F.col("b.license").alias("f_own"), (F.col("b.kind") < 2).alias("strong"), (-F.col("b.minus")).alias("f_chars"))
+
+
 def scan(
     files: DataFrame,
     path: str = "path",
@@ -159,7 +228,16 @@ def scan(
             F.sum(F.when(F.col("segment").startswith("run"), F.col("chars")).otherwise(0)),
         ).alias("licensed"),
     )
-    own = stored(own.select(*key, F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score"), "licensed"), "own")
+    own = own.select(*key, F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score"), "licensed")
+    forms = formed(keyed.filter(F.col(text).isNotNull()), key, text, templates)
+    by_form = F.col("f_own").isNotNull() & (F.col("strong") | F.col("license").isNull())
+    own = own.join(forms, key, "full").select(
+        *key,
+        F.when(by_form, F.col("f_own")).otherwise(F.col("license")).alias("license"),
+        F.when(by_form, 1.0).otherwise(F.col("score")).alias("score"),
+        F.greatest("licensed", "f_chars").alias("licensed"),
+    )
+    own = stored(own, "own")
 
     folder = F.regexp_extract("_path", r"(?s)\A(.*)/", 1)
     # Only files with a licence of their own can be licence files.

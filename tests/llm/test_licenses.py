@@ -78,3 +78,48 @@ def test_native_plan_and_empty_table(spark):
     plan = license_scan.scan(spark.createDataFrame(rows, FILES))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
     assert license_scan.scan(spark.createDataFrame([], FILES)).count() == 0
+
+
+GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+2. Redistributions in binary form must reproduce the above copyright notice."""
+THIRD = """
+3. Neither the name of the X nor the names of its contributors may be used to
+   endorse or promote products derived from this software without
+   specific prior written permission."""
+AGAIN = {
+    "MIT": [f"MIT License\n\nCopyright (c) 2009 X\n\n{GRANT}", "SPDX-License-Identifier: MIT", "x = 1  # by X, this is released under the MIT License. See below for what it does."],
+    "BSD-2-Clause": [f"Copyright (c) 2009, X\nAll rights reserved.\n\n{BSD}"],
+    "BSD-3-Clause": [f"Copyright (c) 2009, X\nAll rights reserved.\n\n{BSD}{THIRD}", "// SPDX-License-Identifier: (BSD-3-Clause OR MIT)"],
+    "Apache-2.0": [
+        "\n    Apache License\n    Version 2.0, January 2004\n    http://www.apache.org/licenses/\n\nTERMS AND CONDITIONS", "/* SPDX-License-Identifier: Apache-2.0 */",
+        "# Licensed under the Apache License, Version 2.0 (the \"License\");\n# you may not use this file except in compliance with the License.\n# You may obtain a copy",
+    ],
+    "GPL-3.0": [
+        "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nEveryone is permitted to copy", "SPDX-License-Identifier: GPL-3.0-or-later",
+        " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n"
+        " * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.",
+    ],
+    "GPL-2.0": ["GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991\n\nEveryone is permitted to copy"],
+    "Proprietary": ["Copyright (c) 2009 X. All rights reserved."],
+}
+
+
+def test_headers_bodies_tags_and_notices_in_prose(spark):
+    want = {f"{name}/{i}/f": name for name, found in AGAIN.items() for i in range(len(found))}
+    rows = [(f"{name}/{i}/f", f"{text}\n" + "code of its own\n" * 20, 1, "x") for name, found in AGAIN.items() for i, text in enumerate(found)]
+    rows += [("no/f", "The licence of a driver is all that is reserved here, and the copyright of nothing.", 1, "x")]
+    got = {r["path"]: (r["license"], r["origin"]) for r in license_scan.scan(spark.createDataFrame(rows, FILES)).collect()}
+    assert got == {k: (v, "own") for k, v in want.items()} | {"no/f": (None, None)}
+
+
+def test_every_form_has_an_anchor():
+    texts = [x for _, phrases in license_scan.FORMS for x in [" ".join(phrases)]] + [x for _, x in license_scan.NOTICES] + list(license_scan.TEMPLATES.values())
+    assert all(re.search(license_scan._ANCHORS, x) for x in texts) and re.search(license_scan._ANCHORS, "SPDX-License-Identifier")
