@@ -1,11 +1,11 @@
 """Main text of web pages by paths that the pages of a host agree on.
 
 1. Every page is parsed once; its containers are scored by the text that stands in them outside links and page furniture, with half of a
-   container's score passed on to the one around it. The best one's path of tags and classes, with digits made
-   equal, is the page's vote.
+   container's score passed on to the one around it. The best one is lifted to the article or main part around it, or to a parent that
+   holds its heading. Its path of tags and classes, with digits made equal, is the page's vote.
 2. Spark counts the votes per host and path. A path with a fair share of its host's votes wins.
-3. Every page is read again. The first winning path that it has gives its text; a page that has none falls back
-   on its own best container.
+3. Every page is read again. All elements of the first winning path that it has give its text, in page order; a page that has none
+   falls back on its own best container.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ _FURNITURE_WORDS = frozenset(
 )
 _FURNITURE_ROLES = frozenset("navigation banner complementary contentinfo search dialog alert menu menubar toolbar form".split())
 _NEVER = frozenset("html body article main".split())
+_WHOLE = frozenset("article main".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _BLOCKS = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr caption blockquote pre figure "
     "figcaption address details summary hr nav header footer aside form fieldset center title".split()
@@ -160,15 +162,56 @@ class Page:
                 out[0] = out.get(0, 0.0) + weight * n
         return out
 
-    def text(self, inside: int) -> str:
-        """Blocks of the element without furniture, in page order."""
+    def lifted(self, e: int) -> int:
+        """The part of the page that ``e`` is the largest piece of.
+
+        That is the nearest article or main part around it, else a parent with a heading of its own, outside other containers, before
+        ``e``; as long as what it adds is not mostly links. The body is never it.
+        """
+        up, headed = self._container(self.parent[e]), None
+        while up > 0 and self.tag[up] != "body":
+            if self.tag[up] in _WHOLE:
+                return up if self._adds(up, e) else headed or e
+            if headed is None and up == self._container(self.parent[e]) and self._heading(up, e) and self._adds(up, e):
+                headed = up
+            up = self._container(self.parent[up])
+        return headed or e
+
+    def _container(self, e: int) -> int:
+        """The container that ``e`` is or stands in; 0 or less if there is none."""
+        while e > 0 and self.tag[e] not in _CONTAINERS:
+            e = self.parent[e]
+        return e
+
+    def _heading(self, up: int, e: int) -> bool:
+        heads = {x for x in range(up + 1, e) if self.tag[x] in _HEADINGS and not self.out[x] and self._container(x) == up}
+        return bool(heads) and any(self._among(x, heads) and not text.isspace() for _, x, text in self.runs)
+
+    def _among(self, e: int, wanted: set[int]) -> bool:
+        while e > 0 and e not in wanted:
+            e = self.parent[e]
+        return e in wanted
+
+    def _adds(self, up: int, e: int) -> bool:
+        """Whether the text in ``up`` outside ``e`` and furniture is not mostly links."""
+        around, own = self._within([up]), self._within([e])
+        added = [(len(text), self.link[x]) for _, x, text in self.runs if around[x] and not own[x] and not self.out[x] and not text.isspace()]
+        return sum(-n if link else n for n, link in added) > 0
+
+    def _within(self, inside: list[int]) -> list[bool]:
         within = [False] * len(self.tag)
-        within[inside] = True
-        for e in range(inside + 1, len(self.tag)):
-            within[e] = within[self.parent[e]]
+        for e in inside:
+            within[e] = True
+        for e in range(min(inside) + 1, len(self.tag)):
+            within[e] = within[e] or within[self.parent[e]]
+        return within
+
+    def text(self, inside: list[int]) -> str:
+        """Blocks of the elements without furniture, in page order."""
+        within = self._within(inside)
         blocks: list[str] = []
         now, parts = -1, []
-        for block, e, text in [*self.runs, (-2, inside, "")]:
+        for block, e, text in [*self.runs, (-2, inside[0], "")]:
             if block != now:
                 words = " ".join(unescape("".join(parts)).split())
                 if words:
@@ -179,28 +222,31 @@ class Page:
         return "\n".join(blocks)
 
 
-def best(scores: dict[int, float], among=None) -> int | None:
+def best(scores: dict[int, float]) -> int | None:
     """The highest-scored container, ties to the first in the page."""
-    found = [(s, -e) for e, s in scores.items() if s > 0 and (among is None or e in among)]
+    found = [(s, -e) for e, s in scores.items() if s > 0]
     return -max(found)[1] if found else None
 
 
 def vote(html: str) -> str | None:
     page = Page(html)
     e = best(page.scores())
-    return None if e is None else page.path[e]
+    return None if e is None else page.path[page.lifted(e)]
 
 
 def read(html: str, paths: list[str]) -> str:
-    """Text of the first path that the page has, else of its own best container, else empty."""
+    """Text of the first path that the page has, all its elements with more text than links; else of its own best container, else empty."""
     page = Page(html)
     scores = page.scores()
     for p in paths:
-        e = best(scores, {e for e, x in enumerate(page.path) if x == p})
-        if e is not None:
-            return page.text(e)
+        found = [e for e, x in enumerate(page.path) if x == p and scores.get(e, 0) > 0]
+        if found:
+            return page.text(found)
     e = best(scores)
-    return "" if e is None else page.text(e)
+    if e is None:
+        return ""
+    e = page.lifted(e)
+    return page.text([x for x, y in enumerate(page.path) if x == e or (y == page.path[e] and scores.get(x, 0) > 0)])
 
 
 def winners(pages: DataFrame, host: str, html: str, min_share: float = MIN_SHARE, paths: int = PATHS) -> DataFrame:

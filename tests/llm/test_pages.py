@@ -57,6 +57,25 @@ def test_the_host_agrees_on_a_path(spark):
     assert got[20] == "a short story" and got[21] == "An odd page of its own, with its own place for text."
 
 
+def test_nothing_of_a_wrapped_or_split_article_goes(spark):
+    long, less = "long words of it " * 40, "some more of the words " * 20
+    l, s = long.strip(), less.strip()
+    cases = [
+        (f"<article><h1>T</h1><div class=entry><p>{long}</p></div></article>", f"T\n{l}"),
+        (f"<main><h1>T</h1><p>Lead</p><section><p>{long}</p></section><section class=x><p>{less}</p></section></main>", f"T\nLead\n{l}\n{s}"),
+        (f"<div class=text><div class=part1><p>{long}</p></div><div class=part2><p>{less}</p></div></div>", f"{l}\n{s}"),
+        (f"<div class=post><h2>T <b>2</b></h2><div class=entry><p>{long}</p></div></div>", f"T 2\n{l}"),
+        (f"<article><p>{long}</p></article><article><p>{less}</p></article>", f"{l}\n{s}"),
+        (f"<main><div class=entry><p>{long}</p></div><div class=more><a href=x>{less}</a></div></main>", l),
+    ]
+    # Every layout is the usual one of a host, and stands on a page of its own without one.
+    pages = [page(html, host=f"h{i}.example.org", path=f"/{k}") for i, (html, _) in enumerate(cases) for k in range(3)]
+    pages += [page("<div class=odd><p>Words of a page with another layout.</p></div>", host=f"h{i}.example.org", path="/odd") for i in range(6)]
+    got = run(spark, pages)
+    assert [got[i] for i in range(18)] == [text for _, text in cases for _ in range(3)]
+    assert [html_text.read(page(html)[1], []) for html, _ in cases] == [text for _, text in cases]
+
+
 URLS = [
     "http://www.example.org/es/1", "https://EXAMPLE.ORG/en/12.html", "http://example.org/en/2", "http://a.example.com/fr/9", "http://a.example.com/de/9?x#y",
     "http://a.example.com/en/9", "http://notorg/x", "http://x.org", "http://x.org?q=/", "no scheme", None, "", "://org/", "http://shop.example.net/es/4",
