@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from urllib.parse import unquote
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import month_of, ntz
-from ..operators.cleaning import normalize_demographics, stage_requests
+from ..operators.cleaning import REQUEST_SPEC, normalize_demographics, stage_requests
 from ..operators.quality import Check
 from ..operators.spatial import point_in_polygon_join
 from ..operators.series import result_fingerprint
@@ -145,7 +148,8 @@ def build_marts(
     """All marts from the raw tables, each stored under ``root`` and checked.
 
     The intermediate table grows by merge, rewriting only the months with changes; a ``run_id`` that was
-    merged before is not merged again. Raw is read from the table's own high-water mark on. Facts,
+    merged before is not merged again. Raw is read from the table's own high-water mark on, and loads (``ingestion_date``) not merged
+    yet, or written anew since, whatever their update times; raw without loads only from the mark on. Facts,
     statistics, baseline and splits are worked out for the months that changed, and taken over
     from the version before for the others; a new dimension, or a run that broke off, has all months redone. Every
     table is written once and read by the next from there, so its size is known when joins are planned.
@@ -159,11 +163,14 @@ def build_marts(
     path = f"{root}/intermediate"
     newest = high_water_mark(spark, path)
     since = None if newest is None else datetime.fromisoformat(newest) - timedelta(hours=hours)
-    fresh = marts.build_intermediate(stage_requests(raw, since=since))
+    loads = _loads(raw)
+    fresh = marts.build_intermediate(_unmerged(raw, since, loads, json.loads(read_text(spark, f"{root}/_loads") or "{}")))
     changed = upsert_table(
         fresh.withColumn("created_month", month_of("created_at").cast("date").cast("string")),
         path, ["unique_key"], ["updated_at"], "created_month", run_id, high_water="updated_at",
     )
+    if changed is not None:
+        write_text(spark, f"{root}/_loads", json.dumps(loads))
     tables = {"intermediate": read_or_none(spark, path)}
 
     def check(name: str) -> None:
@@ -218,6 +225,37 @@ def build_marts(
     return tables
 
 
+def _loads(raw: DataFrame) -> dict[str, str]:
+    """Every load in raw with a mark of what it holds: rows and files, which a rerun names anew."""
+    if LOAD not in raw.columns:
+        return {}
+    files: dict[str, list[str]] = {}
+    for found in (re.search(f"/{LOAD}=([^/]+)/([^/]+)$", x) for x in raw.inputFiles()):
+        if found:
+            files.setdefault(unquote(found[1]), []).append(found[2])
+    rows = raw.groupBy(F.col(LOAD).cast("string").alias("load")).count().collect()  # one row per load
+    return {r["load"] or "": f"{r['count']}-{crc32('/'.join(sorted(files.get(r['load'], []))).encode())}" for r in rows}
+
+
+def _unmerged(raw: DataFrame, since: datetime | None, loads: dict[str, str], merged: dict[str, str]) -> DataFrame:
+    """Staged requests that may change the table: those updated ``since``, and all keys with other rows in loads not ``merged``.
+
+    Such keys are staged from all their rows, so that equal update times are settled as in a full build. Only they take a scan of
+    whole raw; a daily load has none but by accident.
+    """
+    new = [x for x, mark in loads.items() if merged.get(x) != mark]
+    if since is None or not new:
+        return stage_requests(raw, since=since)
+    key, updated = REQUEST_SPEC["unique_key"][0], REQUEST_SPEC["updated_at"][0]
+    recent = F.coalesce(since_filter(raw, updated, since), F.lit(False))
+    held = F.col(LOAD).isin(new)
+    older = raw.filter((held | F.col(LOAD).isNull() if "" in new else held) & ~recent)
+    if older.isEmpty():
+        return stage_requests(raw, since=since)
+    again = raw.join(older.select(key).distinct(), key, "left_semi").select(*raw.columns)
+    return stage_requests(raw.filter(since_filter(raw, updated, since)).unionByName(again))
+
+
 # Marts of one row or more per month, redone by month.
 MONTHLY = ("request_facts", "tract_stats", "city_baseline", "equity_splits")
 

@@ -377,6 +377,32 @@ def test_only_changed_months_are_redone(spark, tmp_path, rows):
     assert stamps == {(1, first), (2, second), (3, second), (4, second), (5, second)}
 
 
+def test_loads_of_older_rows_reach_the_marts(spark, tmp_path, rows):
+    tracts = shapes(spark, [("1", [square(0, 0)])])
+    raw_path, months = str(tmp_path / "raw"), str(tmp_path / "months")
+    demo = spark.createDataFrame([("1400000US1", 10.0, 100.0, 5.0, 1.0, 1.0, 1.0, "36", "005", "1", "005", 2022)], RAW_DEMOGRAPHICS)
+
+    def request(key, month, hours=5, updated=True):
+        return record(key, f"2024-{month:02d}-01T00:00:00", f"2024-{month:02d}-01T{hours:02d}:00:00", f"2024-{month:02d}-02T00:00:00" if updated else None, 0.5, 0.5)
+
+    def build(source, start, end, run):
+        df = spark.createDataFrame(source, RAW_REQUESTS)
+        runs.run_backfill(df, tracts, months, start, end, cell=0.4, raw_path=raw_path)
+        return runs.build_marts(spark.read.parquet(raw_path), demo, str(tmp_path / "m"), run, 1, 1, suites=NO_CHECKS)
+
+    first = [request("5", 5), request("6", 6)]
+    build(first, "2024-05-01", "2024-06-30", "1")
+    older = [request("1", 1), request("2", 2, updated=False)]
+    tables = build(older, "2024-01-01", "2024-02-28", "2")
+    assert rows(tables["request_facts"], "unique_key") == [("1",), ("2",), ("5",), ("6",)]
+    # The same months again, with one row more.
+    tables = build([*older, request("1b", 1)], "2024-01-01", "2024-02-28", "3")
+    whole = runs.build_marts(spark.read.parquet(raw_path), demo, str(tmp_path / "w"), "1", 1, 1, suites=NO_CHECKS)
+    for name in ("intermediate", "request_facts", "tract_stats", "quintile_summary", "trend_monthly"):
+        assert rows(tables[name].select(sorted(tables[name].columns))) == rows(whole[name].select(sorted(whole[name].columns))), name
+    assert tables["request_facts"].count() == 5
+
+
 def test_the_bound_of_a_daily_run_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "raw")
     spark.createDataFrame([record("a", *["2024-01-01T10:00:00"] * 3, 0.5, 0.5)], RAW_REQUESTS).write.parquet(path)
