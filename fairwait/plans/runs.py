@@ -78,13 +78,17 @@ def run_incremental(
     """Land what changed since the newest update loaded before ``run_date``, less ``hours``.
 
     Rows get their tract, go to ``landing_path`` under the run date, and from there to ``raw_path``, both
-    partitioned by ingestion date. A rerun of the day starts from the same loads as the first run did,
-    so it fetches no less, and replaces that day's partitions. Overlap with earlier loads is settled when the
-    requests are staged. No news is a no-op.
+    partitioned by ingestion date. Where no load came before, ``now`` less ``hours`` is the bound. A rerun of the day starts from
+    the first run's bound, which is kept beside the loads, or an earlier one, so it fetches no less, and replaces that day's
+    partitions. Overlap with earlier loads is settled when the requests are staged. No news is a no-op.
     """
     spark = source.sparkSession
     newest = newest_before(spark, raw_path, run_date)
     since = (newest or now or utc_now()) - timedelta(hours=hours)
+    # Until there is a load, the bounds of all runs that found nothing hold on.
+    kept = [n for n in names(spark, f"{raw_path}/_since") if n == run_date or (newest is None and n < run_date)]
+    since = min([since, *[datetime.fromisoformat(read_text(spark, f"{raw_path}/_since/{n}")) for n in kept]])
+    write_text(spark, f"{raw_path}/_since/{run_date}", since.isoformat())
     located = point_in_polygon_join(source.filter(since_filter(source, updated, since)), boundaries, cell=cell)
     if write_partition(located.withColumn(LOAD, F.lit(run_date)), landing_path, LOAD) == 0:
         return LoadResult(since, 0)

@@ -331,6 +331,16 @@ def test_a_rerun_of_a_day_keeps_what_was_landed(spark, tmp_path, rows):
     assert late.rows == 2 and late.watermark == datetime(2024, 1, 7, 10)
 
 
+def test_a_later_rerun_of_the_first_day_fetches_no_less(spark, tmp_path, rows):
+    tracts = shapes(spark, [("1", [square(0, 0)])])
+    raw_path, landing = str(tmp_path / "raw"), str(tmp_path / "landing")
+    df = spark.createDataFrame([record(d, *[f"2024-01-{d}T10:00:00"] * 3, 0.5, 0.5) for d in ("01", "02", "03", "04")], RAW_REQUESTS)
+    for now in (datetime(2024, 1, 4), datetime(2024, 1, 5), datetime(2024, 1, 9)):
+        got = runs.run_incremental(df, tracts, raw_path, landing, "2024-01-04", cell=0.4, now=now)
+        assert got.watermark == datetime(2024, 1, 2) and got.rows == 3
+        assert rows(spark.read.parquet(landing), "unique_key") == rows(spark.read.parquet(raw_path), "unique_key") == [("02",), ("03",), ("04",)]
+
+
 def test_daily_run_goes_on_from_a_backfill(spark, tmp_path, rows):
     tracts = shapes(spark, [("1", [square(0, 0)])])
     raw_path, landing = str(tmp_path / "raw"), str(tmp_path / "landing")
