@@ -135,25 +135,31 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text: str = "te
     """A model from rows that are ``usable`` and have id, text and language.
 
     The sample is bounded: per language the ``ROWS_PER_LANGUAGE`` rows whose hashed id comes first, ``ROWS_IN_ALL`` in
-    all. Only their n-gram sets come to the driver, of fixed size whatever the texts' length.
+    all. Only their n-gram sets come to the driver, of fixed size whatever the texts' length, and one for each of these ids and
+    languages: of several texts the one whose set is the least as bytes.
     """
     good = F.coalesce(usable, F.lit(False)) & F.col(id_col).isNotNull() & F.col(lang).isNotNull() & F.col(text).isNotNull()
     order = F.xxhash64(F.col(id_col))
     ranked = docs.filter(good).select(F.col(id_col).alias("id"), F.col(lang).alias("lang"), order.alias("order")).distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "id"))
     chosen = ranked.withColumn("rank", rank).filter(F.col("rank") <= ROWS_PER_LANGUAGE).orderBy("rank", "lang").limit(ROWS_IN_ALL)
-    ids = [r["id"] for r in chosen.select("id").collect()]
+    taken = chosen.select("id", "order", "lang").collect()
+    ids, pairs = sorted({r["id"] for r in taken}), {(r["order"], r["lang"]) for r in taken}
     if not ids:
         return learn(np.zeros((0, WIDTH), np.uint8), [])
     sample = docs.filter(good & F.col(id_col).isin(ids)).select(order.alias("order"), F.col(lang).alias("lang"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
+            asked = [x in pairs for x in zip(batch.column("order").to_pylist(), batch.column("lang").to_pylist())]
+            batch = batch.filter(pa.array(asked))
             bits = [np.packbits(x).tobytes() for t in texts(batch.column("text")) for x in presence([t])]
             yield pa.RecordBatch.from_arrays([batch.column("order"), batch.column("lang"), pa.array(bits, pa.binary())], ["order", "lang", "bits"])
 
-    taken = sample.mapInArrow(run, "order bigint, lang string, bits binary").limit(2 * ROWS_IN_ALL).collect()
-    found = sorted({(r["order"], r["lang"], bytes(r["bits"])) for r in taken if any(r["bits"])})
+    empty = F.lit(bytes(WIDTH // 8))
+    sets = sample.mapInArrow(run, "order bigint, lang string, bits binary").filter(F.col("bits") != empty)
+    least = sets.groupBy("order", "lang").agg(F.min("bits").alias("bits")).collect()
+    found = sorted((r["order"], r["lang"], bytes(r["bits"])) for r in least)
     rows = np.unpackbits(np.frombuffer(b"".join(b for _, _, b in found), np.uint8).reshape(-1, WIDTH // 8), axis=1)
     return learn(rows, [x for _, x, _ in found])
 

@@ -84,3 +84,13 @@ def test_accepted_drops_unlearned_scripts_and_noise_but_no_clean_words(spark):
     got = langid.accepted(docs.union(spark.createDataFrame(rows, docs.schema)), 0.8).collect()
     assert sorted(r["text"] for r in got if r["doc_id"] < 0) == words
     assert sum(r["doc_id"] >= 0 for r in got) == docs.count()
+
+
+def test_many_rows_of_one_id_leave_the_other_languages_in(spark, monkeypatch):
+    monkeypatch.setattr(langid, "ROWS_IN_ALL", 30)
+    # The copies come first, far more than the sample has rows.
+    rows = [(0, "the shore and the thing", "en", "x", 1)] * 2000 + corpus()
+    df = spark.createDataFrame(rows, DOCS).coalesce(1)
+    model = langid.fit(df, F.lit(True))
+    assert model.languages == ["de", "en", "fr"] and model.landmarks == langid.fit(df.orderBy(F.desc("doc_id")), F.lit(True)).landmarks
+    assert len(model.landmarks) == 30 * langid.WIDTH // 8
