@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_text, langid, license_scan, line_dedup, near_dedup, norm_search, packing, url_filter
+from . import ann, bpe, exact_dedup, html_text, langid, license_scan, line_dedup, near_dedup, norm_search, packing, url_filter
 from .common import table
 
 # Vocabulary file of the queries; it lies at the same path on every machine.
@@ -176,3 +176,19 @@ SELECT doc_id, coalesce(own.license, up.license) AS license, round(coalesce(own.
   CASE WHEN own.license IS NOT NULL THEN files.path ELSE up.path END AS origin_path
 FROM files LEFT JOIN own USING (doc_id) LEFT JOIN up USING (doc_id)
 """
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with the one that stays of those equal without white space."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = exact_dedup.dedup(docs, columns=["doc_id"], digests=True)
+    return found.withColumnRenamed("digest", "text_sha256").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLE["op13_exact_dedup"] = r"""
+WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS chars, sha256(regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]', '', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  row_number() OVER w = 1 AS kept, text_sha256
+FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST)
+"""
