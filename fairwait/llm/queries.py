@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, exact_dedup, html_text, langid, license_scan, line_dedup, near_dedup, norm_search, packing, url_filter
+from . import ann, bpe, exact_dedup, html_text, langid, license_scan, line_dedup, merkle, near_dedup, norm_search, packing, url_filter
 from .common import table
 
 # Vocabulary file of the queries; it lies at the same path on every machine.
@@ -192,3 +192,64 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
   row_number() OVER w = 1 AS kept, text_sha256
 FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST)
 """
+
+
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's leaf, subroot, root and proof, and the root its tampered or original leaf leads to."""
+    docs = table(spark, sf, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    held = F.when(tampered, merkle.leaf(["doc_id", "source", "lang", F.col("n_chars") + 1, "text"]))
+    found = merkle.manifest(docs, LEAF, "lang", held=held)
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _leaf_sql(chars: str) -> str:
+    values = ["doc_id", "source", "lang", chars, "text"]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}::VARCHAR)::VARCHAR || ':' || {v}::VARCHAR, '-')" for v in values) + ")"
+
+
+# crc32 of the decimal digits, bit by bit; the trees level by level, for groups first, then for the subroots.
+_CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+  lambda s, c: list_reduce(list_prepend(xor(s, c), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))))"""
+
+
+def _nodes_sql(name: str, leaves: str) -> str:
+    return f"""{name}(tree, level, pos, h, n) AS (
+  SELECT tree, 0, pos, h, n FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 2, n
+)"""
+
+
+def _fold_sql(name: str, start: str, nodes: str) -> str:
+    return f"""{name}(id, tree, level, pos, h, proof) AS (
+  SELECT id, tree, 0, pos, h, proof FROM {start}
+  UNION ALL
+  SELECT f.id, f.tree, f.level + 1, f.pos // 2, sha256(string_agg(CASE WHEN t.pos = f.pos THEN f.h ELSE t.h END, '' ORDER BY t.pos)),
+    f.proof || coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos <> f.pos), '')
+  FROM {name} f JOIN {nodes} t ON f.tree = t.tree AND f.level = t.level AND f.pos // 2 = t.pos // 2 AND t.n > 1
+  GROUP BY f.id, f.tree, f.level, f.pos, f.proof
+)"""
+
+
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE rows_ AS (SELECT doc_id, coalesce('1' || lang, '0') AS tree, {_leaf_sql("n_chars")} AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND {_CRC_SQL} % 7 = 0 THEN {_leaf_sql("(n_chars + 1)")} ELSE {_leaf_sql("n_chars")} END AS held FROM documents),
+leaves AS (SELECT *, row_number() OVER () AS id, leaf AS h, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS LAST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY tree) AS n FROM rows_),
+{_nodes_sql("nodes", "leaves")},
+subroots AS (SELECT tree AS name, h FROM nodes WHERE n = 1),
+top_leaves AS (SELECT '' AS tree, name, h, row_number() OVER (ORDER BY encode(name)) - 1 AS pos, count(*) OVER () AS n FROM subroots),
+{_nodes_sql("top_nodes", "top_leaves")},
+claims AS (SELECT id, tree, pos, held AS h, '' AS proof FROM leaves),
+{_fold_sql("folded", "claims", "nodes")},
+top_claims AS (SELECT f.id, '' AS tree, t.pos, f.h, f.proof FROM folded f JOIN nodes s ON f.tree = s.tree AND f.level = s.level AND s.n = 1 JOIN top_leaves t ON t.name = f.tree),
+{_fold_sql("top_folded", "top_claims", "top_nodes")},
+root AS (SELECT level, h FROM top_nodes WHERE n = 1)
+SELECT l.doc_id, l.leaf, s.h AS subroot, root.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = root.h AS verified
+FROM leaves l JOIN subroots s ON l.tree = s.name JOIN top_folded f ON f.id = l.id JOIN root ON f.level = root.level
+"""
