@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, exact_dedup, html_text, langid, license_scan, line_dedup, merkle, near_dedup, norm_search, packing, url_filter
+from . import ann, bpe, exact_dedup, hard_negatives, html_text, langid, license_scan, line_dedup, merkle, near_dedup, norm_search, packing, url_filter
 from .common import table
 
 # Vocabulary file of the queries; it lies at the same path on every machine.
@@ -253,3 +253,32 @@ root AS (SELECT level, h FROM top_nodes WHERE n = 1)
 SELECT l.doc_id, l.leaf, s.h AS subroot, root.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = root.h AS verified
 FROM leaves l JOIN subroots s ON l.tree = s.name JOIN top_folded f ON f.id = l.id JOIN root ON f.level = root.level
 """
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """For every hundredth vector and its positives, the best rows of other labels within the score window."""
+    whole = F.transform("embedding", lambda x: F.floor(F.lit(256) * x.cast("double")).cast("double"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf, "embeddings").filter(norm_search.finite(F.col("embedding")))
+    return hard_negatives.mine(vectors.select("vec_id", label.alias("label"), whole.alias("v")), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+  SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS r
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE r <= 10
+"""
