@@ -7,9 +7,8 @@ from .tables import (
     materialise,
     read_snapshot,
     read_or_none,
+    replace_partitions,
     replace_table,
-    settle,
-    stage_batch,
     upsert_table,
     write_partition,
 )
@@ -23,9 +22,8 @@ __all__ = [
     "materialise",
     "read_snapshot",
     "read_or_none",
+    "replace_partitions",
     "replace_table",
-    "settle",
-    "stage_batch",
     "upsert_table",
     "write_partition",
 ]

@@ -1,8 +1,10 @@
 """Writing Parquet tables.
 
-Two layouts. A *partitioned* table is a plain folder that reruns overwrite partition by
+Three layouts. A *partitioned* table is a plain folder that reruns overwrite partition by
 partition. A *snapshot* table keeps each full replacement in its own ``v=N`` folder; the
-highest one that Spark marked as complete is current, so readers never see half a write.
+highest one that Spark marked as complete is current, so readers never see half a write. A *versioned*
+table is partitioned, and a version holds the partitions that it replaces: Spark writes them to ``table_version=N``, and one small file, named
+for the batch, commits them by saying in which version each partition is now.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -40,13 +43,12 @@ def _has_data(spark: SparkSession, path: str) -> bool:
 
 def read_or_none(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
     """The Parquet table at ``path``, None where there is none yet. With ``merge_schema``
-    columns that appeared later are NULL in older files; tables that keep their schema
-    (``upsert_table``) do so without reading any footer."""
+    columns that appeared later are NULL in older files; versioned tables keep their schema, so they need no look at any footer."""
+    state = _state(spark, path)
+    if state is not None:
+        return _read_version(spark, path, state)
     if not _has_data(spark, path):
         return None
-    schema = _kept_schema(spark, path)
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
@@ -68,11 +70,6 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         source.close()
 
 
-def _kept_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    text = read_text(spark, f"{path}/_schema")
-    return None if text is None else T.StructType.fromJson(json.loads(text))
-
-
 def write_partition(df: DataFrame, path: str, part_col: str, rebalance: bool = True) -> int:
     """Snappy Parquet under ``part_col=value`` folders; only the partitions present in ``df``
     are replaced, so a rerun is harmless. Returns the rows written, counted by the write.
@@ -184,113 +181,140 @@ def upsert_table(
     ties: Sequence[str] = (),
     stable_partition: bool = False,
     high_water: str | None = None,
+    keep: int = 2,
 ) -> list[str] | None:
-    """Merge ``updates`` into a partitioned table, rewriting only the partitions concerned.
+    """Merge ``updates`` into a versioned table, rewriting only the partitions concerned.
 
     The newest version of a key wins. Returns the partitions rewritten (as text), or None if
     the batch was merged before: a batch that runs twice counts once. Use one ``batch_id`` per
-    batch of the table, whoever writes it; one writer at a time.
-
-    The merged partitions are written to a side folder first and moved into place after that.
-    A failure before the move leaves the table as it was. Whichever batch comes next, the same or
-    another, first finishes a move that was begun and throws away what was not ready, so a
-    merge always starts from the table as it is.
+    batch of the table, whoever writes it; one writer at a time. A batch that fails anywhere leaves the table as it was.
 
     A key whose partition value changed is removed from its old partition, which takes a
     scan of the key column; ``stable_partition=True`` states that this cannot happen.
-    ``high_water`` names a column whose maximum over all batches is kept with the table.
+    ``high_water`` names a column whose maximum over all batches is kept with the table. Partitions replaced ``keep`` versions
+    ago are deleted, which ends what still reads them.
     """
     spark = updates.sparkSession
-    settle(spark, path, part_col)
-    if _exists(spark, f"{path}/_done/{batch_id}"):
+    if committed(spark, path, batch_id):
         return None
-    touched = stage_batch(updates, path, keys, order, part_col, batch_id, ties, stable_partition, high_water)
-    settle(spark, path, part_col)
-    return touched
+    # The increment is worked out once and read back from here; readers pass over the folder.
+    own = f"{path}/_updates"
+    dedup_latest(updates, keys, order, ties).write.mode("overwrite").parquet(own)
+    fresh = spark.read.schema(updates.schema).parquet(own)
+    table = read_or_none(spark, path)
+    if table is None:
+        concerned, merged = [], fresh
+    else:
+        here, concerned = _concerned(table, fresh, keys, part_col, stable_partition)
+        merged = upsert_latest(table.filter(here), fresh, keys, order, ties)
+    newest = None if high_water is None else fresh.agg(F.max(high_water).cast("string")).first()[0]
+    return replace_partitions(merged, path, part_col, batch_id, concerned, newest, keep)
 
 
-def stage_batch(
-    updates: DataFrame,
+def replace_partitions(
+    df: DataFrame,
     path: str,
-    keys: Sequence[str],
-    order: Sequence[str],
     part_col: str,
     batch_id: int | str,
-    ties: Sequence[str] = (),
-    stable_partition: bool = False,
+    replaced: Sequence[str] | None = None,
     high_water: str | None = None,
+    keep: int = 2,
+    observe: str | None = None,
 ) -> list[str]:
-    """The first half of ``upsert_table``: the merged partitions and a plan of the move,
-    in side folders. Returns the partitions concerned."""
-    spark = updates.sparkSession
-    own, staged = f"{path}/_fresh/{batch_id}", f"{path}/_staged/{batch_id}"
-    # The increment is worked out once and read back from here.
-    dedup_latest(updates, keys, order, ties).write.mode("overwrite").parquet(own)
-    fresh = spark.read.schema(updates.schema).parquet(own)
-    types = {f.name: f.dataType for f in updates.schema}
-    if _has_data(spark, path):
-        # Folder names lose their type on reading; the kept schema or the updates have it.
-        schema = _kept_schema(spark, path) or T.StructType(
-            [T.StructField(f.name, types.get(f.name, f.dataType)) for f in read_or_none(spark, path, True).schema]
-        )
-        table = spark.read.schema(schema).parquet(path)
-        concerned, values = _concerned(table, fresh, keys, part_col, stable_partition)
-        merged = upsert_latest(table.filter(concerned), fresh, keys, order, ties)
-    else:
-        values = [_NULL_FOLDER if r[0] is None else r[0] for r in fresh.select(F.col(part_col).cast("string")).distinct().collect()]
-        merged = fresh
+    """Write ``df`` as the next version of a versioned table: its partitions, and those in ``replaced`` (as text) that it has no
+    rows for, take the place of the same ones; the others stay where they are. ``replaced=None`` replaces the whole table.
+
+    ``df`` may read the table. What a failed write left behind is overwritten by the next. ``high_water`` is a value to keep with the table if it is
+    the largest so far, ``observe`` a column whose maximum is taken for it as the rows are written. Returns the partitions replaced.
+    """
+    spark = df.sparkSession
+    if _VERSION in df.columns:
+        raise ValueError(f"{_VERSION} is the name of the folders of versions")
+    df = df.select(*[c for c in df.columns if c != part_col], part_col)
+    state = _state(spark, path) or {"version": 0, "parts": {}, "high_water": None}
+    version = state["version"] + 1
+    seen = Observation()
+    rows = df.hint("rebalance", part_col)
     (
-        merged.hint("rebalance", part_col)
+        (rows if observe is None else rows.observe(seen, F.max(observe).cast("string").alias("newest")))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(part_col)
-        .parquet(staged)
+        .parquet(f"{path}/{_VERSION}={version}")
     )
-    newest = None if high_water is None else fresh.agg(F.max(high_water).cast("string")).first()[0]
-    plan = {
-        "schema": merged.schema.json(),
-        "move": _folders(spark, staged, part_col),
-        # A partition all of whose keys moved elsewhere has nothing to replace it with.
-        "empty": sorted(set(values) - set(_folders(spark, staged, part_col))),
-        "high_water": newest,
+    written = _folders(spark, f"{path}/{_VERSION}={version}", part_col)
+    gone = set(state["parts"] if replaced is None else replaced) - set(written)
+    parts = {p: v for p, v in state["parts"].items() if p not in gone} | dict.fromkeys(written, version)
+    marks = [m for m in (state["high_water"], high_water, None if observe is None else seen.get["newest"]) if m]
+    new = {
+        "version": version,
+        "parts": parts,
+        "high_water": max(marks, default=None),
+        "part_col": part_col,
+        "schema": json.loads(df.schema.json()),
+        # Folders that no partition is read from any more, by the version that replaced them.
+        "old": [x for x in state.get("old", []) if x[0] > version - keep]
+        + [[version, state["parts"][p], p] for p in sorted((set(written) | gone) & set(state["parts"]))],
     }
-    write_text(spark, f"{path}/_plan/{batch_id}.part", json.dumps(plan))
-    fs, ready = _path(spark, f"{path}/_plan/{batch_id}")
-    fs.rename(_path(spark, f"{path}/_plan/{batch_id}.part")[1], ready)
-    return sorted(values)
-
-
-def settle(spark: SparkSession, path: str, part_col: str) -> None:
-    """Finish every planned move and delete what was staged without a plan. Each step may
-    be repeated: a folder that is no longer in the side folder has been moved already."""
-    for batch in names(spark, f"{path}/_plan"):
-        if batch.endswith(".part"):
-            _delete(spark, f"{path}/_plan/{batch}")
-            continue
-        plan, staged = json.loads(read_text(spark, f"{path}/_plan/{batch}")), f"{path}/_staged/{batch}"
-        for folder in plan["move"].values():
-            if _exists(spark, f"{staged}/{folder}"):
-                _delete(spark, f"{path}/{folder}")
-                fs, source = _path(spark, f"{staged}/{folder}")
-                if not fs.rename(source, _path(spark, f"{path}/{folder}")[1]):
-                    raise OSError(f"cannot move {staged}/{folder}")
-        here = _folders(spark, path, part_col)
-        for value in plan["empty"]:
-            if value in here:
-                _delete(spark, f"{path}/{here[value]}")
-        write_text(spark, f"{path}/_schema", plan["schema"])
-        if plan["high_water"] is not None:
-            known = high_water_mark(spark, path)
-            write_text(spark, f"{path}/_high_water", max(known or "", plan["high_water"]))
-        write_text(spark, f"{path}/_done/{batch}", "")
-        _delete(spark, f"{path}/_plan/{batch}")
-    _delete(spark, f"{path}/_staged")
-    _delete(spark, f"{path}/_fresh")
+    commit = f"{path}/_versions/{version:08d}-{batch_id}"
+    write_text(spark, f"{commit}.part", json.dumps(new))
+    fs, here = _path(spark, f"{commit}.part")
+    if not fs.rename(here, _path(spark, commit)[1]):
+        raise OSError(f"cannot commit {commit}")
+    for when, old, part in state.get("old", []):
+        if when <= version - keep:
+            folder = _folders(spark, f"{path}/{_VERSION}={old}", part_col).get(part)
+            if folder is not None:
+                _delete(spark, f"{path}/{_VERSION}={old}/{folder}")
+    return sorted({*written, *gone})
+
+
+def committed(spark: SparkSession, path: str, batch_id: int | str) -> bool:
+    """Whether a versioned table holds the batch."""
+    return str(batch_id) in batches(spark, path)
+
+
+def batches(spark: SparkSession, path: str) -> list[str]:
+    """The batches of a versioned table, in the order of their versions."""
+    return [n.split("-", 1)[1] for n in names(spark, f"{path}/_versions") if not n.endswith(".part")]
 
 
 def high_water_mark(spark: SparkSession, path: str) -> str | None:
     """The largest value, as text, of the column named by ``high_water`` in all merged batches."""
-    return read_text(spark, f"{path}/_high_water") or None
+    return (_state(spark, path) or {}).get("high_water")
+
+
+def partitions(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
+    """The version of a versioned table (0 where there is none) and of each of its partitions, by their values as text."""
+    state = _state(spark, path) or {"version": 0, "parts": {}}
+    return state["version"], state["parts"]
+
+
+def _state(spark: SparkSession, path: str) -> dict | None:
+    """The last commit of a versioned table."""
+    done = [n for n in names(spark, f"{path}/_versions") if not n.endswith(".part")]
+    return json.loads(read_text(spark, f"{path}/_versions/{done[-1]}")) if done else None
+
+
+def _read_version(spark: SparkSession, path: str, state: dict) -> DataFrame:
+    """The rows of the state's partitions. The filter is on folders alone, so Spark opens no other file."""
+    schema, part = T.StructType.fromJson(state["schema"]), state["part_col"]
+    by_version: dict[int, list[str]] = {}
+    for value, version in state["parts"].items():
+        by_version.setdefault(version, []).append(value)
+    if not by_version:
+        return spark.createDataFrame([], schema)
+    # Folder names lose their type on reading; the kept schema has it.
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(_VERSION, T.IntegerType())])).parquet(path)
+    here = [(F.col(_VERSION) == n) & _parts(part, schema[part].dataType, values) for n, values in sorted(by_version.items())]
+    return rows.filter(reduce(Column.__or__, here)).select(*schema.names)
+
+
+def _parts(part_col: str, kind: T.DataType, values: Sequence[str]) -> Column:
+    """Partitions named as text."""
+    known = [F.lit(v).cast(kind) for v in values if v != _NULL_FOLDER]
+    found = F.col(part_col).isin(known) if known else F.lit(False)
+    return found | F.col(part_col).isNull() if _NULL_FOLDER in values else found
 
 
 def names(spark: SparkSession, path: str) -> list[str]:
@@ -305,6 +329,7 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+_VERSION = "table_version"
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -327,11 +352,9 @@ def _concerned(table, fresh, keys, part_col, stable_partition) -> tuple[Column,
         touched = touched.unionByName(held.select(part_col))
     # Partition values, not rows: at most as many as the table has folders. As literals
     # they prune the scan to those folders.
-    rows = touched.distinct().select(part_col, F.col(part_col).cast("string").alias("text")).collect()
-    concerned = F.col(part_col).isin([r[0] for r in rows if r[0] is not None])
-    if any(r[0] is None for r in rows):
-        concerned = concerned | F.col(part_col).isNull()
-    return concerned, [_NULL_FOLDER if r["text"] is None else r["text"] for r in rows]
+    rows = touched.distinct().select(F.col(part_col).cast("string")).collect()
+    values = [_NULL_FOLDER if r[0] is None else r[0] for r in rows]
+    return _parts(part_col, table.schema[part_col].dataType, values), values
 
 
 def materialise(

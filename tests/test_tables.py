@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 from fairwait import operators as op
 from fairwait import sinks, sources
 from fairwait.schemas import RAW_REQUESTS
-from fairwait.sinks.tables import _exists
 
 
 def test_request_records(spark, tmp_path):
@@ -124,16 +123,15 @@ def test_upsert_table(spark, tmp_path, rows):
         return sinks.upsert_table(versions(spark, data), path, ["k"], ["updated"], "month", batch, **more)
 
     def now():
-        return rows(spark.read.parquet(path).select("k", "v", F.col("month").cast("string")))
+        return rows(sinks.read_or_none(spark, path).select("k", "v", F.col("month").cast("string")))
 
     assert upsert([("1", "a", "x", "2024-01"), ("2", "a", "y", "2024-02"), ("9", "a", "n", None)], 1)
-    untouched = {p.name for p in (tmp_path / "t" / "month=2024-02").iterdir()}
     # One key moves to another month and empties its old one; a new version and an older one.
     assert upsert([("1", "b", "moved", "2024-03"), ("9", "b", "null month", None), ("9", "0", "older", None)], 2)
     expected = [("1", "moved", "2024-03"), ("2", "y", "2024-02"), ("9", "null month", None)]
     assert now() == expected
-    assert {p.name for p in (tmp_path / "t" / "month=2024-02").iterdir()} == untouched
-    assert not (tmp_path / "t" / "month=2024-01").exists()
+    # The second version holds the partitions it replaced, and no others.
+    assert {p.name for p in (tmp_path / "t" / "table_version=2").glob("month=*")} == {"month=2024-03", "month=__HIVE_DEFAULT_PARTITION__"}
     # The same batch again is skipped, the same rows in a new batch change nothing.
     assert not upsert([("1", "z", "ignored", "2024-03")], 2)
     assert upsert([("1", "b", "moved", "2024-03")], 3, stable_partition=True)
@@ -143,49 +141,68 @@ def test_upsert_table(spark, tmp_path, rows):
 UPSERT = (["k"], ["updated"], "month")
 
 
-def test_upsert_table_recovers_after_a_failed_move(spark, tmp_path, rows, monkeypatch):
+@pytest.mark.parametrize("broken", ["_folders", "write_text", "_path"])
+def test_a_batch_that_fails_leaves_the_table_as_it_was(spark, tmp_path, rows, monkeypatch, broken):
     from fairwait.sinks import tables
 
     path = str(tmp_path / "t")
-    first = versions(spark, [("1", "a", "x", "2024-01"), ("2", "a", "y", "2024-01"), ("5", "a", "w", "2024-02")])
-    tables.upsert_table(first, path, *UPSERT, 1)
-    second = versions(spark, [("1", "b", "new", "2024-01"), ("5", "b", "new", "2024-02")])
-    delete, lost = tables._delete, []
-
-    def failing(session, folder):
-        delete(session, folder)
-        if "/month=" in folder:  # the old partition is gone, the new one not there
-            lost.append(folder)
-            raise RuntimeError("executor lost")
-
-    monkeypatch.setattr(tables, "_delete", failing)
-    with pytest.raises(RuntimeError):
-        tables.upsert_table(second, path, *UPSERT, 2)
-    monkeypatch.undo()
-    assert lost and not _exists(spark, f"{path}/_done/2")
-    # Another batch comes first: it finishes the move, and the retry has nothing left to do.
-    assert tables.upsert_table(versions(spark, [("3", "a", "z", "2024-01")]), path, *UPSERT, 3)
-    assert tables.upsert_table(second, path, *UPSERT, 2) is None
-    assert rows(spark.read.parquet(path), "k", "v") == [("1", "new"), ("2", "y"), ("3", "z"), ("5", "new")]
+    tables.upsert_table(versions(spark, [("1", "a", "x", "m"), ("4", "a", "x", "m4")]), path, *UPSERT, 1)
+    second, plain = versions(spark, [("1", "b", "moved", "m2")]), getattr(tables, broken)
 
+    def failing(session, name, *args):
+        # After the write of the version: at the listing of its folders, at the commit or at its last step.
+        if "table_version=2" in name or name.endswith(".part"):
+            raise RuntimeError("driver lost")
+        return plain(session, name, *args)
 
-def test_what_was_staged_without_a_plan_is_thrown_away(spark, tmp_path, rows, monkeypatch):
-    from fairwait.sinks import tables
+    with monkeypatch.context() as m:
+        m.setattr(tables, broken, failing)
+        with pytest.raises(RuntimeError):
+            tables.upsert_table(second, path, *UPSERT, 2)
+    assert rows(sinks.read_or_none(spark, path), "k", "v") == [("1", "x"), ("4", "x")] and not tables.committed(spark, path, 2)
+    # Another batch comes first, then the same again, which counts once.
+    assert tables.upsert_table(versions(spark, [("3", "a", "z", "m")]), path, *UPSERT, 3) == ["m"]
+    assert tables.upsert_table(second, path, *UPSERT, 2) == ["m", "m2"]
+    assert tables.upsert_table(second, path, *UPSERT, 2) is None
+    assert rows(sinks.read_or_none(spark, path), "k", "v") == [("1", "moved"), ("3", "z"), ("4", "x")]
+    assert tables.batches(spark, path) == ["1", "3", "2"]
 
+
+def test_readers_keep_their_version_until_it_expires(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    for n in range(5):
+        sinks.upsert_table(versions(spark, [("1", str(n), f"x{n}", "m"), (f"k{n}", "a", "y", f"m{n}")]), path, *UPSERT, n, keep=2)
+        if n == 3:
+            reader = sinks.read_or_none(spark, path)
+    assert rows(reader.filter("k = '1'"), "v") == [("x3",)]
+    assert rows(sinks.read_or_none(spark, path), "k", "v") == [("1", "x4"), *[(f"k{n}", "y") for n in range(5)]]
+    left = sorted(str(p.relative_to(tmp_path / "t")) for p in (tmp_path / "t").glob("table_version=*/month=m"))
+    assert left == [f"table_version={n}/month=m" for n in (3, 4, 5)]
+    assert len(list((tmp_path / "t").glob("table_version=*/month=m0"))) == 1  # never replaced, so still where it was written
+
+
+def test_only_the_folders_of_the_state_are_read(spark, tmp_path):
     path = str(tmp_path / "t")
-    tables.upsert_table(versions(spark, [("1", "a", "x", "m")]), path, *UPSERT, 1)
+    for n in range(3):
+        sinks.upsert_table(versions(spark, [("1", str(n), "x", "m"), (str(n + 5), "a", "y", f"m{n}")]), path, *UPSERT, n, keep=9)
+    df = sinks.read_or_none(spark, path)
+    scan = next(x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x)
+    assert "PartitionFilters: [" in scan and "table_version" in scan.split("PartitionFilters")[1] and "DataFilters: []" in scan
+    assert df.filter("month = 'm'").select(F.input_file_name().alias("f")).distinct().count() == 1  # one folder is opened
 
-    def broken(*_):
-        raise RuntimeError("driver lost")
 
-    second = versions(spark, [("2", "a", "y", "m")])
-    with monkeypatch.context() as m:
-        m.setattr(tables, "write_text", broken)
-        with pytest.raises(RuntimeError):
-            tables.upsert_table(second, path, *UPSERT, 2)
-    tables.upsert_table(versions(spark, [("3", "a", "z", "m")]), path, *UPSERT, 3)
-    assert tables.upsert_table(second, path, *UPSERT, 2) == ["m"]
-    assert rows(spark.read.parquet(path), "k", "v") == [("1", "x"), ("2", "y"), ("3", "z")]
+def test_whole_tables_and_partitions_are_replaced(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    sinks.replace_partitions(versions(spark, [("1", "a", "x", "m1"), ("2", "a", "x", "m2"), ("3", "a", "x", None)]), path, "month", "a")
+    assert sinks.replace_partitions(versions(spark, [("4", "a", "x", "m2")]), path, "month", "b", ["m1", "m2"]) == ["m1", "m2"]
+    assert rows(sinks.read_or_none(spark, path), "k") == [("3",), ("4",)]
+    assert sinks.replace_partitions(versions(spark, []), path, "month", "c") == ["__HIVE_DEFAULT_PARTITION__", "m2"]
+    assert sinks.read_or_none(spark, path).count() == 0 and sinks.read_or_none(spark, path).columns == ["k", "updated", "v", "month"]
+    sinks.replace_partitions(spark.sql("SELECT 1 AS n, timestamp_ntz'2024-01-01 10:20:00' AS at UNION ALL SELECT 2, timestamp_ntz'2024-01-02'"), str(tmp_path / "u"), "at", "a")
+    got = sinks.read_or_none(spark, str(tmp_path / "u"))
+    assert dict(got.dtypes)["at"] == "timestamp_ntz" and got.filter("at < '2024-01-02'").collect()[0]["n"] == 1
+    with pytest.raises(ValueError, match="table_version"):
+        sinks.replace_partitions(spark.range(1).withColumn("table_version", F.lit(1)), path, "id", "d")
 
 
 def test_high_water_mark_and_schema_are_kept(spark, tmp_path):
@@ -201,9 +218,8 @@ def test_high_water_mark_and_schema_are_kept(spark, tmp_path):
 def test_incremental_model_rewrites_only_its_partitions(spark, tmp_path, rows):
     for data in ([("1", "a", "x", "m1"), ("2", "a", "y", "m2")], [("1", "b", "new", "m1")]):
         df = sinks.materialise(versions(spark, data), "t", "incremental", str(tmp_path), ["k"], ["updated"], part_col="month")
-        untouched = {p.name for p in (tmp_path / "t" / "month=m2").iterdir()}
     assert rows(df, "k", "v") == [("1", "new"), ("2", "y")]
-    assert untouched == {p.name for p in (tmp_path / "t" / "month=m2").iterdir()}
+    assert [p.name for p in (tmp_path / "t" / "table_version=2").glob("month=*")] == ["month=m1"]
 
 
 def test_watermark(spark):
@@ -235,7 +251,7 @@ def test_stream_survives_a_restart(spark, tmp_path, rows):
     def run():
         stream = spark.readStream.schema(V).option("maxFilesPerTrigger", 1).parquet(landing)
         stream_upsert(stream, path, ["k"], ["updated"], "month", log).awaitTermination()
-        return rows(spark.read.parquet(path), "k", "v")
+        return rows(sinks.read_or_none(spark, path), "k", "v")
 
     versions(spark, [("1", "a", "x", "m1"), ("2", "a", "y", "m1")]).coalesce(1).write.parquet(landing)
     assert run() == [("1", "x"), ("2", "y")]
@@ -254,4 +270,4 @@ def test_streams_with_logs_of_their_own_share_a_table(spark, tmp_path, rows):
         versions(spark, data).write.parquet(landing)
         stream = spark.readStream.schema(V).parquet(landing)
         stream_upsert(stream, path, *UPSERT, str(tmp_path / f"log{n}")).awaitTermination()
-    assert rows(spark.read.parquet(path), "k", "v") == [("1", "x2"), ("2", "y")]
+    assert rows(sinks.read_or_none(spark, path), "k", "v") == [("1", "x2"), ("2", "y")]
