@@ -37,6 +37,7 @@ def grouped_quantiles(
     approx: bool = False,
     accuracy: int = 10000,
     wide: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """Quantiles of one or more columns per group, in one pass over ``df``.
 
@@ -45,8 +46,12 @@ def grouped_quantiles(
     name to ("count" | "sum" | "max" | "min", column); ("count", "*") counts rows.
     ``approx=True`` uses mergeable sketches and returns an element of the group.
     ``wide=True`` is for few groups with any number of distinct values; same result.
+    ``weight`` names a column that says for how many equal rows a row stands, as in stored counts (``value_counts``),
+    for the exact result; what rides along, but for ("count", "*"), is not multiplied.
     """
     carry = dict(carry or {})
+    if approx and weight is not None:
+        raise ValueError("sketches take rows, not counts")
     if approx:
         aggs = [
             F.percentile_approx(value, F.lit(p), F.lit(accuracy)).cast("double").alias(out)
@@ -56,7 +61,7 @@ def grouped_quantiles(
         return df.groupBy(*keys).agg(*aggs)
 
     values = list(dict.fromkeys(value for value, _ in quantiles.values()))
-    hist = _value_counts(df, keys, values, carry)
+    hist = _value_counts(df, keys, values, carry, weight)
     part = [*keys, "_m"] if len(values) > 1 else list(keys)
     ranked = (_rank_wide if wide else _rank)(hist, part, values, quantiles, carry)
     return _pick(ranked, keys, values, quantiles, carry)
@@ -66,7 +71,7 @@ def _source(col: str) -> Column:
     return F.lit(1) if col == "*" else F.col(col)
 
 
-def _value_counts(df, keys, values, carry) -> DataFrame:
+def _value_counts(df, keys, values, carry, weight=None) -> DataFrame:
     """One row per (keys, measure, value) with its number of rows ``_n``.
 
     Row counts are not carried apart, ``_n`` has them: so two branches over the same groups
@@ -74,8 +79,9 @@ def _value_counts(df, keys, values, carry) -> DataFrame:
     """
     carry = {out: how for out, how in carry.items() if how != ("count", "*")}
     carried = [F.col(col).alias(f"_c_{out}") for out, (_, col) in carry.items()]
+    held = [] if weight is None else [F.col(weight).alias("_w")]
     if len(values) == 1:
-        long = df.select(*keys, F.col(values[0]).alias("_v"), *carried)
+        long = df.select(*keys, F.col(values[0]).alias("_v"), *carried, *held)
         by = [*keys, "_v"]
     else:
         # Carried columns go with the first measure only, so they count once.
@@ -85,15 +91,26 @@ def _value_counts(df, keys, values, carry) -> DataFrame:
                 for i, v in enumerate(values)
             ]
         )
-        long = df.select(*keys, F.explode(pairs).alias("_p"), *carried).select(
+        long = df.select(*keys, F.explode(pairs).alias("_p"), *carried, *held).select(
             *keys,
+            *[c for c in ("_w",) if held],
             "_p._m",
             "_p._v",
             *[F.when(F.col("_p._m") == 0, F.col(f"_c_{o}")).alias(f"_c_{o}") for o in carry],
         )
         by = [*keys, "_m", "_v"]
     aggs = [_CARRY[kind][0](F.col(f"_c_{o}")).alias(f"_c_{o}") for o, (kind, _) in carry.items()]
-    return long.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *aggs)
+    number = F.count(F.lit(1)) if weight is None else F.sum("_w")
+    return long.groupBy(*by).agg(number.alias("_n"), *aggs)
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None, out: str = "n_rows") -> DataFrame:
+    """One row per group and value with its number of rows (``out``): a state from which all quantiles of the value follow exactly.
+
+    States of separate rows are merged by counting again with ``weight=out``; a state less that of some of its rows is the state of the
+    others. NULL groups and values are kept.
+    """
+    return df.groupBy(*keys, value).agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias(out))
 
 
 def _running(df: DataFrame, part: Sequence[str], order: str) -> DataFrame:

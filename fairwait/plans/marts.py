@@ -12,7 +12,7 @@ from ..functions import month_of, pct_of, resolution_status, response_hours, rou
 from ..operators.cleaning import stamp_refresh
 from ..operators.filters import closed_requests
 from ..operators.joins import enrich_dim, join_baseline, matched_fact, quintile_self_join
-from ..operators.quantiles import grouped_quantiles
+from ..operators.quantiles import grouped_quantiles, value_counts
 from ..operators.upsert import incremental_filter, upsert_latest
 from ..operators.windows import ntile_bucket
 
@@ -116,6 +116,16 @@ def score_stats(stats: DataFrame, baseline: DataFrame, dim: DataFrame, refreshed
     return stamp_refresh(scored, refreshed_at)
 
 
+STATE_KEYS = ("request_month", "tract_geoid", "complaint_type")
+
+
+def hour_counts(fact: DataFrame) -> DataFrame:
+    """The facts as exact counts per month, tract, type and waiting time: ``quintile_summary`` and ``pooled_trend`` take them with
+    ``weight="n_rows"`` and give what they would for the facts. Months are counted apart, so stored counts of months that did not
+    change stay as they are, and the quintiles are not in them, so a new dimension does not change them."""
+    return value_counts(fact, STATE_KEYS, "response_time_hours")
+
+
 def with_quintile(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Facts with a waiting time and the quintile of their tract."""
     known = dim.filter(F.col("income_quintile").isNotNull()).select("tract_geoid", "income_quintile")
@@ -127,6 +137,7 @@ def cell_percentiles(
     keys: Sequence[str] = ("tract_geoid", "complaint_type", "income_quintile"),
     floor: int = CELL_FLOOR,
     approx: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """Count, P90 and P50 per tract and type; cells with fewer requests than ``floor`` go."""
     cells = grouped_quantiles(
@@ -135,6 +146,7 @@ def cell_percentiles(
         {"tract_p90_hours": ("response_time_hours", 0.90), "tract_p50_hours": ("response_time_hours", 0.50)},
         {"tract_complaint_n": ("count", "*")},
         approx=approx,
+        weight=weight,
     )
     return cells.filter(F.col("tract_complaint_n") >= floor)
 
@@ -159,9 +171,9 @@ def median_of_cells(
 
 
 def quintile_summary(
-    fact: DataFrame, dim: DataFrame, floor: int = CELL_FLOOR, approx: bool = False
+    fact: DataFrame, dim: DataFrame, floor: int = CELL_FLOOR, approx: bool = False, weight: str | None = None
 ) -> DataFrame:
-    return median_of_cells(cell_percentiles(with_quintile(fact, dim), floor=floor, approx=approx))
+    return median_of_cells(cell_percentiles(with_quintile(fact, dim), floor=floor, approx=approx, weight=weight))
 
 
 def gap_by_type(summary: DataFrame, floor: int = QUINTILE_FLOOR) -> DataFrame:
@@ -182,7 +194,7 @@ def gap_by_type(summary: DataFrame, floor: int = QUINTILE_FLOOR) -> DataFrame:
     )
 
 
-def pooled_trend(fact: DataFrame, dim: DataFrame, approx: bool = False) -> DataFrame:
+def pooled_trend(fact: DataFrame, dim: DataFrame, approx: bool = False, weight: str | None = None) -> DataFrame:
     """P90 and P50 per month and quintile over all requests together."""
     rows = with_quintile(fact.filter(F.col("request_month").isNotNull()), dim)
     pooled = grouped_quantiles(
@@ -191,6 +203,7 @@ def pooled_trend(fact: DataFrame, dim: DataFrame, approx: bool = False) -> DataF
         {"p90": ("response_time_hours", 0.90), "p50": ("response_time_hours", 0.50)},
         {"n_complaints": ("count", "*")},
         approx=approx,
+        weight=weight,
     )
     return pooled.select(
         F.col("request_month").alias("month"),

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import json
-import re
-from dataclasses import dataclass
+import uuid
+from collections.abc import Callable
+from dataclasses import asdict, dataclass
 from datetime import date, datetime, timedelta
-from urllib.parse import unquote
-from zlib import crc32
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import month_of, ntz
 from ..operators.cleaning import REQUEST_SPEC, normalize_demographics, stage_requests
@@ -19,15 +17,19 @@ from ..operators.quality import Check
 from ..operators.spatial import point_in_polygon_join
 from ..operators.series import result_fingerprint
 from ..operators.upsert import instant, since_filter, utc_now
+from ..operators.windows import dedup_latest
 from ..sinks.tables import (
+    batches,
     by_name,
+    committed,
     expire_versions,
     high_water_mark,
     materialise,
     names,
+    partitions,
     read_or_none,
-    read_snapshot,
     read_text,
+    replace_partitions,
     upsert_table,
     write_partition,
     write_text,
@@ -45,22 +47,58 @@ class LoadResult:
     rows: int
 
 
+@dataclass(frozen=True)
+class Load:
+    """A load of raw as its manifest has it: rows, range of update times, rows without one, and a mark that a rerun changes."""
+
+    load: str
+    rows: int
+    oldest: str | None
+    newest: str | None
+    undated: int
+    mark: str
+
+
 def load_raw(rows: DataFrame, raw_path: str, load: str, updated: str) -> int:
     """Write ``rows`` as one load into the raw table, a partition of its own which a rerun
-    replaces. The newest update time is kept beside it, so that the next run need not scan for it."""
+    replaces, and its row of the manifest after it. What the manifest says is observed while the rows are written."""
     spark = rows.sparkSession
     if read_or_none(spark, raw_path) is not None:
         have = spark.read.parquet(raw_path).drop(LOAD).schema
         rows = by_name(rows.drop(LOAD), have, "widen")
-    newest = rows.agg(F.max(instant(rows, updated)).cast("string")).first()[0]
+    seen, at = Observation(), instant(rows, updated)
+    rows = rows.observe(
+        seen, F.min(at).cast("string").alias("oldest"), F.max(at).cast("string").alias("newest"), F.count_if(at.isNull()).alias("undated")
+    )
     n = write_partition(rows.withColumn(LOAD, F.lit(load)), raw_path, LOAD)
-    write_text(spark, f"{raw_path}/_newest/{load}", newest or "")
+    found = seen.get if n else {"oldest": None, "newest": None, "undated": 0}
+    write_text(spark, f"{raw_path}/_loads/{load}", json.dumps(asdict(Load(load, n, found["oldest"], found["newest"], found["undated"], uuid.uuid4().hex))))
     return n
 
 
+def manifest(spark: SparkSession, raw_path: str) -> dict[str, Load]:
+    """The loads of a raw table; one row each, whatever they hold."""
+    if not names(spark, f"{raw_path}/_loads"):
+        return {}
+    schema = "load string, rows bigint, oldest string, newest string, undated bigint, mark string"
+    return {r["load"]: Load(**r.asDict()) for r in spark.read.schema(schema).json(f"{raw_path}/_loads").collect()}
+
+
+def scanned_manifest(raw: DataFrame, updated: str) -> dict[str, Load]:
+    """The same from the rows of a raw table that has no manifest, which takes a scan of it; the null load is named ""."""
+    if LOAD not in raw.columns:
+        return {}
+    at = instant(raw, updated)
+    found = raw.groupBy(F.coalesce(F.col(LOAD).cast("string"), F.lit("")).alias("load")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(at).cast("string").alias("oldest"), F.max(at).cast("string").alias("newest"),
+        F.count_if(at.isNull()).alias("undated"), F.sum(F.xxhash64(*raw.columns).cast("decimal(38,0)")).cast("string").alias("mark"),
+    )
+    return {r["load"]: Load(**r.asDict()) for r in found.collect()}
+
+
 def newest_before(spark: SparkSession, raw_path: str, load: str) -> datetime | None:
     """The newest update time of the loads before ``load`` in the order of their names."""
-    marks = [read_text(spark, f"{raw_path}/_newest/{n}") for n in names(spark, f"{raw_path}/_newest") if n < load]
+    marks = [x.newest for x in manifest(spark, raw_path).values() if x.load < load]
     return max((datetime.fromisoformat(m) for m in marks if m), default=None)
 
 
@@ -148,15 +186,20 @@ def build_marts(
     suites: dict[str, list[Check]] | None = None,
     refreshed_at: datetime | None = None,
     keep: int = 2,
+    raw_path: str | None = None,
+    full_refresh: bool = False,
 ) -> dict[str, DataFrame]:
     """All marts from the raw tables, each stored under ``root`` and checked.
 
     The intermediate table grows by merge, rewriting only the months with changes; a ``run_id`` that was
     merged before is not merged again. Raw is read from the table's own high-water mark on, and loads (``ingestion_date``) not merged
-    yet, or written anew since, whatever their update times; raw without loads only from the mark on. Facts,
-    statistics, baseline and splits are worked out for the months that changed, and taken over
-    from the version before for the others; a new dimension, or a run that broke off, has all months redone. Every
-    table is written once and read by the next from there, so its size is known when joins are planned.
+    yet, or written anew since, whatever their update times; raw without loads only from the mark on. ``raw_path`` is the folder of
+    raw with the manifest of its loads; without it they are told by a scan. ``full_refresh`` stages all of raw and
+    replaces every table, as after a change of rules or columns.
+
+    Facts, waiting-time counts, statistics, baseline and splits are versioned tables by month. Each knows the version of the
+    intermediate table and the dimension that it was built from, and replaces the months that changed since then; a new dimension
+    has all months replaced. Summary and trend are quantiles of the counts: no run reads the facts of a month that did not change.
 
     ``suites`` (``SUITES`` by default; an empty dict checks nothing) run on the stored tables. Their results are kept
     in ``checks``; a failed check of severity "error" stops the run. All but ``keep`` versions
@@ -165,16 +208,21 @@ def build_marts(
     spark = raw.sparkSession
     suites = SUITES if suites is None else suites
     path = f"{root}/intermediate"
-    newest = high_water_mark(spark, path)
-    since = None if newest is None else datetime.fromisoformat(newest) - timedelta(hours=hours)
-    loads = _loads(raw)
-    fresh = marts.build_intermediate(_unmerged(raw, since, loads, json.loads(read_text(spark, f"{root}/_loads") or "{}")))
-    changed = upsert_table(
-        fresh.withColumn("created_month", month_of("created_at").cast("date").cast("string")),
-        path, ["unique_key"], ["updated_at"], "created_month", run_id, high_water="updated_at",
-    )
-    if changed is not None:
-        write_text(spark, f"{root}/_loads", json.dumps(loads))
+    loads = scanned_manifest(raw, REQUEST_SPEC["updated_at"][0]) if raw_path is None else manifest(spark, raw_path)
+    if full_refresh:
+        fresh = dedup_latest(_intermediate(stage_requests(raw)), ["unique_key"], ["updated_at"])
+        batch = f"{run_id}-full-{len(batches(spark, path))}"
+        replace_partitions(fresh, path, "created_month", batch, observe="updated_at", keep=keep)
+    elif not committed(spark, path, run_id):
+        newest = high_water_mark(spark, path)
+        since = None if newest is None else datetime.fromisoformat(newest) - timedelta(hours=hours)
+        merged = json.loads(read_text(spark, f"{root}/_loads") or "{}")
+        fresh = _intermediate(_unmerged(raw, since, [x for x in loads.values() if merged.get(x.load) != x.mark]))
+        upsert_table(fresh, path, ["unique_key"], ["updated_at"], "created_month", run_id, high_water="updated_at", keep=keep)
+    else:
+        loads = None
+    if loads is not None:
+        write_text(spark, f"{root}/_loads", json.dumps({x.load: x.mark for x in loads.values()}))
     tables = {"intermediate": read_or_none(spark, path)}
 
     def check(name: str) -> None:
@@ -187,82 +235,70 @@ def build_marts(
 
     check("intermediate")
 
-    def store(name: str, df: DataFrame, by: str | None = None) -> DataFrame:
-        tables[name] = materialise(df, name, "table", root, part_col=by)
+    def store(name: str, df: DataFrame) -> DataFrame:
+        tables[name] = materialise(df, name, "table", root)
         check(name)
         return tables[name]
 
     dim = store("dim_tract", marts.dim_tract(normalize_demographics(demographics)))
     mark = result_fingerprint({"dim": dim}).first()[0]
-    built = set(names(spark, f"{root}/_built"))
-    merged = set(names(spark, f"{path}/_done")) - {str(run_id)}
-    same_dim = read_text(spark, f"{root}/_dim") == mark
-    # Whether the versions before hold every month but the changed ones.
-    partial = changed is not None and same_dim and merged <= built and bool(built)
-    months = [m for m in changed or [] if m[:4].isdigit()]
-    here = F.col("request_month").cast("date").cast("string").isin(months)
-
-    def of_month(name: str, redo) -> DataFrame:
-        """The table with ``redo(keep)`` for the changed months; ``keep`` filters inputs to them."""
-        if not partial:
-            return store(name, redo(lambda df: df), "request_month")
-        before = read_snapshot(spark, f"{root}/{name}", schemas[name])
-        return store(name, redo(lambda df: df.filter(here)).unionByName(before.filter(~here)), "request_month")
-
-    facts = marts.request_facts(tables["intermediate"].filter(F.col("created_month").isin(months)) if partial else tables["intermediate"], dim)
-    schemas = _schemas(spark, root) if partial else {}
-    fact = of_month("request_facts", lambda cut: cut(facts))
-    stats = of_month("tract_stats", lambda cut: marts.tract_stats(cut(fact)))
-    baseline = of_month("city_baseline", lambda cut: marts.city_baseline(cut(stats)))
-    of_month("equity_splits", lambda cut: marts.score_stats(cut(stats), cut(baseline), dim, refreshed_at))
-    write_text(spark, f"{root}/_schemas", json.dumps({n: tables[n].schema.jsonValue() for n in MONTHLY}))
-    summary = store("quintile_summary", marts.quintile_summary(fact, dim, cell_floor))
+    version, here = partitions(spark, path)
+
+    def monthly(name: str, rows: Callable[[Callable[[DataFrame], DataFrame]], DataFrame]) -> DataFrame:
+        """A table by ``request_month``; ``rows`` gets a function that cuts inputs to the months to be worked out."""
+        target = f"{root}/{name}"
+        built = (batches(spark, target) or [""])[-1]
+        _, held = partitions(spark, target)
+        done, _, of = built.partition("@")
+        if full_refresh or of != mark:
+            months = None
+        else:
+            months = {m for m, v in here.items() if v > int(done)} | {m[:10] for m in held if m[:10] not in here}
+        if months is None:
+            replace_partitions(rows(lambda df: df), target, "request_month", f"{version}@{mark}", keep=keep)
+        elif months:
+            asked = sorted(m for m in months if m[:4].isdigit())
+            # Months are folders of the inputs too, so the cut reaches the scan.
+            def cut(df: DataFrame) -> DataFrame:
+                by = "created_month" if "created_month" in df.columns else "request_month"
+                return df.filter(F.col(by).isin([F.lit(m).cast(df.schema[by].dataType) for m in asked]))
+
+            replace_partitions(rows(cut), target, "request_month", f"{version}@{mark}", [f"{m} 00:00:00" for m in asked], keep=keep)
+        tables[name] = read_or_none(spark, target)
+        check(name)
+        return tables[name]
+
+    facts = monthly("request_facts", lambda cut: marts.request_facts(cut(tables["intermediate"]), dim))
+    counts = monthly("hour_counts", lambda cut: marts.hour_counts(cut(facts)))
+    stats = monthly("tract_stats", lambda cut: marts.tract_stats(cut(facts)))
+    baseline = monthly("city_baseline", lambda cut: marts.city_baseline(cut(stats)))
+    monthly("equity_splits", lambda cut: marts.score_stats(cut(stats), cut(baseline), dim, refreshed_at))
+    summary = store("quintile_summary", marts.quintile_summary(counts, dim, cell_floor, weight="n_rows"))
     store("gap_by_type", marts.gap_by_type(summary, quintile_floor))
-    store("trend_monthly", marts.pooled_trend(fact, dim))
-    write_text(spark, f"{root}/_dim", mark)
-    write_text(spark, f"{root}/_built/{run_id}", "")
-    for batch in merged:
-        write_text(spark, f"{root}/_built/{batch}", "")
-    for name in tables:
-        if name != "intermediate":
-            expire_versions(spark, f"{root}/{name}", keep)
+    store("trend_monthly", marts.pooled_trend(counts, dim, weight="n_rows"))
+    for name in ("dim_tract", "quintile_summary", "gap_by_type", "trend_monthly"):
+        expire_versions(spark, f"{root}/{name}", keep)
     return tables
 
 
-def _loads(raw: DataFrame) -> dict[str, str]:
-    """Every load in raw with a mark of what it holds: rows and files, which a rerun names anew."""
-    if LOAD not in raw.columns:
-        return {}
-    files: dict[str, list[str]] = {}
-    for found in (re.search(f"/{LOAD}=([^/]+)/([^/]+)$", x) for x in raw.inputFiles()):
-        if found:
-            files.setdefault(unquote(found[1]), []).append(found[2])
-    rows = raw.groupBy(F.col(LOAD).cast("string").alias("load")).count().collect()  # one row per load
-    return {r["load"] or "": f"{r['count']}-{crc32('/'.join(sorted(files.get(r['load'], []))).encode())}" for r in rows}
+def _intermediate(staged: DataFrame) -> DataFrame:
+    return marts.build_intermediate(staged).withColumn("created_month", month_of("created_at").cast("date").cast("string"))
 
 
-def _unmerged(raw: DataFrame, since: datetime | None, loads: dict[str, str], merged: dict[str, str]) -> DataFrame:
-    """Staged requests that may change the table: those updated ``since``, and all keys with other rows in loads not ``merged``.
+def _unmerged(raw: DataFrame, since: datetime | None, new: list[Load]) -> DataFrame:
+    """Staged requests that may change the table: those updated ``since``, and all keys with other rows in the ``new`` loads.
 
     Such keys are staged from all their rows, so that equal update times are settled as in a full build. Only they take a scan of
-    whole raw; a daily load has none but by accident.
+    whole raw; a daily load has none but by accident, and the manifest says so.
     """
-    new = [x for x, mark in loads.items() if merged.get(x) != mark]
-    if since is None or not new:
+    if since is None:
+        return stage_requests(raw)
+    earlier = [x.load for x in new if x.undated or (x.oldest and datetime.fromisoformat(x.oldest) < since)]
+    if not earlier:
         return stage_requests(raw, since=since)
     key, updated = REQUEST_SPEC["unique_key"][0], REQUEST_SPEC["updated_at"][0]
     recent = F.coalesce(since_filter(raw, updated, since), F.lit(False))
-    held = F.col(LOAD).isin(new)
-    older = raw.filter((held | F.col(LOAD).isNull() if "" in new else held) & ~recent)
-    if older.isEmpty():
-        return stage_requests(raw, since=since)
+    held = F.col(LOAD).isin(earlier)
+    older = raw.filter((held | F.col(LOAD).isNull() if "" in earlier else held) & ~recent)
     again = raw.join(older.select(key).distinct(), key, "left_semi").select(*raw.columns)
     return stage_requests(raw.filter(since_filter(raw, updated, since)).unionByName(again))
-
-
-# Marts of one row or more per month, redone by month.
-MONTHLY = ("request_facts", "tract_stats", "city_baseline", "equity_splits")
-
-
-def _schemas(spark: SparkSession, root: str) -> dict[str, T.StructType]:
-    return {n: T.StructType.fromJson(x) for n, x in json.loads(read_text(spark, f"{root}/_schemas")).items()}

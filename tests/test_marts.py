@@ -11,6 +11,7 @@ from fairwait import operators as op
 from fairwait.lookups import BOROUGHS
 from fairwait.operators import quality as qc
 from fairwait.plans import marts, reports, runs
+from fairwait.sinks.tables import partitions
 from fairwait.plans.suites import SUITES, run_checkpoint
 from fairwait.schemas import RAW_DEMOGRAPHICS, RAW_REQUESTS
 from tests.test_spatial import shapes, square
@@ -385,6 +386,36 @@ def test_only_changed_months_are_redone(spark, tmp_path, rows):
         assert rows(tables[name].select(sorted(tables[name].columns))) == rows(whole[name].select(sorted(whole[name].columns))), name
     stamps = {(r["request_month"].month, r["mart_refreshed_at"]) for r in tables["equity_splits"].collect()}
     assert stamps == {(1, first), (2, second), (3, second), (4, second), (5, second)}
+    # January stays where the first run wrote it; the fifth month lies within the 48 hours.
+    for name in ("intermediate", "request_facts", "hour_counts", "tract_stats", "equity_splits"):
+        version, months = partitions(spark, f"{root}/{name}")
+        assert version == 2 and {m[:7]: v for m, v in months.items()} == {"2024-01": 1, "2024-02": 2, "2024-03": 2, "2024-04": 2, "2024-05": 2}, name
+    # The same run again writes nothing; a refresh replaces all.
+    runs.build_marts(raw(old + new), demo, root, "2", 1, 1, suites=NO_CHECKS, refreshed_at=first)
+    assert partitions(spark, f"{root}/hour_counts")[0] == 2
+    shorter = raw(old).withColumn("closed_date", F.replace("closed_date", F.lit("T05"), F.lit("T02")))
+    tables = runs.build_marts(shorter, demo, root, "2", 1, 1, suites=NO_CHECKS, refreshed_at=first, full_refresh=True)
+    whole = runs.build_marts(shorter, demo, str(tmp_path / "x"), "1", 1, 1, suites=NO_CHECKS, refreshed_at=first)
+    for name in ("intermediate", "request_facts", "equity_splits", "quintile_summary", "trend_monthly"):
+        assert rows(tables[name].select(sorted(tables[name].columns))) == rows(whole[name].select(sorted(whole[name].columns))), name
+
+
+def test_manifest_of_loads(spark, tmp_path):
+    raw, path = spark.createDataFrame([record("a", "2024-01-01T10:00:00", None, "2024-01-02T00:00:00", 0.5, 0.5), record("b", "2024-01-01T10:00:00", None, None, 0.5, 0.5)], RAW_REQUESTS), str(tmp_path / "raw")
+    updated = "resolution_action_updated_date"
+    assert runs.manifest(spark, path) == {} and runs.newest_before(spark, path, "x") is None
+    assert runs.load_raw(raw, path, "2024-01-02", updated) == 2
+    assert runs.load_raw(raw.filter("unique_key = 'b'"), path, "2024-01-03", updated) == 1
+    loads = runs.manifest(spark, path)
+    one, two = loads["2024-01-02"], loads["2024-01-03"]
+    assert (one.rows, one.oldest, one.newest, one.undated) == (2, "2024-01-02 00:00:00", "2024-01-02 00:00:00", 1)
+    assert (two.rows, two.oldest, two.newest, two.undated) == (1, None, None, 1)
+    assert runs.newest_before(spark, path, "2024-01-04") == datetime(2024, 1, 2)
+    scanned = runs.scanned_manifest(spark.read.parquet(path), updated)
+    assert {k: (x.rows, x.oldest, x.newest, x.undated) for k, x in scanned.items()} == {k: (x.rows, x.oldest, x.newest, x.undated) for k, x in loads.items()}
+    runs.load_raw(raw, path, "2024-01-03", updated)  # a rerun gets a mark of its own
+    assert runs.manifest(spark, path)["2024-01-03"].mark != two.mark
+    assert runs.scanned_manifest(spark.read.parquet(path), updated)["2024-01-03"].mark != scanned["2024-01-03"].mark
 
 
 def test_loads_of_older_rows_reach_the_marts(spark, tmp_path, rows):

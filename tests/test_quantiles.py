@@ -102,3 +102,21 @@ def test_no_part_of_a_narrow_band_holds_many_values(spark):
     scale = F.log1p(F.abs("_v")) * q._FINENESS
     parts = hist.groupBy(F.floor((scale - F.floor(scale)) * q._PARTS)).count()
     assert parts.agg(F.max("count")).first()[0] <= 20
+
+
+def test_stored_counts_merge_to_the_quantiles_of_all_rows(spark, rows):
+    from fairwait.operators.quantiles import value_counts
+
+    data = [(m, g, None if (m + i) % 11 == 0 else (i * i * m) % 37, f"t{i % 3}") for m in range(1, 5) for g in ("a", "b", None) for i in range(40)]
+    df = spark.createDataFrame(data, "month int, g string, v int, t string")
+    wanted = {"p9": ("v", 0.9), "p5": ("v", 0.5)}
+    whole = grouped_quantiles(df, ["g", "t"], wanted, {"n": ("count", "*")})
+    states = [value_counts(df.filter(f"month = {m}"), ["month", "g", "t"], "v") for m in range(1, 5)]
+    merged = states[0].union(states[1]).union(states[2]).union(states[3])
+    for wide in (False, True):
+        assert rows(grouped_quantiles(merged, ["g", "t"], wanted, {"n": ("count", "*")}, weight="n_rows", wide=wide)) == rows(whole)
+    # Merged states are states: fewer keys, or a later month that takes the place of an earlier one.
+    again = value_counts(merged.filter("month <> 2").union(states[1]), ["g", "t"], "v", weight="n_rows")
+    assert rows(grouped_quantiles(again, ["g", "t"], wanted, {"n": ("count", "*")}, weight="n_rows")) == rows(whole)
+    with pytest.raises(ValueError):
+        grouped_quantiles(merged, ["g"], wanted, weight="n_rows", approx=True)
