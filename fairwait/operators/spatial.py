@@ -1,9 +1,10 @@
 """Assign points to the polygon that contains them.
 
-Polygons are cut along a grid of two levels: first into blocks, and those that an edge comes near into
-cells, so that the inside of a large polygon takes few rows. A square no edge comes near lies wholly inside
+Every polygon is cut into squares of its own quadtree. The first squares are about as large as the polygon; those that more than a few
+edges come near are cut into sixteen, a few times over. So the number of squares follows the edges of a polygon and not its area, and a
+country takes no more rows than a city block. A square no edge comes near lies wholly inside
 or outside, which is settled once; for the others the row keeps the edges that can decide a point of it. Each distinct
-place meets the polygons of its block and of its cell through one equality join, and an even-odd count of edges crossed to its right settles
+place meets the polygons of its square on each level that is in use through one equality join, and an even-odd count of edges crossed to its right settles
 containment, so holes and multi-part polygons need no special case. Points on an edge are
 not inside.
 """
@@ -13,8 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Cells along the side of a block. Blocks wholly inside a polygon stay one row.
-BLOCK = 16
+from ..session import scratch_path
+
+# A square that more edges come near is cut, at most so many times. Its side is 2 to the power of its level, which a cut
+# lowers by two; powers of two make squares that touch without gap or overlap.
+MAX_EDGES = 8
+ROUNDS = 4
 
 
 def polygon_edges(boundaries: DataFrame) -> DataFrame:
@@ -49,52 +54,63 @@ def polygon_edges(boundaries: DataFrame) -> DataFrame:
     )
 
 
-def grid_polygons(boundaries: DataFrame, cell: float) -> DataFrame:
-    """(level, cx, cy, full, edges, ...) per polygon and square it reaches into: blocks (level 1)
-    wholly inside, and the cells (level 0) of all other blocks. ``full`` marks squares wholly inside; the others
-    hold the edges level with the square and not wholly to its left."""
-    block = float(cell) * BLOCK
+def grid_polygons(boundaries: DataFrame) -> DataFrame:
+    """(level, cx, cy, full, near, edges, ...) per polygon and square it reaches into. ``full`` marks squares wholly inside; the others
+    hold the edges level with the square and not wholly to its left, of which ``near`` come near it. Polygons without
+    an inside have no square."""
+    shapes = polygon_edges(boundaries).filter("xmax > xmin AND ymax > ymin")
+    widest = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
+    # Far from zero, numbers of squares have to stay whole.
+    farthest = F.greatest(*[F.abs(F.col(c)) for c in ("xmin", "xmax", "ymin", "ymax")])
+    level = (F.ceil(F.greatest(F.log2(widest), F.log2(farthest) - 40) / 2) * 2).cast("int")
 
-    def cells(lo: str, hi: str) -> Column:
-        return F.sequence(F.floor(F.col(lo) / block), F.floor(F.col(hi) / block))
+    def squares(lo: str, hi: str) -> Column:
+        return F.sequence(F.floor(F.col(lo) / _side()), F.floor(F.col(hi) / _side()))
 
-    blocks = (
-        polygon_edges(boundaries)
-        .withColumn("cx", F.explode(cells("xmin", "xmax")))
-        .withColumn("cy", F.explode(cells("ymin", "ymax")))
-    )
-    blocks = _settled(blocks, block).withColumn("level", F.lit(1))
-    within = F.sequence(F.lit(0), F.lit(BLOCK - 1))
     cut = (
-        blocks.filter("NOT full")
-        .withColumn("_x", F.explode(within))
-        .withColumn("_y", F.explode(within))
-        .withColumns({"cx": F.col("cx") * BLOCK + F.col("_x"), "cy": F.col("cy") * BLOCK + F.col("_y"), "level": F.lit(0)})
-        .drop("_x", "_y")
+        shapes.withColumn("level", level)
+        .withColumn("cx", F.explode(squares("xmin", "xmax")))
+        .withColumn("cy", F.explode(squares("ymin", "ymax")))
     )
-    return blocks.filter("full").unionByName(_settled(cut, float(cell)))
+    cut = _settled(cut.withColumn("full", F.lit(False)))
+    for _ in range(ROUNDS):
+        cut = _settled(_split(cut))
+    return cut
+
+
+def _side() -> Column:
+    return F.pow(F.lit(2.0), F.col("level"))
+
+
+def _split(squares: DataFrame) -> DataFrame:
+    """Squares with too many edges as the sixteen that they consist of, the others as they are."""
+    part = lambda i, j: F.struct((F.col("level") - 2).alias("level"), (F.col("cx") * 4 + i).alias("cx"), (F.col("cy") * 4 + j).alias("cy"))
+    parts = F.when(F.col("near") > MAX_EDGES, F.array(*[part(i, j) for i in range(4) for j in range(4)]))
+    kept = [c for c in squares.columns if c not in ("level", "cx", "cy")]
+    return squares.select(*kept, F.explode(F.coalesce(parts, F.array(F.struct("level", "cx", "cy")))).alias("_at")).select(*kept, "_at.*")
 
 
-def _settled(squares: DataFrame, size: float) -> DataFrame:
+def _settled(squares: DataFrame) -> DataFrame:
     """Squares that a polygon reaches into, with the edges that matter there and whether it is full."""
-    slack = size * 1e-6
-    left, right = F.col("cx") * size - slack, (F.col("cx") + 1) * size + slack
-    low, high = F.col("cy") * size - slack, (F.col("cy") + 1) * size + slack
+    slack = _side() * 1e-6
+    left, right = F.col("cx") * _side() - slack, (F.col("cx") + 1) * _side() + slack
+    low, high = F.col("cy") * _side() - slack, (F.col("cy") + 1) * _side() + slack
+    bounded = squares.withColumns({"_left": left, "_right": right, "_low": low, "_high": high})
 
     def matters(e: Column) -> Column:
-        return (e["y2"] >= low) & (e["y1"] <= high) & (e["xhi"] >= left)
+        return (e["y2"] >= F.col("_low")) & (e["y1"] <= F.col("_high")) & (e["xhi"] >= F.col("_left"))
 
-    middle = (F.col("cx") + 0.5) * size, (F.col("cy") + 0.5) * size
+    middle = (F.col("cx") + 0.5) * _side(), (F.col("cy") + 0.5) * _side()
     cut = (
-        squares.withColumn("edges", F.filter("edges", matters))
-        .withColumn("near", F.exists("edges", lambda e: e["xlo"] <= right))
-        .withColumn("full", ~F.col("near") & contains(F.col("edges"), *middle))
+        bounded.withColumn("edges", F.filter("edges", matters))
+        .withColumn("near", F.size(F.filter("edges", lambda e: e["xlo"] <= F.col("_right"))))
+        .withColumn("full", F.col("full") | ((F.col("near") == 0) & contains(F.col("edges"), *middle)))
     )
     nothing = F.filter("edges", lambda e: F.lit(False))
     return (
-        cut.filter("near or full")
+        cut.filter("near > 0 OR full")
         .withColumn("edges", F.when(F.col("full"), nothing).otherwise(F.col("edges")))
-        .drop("near")
+        .drop("_left", "_right", "_low", "_high")
     )
 
 
@@ -125,25 +141,28 @@ def point_in_polygon_join(
     boundaries: DataFrame,
     x: str = "longitude",
     y: str = "latitude",
-    cell: float = 0.005,
     out: str = "tract_geoid",
 ) -> DataFrame:
     """All points with the id of the polygon strictly containing them in ``out``.
 
     NULL without coordinates or without a polygon; where several match, the lowest ``ord`` wins and
-    then the lowest id. Each distinct place is settled once, however many points share it. Spark broadcasts the cut
-    polygons or the places if it finds them small, and else shuffles both; the result is the same.
+    then the lowest id. Each distinct place is settled once, however many points share it. The squares are stored in the scratch
+    folder; Spark broadcasts them or the places if it finds them small, and else shuffles both; the result is the same.
     """
     points = points.drop(out)
-    grid = grid_polygons(boundaries, cell)
+    spark, path = points.sparkSession, scratch_path(points.sparkSession, "squares")
+    squares = grid_polygons(boundaries).drop("near")
+    squares.write.parquet(path)
+    squares = spark.read.schema(squares.schema).parquet(path)
+    # Every other power of two from the smallest square to the largest at most.
+    levels = [r["level"] for r in squares.select("level").distinct().collect()]
     px, py = F.col("_x"), F.col("_y")
-    square = lambda size: F.struct(F.floor(px / size).alias("cx"), F.floor(py / size).alias("cy"))
     places = points.select(F.col(x).alias("_x"), F.col(y).alias("_y")).dropna().distinct()
-    squares = F.array(square(F.lit(float(cell))), square(F.lit(float(cell) * BLOCK)))
-    asked = places.select("_x", "_y", F.posexplode(squares).alias("level", "at")).select("_x", "_y", "level", "at.cx", "at.cy")
+    at = lambda n: F.struct(F.lit(n).alias("level"), F.floor(px / 2.0**n).alias("cx"), F.floor(py / 2.0**n).alias("cy"))
+    asked = places.select("_x", "_y", F.explode(F.array(*[at(n) for n in sorted(levels) or [0]])).alias("_at")).select("_x", "_y", "_at.*")
     polygon = {c: F.col(c) for c in ("full", "xmin", "xmax", "ymin", "ymax", "edges")}
     found = (
-        asked.join(grid, ["level", "cx", "cy"])
+        asked.join(squares, ["level", "cx", "cy"])
         .filter(_inside(polygon, px, py))
         .groupBy("_x", "_y")
         .agg(F.min(F.struct("ord", "tract_geoid"))["tract_geoid"].alias(out))

@@ -110,7 +110,6 @@ def run_incremental(
     run_date: str,
     updated: str = "resolution_action_updated_date",
     hours: int = 48,
-    cell: float = 0.005,
     now: datetime | None = None,
 ) -> LoadResult:
     """Land what changed since the newest update loaded before ``run_date``, less ``hours``.
@@ -127,7 +126,7 @@ def run_incremental(
     kept = [n for n in names(spark, f"{raw_path}/_since") if n == run_date or (newest is None and n < run_date)]
     since = min([since, *[datetime.fromisoformat(read_text(spark, f"{raw_path}/_since/{n}")) for n in kept]])
     write_text(spark, f"{raw_path}/_since/{run_date}", since.isoformat())
-    located = point_in_polygon_join(source.filter(since_filter(source, updated, since)), boundaries, cell=cell)
+    located = point_in_polygon_join(source.filter(since_filter(source, updated, since)), boundaries)
     if write_partition(located.withColumn(LOAD, F.lit(run_date)), landing_path, LOAD) == 0:
         return LoadResult(since, 0)
     landed = spark.read.schema(located.schema).parquet(f"{landing_path}/{LOAD}={run_date}")
@@ -141,7 +140,6 @@ def run_backfill(
     start: str,
     end: str,
     created: str = "created_date",
-    cell: float = 0.005,
     raw_path: str | None = None,
     updated: str = "resolution_action_updated_date",
 ) -> DataFrame:
@@ -157,7 +155,7 @@ def run_backfill(
     # ISO text sorts as time does, so text bounds reach the Parquet reader as they are.
     bounds = (first, after) if dict(source.dtypes)[created] == "string" else (ntz(first), ntz(after))
     rows = source.filter((F.col(created) >= bounds[0]) & (F.col(created) < bounds[1]))
-    located = point_in_polygon_join(rows, boundaries, cell=cell)
+    located = point_in_polygon_join(rows, boundaries)
     month = month_of(F.col(created).cast("timestamp_ntz")).cast("date").cast("string")
     write_partition(located.withColumn("created_month", month), landing_path, "created_month")
     landed = source.sparkSession.read.schema(f"{_ddl(located)}, created_month string").parquet(landing_path)

@@ -275,7 +275,7 @@ def test_from_landing_to_marts(spark, tmp_path, rows):
 
     def load(data, day):
         df = spark.createDataFrame(data, RAW_REQUESTS)
-        return runs.run_incremental(df, tracts, raw_path, landing, day, cell=0.4, now=datetime(2024, 1, 3)).rows
+        return runs.run_incremental(df, tracts, raw_path, landing, day, now=datetime(2024, 1, 3)).rows
 
     assert load(source[:2], "2024-01-03") == 2
     assert load(source[:1], "2024-01-04") == 1  # within the 48 hours before the newest update
@@ -325,10 +325,10 @@ def test_a_rerun_of_a_day_keeps_what_was_landed(spark, tmp_path, rows):
     days = ["2024-01-01", "2024-01-04", "2024-01-08", "2024-01-09"]
     df = spark.createDataFrame([record(d, *[f"{d}T10:00:00"] * 3, 0.5, 0.5) for d in days], RAW_REQUESTS)
     for _ in range(2):
-        got = runs.run_incremental(df, tracts, raw_path, landing, "2024-01-10", cell=0.4, now=datetime(2024, 1, 2))
+        got = runs.run_incremental(df, tracts, raw_path, landing, "2024-01-10", now=datetime(2024, 1, 2))
         assert got.rows == 4
         assert rows(spark.read.parquet(landing), "unique_key") == rows(spark.read.parquet(raw_path), "unique_key") == [(d,) for d in days]
-    late = runs.run_incremental(df, tracts, raw_path, landing, "2024-01-11", cell=0.4)
+    late = runs.run_incremental(df, tracts, raw_path, landing, "2024-01-11")
     assert late.rows == 2 and late.watermark == datetime(2024, 1, 7, 10)
 
 
@@ -337,7 +337,7 @@ def test_a_later_rerun_of_the_first_day_fetches_no_less(spark, tmp_path, rows):
     raw_path, landing = str(tmp_path / "raw"), str(tmp_path / "landing")
     df = spark.createDataFrame([record(d, *[f"2024-01-{d}T10:00:00"] * 3, 0.5, 0.5) for d in ("01", "02", "03", "04")], RAW_REQUESTS)
     for now in (datetime(2024, 1, 4), datetime(2024, 1, 5), datetime(2024, 1, 9)):
-        got = runs.run_incremental(df, tracts, raw_path, landing, "2024-01-04", cell=0.4, now=now)
+        got = runs.run_incremental(df, tracts, raw_path, landing, "2024-01-04", now=now)
         assert got.watermark == datetime(2024, 1, 2) and got.rows == 3
         assert rows(spark.read.parquet(landing), "unique_key") == rows(spark.read.parquet(raw_path), "unique_key") == [("02",), ("03",), ("04",)]
 
@@ -350,7 +350,7 @@ def test_daily_run_goes_on_from_a_backfill(spark, tmp_path, rows):
     assert rows(runs.run_backfill(*backfill, "2024-01-01", "2024-02-15", raw_path=raw_path)) == [("2024-01-01", 1), ("2024-02-01", 1)]
     for _ in range(2):  # a rerun replaces its own load
         assert rows(runs.run_backfill(*backfill, "2024-03-01", "2024-04-15", raw_path=raw_path)) == [("2024-03-01", 1), ("2024-04-01", 1)]
-    got = runs.run_incremental(df, tracts, raw_path, landing, "2024-06-30", cell=0.4)
+    got = runs.run_incremental(df, tracts, raw_path, landing, "2024-06-30")
     assert got.watermark == datetime(2024, 4, 8, 10) and got.rows == 3
     assert rows(spark.read.parquet(raw_path), "unique_key") == [("1",), ("2",), ("3",), ("4",), ("4",), ("5",), ("6",)]
 
@@ -428,7 +428,7 @@ def test_loads_of_older_rows_reach_the_marts(spark, tmp_path, rows):
 
     def build(source, start, end, run):
         df = spark.createDataFrame(source, RAW_REQUESTS)
-        runs.run_backfill(df, tracts, months, start, end, cell=0.4, raw_path=raw_path)
+        runs.run_backfill(df, tracts, months, start, end, raw_path=raw_path)
         return runs.build_marts(spark.read.parquet(raw_path), demo, str(tmp_path / "m"), run, 1, 1, suites=NO_CHECKS)
 
     first = [request("5", 5), request("6", 6)]

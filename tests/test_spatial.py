@@ -1,10 +1,11 @@
 import json
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from fairwait.operators import point_in_polygon_join
+from fairwait.operators import point_in_polygon_join, spatial
 from fairwait.operators.spatial import grid_polygons
 from fairwait.schemas import BOUNDARIES
 from fairwait.sources import read_boundaries
@@ -21,9 +22,9 @@ def shapes(spark, polygons):
     return spark.createDataFrame(data, BOUNDARIES)
 
 
-def assign(spark, polygons, points, cell=0.4):
+def assign(spark, polygons, points):
     df = spark.createDataFrame([(i, x, y, "stale") for i, (x, y) in enumerate(points)], POINTS)
-    got = point_in_polygon_join(df, shapes(spark, polygons), cell=cell)
+    got = point_in_polygon_join(df, shapes(spark, polygons))
     assert set(got.columns) == {"id", "longitude", "latitude", "tract_geoid"}
     found = {r["id"]: r["tract_geoid"] for r in got.collect()}
     assert len(found) == len(points)
@@ -59,28 +60,29 @@ def inside(rings, x, y):
     return odd
 
 
-@pytest.mark.parametrize("cell", [0.05, 0.3, 5.0])
-def test_against_brute_force(spark, cell):
+@pytest.mark.parametrize("edges", [0, 2, 100])
+def test_against_brute_force(spark, monkeypatch, edges):
+    monkeypatch.setattr(spatial, "MAX_EDGES", edges)
     rng = random.Random(7)
 
     def blob(cx, cy):
-        import math
-
         n = rng.randint(3, 12)
         ring = [(cx + rng.uniform(0.2, 0.9) * math.cos(2 * math.pi * k / n), cy + rng.uniform(0.2, 0.9) * math.sin(2 * math.pi * k / n)) for k in range(n)]
         return ring + ring[:1]
 
     polygons = [(f"t{i}", [blob(rng.uniform(-2, 2), rng.uniform(-2, 2))]) for i in range(12)]
+    polygons.append(("wide", [[(1000 * x, 1000 * y) for x, y in blob(0.0, 0.0)]]))
     points = [(rng.uniform(-3, 3), rng.uniform(-3, 3)) for _ in range(400)]
+    points += [(rng.uniform(-900, 900), rng.uniform(-900, 900)) for _ in range(100)]
     points += points[:100]  # many requests from one place
     expected = [next((name for name, rings in polygons if inside(rings, x, y)), None) for x, y in points]
     assert any(expected) and not all(expected)
-    assert assign(spark, polygons, points, cell) == expected
+    assert assign(spark, polygons, points) == expected
     # The same whether Spark broadcasts or shuffles.
     kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert assign(spark, polygons, points, cell) == expected
+        assert assign(spark, polygons, points) == expected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
 
@@ -88,7 +90,7 @@ def test_against_brute_force(spark, cell):
 def test_grid_of_tracts_takes_each_inner_point_once(spark):
     polygons = [(f"{x}-{y}", [square(x, y)]) for x in range(4) for y in range(4)]
     points = [(x + 0.25, y + 0.75) for x in range(4) for y in range(4)]
-    assert assign(spark, polygons, points, cell=0.7) == [n for n, _ in polygons]
+    assert assign(spark, polygons, points) == [n for n, _ in polygons]
 
 
 def feature(name, kind, coordinates):
@@ -115,12 +117,32 @@ def test_equal_ord_takes_the_lowest_id(spark):
     df = spark.createDataFrame([(1, 0.5, 0.5, None)], POINTS)
     both = shapes(spark, [("b", [square(0, 0)]), ("a", [square(0, 0)])]).withColumn("ord", F.lit(0).cast("long"))
     for given in (both, both.orderBy("tract_geoid"), both.orderBy(F.desc("tract_geoid"))):
-        assert point_in_polygon_join(df, given, cell=0.4).first()["tract_geoid"] == "a"
+        assert point_in_polygon_join(df, given).first()["tract_geoid"] == "a"
+
+
+def ring_of(n, x, y, radius):
+    at = [2 * math.pi * k / n for k in range(n)]
+    ring = [(x + radius * math.cos(a) * (1 + (k % 2) / 50), y + radius * math.sin(a) * (1 + (k % 2) / 50)) for k, a in enumerate(at)]
+    return ring + ring[:1]
+
+
+def test_a_country_takes_no_more_squares_than_a_block(spark):
+    polygons = [("country", [ring_of(1000, 10, 50, 20.0)]), ("block", [ring_of(1000, 10, 50, 0.0005)]), ("square", [square(-700, 3, 512)])]
+    squares = {r["tract_geoid"]: r for r in grid_polygons(shapes(spark, polygons)).groupBy("tract_geoid").agg(
+        F.count("*").alias("n"), F.min("level").alias("least"), F.max("level").alias("most"), F.count_if("full").alias("full"), F.max(F.size("edges")).alias("edges")).collect()}
+    assert squares["square"]["n"] <= 4 and squares["country"]["full"] > 10
+    # The number follows the edges, not the size, but for where the powers of two happen to lie.
+    assert all(squares[n]["n"] < 3 * 1000 and squares[n]["most"] - squares[n]["least"] <= 2 * spatial.ROUNDS for n in ("country", "block"))
+    assert 0.25 < squares["country"]["n"] / squares["block"]["n"] < 4
+    assert squares["country"]["most"] - squares["block"]["most"] in (14, 16)
+    points = [(10.0, 50.0), (10.0004, 50.0), (10.001, 50.0), (29.9, 50.0), (31.0, 50.0), (-500.0, 100.0), (1e200, 1.0)]
+    assert assign(spark, polygons[1:] + polygons[:1], points) == ["block", "block", "country", "country", None, "square", None]
 
 
-def test_the_inside_of_a_large_polygon_takes_few_rows(spark):
-    grid = grid_polygons(shapes(spark, [("a", [square(0, 0, 5)])]), 0.005)
-    assert grid.count() < 100_000 and grid.filter("level = 1 AND full").count() > 3_000
+def test_polygons_without_an_inside_and_no_polygons(spark):
+    flat = [("line", [[(0, 0), (1, 0), (0, 0)]]), ("point", [[(0, 0), (0, 0)]])]
+    assert assign(spark, flat, [(0.5, 0.0), (0.0, 0.0), (0.5, 0.5)]) == [None] * 3
+    assert assign(spark, [], [(0.5, 0.0)]) == [None]
 
 
 def test_order_is_unique_over_files(spark, tmp_path):

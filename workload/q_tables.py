@@ -586,7 +586,7 @@ POLYGONS_SQL = f"""
 
 @query("point_in_polygon_join", "l_orderkey:i l_linenumber:i l_partkey:i tract_geoid:s", POLYGONS_SQL)
 def _(spark, sf):
-    return op.point_in_polygon_join(line_points(spark, sf), grid_boundaries(spark, sf), cell=0.0015)
+    return op.point_in_polygon_join(line_points(spark, sf), grid_boundaries(spark, sf))
 
 
 # Every tract twice, under one order: the lowest id counts, however the join is done.
@@ -594,4 +594,4 @@ def _(spark, sf):
 def _(spark, sf):
     shapes = grid_boundaries(spark, sf).withColumn("ord", F.lit(0).cast("long"))
     twice = shapes.withColumn("tract_geoid", F.concat(F.lit("z"), "tract_geoid")).unionByName(shapes)
-    return op.point_in_polygon_join(line_points(spark, sf), twice, cell=0.0015)
+    return op.point_in_polygon_join(line_points(spark, sf), twice)
