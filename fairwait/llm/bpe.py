@@ -350,6 +350,10 @@ class Vocabulary:
         get = here.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 
+    def forget(self) -> None:
+        """Let go of the words met so far: a worker waits for its next task with the vocabulary alone."""
+        self.words = {}
+
     def decode(self, ids) -> str:
         """Text of the ids, special tokens included; broken UTF-8 becomes U+FFFD, unknown ids nothing."""
         table = self.bytes_of
@@ -385,6 +389,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", keep_
             offsets = np.r_[0, np.cumsum([len(x) // 4 for x in ids])]
             flat = np.frombuffer(b"".join(ids), np.int32)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], list_array(flat, offsets)], [*kept, out])
+        v.forget()
 
     return source.mapInArrow(run, schema)
 

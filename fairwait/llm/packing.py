@@ -91,6 +91,7 @@ def tokenised(docs: DataFrame, path: str, id_col: str, text: str, end_id: int) -
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(key), pa.array(n), pa.array(ids, pa.binary())], ["doc_id", "key", "n", "ids"]
             )
+        v.forget()
 
     return rows.mapInArrow(run, "doc_id bigint, key bigint, n bigint, ids binary")
 
