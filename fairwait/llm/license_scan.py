@@ -141,8 +141,9 @@ def segments(files: DataFrame, key: list[str], text: str, cue_words: list[str],
         lambda x: F.struct(x["at"], x["line"], x["words"], x["cue"], x["mostly"], (x["cue"] & enough(x)).alias("alone")),
     )
     near = F.filter(marked, lambda x: x["alone"] | x["mostly"])
-    near = F.when(F.exists(near, lambda x: x["cue"]), near)
-    rows = files.select(*key, F.explode(near).alias("x")).select(*key, "x.*").distinct()
+    # Bound once, and stored once for lines and runs: texts are split a single time.
+    near = F.transform(F.array(near), lambda found: F.when(F.exists(found, lambda x: x["cue"]), found))[0]
+    rows = stored(files.select(*key, F.explode(near).alias("x")).select(*key, "x.*").distinct(), "near")
     place = Window.partitionBy(*key).orderBy("at")
     single = rows.filter("alone").select(*key, F.format_string("line %d", "at").alias("segment"), F.length("line").alias("chars"), "words")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n")
@@ -171,15 +172,21 @@ def formed(files: DataFrame, key: list[str], text: str, templates: Mapping[str,
     kinds = [(1, name, phrases) for name, phrases in FORMS if name in templates]
     kinds += [(2, name, [x]) for name, x in NOTICES if name in templates]
     kinds += [(3 if name == "Proprietary" else 2, name, [x]) for name, x in templates.items() if _phrase(x).strip()]
-    found = []
-    for kind, name, phrases in kinds:
-        phrases = [_phrase(x) for x in phrases]
-        there = reduce(and_, [F.col("_plain").contains(x) for x in phrases])
-        size = sum(len(x) for x in phrases)
-        found.append(F.when(there, F.struct(F.lit(kind).alias("kind"), F.lit(-size).alias("minus"), F.lit(name).alias("license"))))
-    found.append(F.when(F.col("_named").isNotNull(), F.struct(F.lit(0).alias("kind"), (-25 - F.length("_named")).alias("minus"), F.col("_named").alias("license"))))
-    likely = files.filter(F.col(text).rlike(_ANCHORS)).select(*key, plain.alias("_plain"), named.alias("_named"))
-    best = likely.select(*key, F.array_min(F.array_compact(F.array(*found))).alias("b")).filter("b IS NOT NULL").distinct()
+
+    def standing(x: Column) -> Column:
+        """The best of what stands in a normalised text, which is bound here: normalised once, not once a phrase."""
+        found = []
+        for kind, name, phrases in kinds:
+            phrases = [_phrase(y) for y in phrases]
+            there = reduce(and_, [x["plain"].contains(y) for y in phrases])
+            size = sum(len(y) for y in phrases)
+            found.append(F.when(there, F.struct(F.lit(kind).alias("kind"), F.lit(-size).alias("minus"), F.lit(name).alias("license"))))
+        tagged = F.struct(F.lit(0).alias("kind"), (-25 - F.length(x["named"])).alias("minus"), x["named"].alias("license"))
+        return F.array_min(F.array_compact(F.array(*found, F.when(x["named"].isNotNull(), tagged))))
+
+    likely = files.filter(F.col(text).rlike(_ANCHORS))
+    bound = F.transform(F.array(F.struct(plain.alias("plain"), named.alias("named"))), standing)[0]
+    best = likely.select(*key, bound.alias("b")).filter("b IS NOT NULL").distinct()
     return best.select(*key, F.col("b.license").alias("f_own"), (F.col("b.kind") < 2).alias("strong"), (-F.col("b.minus")).alias("f_chars"))
 
 
