@@ -30,10 +30,10 @@ def suspects(docs: DataFrame, text: str = "text", prefix: int = PREFIX) -> DataF
     """(length, start): the lengths and hashed beginnings of squeezed texts that two rows or more have."""
     rows = docs.select(squeezed(F.col(text)).alias("squeezed"))
     rows = rows.select(F.octet_length("squeezed").alias("length"), F.xxhash64(F.substring("squeezed", 1, prefix)).alias("start"))
-    rows = stored(rows, "lengths")
-    lengths = rows.groupBy("length").count().filter("count > 1")
-    starts = rows.join(lengths.select("length"), "length", "left_semi").groupBy("length", "start").count()
-    return starts.filter("count > 1").select("length", "start")
+    # Counted together first, so that no length's rows meet in one task; each step then cuts the list for the next.
+    counts = stored(rows.groupBy("length", "start").count(), "counts")
+    lengths = counts.groupBy("length").agg(F.sum("count").alias("rows")).filter("rows > 1").select("length")
+    return counts.join(lengths, "length", "left_semi").filter("count > 1").select("length", "start")
 
 
 def dedup(
