@@ -65,7 +65,8 @@ def dedup(
     # Written once with a number for each row, by which rows equal in everything are told apart.
     rows = stored(rows.select(*columns, "_id", chars, again, digest).withColumn(row, F.monotonically_increasing_id()), "digests")
     first = F.min(F.struct((-F.col(chars)).alias("c"), F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col(row).alias("r")))
-    groups = rows.filter(again).groupBy(digest).agg(F.count("*").alias("group_size"), first.alias("_first"))
+    # Written apart, so that the look-up below is a join whose large keys Spark can split.
+    groups = stored(rows.filter(again).groupBy(digest).agg(F.count("*").alias("group_size"), first.alias("_first")), "groups")
     shared = rows.filter(again).join(groups, digest)
     one = rows.filter(~F.col(again))
     result = [F.col(c) for c in columns]
