@@ -73,7 +73,9 @@ def grid_polygons(boundaries: DataFrame) -> DataFrame:
         .withColumn("cy", F.explode(squares("ymin", "ymax")))
     )
     cut = _settled(cut.withColumn("full", F.lit(False)))
-    for _ in range(ROUNDS):
+    # Polygons of a few edges, as in a plain grid, have no square to cut, and the plan is short.
+    most = shapes.agg(F.max(F.size("edges"))).first()[0] or 0
+    for _ in range(ROUNDS if most > MAX_EDGES else 0):
         cut = _settled(_split(cut))
     return cut
 
