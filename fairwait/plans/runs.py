@@ -197,7 +197,8 @@ def build_marts(
 
     Facts, waiting-time counts, statistics, baseline and splits are versioned tables by month. Each knows the version of the
     intermediate table and the dimension that it was built from, and replaces the months that changed since then; a new dimension
-    has all months replaced. Summary and trend are quantiles of the counts: no run reads the facts of a month that did not change.
+    has all months replaced. Summary and trend are quantiles of the counts, so they need no facts of a month that did not change; the
+    check suites do read whole tables.
 
     ``suites`` (``SUITES`` by default; an empty dict checks nothing) run on the stored tables. Their results are kept
     in ``checks``; a failed check of severity "error" stops the run. All but ``keep`` versions
