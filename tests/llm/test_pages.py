@@ -76,6 +76,120 @@ def test_nothing_of_a_wrapped_or_split_article_goes(spark):
     assert [html_text.read(page(html)[1], []) for html, _ in cases] == [text for _, text in cases]
 
 
+WORDS = "stone river lamp paper cloud green seven walk maple wind " * 6
+BODY = f"<h1>Head</h1><p>{WORDS}</p><p>And more of it.</p>"
+BODY_TEXT = f"Head\n{WORDS.strip()}\nAnd more of it."
+ARTICLE = f"<article>{BODY}</article>"
+TALK = "<section id=comments><p>I say no.</p><div class=reply><p>" + "I say yes, and yes again. " * 60 + "</p></div></section>"
+
+
+def test_names_of_layouts_lose_nothing():
+    wrapped = [
+        "<div class='content overflow-hidden'>{}</div>", "<div id=page class='site has-sidebar'>{}</div>", "<div class=no-sidebar>{}</div>",
+        "<div class=main-side>{}</div>", "<form method=post action=x>{}</form>", "<div class='search-page'><div class='w-1/2 header-fixed'>{}</div></div>",
+        "<div class=sidebar-layout><div class='widget'>{}</div><div class=sidebar><article><p>A teaser</p></article></div></div>",
+    ]
+    for outer in wrapped:
+        for inner in (ARTICLE, f"<main>{BODY}</main>", f"<div>{BODY}</div>"):
+            html = page(outer.format(inner + TALK))[1]
+            path = html_text.vote(html)
+            assert html_text.read(html, []) == html_text.read(html, [path]) == BODY_TEXT, (outer, inner)
+    # Related work is a part of the article where it is prose, and not where it is links.
+    prose = "<section id=related><h2>Related</h2><p>Others wrote of it too.</p></section>"
+    links = "<section id=related><h2>See</h2><p><a href=x>Others wrote of it too.</a></p></section>"
+    assert html_text.read(f"<article>{BODY}{prose}</article>", []) == f"{BODY_TEXT}\nRelated\nOthers wrote of it too."
+    assert html_text.read(f"<article>{BODY}{links}</article>", []) == BODY_TEXT
+
+
+def test_furniture_stays_out():
+    notes = ["<div class=ad-slot><p>Buy</p></div>", "<div class='cookie-notice'><h1>We use cookies</h1></div>", "<form><p>Your name</p><input></form>",
+             "<div id=sidebar><p>Side</p></div>", "<p class=hidden>Not seen</p>", "<div class='related'><p>Others</p></div>", "<div role=search>Find</div>", TALK]
+    for note in notes:
+        for html in (f"<article>{BODY}{note}</article>", f"{note}<div class=has-sidebar>{ARTICLE}</div>", f"<main>{BODY}</main>{note}"):
+            assert html_text.read(f"<html><body>{html}</body></html>", []) == BODY_TEXT, html
+        assert html_text.read(f"<nav>Menu</nav><article></article>{note}", []) == "", note
+
+
+def test_deep_pages_take_linear_memory_and_time():
+    import time
+    import tracemalloc
+
+    def deep(kind, n):
+        return f"<body><{kind}>" + f"<{kind} class=x>" * n + f"<article>{BODY}</article>" + "</i>" * n
+
+    def took(html):
+        begin = time.perf_counter()
+        assert html_text.read(html, [html_text.vote(html)]) == BODY_TEXT
+        return time.perf_counter() - begin
+
+    def peak(html):
+        tracemalloc.start()
+        html_text.vote(html)
+        used = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return used
+
+    for kind in ("div", "b", "form"):
+        assert peak(deep(kind, 16_000)) < 12 * peak(deep(kind, 2_000)), kind
+        assert took(deep(kind, 100_000)) < 30 * max(took(deep(kind, 12_500)), 0.05), kind
+
+
+def plain_blocks(tree):
+    """Text of a generated layout, read from the tree that it was made of and not from its markup."""
+    kind, inner = tree
+    if kind == "text":
+        return [inner]
+    return [] if kind == "furniture" else [b for t in inner for b in plain_blocks(t)]
+
+
+def markup(tree, rng):
+    kind, inner = tree
+    if kind == "text":
+        return rng.choice(["<p>{}</p>", "<p>{}", "<h2>{}</h2>", "<blockquote>{}</blockquote>", "<ul><li>{}</ul>"]).format(inner)
+    if kind == "furniture":
+        return rng.choice(["<nav><a href=x>{}</a></nav>", "<div class='ad'>{}</div>", "<aside>{}</aside>", "<div class=share-buttons>{}</div>", "<div class='newsletter-box'><form>{}</form></div>"]).format(inner)
+    return rng.choice(["<div class=c{}>".format(rng.randrange(9)), "<section>", "<div class='w-1/2 overflow-hidden'>", "<div class=has-sidebar>"]) + "".join(markup(t, rng) for t in inner) + "\0"
+
+
+def closed(html):
+    """Ends of the containers, put where the generator left a mark."""
+    out, opened = [], []
+    import re
+
+    for part in re.split(r"(<div class=c\d>|<section>|<div class='w-1/2 overflow-hidden'>|<div class=has-sidebar>|\0)", html):
+        if part == "\0":
+            out.append(f"</{opened.pop()}>")
+        else:
+            if part.startswith(("<div class=c", "<section>", "<div class='w-", "<div class=has")) and part.endswith(">") and part.count("<") == 1:
+                opened.append("section" if part == "<section>" else "div")
+            out.append(part)
+    return "".join(out)
+
+
+def test_generated_layouts_of_a_host(spark):
+    import random
+
+    rng = random.Random(7)
+
+    def tree(depth):
+        inner = []
+        for _ in range(rng.randint(2, 4)):
+            roll = rng.random()
+            words = " ".join(rng.choices("one two three four five six seven".split(), k=rng.randint(8, 30)))
+            inner.append(("text", words) if roll < 0.6 or depth == 3 else ("furniture", "short words") if roll < 0.8 else tree(depth + 1))
+        return ("box", [("text", "every part begins with some words of its own")] + inner)
+
+    pages, expected = [], []
+    for template in range(12):
+        wrap = ["<article class=t{0}>{{}}</article>", "<main class=t{0}>{{}}</main>", "<div class=site-has-sidebar><article class=k{0}>{{}}</article></div>"][template % 3].format(template)
+        for i in range(6):
+            made = tree(0)
+            pages.append(page(wrap.format(closed(markup(made, rng))), host="many.example.org", path=f"/{template}/{i}"))
+            expected.append("\n".join(plain_blocks(made)))
+    got = run(spark, pages)
+    assert [got[i] for i in range(len(pages))] == expected
+
+
 URLS = [
     "http://www.example.org/es/1", "https://EXAMPLE.ORG/en/12.html", "http://example.org/en/2", "http://a.example.com/fr/9", "http://a.example.com/de/9?x#y",
     "http://a.example.com/en/9", "http://notorg/x", "http://x.org", "http://x.org?q=/", "no scheme", None, "", "://org/", "http://shop.example.net/es/4",
