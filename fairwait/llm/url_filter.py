@@ -1,8 +1,10 @@
 """URL filters: host and path rules, and association rules mined from labelled URLs.
 
 ``fit`` labels URLs by given rules (or takes labels), mines token combinations with Spark's
-FP-growth and keeps the rules that are sure enough and not implied by a shorter one. ``judge``
-finds the rules of a URL through an inverted index: each rule is listed under its rarest token,
+FP-growth and keeps the rules that are sure enough and not implied by a shorter one. Tokens that
+occur in exactly the same labelled URLs (the constant parts of a site's paths) are mined as one, so
+that they don't double the item sets each, and are alternatives to each other in the rules. ``judge``
+finds the rules of a URL through an inverted index: each rule is listed under its rarest tokens,
 a URL's tokens look it up, and the rest of the rule is verified.
 """
 
@@ -14,7 +16,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import unused
+from .common import stored, unused
 
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.9
@@ -62,15 +64,37 @@ def tokens_of(host: Column, path: Column, url: Column) -> Column:
     )
 
 
+def equal_tokens(baskets: DataFrame, tokens: str, min_support: float) -> DataFrame:
+    """(token, members): tokens of at least the support that occur in the same baskets, for sets of two or more, under the first.
+
+    Two hashes of a basket's content, combined by exclusive or over the distinct baskets of a token, tell its set of baskets
+    (128 bits). There are at most (mean tokens of a basket / ``min_support``) tokens with the support, however many baskets.
+    """
+    distinct = baskets.groupBy(F.array_sort(tokens).alias("_set")).agg(F.count("*").alias("_n"))
+    one = distinct.select(F.explode("_set").alias("token"), "_n", F.xxhash64("_set").alias("_a"), F.xxhash64(F.lit(1), "_set").alias("_b"))
+    least = baskets.count() * min_support
+    signed = one.groupBy("token").agg(F.sum("_n").alias("_n"), F.bit_xor("_a").alias("_a"), F.bit_xor("_b").alias("_b")).filter(F.col("_n") >= least)
+    return (
+        signed.groupBy("_n", "_a", "_b")
+        .agg(F.array_sort(F.collect_list("token")).alias("members"))
+        .filter(F.size("members") > 1)
+        .select(F.col("members")[0].alias("token"), "members")
+    )
+
+
 def fit(labelled: DataFrame, tokens: str, verdict: str, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules (rule_id, tokens, verdict, confidence, support) from token sets with a verdict.
+    """Rules (rule_id, tokens, members, verdict, confidence, support) from token sets with a verdict.
 
+    ``members`` holds for each of ``tokens`` itself and the tokens that occur in the same labelled rows: any of them will do.
     Rules with a shorter antecedent for the same verdict and at least the same confidence are
     dropped as implied. Rows without tokens or verdict take no part; none left means no rules.
     """
-    baskets = labelled.filter(F.col(verdict).isNotNull() & (F.size(F.col(tokens)) > 0)).select(
-        F.concat(F.col(tokens), F.array(F.concat(F.lit(_VERDICT), F.col(verdict)))).alias("items")
-    )
+    known = labelled.filter(F.col(verdict).isNotNull() & (F.size(F.col(tokens)) > 0))
+    equal = stored(equal_tokens(known, tokens, min_support), "equal_tokens")
+    # Bounded by the support, as equal_tokens says.
+    others = [t for row in equal.collect() for t in row["members"][1:]]
+    single = F.filter(F.col(tokens), lambda t: ~t.isin(others)) if others else F.col(tokens)
+    baskets = known.select(F.concat(single, F.array(F.concat(F.lit(_VERDICT), F.col(verdict)))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = (
         model.associationRules.filter(F.col("consequent")[0].startswith(_VERDICT))
@@ -82,7 +106,14 @@ def fit(labelled: DataFrame, tokens: str, verdict: str, min_support: float = MIN
             "support",
         )
     )
-    return minimal(rules).withColumn("rule_id", F.xxhash64("tokens", "verdict"))
+    rules = minimal(rules).withColumn("rule_id", F.xxhash64("tokens", "verdict"))
+    spread = (
+        rules.select("rule_id", F.posexplode("tokens").alias("at", "token"))
+        .join(equal, "token", "left")
+        .groupBy("rule_id")
+        .agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("members", F.array("token")).alias("members")))).alias("members"))
+    )
+    return rules.join(spread.select("rule_id", F.col("members.members").alias("members")), "rule_id")
 
 
 def minimal(rules: DataFrame) -> DataFrame:
@@ -104,23 +135,24 @@ def match(urls: DataFrame, key: str, tokens: str, rules: DataFrame) -> DataFrame
     """(key, learned) for the keys that some rule matches: the surest rule's verdict, then the best
     supported, then the longest antecedent, then the order of its text."""
     listed = urls.select(key, tokens, F.explode(tokens).alias("token"))
-    counts = rules.select(F.explode("tokens").alias("token")).distinct().join(listed.groupBy("token").count(), "token")
-    index = (
-        rules.select("*", F.explode("tokens").alias("token"))
+    used = rules.select("rule_id", F.posexplode("members").alias("at", "any"))
+    counts = used.select(F.explode("any").alias("token")).distinct().join(listed.groupBy("token").count(), "token")
+    rarest = (
+        used.select("*", F.explode("any").alias("token"))
         .join(counts, "token")
+        .groupBy("rule_id", "at")
+        .agg(F.sum("count").alias("count"), F.first("any").alias("any"))
         .groupBy("rule_id")
-        .agg(
-            F.min_by("token", F.struct("count", "token")).alias("token"),
-            *[F.first(c).alias(c) for c in ("verdict", "confidence", "support")],
-            F.first("tokens").alias("needed"),
-            F.count("*").alias("present"),
-        )
-        .filter(F.col("present") == F.size("needed"))
+        .agg(F.min_by("any", F.struct("count", "at")).alias("any"), F.count("*").alias("present"))
     )
-    best = F.struct("confidence", "support", F.size("needed").alias("size"), F.array_join("needed", " ").alias("text"), "verdict")
+    index = rules.join(rarest, "rule_id").filter(F.col("present") == F.size("members")).select("*", F.explode("any").alias("token"))
+    # Of alternatives that a URL has, the last in order stands in the rule's text.
+    text = F.array_join(F.array_sort(F.transform("members", lambda m: F.array_max(F.array_intersect(m, F.col(tokens))))), " ")
+    best = F.struct("confidence", "support", F.size("members").alias("size"), text.alias("text"), "verdict")
+    own = index.select("token", "members", "verdict", "confidence", "support")
     return (
-        listed.join(index, "token")
-        .filter(F.size(F.array_except("needed", tokens)) == 0)
+        listed.join(own, "token")
+        .filter(F.forall("members", lambda m: F.arrays_overlap(m, F.col(tokens))))
         .groupBy(key)
         .agg(F.max(best)["verdict"].alias("learned"))
     )

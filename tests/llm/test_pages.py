@@ -1,5 +1,7 @@
 """Main text and URL rules on small fixtures."""
 
+from itertools import combinations, product
+
 from fairwait.llm import html_text, url_filter
 from fairwait.llm.queries import URL_RULES
 
@@ -241,3 +243,32 @@ def test_mining_against_counting(spark):
     rules = {(tuple(r["tokens"]), r["verdict"]): r["confidence"] for r in url_filter.fit(df, "tokens", "verdict", 0.1, 0.85).collect()}
     # {a, b} -> block is implied by {b} -> block.
     assert rules == {(("b",), "block"): 0.9, (("c",), "allow"): 1.0}
+
+
+def test_tokens_of_equal_rows_are_mined_as_one(spark):
+    data = [(["a", "b", "z"], "block")] * 9 + [(["a", "b"], "allow")] + [(["a", "y"], "allow")] * 10 + [(["x", "y"], "block")] * 10
+    df = spark.createDataFrame(data, "tokens array<string>, verdict string").repartition(3)
+    rows = url_filter.fit(df, "tokens", "verdict", 0.05, 0.85).collect()
+    got = {(frozenset(t), r["verdict"]): (round(r["confidence"], 9), round(r["support"], 9)) for r in rows for t in product(*r["members"])}
+    # Every antecedent counted, and those dropped that a shorter one implies.
+    rules = {}
+    for k in range(1, 6):
+        for tokens in combinations("abxyz", k):
+            inside = [v for t, v in data if set(tokens) <= set(t)]
+            for v in ("allow", "block"):
+                n = inside.count(v)
+                if n >= 0.05 * len(data) and n >= 0.85 * len(inside):
+                    rules[frozenset(tokens), v] = (round(n / len(inside), 9), round(n / len(data), 9))
+    minimal = {r: c for r, c in rules.items() if not any(rules.get((r[0] - {t}, r[1]), (0,))[0] >= c[0] for t in r[0])}
+    assert got == minimal and len(got) > 3
+
+
+def test_long_constant_paths(spark):
+    parts = "/".join(f"part{k}of" + "abcdefghij"[k % 10] for k in range(40))
+    urls = [f"http://ads{i % 4}.example.net/{parts}/{i}" for i in range(200)] + [f"http://news{i % 4}.example.net/story/{i}" for i in range(200)]
+    known = [("block", f"ads{k}.example.net/") for k in range(3)] + [("allow", f"news{k}.example.net/") for k in range(3)]
+    # Only one of the forty parts, and at its place, is enough for the rule.
+    urls.append("http://ads3.example.net/" + "x/" * 5 + "part5off")
+    df = spark.createDataFrame([(i, u, "h", 1, "x", "y") for i, u in enumerate(urls)], PAGES)
+    got = {r["url"]: r["verdict"] for r in url_filter.judge(df, "url", known).collect()}
+    assert len(got) == 401 and all(got[u] == ("allow" if "news" in u else "block") for u in urls)
