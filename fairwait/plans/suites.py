@@ -127,10 +127,15 @@ def run_checkpoint(
 ) -> DataFrame:
     """Run a table's suite; with ``results_path`` the results are appended there and read
     back from the run's own rows, so the checks run once."""
+    return keep_results(run_checks(df, (suites or SUITES)[suite], suite), suite, results_path, run_at)
+
+
+def keep_results(results: DataFrame, suite: str, results_path: str | None, run_at: datetime | None) -> DataFrame:
+    """Results with the time of the run, appended to ``results_path`` (if given) and read back."""
     at = ntz(run_at or datetime.now(timezone.utc))
-    results = run_checks(df, (suites or SUITES)[suite], suite).withColumn("run_at", at)
+    results = results.withColumn("run_at", at)
     if results_path is None:
         return results
     append_raw(results, results_path)
-    stored = df.sparkSession.read.parquet(results_path)
+    stored = results.sparkSession.read.parquet(results_path)
     return stored.filter((F.col("table_name") == suite) & (F.col("run_at") == at))

@@ -290,6 +290,12 @@ def partitions(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
     return state["version"], state["parts"]
 
 
+def read_partitions(spark: SparkSession, path: str, values: Sequence[str]) -> DataFrame:
+    """The rows of some partitions of a versioned table, named as ``partitions`` names them; no other file is opened."""
+    state = _state(spark, path)
+    return _read_version(spark, path, {**state, "parts": {p: v for p, v in state["parts"].items() if p in set(values)}})
+
+
 def _state(spark: SparkSession, path: str) -> dict | None:
     """The last commit of a versioned table."""
     done = [n for n in names(spark, f"{path}/_versions") if not n.endswith(".part")]

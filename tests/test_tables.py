@@ -271,3 +271,50 @@ def test_streams_with_logs_of_their_own_share_a_table(spark, tmp_path, rows):
         stream = spark.readStream.schema(V).parquet(landing)
         stream_upsert(stream, path, *UPSERT, str(tmp_path / f"log{n}")).awaitTermination()
     assert rows(sinks.read_or_none(spark, path), "k", "v") == [("1", "x2"), ("2", "y")]
+
+
+def test_checks_of_changed_partitions_equal_full_ones(spark, tmp_path):
+    import random
+
+    from fairwait.operators import quality as qc
+    from fairwait.plans.check_state import run_checkpoint_changed
+    from fairwait.plans.suites import run_checkpoint
+    from fairwait.sinks.tables import partitions, read_or_none, replace_partitions
+
+    rng = random.Random(3)
+    suite = {"t": [
+        qc.check_not_null("v"), qc.check_unique("k"), qc.check_unique("k2"), qc.check_unique_combination(["k", "v"]), qc.check_unique_combination(["k", "m"]),
+        qc.check_accepted_range("v", 0, 5, "warn"), qc.check_row_count(3), qc.check_columns_present(["k", "zz"]), qc.check_column_type("v", "bigint"),
+    ]}
+    schema = "k bigint, k2 string, v bigint, m date"
+    path, state = str(tmp_path / "t"), str(tmp_path / "state")
+    months = [None, *[datetime(2024, n, 1).date() for n in (1, 2, 3, 4)]]
+
+    def rows(which):
+        return [(rng.choice([None, *range(40)]), f"u{rng.random()}" if rng.random() < 0.97 else "twice", rng.choice([None, 1, 4, 9]), m) for m in which for _ in range(6)]
+
+    def same(at):
+        order = ["check_name", "column_name"]
+        full = run_checkpoint(read_or_none(spark, path), "t", None, at, suite).orderBy(order).collect()
+        return run_checkpoint_changed(spark, path, "m", state, "t", None, at, suite).orderBy(order).collect() == full
+
+    at = datetime(2024, 1, 1)
+    replace_partitions(spark.createDataFrame(rows(months), schema), path, "m", "0")
+    assert same(at)
+    for n in range(1, 5):
+        # One month anew (with keys of others), one without rows from now on in the third round, nothing in the last but one.
+        if n != 3:
+            replace_partitions(spark.createDataFrame(rows([rng.choice(months)]), schema), path, "m", str(n), ["2024-02-01"] if n == 2 else [])
+        assert same(at), n
+    # Only the changed partition is opened for counts: the others' files can be unreadable to a suite without keys across partitions.
+    flat = {"t": [qc.check_not_null("v"), qc.check_unique_combination(["k", "m"])]}
+    run_checkpoint_changed(spark, path, "m", state, "t", None, at, flat).collect()
+    replace_partitions(spark.createDataFrame(rows(months[4:]), schema), path, "m", "9")
+    expected = run_checkpoint(read_or_none(spark, path), "t", None, at, flat).collect()
+    version = partitions(spark, path)[0]
+    for folder in tmp_path.glob("t/*=*"):
+        if not folder.name.endswith(f"={version}"):
+            for file in folder.rglob("*.parquet"):
+                file.write_bytes(b"broken")
+    got = run_checkpoint_changed(spark, path, "m", state, "t", None, at, flat).collect()
+    assert sorted(got) == sorted(expected)

@@ -11,8 +11,10 @@ from fairwait import sinks
 from fairwait.operators import quality as qc
 from fairwait.plans import marts, runs
 from fairwait.plans import reports as r
+from fairwait.plans.check_state import run_checkpoint_changed
 from fairwait.plans.suites import run_checkpoint
 from fairwait.session import scratch_path
+from fairwait.sinks.tables import replace_partitions
 from fairwait.streaming import stream_upsert
 
 from . import bindings as b
@@ -369,13 +371,16 @@ ORDER_SUITE = [
 ]
 
 
-@query("run_checkpoint", CHECK, " UNION ALL ".join([
+ORDER_CHECKS = " UNION ALL ".join([
     check_sql("orders", "not_null", "o_orderkey", "count(*)", "count(*) FILTER (o_orderkey IS NULL)"),
     check_sql("orders", "accepted_values", "o_orderstatus", "count(o_orderstatus)", "count(*) FILTER (o_orderstatus NOT IN ('F', 'O'))", 1.0, "warn"),
     check_sql("orders", "between_mostly", "o_totalprice", "count(o_totalprice)", "count(*) FILTER (o_totalprice < 1000 OR o_totalprice > 400000)", 0.5),
     check_sql("orders", "row_count", "*", "1", "CASE WHEN count(*) >= 1 THEN 0 ELSE 1 END"),
     unique_sql("orders", "unique", "o_orderkey", "o_orderkey IS NOT NULL"),
-]))
+])
+
+
+@query("run_checkpoint", CHECK, ORDER_CHECKS)
 def _(spark, sf):
     path = scratch_path(spark, "check-results")
     orders = b.table(spark, sf, "orders")
@@ -383,6 +388,20 @@ def _(spark, sf):
     return run_checkpoint(orders, "orders", path, datetime(2024, 1, 2), {"orders": ORDER_SUITE})
 
 
+# Orders by year: a first state with every order of 1995 twice and without price, then 1995 as it is; the second check reads 1995 alone,
+# and the keys of the other years.
+@query("run_checkpoint_changed", CHECK, ORDER_CHECKS)
+def _(spark, sf):
+    path, state, suite = scratch_path(spark, "orders-by-year"), scratch_path(spark, "check-state"), {"orders": ORDER_SUITE}
+    orders = b.table(spark, sf, "orders").withColumn("order_year", F.year("o_orderdate"))
+    year = orders.filter("order_year = 1995")
+    wrong = year.withColumn("o_totalprice", F.lit(-1).cast(orders.schema["o_totalprice"].dataType))
+    replace_partitions(orders.filter("order_year <> 1995 OR order_year IS NULL").unionByName(wrong).unionByName(wrong), path, "order_year", "first")
+    run_checkpoint_changed(spark, path, "order_year", state, "orders", None, datetime(2024, 1, 1), suite)
+    replace_partitions(year, path, "order_year", "second", ["1995"])
+    return run_checkpoint_changed(spark, path, "order_year", state, "orders", None, datetime(2024, 1, 2), suite)
+
+
 def splits_check(name: str, col: str, judged: str, failed: str) -> str:
     return check_sql("equity_splits", name, col, judged, failed, source="splits")
 
