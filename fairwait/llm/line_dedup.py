@@ -36,10 +36,10 @@ def grams(docs: DataFrame, doc: list[str], text: str, noise: int = NOISE, guaran
     rows = rows.withColumn("line", F.trim("line", F.lit(" \t\r\f\x0b"))).filter("line <> ''")
     words = F.size(F.split("line", r"[ \t\r\f\x0B]+"))
     rows = rows.select(*doc, "at", F.xxhash64("line").alias("hash"), words.cast("bigint").alias("words"))
+    # Rows equal in id and text are one document. Their lines are combined where they are read, so a row with very many copies sends
+    # each line once per task, and to as many tasks as it has lines; only then do a document's lines meet.
+    rows = rows.groupBy(*doc, "at").agg(F.min("hash").alias("hash"), F.min("words").alias("words"))
     per = Window.partitionBy(*doc)
-    # Rows equal in id and text meet here as one document.
-    again = F.lag("at").over(per.orderBy("at"))
-    rows = rows.withColumn("again", F.coalesce(again == F.col("at"), F.lit(False))).filter("NOT again").drop("again")
     upto = per.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumns({"pos": F.row_number().over(per.orderBy("at")), "done": F.coalesce(F.sum("words").over(upto), F.lit(0))})
     # Every line has a word or more, so the words before a line tell the lines apart and order them.
