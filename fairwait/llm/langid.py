@@ -6,11 +6,13 @@ features, on which ridge regression learns one score per language against the re
 scored by matrix products.
 
 The scores of all languages add up to 1, so the best one cannot tell an unknown text. That is told by the share of a text's
-n-grams that two rows or more of the sample have: a script that was not learned, or noise, has few of them.
+n-grams that two rows or more of the sample have, hashed to eight times as many places: a language or script that was not learned, or
+noise, has fewer of them. The rows of the sample, each measured by the others, tell how many a known text has.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import slices, texts
+from .common import slices, texts, tidy
 
 GRAMS = 3
 WIDTH = 1 << 15
@@ -32,9 +34,10 @@ RIDGE = 1e-3
 ROWS_PER_LANGUAGE = 400
 ROWS_IN_ALL = 4096
 UNKNOWN = "und"
-# A floor of known n-grams is lowered to what so large a share of the sample's rows reach, each measured by the others.
+# A known text's share of known n-grams: what so large a part of the sample's rows reach, each measured by the others.
 CLEAN = 0.99
 _TEXTS = 64  # texts in a matrix product
+_RANGE_BITS = 52  # of 64: hashed ids fall into 4,096 ranges
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -50,10 +53,13 @@ def letters() -> np.ndarray:
     return out
 
 
-def presence(batch: list[str]) -> np.ndarray:
-    """One row of 0 and 1 per text: the n-grams of its words (runs of letters, with one blank on either side)."""
+def sets(batch: list[str]) -> np.ndarray:
+    """One row of ``WIDTH`` bytes per text: the n-grams of its words (runs of letters, with one blank on either side).
+
+    Each n-gram sets a bit of a byte. The kernel counts bytes, known n-grams are told by bits.
+    """
     out = np.zeros((len(batch), WIDTH), np.uint8)
-    table = letters()
+    table, bits = letters(), np.zeros(8 * WIDTH, np.uint8)
     for row, text in zip(out, batch):
         code = table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
         code = np.r_[np.uint32(0), code, np.uint32(0)]
@@ -61,23 +67,30 @@ def presence(batch: list[str]) -> np.ndarray:
         code = code[np.r_[True, (code[1:] > 0) | (code[:-1] > 0)]].astype(np.uint64)
         if len(code) < 3:
             continue
+        bits[:] = 0
         with np.errstate(over="ignore"):
             gram = code + np.uint64(1)
             for n in range(1, GRAMS + 1):
                 if n > 1:
                     gram = gram[:-1] * _STEP + code[n - 1 :] + np.uint64(n)
-                place = (gram * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - 15)
-                row[place if n > 1 else place[code > 0]] = 1
+                place = (gram * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - 18)
+                bits[place if n > 1 else place[code > 0]] = 1
+        row[:] = np.packbits(bits)
     return out
 
 
+def presence(batch: list[str]) -> np.ndarray:
+    """``sets`` as 0 and 1 per byte, as the kernel takes them."""
+    return (sets(batch) > 0).view(np.uint8)
+
+
 @dataclass
 class Model:
     languages: list[str]
     landmarks: bytes  # packed rows of 0 and 1
     weights: np.ndarray  # landmarks x languages
     bias: np.ndarray
-    known: bytes  # packed 0 and 1 per place: whether two rows or more have it
+    known: bytes  # a bit per n-gram: whether two rows or more have it
     clean: float  # share of known n-grams that nearly all rows reach
 
     def kernel(self, x: np.ndarray) -> np.ndarray:
@@ -88,12 +101,12 @@ class Model:
         return self.kernel(x) @ self.weights + self.bias
 
     def familiar(self, x: np.ndarray) -> np.ndarray:
-        """Share of each row's n-grams that are known."""
-        return share(x, np.unpackbits(np.frombuffer(self.known, np.uint8)))
+        """Share of known n-grams in each row of ``sets``."""
+        return share(x, np.frombuffer(self.known, np.uint8))
 
 
 def share(x: np.ndarray, known: np.ndarray) -> np.ndarray:
-    return (x.astype(np.float32) @ known.astype(np.float32)) / np.maximum(x.sum(1, dtype=np.float64), 1)
+    return np.bitwise_count(x & known).sum(1, dtype=np.float64) / np.maximum(np.bitwise_count(x).sum(1, dtype=np.float64), 1)
 
 
 def normalised(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -102,14 +115,18 @@ def normalised(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return both / np.sqrt(np.maximum(x.sum(1, dtype=np.float64), 1)[:, None] * np.maximum(y.sum(1, dtype=np.float64), 1)[None, :])
 
 
-def learn(rows: np.ndarray, labels: list[str], ridge: float = RIDGE, landmarks: int = LANDMARKS) -> Model:
-    """Nyström features and one-versus-rest kernel ridge regression; no rows give a model without languages."""
+def learn(found: np.ndarray, labels: list[str], ridge: float = RIDGE, landmarks: int = LANDMARKS) -> Model:
+    """Nyström features and one-versus-rest kernel ridge regression on rows of ``sets``; no rows give a model without languages."""
     languages = sorted(set(labels))
     if not languages:
-        return Model([], b"", np.zeros((0, 0)), np.zeros(0), bytes(WIDTH // 8), 0.0)
+        return Model([], b"", np.zeros((0, 0)), np.zeros(0), bytes(WIDTH), 0.0)
     # What one row alone has is not known, so every row is measured by the others.
-    known = rows.sum(0, dtype=np.int64) >= 2
-    clean = float(np.quantile(share(rows, known), 1 - CLEAN, method="lower"))
+    once, twice = np.zeros(WIDTH, np.uint8), np.zeros(WIDTH, np.uint8)
+    for row in found:
+        twice |= once & row
+        once |= row
+    clean = float(np.quantile([share(row[None, :], twice)[0] for row in found], 1 - CLEAN, method="lower"))
+    rows = (found > 0).view(np.uint8)
     # Landmarks: the languages in turn, in the order of the sample.
     turn, seen = [], dict.fromkeys(languages, 0)
     for x in labels:
@@ -128,7 +145,7 @@ def learn(rows: np.ndarray, labels: list[str], ridge: float = RIDGE, landmarks:
     z_mean, y_mean = (weight * z).sum(0), (weight * y).sum(0)
     zc, yc = z - z_mean, y - y_mean
     solved = np.linalg.solve(zc.T @ (weight * zc) + ridge / len(languages) * np.eye(z.shape[1]), zc.T @ (weight * yc))
-    return Model(languages, np.packbits(marks, axis=1).tobytes(), root @ solved, y_mean - z_mean @ solved, np.packbits(known).tobytes(), clean)
+    return Model(languages, np.packbits(marks, axis=1).tobytes(), root @ solved, y_mean - z_mean @ solved, twice.tobytes(), clean)
 
 
 def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
@@ -141,8 +158,14 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text: str = "te
     good = F.coalesce(usable, F.lit(False)) & F.col(id_col).isNotNull() & F.col(lang).isNotNull() & F.col(text).isNotNull()
     order = F.xxhash64(F.col(id_col))
     ranked = docs.filter(good).select(F.col(id_col).alias("id"), F.col(lang).alias("lang"), order.alias("order")).distinct()
+    # Counts per range of the order tell which ranges hold a language's first rows, so that no more than these are ranked.
+    ranked = ranked.withColumn("range", F.shiftright("order", _RANGE_BITS))
+    counted = ranked.groupBy("lang", "range").agg(F.count("*").alias("rows"))
+    before = F.sum("rows").over(Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    first = counted.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < ROWS_PER_LANGUAGE).select("lang", "range")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "id"))
-    chosen = ranked.withColumn("rank", rank).filter(F.col("rank") <= ROWS_PER_LANGUAGE).orderBy("rank", "lang").limit(ROWS_IN_ALL)
+    ranked = ranked.join(first, ["lang", "range"]).withColumn("rank", rank).filter(F.col("rank") <= ROWS_PER_LANGUAGE)
+    chosen = ranked.orderBy("rank", "lang").limit(ROWS_IN_ALL)
     taken = chosen.select("id", "order", "lang").collect()
     ids, pairs = sorted({r["id"] for r in taken}), {(r["order"], r["lang"]) for r in taken}
     if not ids:
@@ -153,14 +176,14 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text: str = "te
         for batch in slices(batches, "text"):
             asked = [x in pairs for x in zip(batch.column("order").to_pylist(), batch.column("lang").to_pylist())]
             batch = batch.filter(pa.array(asked))
-            bits = [np.packbits(x).tobytes() for t in texts(batch.column("text")) for x in presence([t])]
+            bits = [zlib.compress(sets([t]).tobytes(), 1) for t in texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("order"), batch.column("lang"), pa.array(bits, pa.binary())], ["order", "lang", "bits"])
 
-    empty = F.lit(bytes(WIDTH // 8))
-    sets = sample.mapInArrow(run, "order bigint, lang string, bits binary").filter(F.col("bits") != empty)
-    least = sets.groupBy("order", "lang").agg(F.min("bits").alias("bits")).collect()
+    empty = F.lit(zlib.compress(bytes(WIDTH), 1))
+    grams = sample.mapInArrow(tidy(run), "order bigint, lang string, bits binary").filter(F.col("bits") != empty)
+    least = grams.groupBy("order", "lang").agg(F.min("bits").alias("bits")).collect()
     found = sorted((r["order"], r["lang"], bytes(r["bits"])) for r in least)
-    rows = np.unpackbits(np.frombuffer(b"".join(b for _, _, b in found), np.uint8).reshape(-1, WIDTH // 8), axis=1)
+    rows = np.frombuffer(b"".join(zlib.decompress(b) for _, _, b in found), np.uint8).reshape(-1, WIDTH)
     return learn(rows, [x for _, x, _ in found])
 
 
@@ -190,7 +213,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 sure += np.where(known, top, 0.0).tolist()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(said), pa.array(sure, pa.float64())], [*names, "lang_pred", "score"])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(tidy(run), schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -199,22 +222,23 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def accepted(docs: DataFrame, floor: float, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The documents in a language of the labelled ones, unchanged: those whose share of known n-grams is at least ``floor``.
+    """The documents in a language of the labelled ones, unchanged.
 
-    A sample too small to know its own languages' n-grams lowers the floor, to what ``CLEAN`` of its rows reach. Texts without a
-    letter, and all texts if no language was learned, go.
+    A document stays if it has a letter, so that the classifier names a language for it, and its share of known n-grams is at least ``floor`` times what ``CLEAN``
+    of the labelled sample's rows reach. Null and empty texts, texts without a letter, and all texts if no language was learned, go.
+    Very long texts are read whole, one at a time.
     """
     model = fit(docs, ~held_out(id_col), id_col, text, lang)
     if not model.languages:
         return docs.filter("false")
-    least = min(floor, model.clean) - 1e-9
+    least = floor * model.clean
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
             whole, keep = texts(batch.column(text)), []
             for at in range(0, len(whole), _TEXTS):
-                x = presence(whole[at : at + _TEXTS])
+                x = sets(whole[at : at + _TEXTS])
                 keep += (x.any(1) & (model.familiar(x) >= least)).tolist()
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -94,3 +94,52 @@ def test_many_rows_of_one_id_leave_the_other_languages_in(spark, monkeypatch):
     model = langid.fit(df, F.lit(True))
     assert model.languages == ["de", "en", "fr"] and model.landmarks == langid.fit(df.orderBy(F.desc("doc_id")), F.lit(True)).landmarks
     assert len(model.landmarks) == 30 * langid.WIDTH // 8
+
+
+@pytest.mark.parametrize("sf, floor", [("0.01", 0.8), ("0.1", 0.8)])
+def test_accepted_drops_unlearned_languages_in_the_learned_script(spark, sf, floor):
+    docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet").select("doc_id", "text", "lang")
+    unlearned = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+        "Alla människor är födda fria och lika i värde och rättigheter. De har utrustats med förnuft och samvete.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+        "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván.",
+    ]
+    # Sentences in learned languages from outside the tables.
+    learned = [
+        "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience.",
+        "Alle Menschen sind frei und gleich an Würde und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt.",
+        "Tous les êtres humains naissent libres et égaux en dignité et en droits. Ils sont doués de raison et de conscience.",
+    ]
+    rows = [(-1 - i, t, None) for i, t in enumerate(unlearned + learned)]
+    got = langid.accepted(docs.union(spark.createDataFrame(rows, docs.schema)), floor)
+    found = [r["text"] for r in got.filter("doc_id < 0").collect()]
+    assert sorted(found) == sorted(learned)
+    letters = docs.filter(F.col("text").rlike(r"\p{L}")).count()
+    assert got.filter("doc_id >= 0").count() == letters
+
+
+def test_scores_equal_a_plain_kernel_ridge(spark):
+    """An independent version: n-gram sets of Python strings, and ridge regression over all landmarks by its normal equations."""
+    rows = [(t, x) for _, t, x, *_ in corpus()][:90]
+    asked = ["the shore and that", "straße und größe", "très où leur", "the été mit"]
+
+    def grams(text):
+        words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        joined = " " + " ".join(words) + " "
+        return {joined[i : i + n] for n in (1, 2, 3) for i in range(len(joined) + 1 - n)} - {" "}
+
+    kernel = lambda xs, ys: np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in ys] for a in xs])
+    marks = [grams(t) for t, _ in rows]
+    languages = sorted({x for _, x in rows})
+    y = np.array([[float(x == l) for l in languages] for _, x in rows])
+    k, one = kernel(marks, marks), np.full(len(rows), 1 / len(rows))
+    # All rows are landmarks and languages weigh the same, so dual weights a and a bias solve the centred problem.
+    centred = k - one @ k
+    dual = np.linalg.lstsq(centred.T @ centred / len(rows) + langid.RIDGE / len(languages) * k, centred.T @ (y - one @ y) / len(rows), rcond=1e-12)[0]
+    plain = kernel([grams(t) for t in asked], marks) @ dual + one @ y - one @ k @ dual
+    model = langid.learn(langid.sets([t for t, _ in rows]), [x for _, x in rows])
+    got = model.scores(langid.presence(asked))
+    assert np.abs(got - plain).max() < 0.02
+    assert (got.argmax(1) == plain.argmax(1)).all()

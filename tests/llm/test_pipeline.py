@@ -77,7 +77,7 @@ def test_run_applies_all_stages(spark):
 
 def test_every_operator_is_registered():
     names = [q for q in entry_point.queries() if re.match(r"op\d+_", q)]
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in names) == list(range(1, 14))
     assert entry_point.queries()["pipeline"] is corpus_pipeline.run
 
 
