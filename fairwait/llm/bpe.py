@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import list_array, slices, texts
+from .common import list_array, slices, texts, tidy
 
 # Split pattern of byte-level vocabularies, a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -391,7 +391,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", keep_
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], list_array(flat, offsets)], [*kept, out])
         v.forget()
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -401,10 +401,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                text = [v.decode(x or ()) for x in part.column(ids).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(text, pa.string())], [*kept, out])
+        for part in slices(batches, ids):
+            text = [v.decode(x or ()) for x in part.column(ids).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(text, pa.string())], [*kept, out])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,11 +29,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Runs of rows whose ``column`` (text or bytes) holds about ``limit`` bytes; a longer row comes alone."""
+    """Runs of rows whose ``column`` (text, bytes or a list of 32-bit numbers) holds about ``limit`` bytes; a longer row comes alone."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        values = batch.column(column)
+        lengths = pc.multiply(pc.list_value_length(values), 4) if pa.types.is_list(values.type) else pc.binary_length(values)
+        sizes = pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False)
         parts = np.cumsum(sizes.astype(np.int64)) // limit
         cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1), batch.num_rows]
         for a, z in zip(cuts, cuts[1:]):
@@ -43,7 +44,6 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
 
 def give_back() -> None:
     """Return what a worker holds but no longer uses to the system: it stays idle beside the next stage's work."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import slices, stored, tidy
 from .graph import components
 
 REGISTERS = 128
@@ -156,7 +156,7 @@ def sketches(docs: DataFrame, id_col: str, text: str, words: int) -> DataFrame:
                 ["doc_id", "text_hash", "n", "node", "registers"],
             )
 
-    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, n bigint, node binary, registers binary")
+    return rows.mapInArrow(tidy(run), "doc_id bigint, text_hash bigint, n bigint, node binary, registers binary")
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -176,7 +176,7 @@ def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 keep = pa.array(estimates(ra, rb, na, nb) >= floor)
                 yield pa.RecordBatch.from_arrays([part.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(tidy(run), "a binary, b binary")
 
 
 def set_table(docs: DataFrame, id_col: str, text: str, words: int, wanted: DataFrame) -> DataFrame:
@@ -192,7 +192,7 @@ def set_table(docs: DataFrame, id_col: str, text: str, words: int, wanted: DataF
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(s) for s in sets]), pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))
             yield pa.RecordBatch.from_arrays([node, lists], ["node", "shingles"])
 
-    found = chosen.mapInArrow(run, "node binary, shingles array<bigint>")
+    found = chosen.mapInArrow(tidy(run), "node binary, shingles array<bigint>")
     return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .bpe import vocabulary
-from .common import slices, stored, texts
+from .common import slices, stored, texts, tidy
 
 DIMENSIONS = 4
 BITS = 12  # per dimension
@@ -93,7 +93,7 @@ def tokenised(docs: DataFrame, path: str, id_col: str, text: str, end_id: int) -
             )
         v.forget()
 
-    return rows.mapInArrow(run, "doc_id bigint, key bigint, n bigint, ids binary")
+    return rows.mapInArrow(tidy(run), "doc_id bigint, key bigint, n bigint, ids binary")
 
 
 def starts(rows: DataFrame) -> tuple[DataFrame, int]:
@@ -157,4 +157,4 @@ def pack(docs: DataFrame, path: str, length: int = 1024, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     placed = rows.select("row", "doc_id", "n", "ids").join(at, "row")
-    return placed.mapInArrow(run, "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
+    return placed.mapInArrow(tidy(run), "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
