@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import slices, texts, tidy
+from .common import give_back, slices, texts, tidy
 
 GRAMS = 3
 WIDTH = 1 << 15
@@ -126,15 +126,15 @@ def learn(found: np.ndarray, labels: list[str], ridge: float = RIDGE, landmarks:
         twice |= once & row
         once |= row
     clean = float(np.quantile([share(row[None, :], twice)[0] for row in found], 1 - CLEAN, method="lower"))
-    rows = (found > 0).view(np.uint8)
     # Landmarks: the languages in turn, in the order of the sample.
     turn, seen = [], dict.fromkeys(languages, 0)
     for x in labels:
         turn.append(seen[x])
         seen[x] += 1
     chosen = sorted(range(len(labels)), key=lambda i: (turn[i], labels[i]))[:landmarks]
-    marks = rows[chosen]
-    x = normalised(rows, marks.astype(np.float32))
+    marks = (found[chosen] > 0).view(np.uint8)
+    # A few rows at once: as numbers the whole sample would take four times its size.
+    x = np.concatenate([normalised(found[at : at + _TEXTS] > 0, marks.astype(np.float32)) for at in range(0, len(found), _TEXTS)])
     values, vectors = np.linalg.eigh(normalised(marks, marks.astype(np.float32)))
     root = vectors @ np.diag(np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0)) @ vectors.T
     z = x @ root
@@ -183,8 +183,13 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text: str = "te
     grams = sample.mapInArrow(tidy(run), "order bigint, lang string, bits binary").filter(F.col("bits") != empty)
     least = grams.groupBy("order", "lang").agg(F.min("bits").alias("bits")).collect()
     found = sorted((r["order"], r["lang"], bytes(r["bits"])) for r in least)
-    rows = np.frombuffer(b"".join(zlib.decompress(b) for _, _, b in found), np.uint8).reshape(-1, WIDTH)
-    return learn(rows, [x for _, x, _ in found])
+    rows = np.empty((len(found), WIDTH), np.uint8)
+    for row, (_, _, bits) in zip(rows, found):
+        row[:] = np.frombuffer(zlib.decompress(bits), np.uint8)
+    model = learn(rows, [x for _, x, _ in found])
+    del rows, found, least, sample
+    give_back()
+    return model
 
 
 def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
