@@ -15,11 +15,16 @@ from fairwait.llm.queries import VOCABULARY
 # Documents go whose share of n-grams known from the labelled ones is under this part of what nearly all labelled ones reach, as do
 # those without a letter. README.md has the shares of learned and unlearned languages.
 MIN_KNOWN = 0.8
+# Score from which a predicted language counts more than the given one; short texts stay below it.
+SURE = 0.75
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a recognisable language."""
-    return langid.accepted(docs, MIN_KNOWN)
+    """Drops documents without a recognisable language, and puts the predicted one in the place of ``lang`` where it is sure.
+
+    The documents are packed by it.
+    """
+    return langid.accepted(docs, MIN_KNOWN, sure=SURE)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +48,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The remaining documents in sequences of 1024 tokens, piece by piece with the token ids."""
-    return packing.pack(docs, VOCABULARY, 1024)
+    """The remaining documents in sequences of 1024 tokens of one language, piece by piece with the token ids."""
+    return packing.pack(docs, VOCABULARY, 1024, by="lang")
 
 
 STAGES = [("language", language), ("lines", lines), ("near_duplicates", near_duplicates), ("pack", pack)]

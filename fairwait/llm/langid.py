@@ -226,24 +226,32 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def accepted(docs: DataFrame, floor: float, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The documents in a language of the labelled ones, unchanged.
+def accepted(
+    docs: DataFrame, floor: float, id_col: str = "doc_id", text: str = "text", lang: str = "lang", sure: float | None = None
+) -> DataFrame:
+    """The documents in a language of the labelled ones, unchanged but for ``lang``.
 
     A document stays if it has a letter, so that the classifier names a language for it, and its share of known n-grams is at least ``floor`` times what ``CLEAN``
     of the labelled sample's rows reach. Null and empty texts, texts without a letter, and all texts if no language was learned, go.
+    Where the score of the predicted language is ``sure`` or more, it takes the place of the given one, which may be missing or wrong; otherwise the given one stays.
     Very long texts are read whole, one at a time.
     """
     model = fit(docs, ~held_out(id_col), id_col, text, lang)
     if not model.languages:
         return docs.filter("false")
-    least = floor * model.clean
+    least, place = floor * model.clean, docs.columns.index(lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            whole, keep = texts(batch.column(text)), []
+            whole, keep, named = texts(batch.column(text)), [], batch.column(lang).to_pylist()
             for at in range(0, len(whole), _TEXTS):
                 x = sets(whole[at : at + _TEXTS])
                 keep += (x.any(1) & (model.familiar(x) >= least)).tolist()
-            yield batch.filter(pa.array(keep))
+                if sure is not None:
+                    f = model.scores((x > 0).view(np.uint8))
+                    best = f.argmax(1)
+                    for i in np.flatnonzero(f.max(1) >= sure).tolist():
+                        named[at + i] = model.languages[best[i]]
+            yield batch.set_column(place, batch.schema.field(place), pa.array(named, batch.schema.field(place).type)).filter(pa.array(keep))
 
     return docs.mapInArrow(tidy(run), docs.schema)

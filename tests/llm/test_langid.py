@@ -143,3 +143,18 @@ def test_scores_equal_a_plain_kernel_ridge(spark):
     got = model.scores(langid.presence(asked))
     assert np.abs(got - plain).max() < 0.02
     assert (got.argmax(1) == plain.argmax(1)).all()
+
+
+def test_a_sure_prediction_takes_the_place_of_the_label(spark):
+    rows = corpus()
+    odd = [(700, rows[0][1], None, "x", 1), (701, rows[0][1], "fi", "x", 1), (702, rows[0][1].split()[0], "zz", "x", 1)]
+    df = spark.createDataFrame(rows + odd, DOCS)
+    model = langid.fit(df, ~langid.held_out())
+    said = {r["doc_id"]: r for r in langid.predict(df, model).collect()}
+    edge = (said[700]["score"] + said[702]["score"]) / 2
+    assert said[702]["score"] < edge <= said[700]["score"]
+    got = langid.accepted(df, 0.0, sure=edge)
+    assert got.schema == df.schema
+    expected = {i: said[i]["lang_pred"] if said[i]["score"] >= edge else lang for i, _, lang, *_ in rows + odd}
+    assert {r["doc_id"]: r["lang"] for r in got.collect()} == expected
+    assert expected[700] == expected[701] == rows[0][2] and expected[702] == "zz"

@@ -80,3 +80,26 @@ def test_like_documents_are_neighbours():
     lengths = np.array([600] * 3)
     cells = packing.points(np.concatenate([a, near, b]), lengths, packing.directions(800)).astype(int)
     assert np.abs(cells[0] - cells[1]).max() < np.abs(cells[0] - cells[2]).max()
+
+
+def test_no_sequence_holds_two_values_of_a_column(spark):
+    rows = [(i, f"document {i} " * (i % 9 + 1), ["de", "en", None][i % 3], 1) for i in range(150)] + [(900, "words " * 3_000, "en", 1), (901, "", "xx", 1)]
+    of = {i: k for i, _, k, _ in rows}
+    got = packing.pack(spark.createDataFrame(rows, DOCS).repartition(6), PATH, 64, by="key").collect()
+    spread, values, sizes = defaultdict(list), defaultdict(set), defaultdict(list)
+    for r in got:
+        spread[r["doc_id"]].append((r["start"], np.frombuffer(r["ids"], "<u4").tolist()))
+        values[r["sequence_id"]].add(of[r["doc_id"]])
+        sizes[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert {i: list(itertools.chain.from_iterable(x for _, x in sorted(p))) for i, p in spread.items()} == {i: tokens(t) for i, t, *_ in rows}
+    assert sorted(values) == list(range(len(values))) and all(len(v) == 1 for v in values.values())
+    ends = {s: [0, *itertools.accumulate(n for _, n in sorted(p))] for s, p in sizes.items()}
+    assert all([o for o, _ in sorted(p)] == ends[s][:-1] for s, p in sizes.items())
+    lengths = defaultdict(list)
+    for s, (v,) in sorted(values.items()):
+        lengths[v].append(ends[s][-1])
+    for v, found in lengths.items():
+        whole = sum(len(tokens(t)) for _, t, k, _ in rows if k == v)
+        rest = found[whole // 64 :]
+        assert found[: whole // 64] == [64] * (whole // 64) and sum(rest) == whole % 64
+        assert rest == sorted(rest, reverse=True) and all(n & (n - 1) == 0 for n in rest) and len(set(rest)) == len(rest)
