@@ -25,8 +25,7 @@ def components(links: DataFrame, u: str, v: str) -> DataFrame:
         small = large.join(lowest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stored(small.union(lowest.select("u", F.col("m").alias("v"))).distinct(), "links")
         # Stars only: every node hangs under one other, and none hangs under a node that hangs itself.
-        many = edges.groupBy("u").count().filter("count > 1").limit(1)
-        deep = edges.select(F.col("v").alias("u")).join(edges.select("u"), "u", "left_semi").select("u", F.lit(1).alias("n")).limit(1)
-        if many.isEmpty() and deep.isEmpty():
+        hangs = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+        if hangs.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 OR up > 0 AND down > 0").isEmpty():
             roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)

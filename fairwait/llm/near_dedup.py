@@ -323,7 +323,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wor
     shared = sets.join(alone, "node", "left").select("node", (F.size("shingles") - F.coalesce("lone", F.lit(0))).alias("common"))
     left_open = stored(contested_pairs(contested, shared, tried, percent), "contested_pairs")
     late = links_of(measured(likely(left_open, nodes, percent), sets), percent)
-    final = components(links.union(late), "a", "b")
+    # The components so far are stars already, so only the late links take rounds.
+    final = components(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(late), "a", "b")
 
     placed = rows.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
