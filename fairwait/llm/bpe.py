@@ -15,7 +15,7 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,8 @@ from .common import list_array, slices, texts, tidy
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Words kept with their tokens by each worker; beyond it only those just met stay.
 MEMORY_WORDS = 1 << 19
+# Words that a worker keeps from task to task.
+KEPT_WORDS = 1 << 17
 # Longer words are merged one by one, with a heap.
 SHORT_BYTES = 64
 _NEVER = np.int64(1) << 40
@@ -351,8 +353,8 @@ class Vocabulary:
         return [b"".join(map(get, words)) for words in cut]
 
     def forget(self) -> None:
-        """Let go of the words met so far: a worker waits for its next task with the vocabulary alone."""
-        self.words = {}
+        """Let go of most words: a worker waits for its next task with those it met first, as frequent words are."""
+        self.words = dict(islice(self.words.items(), KEPT_WORDS))
 
     def decode(self, ids) -> str:
         """Text of the ids, special tokens included; broken UTF-8 becomes U+FFFD, unknown ids nothing."""
