@@ -153,3 +153,15 @@ def test_order_is_unique_over_files(spark, tmp_path):
     got = read_boundaries(spark, str(tmp_path)).orderBy("ord").collect()
     assert [r["ord"] for r in got] == list(range(6))
     assert [r["tract_geoid"] for r in got] == [f"{n}-{i}" for n in ("one", "two") for i in range(3)]
+
+
+def test_a_feature_collection_is_read_once(spark, tmp_path):
+    """The JSON reader for whole documents went through each many times; a byte order mark and broken files are still passed over."""
+    shape = '{"type":"Feature","properties":{"tract_geoid":" %s "},"geometry":{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}}'
+    texts = ["﻿" + '{"features": [\n%s,\n%s]}' % (shape % "a", shape % "b"), '{"features":[%s]}' % (shape % "c"), "no json", '{"features":null}']
+    for i, text in enumerate(texts):
+        (tmp_path / f"{i}.json").write_text(text, encoding="utf-8")
+    got = read_boundaries(spark, str(tmp_path))
+    assert [(r["tract_geoid"], r["ord"], len(r["rings"][0])) for r in got.orderBy("ord").collect()] == [("a", 0, 4), ("b", 1, 4), ("c", 2, 4)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Scan text" in plan and "Scan json" not in plan
