@@ -70,7 +70,8 @@ def load_raw(rows: DataFrame, raw_path: str, load: str, updated: str) -> int:
     rows = rows.observe(
         seen, F.min(at).cast("string").alias("oldest"), F.max(at).cast("string").alias("newest"), F.count_if(at.isNull()).alias("undated")
     )
-    n = write_partition(rows.withColumn(LOAD, F.lit(load)), raw_path, LOAD)
+    # One folder: there is nothing to bring together.
+    n = write_partition(rows.withColumn(LOAD, F.lit(load)), raw_path, LOAD, rebalance=False)
     found = seen.get if n else {"oldest": None, "newest": None, "undated": 0}
     write_text(spark, f"{raw_path}/_loads/{load}", json.dumps(asdict(Load(load, n, found["oldest"], found["newest"], found["undated"], uuid.uuid4().hex))))
     return n
@@ -127,7 +128,7 @@ def run_incremental(
     since = min([since, *[datetime.fromisoformat(read_text(spark, f"{raw_path}/_since/{n}")) for n in kept]])
     write_text(spark, f"{raw_path}/_since/{run_date}", since.isoformat())
     located = point_in_polygon_join(source.filter(since_filter(source, updated, since)), boundaries)
-    if write_partition(located.withColumn(LOAD, F.lit(run_date)), landing_path, LOAD) == 0:
+    if write_partition(located.withColumn(LOAD, F.lit(run_date)), landing_path, LOAD, rebalance=False) == 0:
         return LoadResult(since, 0)
     landed = spark.read.schema(located.schema).parquet(f"{landing_path}/{LOAD}={run_date}")
     return LoadResult(since, load_raw(landed, raw_path, run_date, updated))

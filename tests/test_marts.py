@@ -466,3 +466,12 @@ def test_checkpoint_stores_each_run(spark, tmp_path):
 
 def test_suites_name_no_unknown_check():
     assert json.dumps(sorted(SUITES)) and all(SUITES.values())
+
+
+def test_a_load_is_written_where_its_rows_are(spark, tmp_path):
+    """One folder: shuffling its rows to one place first would bring all of them to one task."""
+    schema = "unique_key string, resolution_action_updated_date string"
+    rows = spark.createDataFrame([(str(i), f"2024-01-{i % 20 + 1:02d}T00:00:00") for i in range(90)], schema).repartition(3, "unique_key")
+    assert runs.load_raw(rows, f"{tmp_path}/raw", "2024-02-01", "resolution_action_updated_date") == 90
+    loaded = spark.read.parquet(f"{tmp_path}/raw")
+    assert loaded.count() == 90 and loaded.select(F.input_file_name()).distinct().count() == 3
