@@ -34,6 +34,10 @@ KEPT_WORDS = 1 << 17
 # Longer words are merged one by one, with a heap.
 SHORT_BYTES = 64
 _NEVER = np.int64(1) << 40
+_LETTER, _NUMBER, _SPACE, _OTHER, _END = range(5)
+# Texts of more characters together are cut one by one, which takes less memory.
+_WHOLE_CHARS = 1 << 22
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def byte_letters() -> dict[str, int]:
@@ -59,6 +63,80 @@ def splitter() -> re.Pattern:
     return re.compile(pattern.replace(r"(?!\S)", f"(?![^{spaces}])"))
 
 
+@lru_cache(maxsize=1)
+def kinds() -> np.ndarray:
+    """For every code point whether the pattern counts it as a letter, a number, a space or none of them."""
+    plane = "".join(chr(c) if not 0xD800 <= c < 0xE000 else "\0" for c in range(0x110000))
+    out = np.full(len(plane), _OTHER, np.uint8)
+    for kind, name in ((_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}"), (_SPACE, r"\s")):
+        for m in regex.compile(name + "+").finditer(plane):
+            out[m.start() : m.end()] = kind
+    return out
+
+
+def word_starts(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where the pattern's words start in the code points of texts, each of which has one code point behind it, at ``ends``, as a word of its own."""
+    kind = kinds()[codes]
+    kind[ends] = _END
+    start = np.r_[True, kind[1:] != kind[:-1]]
+    start[ends] = True
+    start[ends[:-1] + 1] = True
+    # The last space before something else parts from the others; a blank goes with what follows.
+    last = np.flatnonzero((kind[:-1] == _SPACE) & (kind[1:] != _SPACE) & (kind[1:] != _END))
+    start[last] = True
+    start[last[codes[last] == 32] + 1] = False
+    # 's 't 'm 'd 're 've 'll, where a word starts with the apostrophe and a letter follows it
+    at = np.flatnonzero(codes[:-1] == 39)
+    at = at[start[at] & (kind[at + 1] == _LETTER)]
+    one, two = codes[at + 1], codes[at + 2]
+    pair = (((one == ord("r")) | (one == ord("v"))) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+    size = np.where(np.isin(one, [ord(c) for c in "stmd"]), 1, np.where(pair, 2, 0))
+    at, size = at[size > 0], size[size > 0]
+    start[at + 1] = False
+    behind = at + 1 + size
+    start[behind[kind[behind] == _LETTER]] = True
+    return np.flatnonzero(start)
+
+
+def numbered(code: np.ndarray) -> np.ndarray:
+    """The first place of each number, of numbers that are given in the order of their first places."""
+    return np.flatnonzero(np.r_[True, code[1:] > np.maximum.accumulate(code)[:-1]][: len(code)])
+
+
+class Table:
+    """Numbers looked up by whole arrays of keys: a hash table in which the next free place is taken."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, int(4 * len(keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
+        place, left = self.place(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[place[left]] < 0]
+            self.keys[place[free]] = keys[free]  # of several keys one stays
+            left = left[self.keys[place[left]] != keys[left]]
+            place[left] = (place[left] + 1) & self.last
+        self.values[place] = values
+
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys.astype(np.uint64) * _SPREAD) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The values, -1 for keys that the table lacks. Keys are 0 or more."""
+        at = self.place(keys)
+        held = self.keys[at]
+        out = np.where(held == keys, self.values[at], -1)
+        left = np.flatnonzero((held != keys) & (held >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) & self.last
+            held = self.keys[at[left]]
+            hit = held == keys[left]
+            out[left[hit]] = self.values[at[left[hit]]]
+            left = left[~hit & (held >= 0)]
+        return out
+
+
 class Vocabulary:
     """Tokens and merges of a byte-level BPE file."""
 
@@ -86,11 +164,11 @@ class Vocabulary:
             if self.rank[z] < 0:
                 self.left[z], self.right[z], self.rank[z] = x, y, r
         self.size = size
+        # Pair of tokens -> its place in the rows of ranks and results; the last place is that of all other pairs.
         keys = np.array([x * size + y for x, y in self.ranks], dtype=np.int64)
-        order = np.argsort(keys)
-        self.pair_keys = keys[order]
-        self.pair_ranks = np.array([r for r, _ in self.ranks.values()], dtype=np.int64)[order]
-        self.pair_ids = np.array([z for _, z in self.ranks.values()], dtype=np.int64)[order]
+        self.pairs = Table(keys, np.arange(len(keys)))
+        self.pair_ranks = np.array([*(r for r, _ in self.ranks.values()), _NEVER], dtype=np.int64)
+        self.pair_ids = np.array([*(z for _, z in self.ranks.values()), -1], dtype=np.int64)
         self.byte_ids = [self.id_of.get(bytes([b])) for b in range(256)]
         self.byte_table = np.array([-1 if i is None else i for i in self.byte_ids], dtype=np.int64)
         self.sound = self._sound()
@@ -187,8 +265,8 @@ class Vocabulary:
     def look(self, tok: np.ndarray, owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and result of merging each token at ``at`` with the next of its word."""
         after = np.minimum(at + 1, max(len(tok) - 1, 0))
-        place = np.minimum(np.searchsorted(self.pair_keys, keys := tok[at] * self.size + tok[after]), len(self.pair_keys) - 1)
-        meets = (self.pair_keys[place] == keys) & (after > at) & (owner[after] == owner[at])
+        place = self.pairs.get(tok[at] * self.size + tok[after])
+        meets = (after > at) & (owner[after] == owner[at])
         return np.where(meets, self.pair_ranks[place], _NEVER), self.pair_ids[place]
 
     def propose(self, word: bytes) -> list[int] | None:
@@ -222,9 +300,9 @@ class Vocabulary:
         while len(live):
             here, inside = at[live], at[live] < ends[live]
             key = node[live] * 256 + data[np.where(inside, here, 0)]
-            place = np.minimum(np.searchsorted(self.tree_keys, key), len(self.tree_keys) - 1)
-            goes = inside & (self.tree_keys[place] == key)
-            on, child = live[goes], self.tree_next[place[goes]]
+            child = self.tree.get(key)
+            goes = inside & (child >= 0)
+            on, child = live[goes], child[goes]
             node[on] = child
             at[on] += 1
             ids = self.tree_token[child]
@@ -242,7 +320,7 @@ class Vocabulary:
         return owner[order], ids[order], none
 
     def _tree(self) -> None:
-        """The tokens as a tree: keys (node, byte) in order, the node each leads to, and the token that ends there."""
+        """The tokens as a tree: the node that (node, byte) leads to, and the token that ends at a node."""
         follow: dict[int, int] = {}
         ends = [-1]
         for word, i in self.sound.items():
@@ -254,16 +332,12 @@ class Vocabulary:
                     ends.append(-1)
                 node = follow[key]
             ends[node] = i
-        keys = np.fromiter(follow, np.int64, len(follow))
-        order = np.argsort(keys)
-        self.tree_keys, self.tree_token = keys[order], np.array(ends, np.int64)
-        self.tree_next = np.fromiter(follow.values(), np.int64, len(follow))[order]
+        self.tree = Table(np.fromiter(follow, np.int64, len(follow)), np.fromiter(follow.values(), np.int64, len(follow)))
+        self.tree_token = np.array(ends, np.int64)
 
     def merge_rank(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Rank at which the pairs merge; _NEVER if they do not."""
-        keys = x * self.size + y
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], _NEVER)
+        return self.pair_ranks[self.pairs.get(x * self.size + y)]
 
     def apart(self, a: np.ndarray, b: np.ndarray, until: np.ndarray | None = None) -> np.ndarray:
         """Whether each pair of tokens stays two tokens when encoded together (by merges before ``until``).
@@ -335,22 +409,59 @@ class Vocabulary:
             at = m.end()
         return words + find(text[at:])
 
+    def cut_all(self, batch: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Words of the texts in a row as places in the list of distinct words, that list, and where each text begins in the row, with its end."""
+        joined = "\0".join([*batch, ""])
+        try:
+            data = joined.encode()
+        except UnicodeEncodeError:  # lone surrogates, which Arrow does not hold
+            data = None
+        if data is None or not batch or len(joined) > _WHOLE_CHARS or (self.cut is not None and self.cut.search(joined)):
+            cut, places = [self.cut_up(text) for text in batch], {}
+            code = np.array([places.setdefault(w, len(places)) for w in chain.from_iterable(cut)], np.int64)
+            return code, list(places), np.r_[0, np.cumsum([len(words) for words in cut], dtype=np.int64)]
+        codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        ends = np.cumsum(np.fromiter(map(len, batch), np.int64, len(batch)) + 1) - 1
+        starts = word_starts(codes, ends)
+        if len(data) == len(joined):
+            places = starts
+        else:
+            sizes = np.cumsum(1 + (codes > 0x7F).astype(np.int8) + (codes > 0x7FF) + (codes > 0xFFFF), dtype=np.int64)
+            places = np.r_[0, sizes][starts]
+        offsets = np.r_[places, len(data)].astype(np.int64)
+        words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data))
+        code = words.dictionary_encode().indices.to_numpy()
+        first = numbered(code)
+        met = [joined[a:z] for a, z in zip(starts[first].tolist(), np.r_[starts[1:], len(joined)][first].tolist())]
+        # The characters behind the texts go.
+        behind = np.searchsorted(starts, ends)
+        return np.delete(code, behind), met, np.r_[0, behind - np.arange(len(batch))]
+
     def encode(self, batch: list[str]) -> list[bytes]:
         """Token ids of each text, as little-endian 32-bit integers."""
-        cut = [self.cut_up(text) for text in batch]
-        met = set().union(*cut)
-        # The batch's own words in a small table: most lookups then stay in the processor's cache.
-        known = self.words.get
-        here = {w: known(w) for w in met}
-        new = self.learn([w for w, ids in here.items() if ids is None and w not in self.named])
-        here |= new
-        here |= self.named
+        flat, cuts = self.encode_flat(batch)
+        raw, at = flat.astype("<i4").tobytes(), (cuts * 4).tolist()
+        return [raw[a:z] for a, z in zip(at, at[1:])]
+
+    def encode_flat(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all texts in a row, and where each text begins in it, with the end behind the last."""
+        code, met, cuts = self.cut_all(batch)
+        # Each distinct word is looked up once; its ids are then laid out wherever it stands.
+        ids = list(map(self.words.get, met))
+        lost = [k for k, x in enumerate(ids) if x is None]
+        new = self.learn([met[k] for k in lost if met[k] not in self.named])
+        for k in lost:
+            ids[k] = new.get(met[k]) if met[k] not in self.named else self.named[met[k]]
         if len(self.words) + len(new) > MEMORY_WORDS:
-            self.words = here.copy()
+            self.words = dict(zip(met, ids))
         else:
             self.words |= new
-        get = here.__getitem__
-        return [b"".join(map(get, words)) for words in cut]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        found = np.frombuffer(b"".join(ids), "<i4")
+        first, lengths = (np.cumsum(sizes) - sizes)[code], sizes[code]
+        ends = np.r_[0, np.cumsum(lengths)]
+        flat = found[np.repeat(first - ends[:-1], lengths) + np.arange(ends[-1])]
+        return flat, ends[cuts]
 
     def forget(self) -> None:
         """Let go of most words: a worker waits for its next task with those it met first, as frequent words are."""
@@ -387,9 +498,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", keep_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in slices(batches, text):
-            ids = v.encode(texts(batch.column(text)))
-            offsets = np.r_[0, np.cumsum([len(x) // 4 for x in ids])]
-            flat = np.frombuffer(b"".join(ids), np.int32)
+            flat, offsets = v.encode_flat(texts(batch.column(text)))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], list_array(flat, offsets)], [*kept, out])
         v.forget()
 

@@ -83,11 +83,10 @@ def tokenised(docs: DataFrame, path: str, id_col: str, text: str, end_id: int, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        table, end = directions(max(v.size, end_id + 1)), np.int32(end_id).tobytes()
+        table = directions(max(v.size, end_id + 1))
         for batch in slices(batches, "text"):
-            coded = [x + end for x in v.encode(texts(batch.column("text")))]
-            n = np.array([len(x) // 4 for x in coded], np.int64)
-            flat = np.frombuffer(b"".join(coded), "<i4")
+            flat, cuts = v.encode_flat(texts(batch.column("text")))
+            flat, n = np.insert(flat, cuts[1:], end_id), np.diff(cuts) + 1
             key = hilbert(points(flat, n, table))
             width = id_bytes(v.size, end_id)
             raw, cuts = flat.astype(f"<u{width}").tobytes(), (np.r_[0, np.cumsum(n)] * width).tolist()

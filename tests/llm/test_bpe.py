@@ -52,6 +52,32 @@ def test_speculation_and_exact_merging_agree():
         assert bool(v.apart(pairs[:, 0], pairs[:, 1]).all()) == (guess == found.tolist())
 
 
+def test_batches_are_cut_as_text_by_text():
+    v, rng = bpe.vocabulary(PATH), random.Random(7)
+    parts = [*"  \t\n\r\x00'stremvld.S19é中１²’🙂𝒜İ", "'s", "'re", "'ll", " 've", "\u2003"]
+    for _ in range(500):
+        batch = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(rng.randint(0, 12))]
+        code, met, cuts = v.cut_all(batch)
+        assert [[met[c] for c in code[a:z]] for a, z in zip(cuts, cuts[1:])] == [v.cut_up(t) for t in batch]
+
+
+def test_texts_are_cut_together_but_for_special_tokens_and_long_ones(monkeypatch):
+    v, cut = bpe.vocabulary(PATH), []
+    monkeypatch.setattr(v, "cut_up", lambda text: cut.append(text) or type(v).cut_up(v, text))
+    assert mine(["one text", "", "it's  another\n"]) == [LIBRARY.encode(t, add_special_tokens=False).ids for t in ("one text", "", "it's  another\n")]
+    assert cut == []
+    monkeypatch.setattr(bpe, "_WHOLE_CHARS", 20)
+    for texts in (["x<|endoftext|>"], ["a text of more than 20 characters"]):
+        assert mine(texts) == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(cut) == 2
+
+
+def test_table_of_numbers():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 40, 3000))
+    table = bpe.Table(keys, np.arange(len(keys)))
+    assert (table.get(keys) == np.arange(len(keys))).all() and (table.get(keys[:-1][np.diff(keys) > 1] + 1) == -1).all()
+
+
 def test_any_ids_decode_like_the_library():
     rng = random.Random(5)
     for _ in range(50):
