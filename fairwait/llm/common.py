@@ -28,6 +28,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def met_by_sort(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is never broadcast: operators of many joins else keep one small table each in the driver's memory."""
+    return df.hint("merge")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose ``column`` (text, bytes or a list of 32-bit numbers) holds about ``limit`` bytes; a longer row comes alone."""
     for batch in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import met_by_sort, stored
 
 
 def components(links: DataFrame, u: str, v: str) -> DataFrame:
@@ -20,9 +20,9 @@ def components(links: DataFrame, u: str, v: str) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(met_by_sort(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(met_by_sort(lowest), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stored(small.union(lowest.select("u", F.col("m").alias("v"))).distinct(), "links")
         # Stars only: every node hangs under one other, and none hangs under a node that hangs itself.
         hangs = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored, tidy
+from .common import met_by_sort, slices, stored, tidy
 from .graph import components
 
 REGISTERS = 128
@@ -163,7 +163,7 @@ def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose estimate does not rule out the threshold."""
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ra", "rb")
+    both = pairs.join(met_by_sort(left), "a").join(met_by_sort(right), "b").select("a", "b", "na", "nb", "ra", "rb")
     wanted = percent / 100
     floor = wanted - MARGIN * math.sqrt(wanted * (1 - wanted) / REGISTERS)
 
@@ -200,7 +200,7 @@ def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, inter, na, nb) from the whole sets of each pair."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    met = pairs.join(left, "a").join(right, "b")
+    met = pairs.join(met_by_sort(left), "a").join(met_by_sort(right), "b")
     inter = F.size(F.array_intersect("sa", "sb"))
     return met.select("a", "b", inter.alias("inter"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
 
@@ -226,9 +226,9 @@ def buckets(nodes: DataFrame) -> DataFrame:
     )
     rows = nodes.select("node", "n", F.explode(band).alias("bucket"))
     several = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    met = rows.join(several, "bucket")
+    met = rows.join(met_by_sort(several), "bucket")
     mass = met.groupBy("node").agg(F.sum("size").alias("mass"))
-    return met.select("bucket", "node", "n").join(mass, "node")
+    return met.select("bucket", "node", "n").join(met_by_sort(mass), "node")
 
 
 def contested_pairs(grouped: DataFrame, shared: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
@@ -241,7 +241,7 @@ def contested_pairs(grouped: DataFrame, shared: DataFrame, tried: DataFrame, per
     partner: nodes are met by hub and size class, so only classes inside the interval are looked at.
     """
     seen = tried.select("a", "b", "inter").union(tried.select("b", "a", "inter")).toDF("hub", "node", "inter")
-    placed = grouped.join(shared, "node").join(seen, ["hub", "node"], "left")
+    placed = grouped.join(met_by_sort(shared), "node").join(met_by_sort(seen), ["hub", "node"], "left")
     own = F.col("node") == F.col("hub")
     placed = placed.withColumns(
         {
@@ -251,7 +251,7 @@ def contested_pairs(grouped: DataFrame, shared: DataFrame, tried: DataFrame, per
     )
     share = placed.groupBy("hub", "root").agg(F.count("*").alias("size"))
     main = share.groupBy("hub").agg(F.max(F.struct("size", "root"))["root"].alias("main"))
-    placed = placed.join(main, "hub").filter(F.col("common") * 100 >= F.col("n") * percent)
+    placed = placed.join(met_by_sort(main), "hub").filter(F.col("common") * 100 >= F.col("n") * percent)
     low = F.ceil(F.col("n") * percent / 100)
     high = F.floor(F.least(F.col("n") * 100 / percent, F.col("common") * (100 + percent) / percent - F.col("n")))
     level = lambda c: F.floor(F.log(c.cast("double")) / math.log(SIZE_STEP)).cast("int")
@@ -272,8 +272,8 @@ def contested_pairs(grouped: DataFrame, shared: DataFrame, tried: DataFrame, per
         & ((F.col("y_root") == F.col("main")) | (F.col("x_node") < F.col("y_node")))
     )
     keys = (seekers["hub"] == sought["hub"]) & (seekers["level"] == sought["level"])
-    found = seekers.join(sought, keys & open_).select(*ordered(F.col("x_node"), F.col("y_node"))).distinct()
-    return found.join(tried, ["a", "b"], "left_anti")
+    found = seekers.join(met_by_sort(sought), keys & open_).select(*ordered(F.col("x_node"), F.col("y_node"))).distinct()
+    return found.join(met_by_sort(tried), ["a", "b"], "left_anti")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -292,7 +292,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wor
     members = stored(buckets(nodes), "buckets")
     hub = members.groupBy("bucket").agg(F.max(F.struct("mass", "n", "node")).alias("hub"))
     stars = stored(
-        members.join(hub, "bucket")
+        members.join(met_by_sort(hub), "bucket")
         .filter(F.col("node") != F.col("hub.node"))
         .filter(sizes_fit(F.col("n"), F.col("hub.n"), percent))
         .select(*ordered(F.col("node"), F.col("hub.node")))
@@ -302,32 +302,32 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wor
     open_ = stored(likely(stars, nodes, percent), "likely")
 
     def sets_for(of: DataFrame) -> DataFrame:
-        wanted = nodes.join(of, "node", "left_semi").select(F.col("of.doc_id").alias("doc_id"), F.col("of.text_hash").alias("text_hash"))
+        wanted = nodes.join(met_by_sort(of), "node", "left_semi").select(F.col("of.doc_id").alias("doc_id"), F.col("of.text_hash").alias("text_hash"))
         return stored(set_table(docs, id_col, text, words, wanted), "sets")
 
     ends = open_.select(F.col("a").alias("node")).union(open_.select(F.col("b").alias("node"))).distinct()
     tried = stored(measured(open_, sets_for(ends)), "measured")
     links = links_of(tried, percent)
-    grown = nodes.select("node").join(components(links, "a", "b"), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    grown = nodes.select("node").join(met_by_sort(components(links, "a", "b")), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     roots = stored(grown, "roots")
 
     several = (
-        members.join(roots, "node").groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("bucket")
+        members.join(met_by_sort(roots), "node").groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("bucket")
     )
-    under = members.join(several, "bucket", "left_semi").join(hub, "bucket").select(F.col("hub.node").alias("hub"), "node", "n").distinct()
-    contested = stored(under.join(roots, "node"), "contested")
+    under = members.join(met_by_sort(several), "bucket", "left_semi").join(met_by_sort(hub), "bucket").select(F.col("hub.node").alias("hub"), "node", "n").distinct()
+    contested = stored(under.join(met_by_sort(roots), "node"), "contested")
     sets = sets_for(contested.select("node").distinct())
     spread = sets.select("node", F.explode("shingles").alias("shingle"))
     lone = spread.groupBy("shingle").agg(F.count("*").alias("times"), F.first("node").alias("node")).filter("times = 1")
     alone = lone.groupBy("node").agg(F.count("*").alias("lone"))
-    shared = sets.join(alone, "node", "left").select("node", (F.size("shingles") - F.coalesce("lone", F.lit(0))).alias("common"))
+    shared = sets.join(met_by_sort(alone), "node", "left").select("node", (F.size("shingles") - F.coalesce("lone", F.lit(0))).alias("common"))
     left_open = stored(contested_pairs(contested, shared, tried, percent), "contested_pairs")
     late = links_of(measured(likely(left_open, nodes, percent), sets), percent)
     # The components so far are stars already, so only the late links take rounds.
     final = components(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(late), "a", "b")
 
-    placed = rows.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = rows.join(met_by_sort(final), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
-    out = placed.join(least, "root", "left").withColumn("component_id", F.coalesce("least", "doc_id"))
+    out = placed.join(met_by_sort(least), "root", "left").withColumn("component_id", F.coalesce("least", "doc_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))

@@ -135,3 +135,25 @@ def test_components_of_a_graph(spark):
     linked = {x for a, b in links if a != b for x in (a, b)}
     assert got == {x: root[x] for x in linked}
     assert graph.components(spark.createDataFrame([], "a int, b int"), "a", "b").count() == 0
+
+
+def test_tables_between_steps_are_not_broadcast(spark, monkeypatch):
+    plans = {}
+
+    def kept(df, name):
+        out = stored(df, name)
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    stored = near_dedup.stored
+    for module in (graph, near_dedup):
+        monkeypatch.setattr(module, "stored", kept)
+    rng = random.Random(2)
+    base = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(40)) for _ in range(80)) for _ in range(6)]
+    rows = [(i, base[i % 6] + f" more{i // 12}", None, None) for i in range(36)]
+    found = near_dedup.near_groups(spark.createDataFrame(rows, DOCS), words=4)
+    assert found.select("component_id").distinct().count() == 6
+    # Texts are met with the documents that are asked for; that side is short rows and may be small.
+    assert {"links", "stars", "likely", "measured", "roots", "contested"} <= set(plans)
+    assert [n for n, some in plans.items() if n != "sets" and any("Broadcast" in p for p in some)] == []
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
