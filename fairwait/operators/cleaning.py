@@ -33,6 +33,9 @@ REQUEST_SPEC: dict[str, tuple[str, str]] = {
     "ingestion_timestamp": ("ingestion_timestamp", "as_is"),
 }
 
+# What tells the newest version of a request; ties are broken by content.
+VERSION_ORDER = ("updated_at", "ingestion_timestamp")
+
 
 def coerce_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Text to double; whatever is not a number becomes NULL."""
@@ -82,6 +85,14 @@ def stage_requests(
     keys whose latest update is at or after it; older versions drop out before the shuffle,
     which gives the same rows as filtering afterwards.
     """
+    clean = request_versions(raw, on_error, since)
+    if ties is None:
+        ties = [c for c in clean.columns if c not in ("unique_key", *VERSION_ORDER)]
+    return dedup_latest(clean, ["unique_key"], VERSION_ORDER, ties)
+
+
+def request_versions(raw: DataFrame, on_error: str = "raise", since: datetime | str | None = None) -> DataFrame:
+    """Cleaned requests in all their versions, those updated ``since`` if it is given."""
     if since is not None:
         # The same bound on the raw text, a day earlier for zones, reaches the Parquet reader.
         source = REQUEST_SPEC["updated_at"][0]
@@ -91,10 +102,7 @@ def stage_requests(
     clean = normalize_requests(raw, on_error=on_error)
     if since is not None:
         clean = clean.filter(F.col("updated_at") >= ntz(since))
-    if ties is None:
-        fixed = ("unique_key", "updated_at", "ingestion_timestamp")
-        ties = [c for c in clean.columns if c not in fixed]
-    return dedup_latest(clean, ["unique_key"], ["updated_at", "ingestion_timestamp"], ties)
+    return clean
 
 
 def normalize_demographics(

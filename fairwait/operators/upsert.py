@@ -87,7 +87,9 @@ def upsert_latest(
     if order is None:
         kept = target.join(updates.select(*keys), keys, "left_anti")
         return kept.unionByName(updates, allowMissingColumns=True)
-    both = target.withColumn("_new", F.lit(0)).unionByName(
-        updates.withColumn("_new", F.lit(1)), allowMissingColumns=True
-    )
-    return dedup_latest(both, keys, order, ["_new", *ties]).drop("_new")
+    return dedup_latest(versions_of(target, updates), keys, order, ["_new", *ties]).drop("_new")
+
+
+def versions_of(target: DataFrame, updates: DataFrame) -> DataFrame:
+    """The rows of both sides; ``_new`` is 1 for updates."""
+    return target.withColumn("_new", F.lit(0)).unionByName(updates.withColumn("_new", F.lit(1)), allowMissingColumns=True)

@@ -32,13 +32,16 @@ FACT_COLUMNS = [
 ]
 
 
-def build_intermediate(stg: DataFrame, target: DataFrame | None = None, hours: int = 48) -> DataFrame:
-    """Staged requests with response hours and status; merged into ``target`` when given."""
+def build_intermediate(
+    stg: DataFrame, target: DataFrame | None = None, hours: int = 48, also: Sequence[str] = ()
+) -> DataFrame:
+    """Staged requests with response hours and status, and the columns ``also``; merged into ``target`` when given."""
     have = [c for c in INTERMEDIATE_COLUMNS if c in stg.columns]
     rows = incremental_filter(stg, target, "updated_at", hours).select(
         *have,
         response_hours("created_at", "closed_at").alias("response_time_hours"),
         resolution_status("created_at", "closed_at", "status").alias("resolution_status"),
+        *also,
     )
     return rows if target is None else upsert_latest(target, rows, ["unique_key"])
 

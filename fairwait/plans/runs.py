@@ -12,12 +12,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import month_of, ntz
-from ..operators.cleaning import REQUEST_SPEC, normalize_demographics, stage_requests
+from ..operators.cleaning import REQUEST_SPEC, VERSION_ORDER, normalize_demographics, request_versions
 from ..operators.quality import Check
 from ..operators.spatial import point_in_polygon_join
 from ..operators.series import result_fingerprint
 from ..operators.upsert import instant, since_filter, utc_now
-from ..operators.windows import dedup_latest
 from ..sinks.tables import (
     batches,
     by_name,
@@ -29,6 +28,7 @@ from ..sinks.tables import (
     partitions,
     read_or_none,
     read_text,
+    replace_latest,
     replace_partitions,
     upsert_table,
     write_partition,
@@ -37,6 +37,8 @@ from ..sinks.tables import (
 from . import marts
 from .suites import SUITES, run_checkpoint
 
+# Up to so many tracts are sent to all tasks.
+BROADCAST_TRACTS = 500_000
 # Column by which raw and landed rows tell their load; run dates and backfills.
 LOAD = "ingestion_date"
 
@@ -210,15 +212,16 @@ def build_marts(
     path = f"{root}/intermediate"
     loads = scanned_manifest(raw, REQUEST_SPEC["updated_at"][0]) if raw_path is None else manifest(spark, raw_path)
     if full_refresh:
-        fresh = dedup_latest(_intermediate(stage_requests(raw)), ["unique_key"], ["updated_at"])
+        fresh = _intermediate(request_versions(raw))
         batch = f"{run_id}-full-{len(batches(spark, path))}"
-        replace_partitions(fresh, path, "created_month", batch, observe="updated_at", keep=keep)
+        replace_latest(fresh, path, *_merge(), batch, *_settled(), keep=keep, observe="updated_at")
     elif not committed(spark, path, run_id):
         newest = high_water_mark(spark, path)
         since = None if newest is None else datetime.fromisoformat(newest) - timedelta(hours=hours)
         merged = json.loads(read_text(spark, f"{root}/_loads") or "{}")
         fresh = _intermediate(_unmerged(raw, since, [x for x in loads.values() if merged.get(x.load) != x.mark]))
-        upsert_table(fresh, path, ["unique_key"], ["updated_at"], "created_month", run_id, high_water="updated_at", keep=keep)
+        ties, aside = _settled()
+        upsert_table(fresh, path, *_merge(), run_id, ties, high_water="updated_at", keep=keep, aside=aside)
     else:
         loads = None
     if loads is not None:
@@ -242,9 +245,12 @@ def build_marts(
 
     dim = store("dim_tract", marts.dim_tract(normalize_demographics(demographics)))
     mark = result_fingerprint({"dim": dim}).first()[0]
+    # Joined to tracts that every task has, rows stay in the month that they were read from, and are written without a shuffle.
+    placed = dim.count() <= BROADCAST_TRACTS
+    tracts = F.broadcast(dim) if placed else dim
     version, here = partitions(spark, path)
 
-    def monthly(name: str, rows: Callable[[Callable[[DataFrame], DataFrame]], DataFrame]) -> DataFrame:
+    def monthly(name: str, rows: Callable[[Callable[[DataFrame], DataFrame]], DataFrame], placed: bool = False) -> DataFrame:
         """A table by ``request_month``; ``rows`` gets a function that cuts inputs to the months to be worked out."""
         target = f"{root}/{name}"
         built = (batches(spark, target) or [""])[-1]
@@ -255,7 +261,7 @@ def build_marts(
         else:
             months = {m for m, v in here.items() if v > int(done)} | {m[:10] for m in held if m[:10] not in here}
         if months is None:
-            replace_partitions(rows(lambda df: df), target, "request_month", f"{version}@{mark}", keep=keep)
+            replace_partitions(rows(lambda df: df), target, "request_month", f"{version}@{mark}", keep=keep, placed=placed)
         elif months:
             asked = sorted(m for m in months if m[:4].isdigit())
             # Months are folders of the inputs too, so the cut reaches the scan.
@@ -263,16 +269,16 @@ def build_marts(
                 by = "created_month" if "created_month" in df.columns else "request_month"
                 return df.filter(F.col(by).isin([F.lit(m).cast(df.schema[by].dataType) for m in asked]))
 
-            replace_partitions(rows(cut), target, "request_month", f"{version}@{mark}", [f"{m} 00:00:00" for m in asked], keep=keep)
+            replace_partitions(rows(cut), target, "request_month", f"{version}@{mark}", [f"{m} 00:00:00" for m in asked], keep=keep, placed=placed)
         tables[name] = read_or_none(spark, target)
         check(name)
         return tables[name]
 
-    facts = monthly("request_facts", lambda cut: marts.request_facts(cut(tables["intermediate"]), dim))
+    facts = monthly("request_facts", lambda cut: marts.request_facts(cut(tables["intermediate"]), tracts), placed)
     counts = monthly("hour_counts", lambda cut: marts.hour_counts(cut(facts)))
     stats = monthly("tract_stats", lambda cut: marts.tract_stats(cut(facts)))
     baseline = monthly("city_baseline", lambda cut: marts.city_baseline(cut(stats)))
-    monthly("equity_splits", lambda cut: marts.score_stats(cut(stats), cut(baseline), dim, refreshed_at))
+    monthly("equity_splits", lambda cut: marts.score_stats(cut(stats), cut(baseline), tracts, refreshed_at), placed)
     summary = store("quintile_summary", marts.quintile_summary(counts, dim, cell_floor, weight="n_rows"))
     store("gap_by_type", marts.gap_by_type(summary, quintile_floor))
     store("trend_monthly", marts.pooled_trend(counts, dim, weight="n_rows"))
@@ -281,24 +287,37 @@ def build_marts(
     return tables
 
 
-def _intermediate(staged: DataFrame) -> DataFrame:
-    return marts.build_intermediate(staged).withColumn("created_month", month_of("created_at").cast("date").cast("string"))
+def _intermediate(versions: DataFrame) -> DataFrame:
+    """Versions of requests as the table has them, and the time of their load, which settles equal update times."""
+    rows = marts.build_intermediate(versions, also=VERSION_ORDER[1:])
+    return rows.withColumn("created_month", month_of("created_at").cast("date").cast("string"))
+
+
+def _merge() -> tuple[list[str], list[str], str]:
+    """Key, order and partition of the intermediate table."""
+    return ["unique_key"], list(VERSION_ORDER[:1]), "created_month"
+
+
+def _settled() -> tuple[list[str], list[str]]:
+    """What settles equal update times, as in ``stage_requests``, and which of it is not stored."""
+    rest = [c for c in REQUEST_SPEC if c not in ("unique_key", *VERSION_ORDER)]
+    return [*VERSION_ORDER[1:], *rest], list(VERSION_ORDER[1:])
 
 
 def _unmerged(raw: DataFrame, since: datetime | None, new: list[Load]) -> DataFrame:
-    """Staged requests that may change the table: those updated ``since``, and all keys with other rows in the ``new`` loads.
+    """Versions of requests that may change the table: those updated ``since``, and all keys with other rows in the ``new`` loads.
 
-    Such keys are staged from all their rows, so that equal update times are settled as in a full build. Only they take a scan of
+    Such keys come with all their rows, so that equal update times are settled as in a full build. Only they take a scan of
     whole raw; a daily load has none but by accident, and the manifest says so.
     """
     if since is None:
-        return stage_requests(raw)
+        return request_versions(raw)
     earlier = [x.load for x in new if x.undated or (x.oldest and datetime.fromisoformat(x.oldest) < since)]
     if not earlier:
-        return stage_requests(raw, since=since)
+        return request_versions(raw, since=since)
     key, updated = REQUEST_SPEC["unique_key"][0], REQUEST_SPEC["updated_at"][0]
     recent = F.coalesce(since_filter(raw, updated, since), F.lit(False))
     held = F.col(LOAD).isin(earlier)
     older = raw.filter((held | F.col(LOAD).isNull() if "" in earlier else held) & ~recent)
-    again = raw.join(older.select(key).distinct(), key, "left_semi").select(*raw.columns)
-    return stage_requests(raw.filter(since_filter(raw, updated, since)).unionByName(again))
+    again = raw.filter(~recent).join(older.select(key).distinct(), key, "left_semi").select(*raw.columns)
+    return request_versions(raw.filter(since_filter(raw, updated, since)).unionByName(again))

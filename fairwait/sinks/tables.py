@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.upsert import upsert_latest
+from ..operators.upsert import upsert_latest, versions_of
 from ..operators.windows import dedup_latest
 
 
@@ -182,6 +182,7 @@ def upsert_table(
     stable_partition: bool = False,
     high_water: str | None = None,
     keep: int = 2,
+    aside: Sequence[str] = (),
 ) -> list[str] | None:
     """Merge ``updates`` into a versioned table, rewriting only the partitions concerned.
 
@@ -191,24 +192,52 @@ def upsert_table(
 
     A key whose partition value changed is removed from its old partition, which takes a
     scan of the key column; ``stable_partition=True`` states that this cannot happen.
-    ``high_water`` names a column whose maximum over all batches is kept with the table. Partitions replaced ``keep`` versions
-    ago are deleted, which ends what still reads them.
+    ``high_water`` names a column whose maximum over all batches is kept with the table, ``aside`` columns of ``ties`` that are not
+    stored. Partitions replaced ``keep`` versions ago are deleted, which ends what still reads them.
     """
     spark = updates.sparkSession
     if committed(spark, path, batch_id):
         return None
+    table = read_or_none(spark, path)
+    if table is None:
+        return replace_latest(updates, path, keys, order, part_col, batch_id, ties, aside, [], None, keep, high_water)
     # The increment is worked out once and read back from here; readers pass over the folder.
     own = f"{path}/_updates"
-    dedup_latest(updates, keys, order, ties).write.mode("overwrite").parquet(own)
+    updates.write.mode("overwrite").parquet(own)
     fresh = spark.read.schema(updates.schema).parquet(own)
-    table = read_or_none(spark, path)
-    if table is None:
-        concerned, merged = [], fresh
-    else:
-        here, concerned = _concerned(table, fresh, keys, part_col, stable_partition)
-        merged = upsert_latest(table.filter(here), fresh, keys, order, ties)
+    here, concerned = _concerned(table, fresh, keys, part_col, stable_partition)
     newest = None if high_water is None else fresh.agg(F.max(high_water).cast("string")).first()[0]
-    return replace_partitions(merged, path, part_col, batch_id, concerned, newest, keep)
+    both = versions_of(table.filter(here), fresh)
+    return replace_latest(
+        both, path, keys, order, part_col, batch_id, ["_new", *ties], ["_new", *aside], concerned, newest, keep
+    )
+
+
+def replace_latest(
+    rows: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    part_col: str,
+    batch_id: int | str,
+    ties: Sequence[str] = (),
+    aside: Sequence[str] = (),
+    replaced: Sequence[str] | None = None,
+    high_water: str | None = None,
+    keep: int = 2,
+    observe: str | None = None,
+) -> list[str]:
+    """``replace_partitions`` with the newest version of each key in ``rows``, without the columns ``aside``.
+
+    Rows move once: to ranges of partition value and key, where the versions of a key meet and from where they are written. That leaves
+    out a key with versions in several partitions, so the keys written are counted; if one is there twice, the version, not committed yet, is
+    written again from rows that were brought together by key alone.
+    """
+    ranged = rows.repartitionByRange(part_col, *keys)
+    return replace_partitions(
+        dedup_latest(ranged, [part_col, *keys], order, ties).drop(*aside), path, part_col, batch_id, replaced, high_water, keep, observe,
+        placed=True, unique=keys, otherwise=lambda: dedup_latest(rows, keys, order, ties).drop(*aside),
+    )
 
 
 def replace_partitions(
@@ -220,12 +249,18 @@ def replace_partitions(
     high_water: str | None = None,
     keep: int = 2,
     observe: str | None = None,
+    placed: bool = False,
+    unique: Sequence[str] = (),
+    otherwise: Callable[[], DataFrame] | None = None,
 ) -> list[str]:
     """Write ``df`` as the next version of a versioned table: its partitions, and those in ``replaced`` (as text) that it has no
     rows for, take the place of the same ones; the others stay where they are. ``replaced=None`` replaces the whole table.
 
     ``df`` may read the table. What a failed write left behind is overwritten by the next. ``high_water`` is a value to keep with the table if it is
     the largest so far, ``observe`` a column whose maximum is taken for it as the rows are written. Returns the partitions replaced.
+
+    ``placed`` says that a task of ``df`` holds few partitions, as when it reads a table in the same partitions; then nothing is shuffled.
+    If ``unique`` is twice in what was written, it is overwritten with the rows of ``otherwise``.
     """
     spark = df.sparkSession
     if _VERSION in df.columns:
@@ -233,19 +268,26 @@ def replace_partitions(
     df = df.select(*[c for c in df.columns if c != part_col], part_col)
     state = _state(spark, path) or {"version": 0, "parts": {}, "high_water": None}
     version = state["version"] + 1
-    seen = Observation()
-    rows = df.hint("rebalance", part_col)
-    (
-        (rows if observe is None else rows.observe(seen, F.max(observe).cast("string").alias("newest")))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(part_col)
-        .parquet(f"{path}/{_VERSION}={version}")
-    )
+    target = f"{path}/{_VERSION}={version}"
+
+    def write(rows: DataFrame) -> str | None:
+        seen = Observation()
+        (
+            (rows if observe is None else rows.observe(seen, F.max(observe).cast("string").alias("newest")))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(part_col)
+            .parquet(target)
+        )
+        return None if observe is None else seen.get.get("newest")
+
+    newest = write(df if placed else df.hint("rebalance", part_col))
+    if otherwise is not None and _repeated(spark.read.schema(df.schema).parquet(target), unique):
+        newest = write(otherwise().select(*df.columns).hint("rebalance", part_col))
     written = _folders(spark, f"{path}/{_VERSION}={version}", part_col)
-    gone = set(state["parts"] if replaced is None else replaced) - set(written)
+    gone = {p for p in state["parts"] if replaced is None or p in set(replaced)} - set(written)
     parts = {p: v for p, v in state["parts"].items() if p not in gone} | dict.fromkeys(written, version)
-    marks = [m for m in (state["high_water"], high_water, None if observe is None else seen.get["newest"]) if m]
+    marks = [m for m in (state["high_water"], high_water, newest) if m]
     new = {
         "version": version,
         "parts": parts,
@@ -349,6 +391,10 @@ def _folders(spark: SparkSession, path: str, part_col: str) -> dict[str, str]:
     return {unquote(n[len(prefix):]): n for n in names if n.startswith(prefix)}
 
 
+def _repeated(df: DataFrame, keys: Sequence[str]) -> bool:
+    return bool(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").take(1))
+
+
 def _concerned(table, fresh, keys, part_col, stable_partition) -> tuple[Column, list[str]]:
     """The partitions to rewrite, as a filter on literals and as text."""
     keys = list(keys)

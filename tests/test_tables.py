@@ -168,6 +168,37 @@ def test_a_batch_that_fails_leaves_the_table_as_it_was(spark, tmp_path, rows, mo
     assert tables.batches(spark, path) == ["1", "3", "2"]
 
 
+def test_rows_of_a_merge_move_once(spark, tmp_path, monkeypatch):
+    from fairwait.sinks import tables
+
+    path, plans, plain = str(tmp_path / "t"), [], tables.replace_partitions
+
+    def seen(df, *args, **more):
+        plans.append((df._jdf.queryExecution().executedPlan().toString(), more))
+        return plain(df, *args, **more)
+
+    monkeypatch.setattr(tables, "replace_partitions", seen)
+    tables.upsert_table(versions(spark, [("1", "a", "x", "m"), ("4", "a", "x", "m4")]), path, *UPSERT, 1)
+    assert not (tmp_path / "t" / "_updates").exists()
+    tables.upsert_table(versions(spark, [("1", "b", "y", "m")]), path, *UPSERT, 2)
+    for plan, more in plans:
+        assert plan.count("Exchange") == plan.count("Exchange rangepartitioning") == 1 and more["placed"]
+
+
+def test_versions_of_a_key_in_several_partitions(spark, tmp_path, rows):
+    """What is told by ranges of partition and key alone is told by key then, in the first batch and in a merge; ties too."""
+    path = str(tmp_path / "t")
+    first = [("1", "a", "x", "m1"), ("1", "b", "y", "m2"), ("1", "a", "z", "m3"), ("2", "a", "x", "m1"), (None, "a", "n", "m1"), (None, "b", "o", None)]
+    tied = versions(spark, [*first, ("3", None, "p", "m1"), ("3", None, "q", "m2")]).withColumn("at", F.length("k"))
+    sinks.upsert_table(tied, path, *UPSERT, 1, ["at", "v"], aside=["at"], high_water="updated")
+    now = lambda: rows(sinks.read_or_none(spark, path), "k", "updated", "v", "month")
+    assert now() == rows(versions(spark, [first[1], first[3], first[5], ("3", None, "q", "m2")]), "k", "updated", "v", "month")
+    more = versions(spark, [("2", "b", "x2", "m2"), ("2", "b", "x3", "m9"), ("1", "a", "late", "m8"), ("3", None, "new", "m1")]).withColumn("at", F.lit(1))
+    assert sinks.upsert_table(more, path, *UPSERT, 2, ["at", "v"], aside=["at"], high_water="updated") == ["m1", "m2", "m9"]
+    assert now() == rows(versions(spark, [first[1], ("2", "b", "x3", "m9"), first[5], ("3", None, "new", "m1")]), "k", "updated", "v", "month")
+    assert sinks.high_water_mark(spark, path) == "b" and "at" not in sinks.read_or_none(spark, path).columns
+
+
 def test_readers_keep_their_version_until_it_expires(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     for n in range(5):
