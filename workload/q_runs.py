@@ -247,7 +247,10 @@ def _(spark, sf):
     raw, root = raw_requests(spark, sf), scratch_path(spark, "marts")
     updated = F.col("resolution_action_updated_date")
     load = F.when(updated >= "1996", "0-backfill-c").when(updated >= "1994", "0-backfill-b").otherwise("0-backfill-a")
-    raw = raw.withColumn(runs.LOAD, load)
+    # Landed once, as loads are; the runs read it several times.
+    landed, raw = scratch_path(spark, "raw"), raw.withColumn(runs.LOAD, load)
+    raw.write.partitionBy(runs.LOAD).parquet(landed)
+    raw = spark.read.schema(raw.schema).parquet(landed)
     for day, first in (("1", "0-backfill-c"), ("2", "0-backfill-b"), ("3", "0-backfill-a")):
         rows = raw.filter(F.col(runs.LOAD) >= first)
         tables = runs.build_marts(rows, b.raw_demographics(spark, sf), root, day, 20, 100, suites=MART_SUITES)
