@@ -38,6 +38,7 @@ def grouped_quantiles(
     accuracy: int = 10000,
     wide: bool = False,
     weight: str | None = None,
+    ranges: Sequence[str] = (),
 ) -> DataFrame:
     """Quantiles of one or more columns per group, in one pass over ``df``.
 
@@ -48,10 +49,16 @@ def grouped_quantiles(
     ``wide=True`` is for few groups with any number of distinct values; same result.
     ``weight`` names a column that says for how many equal rows a row stands, as in stored counts (``value_counts``),
     for the exact result; what rides along, but for ("count", "*"), is not multiplied.
+    ``ranges`` names some of ``keys``: groups are ranked in ranges of these, in this order, and the result lies so. To folders by the first it
+    can be written as it is.
     """
     carry = dict(carry or {})
     if approx and weight is not None:
         raise ValueError("sketches take rows, not counts")
+    if ranges and (approx or wide):
+        raise ValueError("ranges are for the plain exact form")
+    if not set(ranges) <= set(keys):
+        raise ValueError(f"ranges of {[c for c in ranges if c not in keys]}, which are no keys")
     if approx:
         aggs = [
             F.percentile_approx(value, F.lit(p), F.lit(accuracy)).cast("double").alias(out)
@@ -62,6 +69,8 @@ def grouped_quantiles(
 
     values = list(dict.fromkeys(value for value, _ in quantiles.values()))
     hist = _value_counts(df, keys, values, carry, weight)
+    if ranges:
+        hist = hist.repartitionByRange(*ranges)
     part = [*keys, "_m"] if len(values) > 1 else list(keys)
     ranked = (_rank_wide if wide else _rank)(hist, part, values, quantiles, carry)
     return _pick(ranked, keys, values, quantiles, carry)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import month_of, pct_of, resolution_status, response_hours, round_exact, safe_ratio
@@ -39,13 +39,20 @@ def build_intermediate(
     have = [c for c in INTERMEDIATE_COLUMNS if c in stg.columns]
     rows = incremental_filter(stg, target, "updated_at", hours).select(
         *have,
-        response_hours("created_at", "closed_at").alias("response_time_hours"),
-        resolution_status("created_at", "closed_at", "status").alias("resolution_status"),
+        *[how.alias(c) for c, how in outcomes().items()],
         *also,
     )
     return rows if target is None else upsert_latest(target, rows, ["unique_key"])
 
 
+def outcomes() -> dict[str, Column]:
+    """What ``build_intermediate`` adds to staged requests, as expressions of their columns."""
+    return {
+        "response_time_hours": response_hours("created_at", "closed_at"),
+        "resolution_status": resolution_status("created_at", "closed_at", "status"),
+    }
+
+
 def dim_tract(stg: DataFrame, n: int = 5, null_policy: str = "last") -> DataFrame:
     """Tracts with poverty share and income quintile, 1 the poorest."""
     shared = stg.withColumn(
@@ -80,10 +87,11 @@ def tract_stats(
     keys: Sequence[str] = TRACT_KEYS,
     probs: Sequence[float] = (0.50, 0.75, 0.90),
     hours: str = "response_time_hours",
+    ranges: Sequence[str] = (),
 ) -> DataFrame:
-    """Request count and exact percentiles of the waiting time per cell."""
+    """Request count and exact percentiles of the waiting time per cell; ``ranges`` as in ``grouped_quantiles``."""
     named = {f"p{round(p * 100)}_hours": (hours, p) for p in probs}
-    return grouped_quantiles(fact, keys, named, {"request_count": ("count", "*")})
+    return grouped_quantiles(fact, keys, named, {"request_count": ("count", "*")}, ranges=ranges)
 
 
 def city_baseline(stats: DataFrame, keys: Sequence[str] = BASELINE_KEYS) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from dataclasses import asdict, dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import month_of, ntz
@@ -18,6 +18,7 @@ from ..operators.spatial import point_in_polygon_join
 from ..operators.series import result_fingerprint
 from ..operators.upsert import instant, since_filter, utc_now
 from ..sinks.tables import (
+    DENSE,
     batches,
     by_name,
     committed,
@@ -39,6 +40,8 @@ from .suites import SUITES, run_checkpoint
 
 # Up to so many tracts are sent to all tasks.
 BROADCAST_TRACTS = 500_000
+# What a cell of the statistics is, within its month.
+CELL = [c for c in marts.TRACT_KEYS if c != "request_month"]
 # Column by which raw and landed rows tell their load; run dates and backfills.
 LOAD = "ingestion_date"
 
@@ -73,7 +76,7 @@ def load_raw(rows: DataFrame, raw_path: str, load: str, updated: str) -> int:
         seen, F.min(at).cast("string").alias("oldest"), F.max(at).cast("string").alias("newest"), F.count_if(at.isNull()).alias("undated")
     )
     # One folder: there is nothing to bring together.
-    n = write_partition(rows.withColumn(LOAD, F.lit(load)), raw_path, LOAD, rebalance=False)
+    n = write_partition(rows.withColumn(LOAD, F.lit(load)), raw_path, LOAD, rebalance=False, codec=DENSE)
     found = seen.get if n else {"oldest": None, "newest": None, "undated": 0}
     write_text(spark, f"{raw_path}/_loads/{load}", json.dumps(asdict(Load(load, n, found["oldest"], found["newest"], found["undated"], uuid.uuid4().hex))))
     return n
@@ -214,14 +217,14 @@ def build_marts(
     if full_refresh:
         fresh = _intermediate(request_versions(raw))
         batch = f"{run_id}-full-{len(batches(spark, path))}"
-        replace_latest(fresh, path, *_merge(), batch, *_settled(), keep=keep, observe="updated_at")
+        replace_latest(fresh, path, *_merge(), batch, *_settled(), keep=keep, observe="updated_at", derived=_derived())
     elif not committed(spark, path, run_id):
         newest = high_water_mark(spark, path)
         since = None if newest is None else datetime.fromisoformat(newest) - timedelta(hours=hours)
         merged = json.loads(read_text(spark, f"{root}/_loads") or "{}")
         fresh = _intermediate(_unmerged(raw, since, [x for x in loads.values() if merged.get(x.load) != x.mark]))
         ties, aside = _settled()
-        upsert_table(fresh, path, *_merge(), run_id, ties, high_water="updated_at", keep=keep, aside=aside)
+        upsert_table(fresh, path, *_merge(), run_id, ties, high_water="updated_at", keep=keep, aside=aside, derived=_derived())
     else:
         loads = None
     if loads is not None:
@@ -276,12 +279,13 @@ def build_marts(
 
     facts = monthly("request_facts", lambda cut: marts.request_facts(cut(tables["intermediate"]), tracts), placed)
     counts = monthly("hour_counts", lambda cut: marts.hour_counts(cut(facts)))
-    stats = monthly("tract_stats", lambda cut: marts.tract_stats(cut(facts)))
+    # Ranked in ranges of month and cell, they lie as their folders do.
+    stats = monthly("tract_stats", lambda cut: marts.tract_stats(cut(facts), ranges=["request_month", *CELL]), placed=True)
     baseline = monthly("city_baseline", lambda cut: marts.city_baseline(cut(stats)))
     monthly("equity_splits", lambda cut: marts.score_stats(cut(stats), cut(baseline), tracts, refreshed_at), placed)
-    summary = store("quintile_summary", marts.quintile_summary(counts, dim, cell_floor, weight="n_rows"))
+    summary = store("quintile_summary", marts.quintile_summary(counts, tracts, cell_floor, weight="n_rows"))
     store("gap_by_type", marts.gap_by_type(summary, quintile_floor))
-    store("trend_monthly", marts.pooled_trend(counts, dim, weight="n_rows"))
+    store("trend_monthly", marts.pooled_trend(counts, tracts, weight="n_rows"))
     for name in ("dim_tract", "quintile_summary", "gap_by_type", "trend_monthly"):
         expire_versions(spark, f"{root}/{name}", keep)
     return tables
@@ -290,7 +294,12 @@ def build_marts(
 def _intermediate(versions: DataFrame) -> DataFrame:
     """Versions of requests as the table has them, and the time of their load, which settles equal update times."""
     rows = marts.build_intermediate(versions, also=VERSION_ORDER[1:])
-    return rows.withColumn("created_month", month_of("created_at").cast("date").cast("string"))
+    return rows.withColumn("created_month", _derived()["created_month"])
+
+
+def _derived() -> dict[str, Column]:
+    """What follows from the other columns of the intermediate table, so that merges need not move it."""
+    return {**marts.outcomes(), "created_month": month_of("created_at").cast("date").cast("string")}
 
 
 def _merge() -> tuple[list[str], list[str], str]:

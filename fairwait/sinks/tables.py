@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
@@ -23,6 +23,10 @@ from ..operators.upsert import upsert_latest, versions_of
 from ..operators.windows import dedup_latest
 
 
+# The codec of raw, of versions and of the updates merged into them; other tables are Snappy or as the session says.
+DENSE = "zstd"
+
+
 def _path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -70,8 +74,8 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         source.close()
 
 
-def write_partition(df: DataFrame, path: str, part_col: str, rebalance: bool = True) -> int:
-    """Snappy Parquet under ``part_col=value`` folders; only the partitions present in ``df``
+def write_partition(df: DataFrame, path: str, part_col: str, rebalance: bool = True, codec: str = "snappy") -> int:
+    """Parquet under ``part_col=value`` folders; only the partitions present in ``df``
     are replaced, so a rerun is harmless. Returns the rows written, counted by the write.
 
     ``rebalance`` brings rows of a partition together first, so that not every task writes
@@ -84,7 +88,7 @@ def write_partition(df: DataFrame, path: str, part_col: str, rebalance: bool = T
         placed.observe(seen, F.count(F.lit(1)).alias("n"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
+        .option("compression", codec)
         .partitionBy(part_col)
         .parquet(path)
     )
@@ -183,6 +187,7 @@ def upsert_table(
     high_water: str | None = None,
     keep: int = 2,
     aside: Sequence[str] = (),
+    derived: Mapping[str, Column] | None = None,
 ) -> list[str] | None:
     """Merge ``updates`` into a versioned table, rewriting only the partitions concerned.
 
@@ -193,23 +198,24 @@ def upsert_table(
     A key whose partition value changed is removed from its old partition, which takes a
     scan of the key column; ``stable_partition=True`` states that this cannot happen.
     ``high_water`` names a column whose maximum over all batches is kept with the table, ``aside`` columns of ``ties`` that are not
-    stored. Partitions replaced ``keep`` versions ago are deleted, which ends what still reads them.
+    stored, ``derived`` columns that follow from others (see ``replace_latest``). Partitions replaced ``keep`` versions ago are
+    deleted, which ends what still reads them.
     """
     spark = updates.sparkSession
     if committed(spark, path, batch_id):
         return None
     table = read_or_none(spark, path)
     if table is None:
-        return replace_latest(updates, path, keys, order, part_col, batch_id, ties, aside, [], None, keep, high_water)
+        return replace_latest(updates, path, keys, order, part_col, batch_id, ties, aside, [], None, keep, high_water, derived)
     # The increment is worked out once and read back from here; readers pass over the folder.
     own = f"{path}/_updates"
-    updates.write.mode("overwrite").parquet(own)
+    updates.write.mode("overwrite").option("compression", DENSE).parquet(own)
     fresh = spark.read.schema(updates.schema).parquet(own)
     here, concerned = _concerned(table, fresh, keys, part_col, stable_partition)
     newest = None if high_water is None else fresh.agg(F.max(high_water).cast("string")).first()[0]
     both = versions_of(table.filter(here), fresh)
     return replace_latest(
-        both, path, keys, order, part_col, batch_id, ["_new", *ties], ["_new", *aside], concerned, newest, keep
+        both, path, keys, order, part_col, batch_id, ["_new", *ties], ["_new", *aside], concerned, newest, keep, derived=derived
     )
 
 
@@ -226,17 +232,29 @@ def replace_latest(
     high_water: str | None = None,
     keep: int = 2,
     observe: str | None = None,
+    derived: Mapping[str, Column] | None = None,
 ) -> list[str]:
     """``replace_partitions`` with the newest version of each key in ``rows``, without the columns ``aside``.
 
     Rows move once: to ranges of partition value and key, where the versions of a key meet and from where they are written. That leaves
     out a key with versions in several partitions, so the keys written are counted; if one is there twice, the version, not committed yet, is
     written again from rows that were brought together by key alone.
+
+    ``derived`` gives columns of ``rows``, the partition too, as expressions of the other ones: they are not moved, but worked out where the rows
+    arrive. None of them may be a key, an order or a tie.
     """
-    ranged = rows.repartitionByRange(part_col, *keys)
+    derived = dict(derived or {})
+    lean = rows.drop(*derived)
+    part = derived.get(part_col, F.col(part_col))
+    stored = [c for c in rows.columns if c not in aside]
+
+    def whole(moved: DataFrame) -> DataFrame:
+        return moved.withColumns({c: how for c, how in derived.items() if c not in moved.columns}).select(*stored)
+
+    ranged = lean.repartitionByRange(part, *keys).withColumn(part_col, part)
     return replace_partitions(
-        dedup_latest(ranged, [part_col, *keys], order, ties).drop(*aside), path, part_col, batch_id, replaced, high_water, keep, observe,
-        placed=True, unique=keys, otherwise=lambda: dedup_latest(rows, keys, order, ties).drop(*aside),
+        whole(dedup_latest(ranged, [part_col, *keys], order, ties)), path, part_col, batch_id, replaced, high_water, keep, observe,
+        placed=True, unique=keys, otherwise=lambda: whole(dedup_latest(lean, keys, order, ties)),
     )
 
 
@@ -276,6 +294,7 @@ def replace_partitions(
             (rows if observe is None else rows.observe(seen, F.max(observe).cast("string").alias("newest")))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
+            .option("compression", DENSE)
             .partitionBy(part_col)
             .parquet(target)
         )

@@ -475,3 +475,30 @@ def test_a_load_is_written_where_its_rows_are(spark, tmp_path):
     assert runs.load_raw(rows, f"{tmp_path}/raw", "2024-02-01", "resolution_action_updated_date") == 90
     loaded = spark.read.parquet(f"{tmp_path}/raw")
     assert loaded.count() == 90 and loaded.select(F.input_file_name()).distinct().count() == 3
+
+
+def test_refreshed_marts_land_the_joined_rows_once(spark, tmp_path, monkeypatch):
+    from workload import QUERIES, bindings, q_runs
+
+    day = datetime(1995, 3, 1)
+    given = {
+        "orders": [(i, 7, "O", 10.0, day, "1-URGENT") for i in range(4)],
+        "lineitem": [(i % 4, i, 1 + i % 2, 1 + i // 4, 1.0, float(i), 0.1, 0.1, "R", "F", day + timedelta(days=i)) for i in range(12)],
+        "supplier": [(1, "a", 1, 10.0), (2, "b", 2, 20.0)],
+    }
+    for name, data in given.items():
+        spark.createDataFrame(data, bindings.SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    load, landed, built = runs.load_raw, [], []
+    monkeypatch.setattr(runs, "load_raw", lambda df, *args: landed.append(df) or load(df, *args))
+    monkeypatch.setattr(runs, "build_marts", lambda raw, *args, **more: built.append((raw, more)))
+    shown = "mart string, k1 string, k2 string, at timestamp_ntz, v1 double, v2 double, v3 double"
+    monkeypatch.setattr(q_runs, "shown_marts", lambda tables: spark.createDataFrame([], shown))
+    QUERIES["build_marts_refreshed"](spark, str(tmp_path))
+    joins = ["Join" in df._jdf.queryExecution().optimizedPlan().toString() for df in landed]
+    assert joins == [True, False]
+    # Each build reads a load of its own with all rows; the refresh those as they were given, the first others a day shorter.
+    (first, _), (second, more) = built
+    assert more["full_refresh"] and first.count() == second.count() == 12
+    early = first.select("unique_key", F.col("closed_date").alias("early"))
+    days = second.join(early, "unique_key").select(F.datediff(F.col("closed_date").cast("date"), F.col("early").cast("date")))
+    assert [r[0] for r in days.collect()] == [1] * 12

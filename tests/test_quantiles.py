@@ -120,3 +120,22 @@ def test_stored_counts_merge_to_the_quantiles_of_all_rows(spark, rows):
     assert rows(grouped_quantiles(again, ["g", "t"], wanted, {"n": ("count", "*")}, weight="n_rows")) == rows(whole)
     with pytest.raises(ValueError):
         grouped_quantiles(merged, ["g"], wanted, weight="n_rows", approx=True)
+
+
+def test_ranked_in_ranges(spark, rows):
+    """The same figures, in ranges of the keys named, without a shuffle more than for ranking them."""
+    data = [(f"m{i % 3}" if i % 7 else None, f"t{i % 5}", None if i % 11 == 0 else i * i % 13) for i in range(200)]
+    df = spark.createDataFrame(data, "m string, t string, v int")
+    how = (["t", "m"], {"p50": ("v", 0.5), "p90": ("v", 0.9)}, {"n": ("count", "*")})
+    ranged = grouped_quantiles(df, *how, ranges=["m", "t"])
+    assert rows(ranged) == rows(grouped_quantiles(df, *how))
+    plan = ranged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange") == 2 and plan.count("rangepartitioning(m") == 1
+    # A month lies in one place or next to itself.
+    months = [[r["m"] for r in part] for part in ranged.rdd.glom().collect()]
+    assert sum(len(set(part)) for part in months) <= 4 + len(months)
+    for bad in ({"wide": True}, {"approx": True}):
+        with pytest.raises(ValueError, match="ranges"):
+            grouped_quantiles(df, *how, ranges=["m"], **bad)
+    with pytest.raises(ValueError, match="no keys"):
+        grouped_quantiles(df, *how, ranges=["x"])

@@ -349,3 +349,31 @@ def test_checks_of_changed_partitions_equal_full_ones(spark, tmp_path):
                 file.write_bytes(b"broken")
     got = run_checkpoint_changed(spark, path, "m", state, "t", None, at, flat).collect()
     assert sorted(got) == sorted(expected)
+
+
+def test_derived_columns_are_not_moved(spark, tmp_path, rows, monkeypatch):
+    """They are worked out where the rows arrive, and rows of a key that changed its partition get them too."""
+    from fairwait.sinks import tables
+
+    derived = {"month": F.substring("day", 1, 7), "hours": F.length("v") * 2}
+    write, moved = tables.replace_partitions, []
+    monkeypatch.setattr(tables, "replace_partitions", lambda df, *args, **more: moved.append(df) or write(df, *args, **more))
+
+    def merge(data, batch):
+        df = spark.createDataFrame(data, "k string, updated string, day string, v string").withColumns(derived)
+        tables.upsert_table(df, path, ["k"], ["updated"], "month", batch, ["v"], derived=derived)
+        return tables.read_or_none(spark, path)
+
+    path = str(tmp_path / "t")
+    merge([("1", "a", "2024-01-05", "x"), ("1", "b", "2024-01-06", "xy"), ("2", "a", "2024-01-07", "x"), ("3", "a", None, "x")], 1)
+    got = merge([("2", "b", "2024-02-01", "xyz"), ("3", "b", None, "xy"), ("4", "a", "2024-02-02", None)], 2)
+    assert got.columns == ["k", "updated", "day", "v", "hours", "month"]
+    assert rows(got, "k", "updated", "month", "hours") == sorted(
+        [("1", "b", "2024-01", 4), ("2", "b", "2024-02", 6), ("3", "b", None, 4), ("4", "a", "2024-02", None)], key=repr
+    )
+    for df in moved:
+        plan = df._jdf.queryExecution()
+        below = plan.optimizedPlan().toString().split("RepartitionByExpression")[1].split("\n", 1)
+        assert "hours#" not in below[1].split("Relation")[0].split("LogicalRDD")[0]
+        assert plan.executedPlan().toString().count("Exchange") == 1
+    assert list(tmp_path.glob("t/table_version=2/month=2024-02/*.zstd.parquet"))
