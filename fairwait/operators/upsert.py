@@ -20,7 +20,9 @@ def instant(df: DataFrame, col: str) -> Column:
     c = F.col(col)
     if dict(df.dtypes)[col] != "string":
         return c.cast("timestamp_ntz")
-    zoned = c.rlike(r"[0-9][T ].*(Z|[+-][0-9]{2}(:?[0-9]{2})?)$")
+    # A zone has six characters at most, and a line may end behind it: most text is told by a look at its end.
+    end = F.substring(c, -8, 8)
+    zoned = (end.contains("Z") | end.contains("+") | end.contains("-")) & c.rlike(r"[0-9][T ].*(Z|[+-][0-9]{2}(:?[0-9]{2})?)$")
     there = F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.try_cast("timestamp").cast("timestamp_ntz"))
     return F.when(zoned, there).otherwise(c.try_cast("timestamp_ntz"))
 

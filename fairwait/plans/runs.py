@@ -8,7 +8,7 @@ from collections.abc import Callable
 from dataclasses import asdict, dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import month_of, ntz
@@ -26,12 +26,14 @@ from ..sinks.tables import (
     high_water_mark,
     materialise,
     names,
+    partition_sizes,
     partitions,
     read_or_none,
     read_text,
     replace_latest,
     replace_partitions,
     upsert_table,
+    write_folder,
     write_partition,
     write_text,
 )
@@ -71,15 +73,15 @@ def load_raw(rows: DataFrame, raw_path: str, load: str, updated: str) -> int:
     if read_or_none(spark, raw_path) is not None:
         have = spark.read.parquet(raw_path).drop(LOAD).schema
         rows = by_name(rows.drop(LOAD), have, "widen")
-    seen, at = Observation(), instant(rows, updated)
-    rows = rows.observe(
-        seen, F.min(at).cast("string").alias("oldest"), F.max(at).cast("string").alias("newest"), F.count_if(at.isNull()).alias("undated")
-    )
+    at = instant(rows, updated)
     # One folder: there is nothing to bring together.
-    n = write_partition(rows.withColumn(LOAD, F.lit(load)), raw_path, LOAD, rebalance=False, codec=DENSE)
-    found = seen.get if n else {"oldest": None, "newest": None, "undated": 0}
-    write_text(spark, f"{raw_path}/_loads/{load}", json.dumps(asdict(Load(load, n, found["oldest"], found["newest"], found["undated"], uuid.uuid4().hex))))
-    return n
+    found = write_folder(
+        rows.drop(LOAD), raw_path, LOAD, load,
+        {"oldest": F.min(at).cast("string"), "newest": F.max(at).cast("string"), "undated": F.count_if(at.isNull())}, DENSE,
+    )
+    row = Load(load, found["n"], found["oldest"], found["newest"], found["undated"] or 0, uuid.uuid4().hex)
+    write_text(spark, f"{raw_path}/_loads/{load}", json.dumps(asdict(row)))
+    return found["n"]
 
 
 def manifest(spark: SparkSession, raw_path: str) -> dict[str, Load]:
@@ -217,14 +219,21 @@ def build_marts(
     if full_refresh:
         fresh = _intermediate(request_versions(raw))
         batch = f"{run_id}-full-{len(batches(spark, path))}"
-        replace_latest(fresh, path, *_merge(), batch, *_settled(), keep=keep, observe="updated_at", derived=_derived())
+        sizes = None if raw_path is None else partition_sizes(fresh, "created_month")[0]
+        replace_latest(fresh, path, *_merge(), batch, *_settled(), keep=keep, observe="updated_at", derived=_derived(), sizes=sizes)
     elif not committed(spark, path, run_id):
         newest = high_water_mark(spark, path)
         since = None if newest is None else datetime.fromisoformat(newest) - timedelta(hours=hours)
         merged = json.loads(read_text(spark, f"{root}/_loads") or "{}")
-        fresh = _intermediate(_unmerged(raw, since, [x for x in loads.values() if merged.get(x.load) != x.mark]))
+        new = [x for x in loads.values() if merged.get(x.load) != x.mark]
+        # A table without a mark holds no update time; where loads tell what is new, rows with one are all newer.
+        whole = newest is None and not (loads and merged and batches(spark, path))
+        versions, joined = (request_versions(raw), False) if whole else _unmerged(raw, since, new)
         ties, aside = _settled()
-        upsert_table(fresh, path, *_merge(), run_id, ties, high_water="updated_at", keep=keep, aside=aside, derived=_derived())
+        upsert_table(
+            _intermediate(versions), path, *_merge(), run_id, ties, high_water="updated_at", keep=keep, aside=aside, derived=_derived(),
+            stored=raw_path is not None and not joined,
+        )
     else:
         loads = None
     if loads is not None:
@@ -313,20 +322,20 @@ def _settled() -> tuple[list[str], list[str]]:
     return [*VERSION_ORDER[1:], *rest], list(VERSION_ORDER[1:])
 
 
-def _unmerged(raw: DataFrame, since: datetime | None, new: list[Load]) -> DataFrame:
-    """Versions of requests that may change the table: those updated ``since``, and all keys with other rows in the ``new`` loads.
+def _unmerged(raw: DataFrame, since: datetime | None, new: list[Load]) -> tuple[DataFrame, bool]:
+    """Versions of requests that may change the table: those updated ``since`` (with any update time if it is None), and all keys with other
+    rows in the ``new`` loads. Also whether it took a join to tell these.
 
     Such keys come with all their rows, so that equal update times are settled as in a full build. Only they take a scan of
     whole raw; a daily load has none but by accident, and the manifest says so.
     """
-    if since is None:
-        return request_versions(raw)
-    earlier = [x.load for x in new if x.undated or (x.oldest and datetime.fromisoformat(x.oldest) < since)]
-    if not earlier:
-        return request_versions(raw, since=since)
     key, updated = REQUEST_SPEC["unique_key"][0], REQUEST_SPEC["updated_at"][0]
-    recent = F.coalesce(since_filter(raw, updated, since), F.lit(False))
+    late = instant(raw, updated).isNotNull() if since is None else since_filter(raw, updated, since)
+    earlier = [x.load for x in new if x.undated or (x.oldest and since is not None and datetime.fromisoformat(x.oldest) < since)]
+    if not earlier:
+        return request_versions(raw.filter(late)) if since is None else request_versions(raw, since=since), False
+    recent = F.coalesce(late, F.lit(False))
     held = F.col(LOAD).isin(earlier)
     older = raw.filter((held | F.col(LOAD).isNull() if "" in earlier else held) & ~recent)
     again = raw.filter(~recent).join(older.select(key).distinct(), key, "left_semi").select(*raw.columns)
-    return request_versions(raw.filter(since_filter(raw, updated, since)).unionByName(again))
+    return request_versions(raw.filter(late).unionByName(again)), True

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
@@ -25,6 +26,8 @@ from ..operators.windows import dedup_latest
 
 # The codec of raw, of versions and of the updates merged into them; other tables are Snappy or as the session says.
 DENSE = "zstd"
+# Where rows are dealt by their number, a task gets no fewer than the first, and no more than the second if that takes more tasks than the session's.
+FEW_ROWS, MANY_ROWS = 50_000, 1_000_000
 
 
 def _path(spark: SparkSession, path: str):
@@ -84,17 +87,27 @@ def write_partition(df: DataFrame, path: str, part_col: str, rebalance: bool = T
     """
     seen = Observation()
     placed = df.hint("rebalance", part_col) if rebalance else df
-    (
-        placed.observe(seen, F.count(F.lit(1)).alias("n"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", codec)
-        .partitionBy(part_col)
-        .parquet(path)
-    )
+    _overwrite(placed.observe(seen, F.count(F.lit(1)).alias("n")), path, part_col, codec)
     return seen.get["n"]
 
 
+def write_folder(df: DataFrame, path: str, part_col: str, value: str, observed: Mapping[str, Column], codec: str = "snappy") -> dict:
+    """``df`` as the partition ``value`` of a table as of ``write_partition``, which is replaced unless ``df`` is empty. Returns the aggregates
+    ``observed`` of the rows and their number ``n``, taken by the write.
+
+    The value is added to rows that were counted before, so Spark sees that it is the same for all and does not sort by it.
+    """
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n"), *[how.alias(c) for c, how in observed.items()])
+    _overwrite(counted.withColumn(part_col, F.lit(value)), path, part_col, codec)
+    return {"n": 0, **dict.fromkeys(observed), **seen.get}
+
+
+def _overwrite(df: DataFrame, path: str, part_col: str, codec: str) -> None:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", codec)
+    writer.partitionBy(part_col).parquet(path)
+
+
 def by_name(df: DataFrame, have: T.StructType, extra: str = "raise") -> DataFrame:
     """``df`` in the columns and types of ``have``, matched by name without regard to case;
     what ``df`` lacks is NULL. Columns that ``have`` lacks "raise", "drop" or "widen": the
@@ -188,6 +201,7 @@ def upsert_table(
     keep: int = 2,
     aside: Sequence[str] = (),
     derived: Mapping[str, Column] | None = None,
+    stored: bool = False,
 ) -> list[str] | None:
     """Merge ``updates`` into a versioned table, rewriting only the partitions concerned.
 
@@ -200,23 +214,33 @@ def upsert_table(
     ``high_water`` names a column whose maximum over all batches is kept with the table, ``aside`` columns of ``ties`` that are not
     stored, ``derived`` columns that follow from others (see ``replace_latest``). Partitions replaced ``keep`` versions ago are
     deleted, which ends what still reads them.
+
+    ``stored`` states that ``updates`` are read from a table, row by row and the same each time: then they are not landed once more, and
+    rows are dealt out by ``sizes`` (see ``replace_latest``), for which single columns are read, not whole rows.
     """
     spark = updates.sparkSession
     if committed(spark, path, batch_id):
         return None
     table = read_or_none(spark, path)
     if table is None:
-        return replace_latest(updates, path, keys, order, part_col, batch_id, ties, aside, [], None, keep, high_water, derived)
-    # The increment is worked out once and read back from here; readers pass over the folder.
-    own = f"{path}/_updates"
-    updates.write.mode("overwrite").option("compression", DENSE).parquet(own)
-    fresh = spark.read.schema(updates.schema).parquet(own)
-    here, concerned = _concerned(table, fresh, keys, part_col, stable_partition)
-    newest = None if high_water is None else fresh.agg(F.max(high_water).cast("string")).first()[0]
-    both = versions_of(table.filter(here), fresh)
+        sizes = partition_sizes(updates, part_col)[0] if stored else None
+        return replace_latest(updates, path, keys, order, part_col, batch_id, ties, aside, [], None, keep, high_water, derived, sizes)
+    fresh = updates
+    if not stored:
+        # The increment is worked out once and read back from here; readers pass over the folder.
+        own = f"{path}/_updates"
+        updates.write.mode("overwrite").option("compression", DENSE).parquet(own)
+        fresh = spark.read.schema(updates.schema).parquet(own)
+    sizes, newest = partition_sizes(fresh, part_col, high_water)
+    concerned = [*sizes] if stable_partition else _concerned(table, partitions(spark, path)[1], fresh, [*sizes], keys, part_col)
+    # As literals the values prune the scan to their folders.
+    old = table.filter(_parts(part_col, table.schema[part_col].dataType, concerned))
+    if stored:
+        sizes = Counter(sizes) + Counter(partition_sizes(old, part_col)[0])
     return replace_latest(
-        both, path, keys, order, part_col, batch_id, ["_new", *ties], ["_new", *aside], concerned, newest, keep, derived=derived
-    )
+        versions_of(old, fresh), path, keys, order, part_col, batch_id, ["_new", *ties], ["_new", *aside], concerned, newest, keep,
+        derived=derived, sizes=sizes if stored else None,
+    )
 
 
 def replace_latest(
@@ -233,6 +257,7 @@ def replace_latest(
     keep: int = 2,
     observe: str | None = None,
     derived: Mapping[str, Column] | None = None,
+    sizes: Mapping[str, int] | None = None,
 ) -> list[str]:
     """``replace_partitions`` with the newest version of each key in ``rows``, without the columns ``aside``.
 
@@ -242,6 +267,9 @@ def replace_latest(
 
     ``derived`` gives columns of ``rows``, the partition too, as expressions of the other ones: they are not moved, but worked out where the rows
     arrive. None of them may be a key, an order or a tie.
+
+    To find bounds of ranges all of ``rows`` are worked out once before they move. With ``sizes``, rows per partition value (as ``partition_sizes``
+    has them), they are not: the partitions are laid end to end and cut into equal parts, and a key's place in its partition is told by its hash.
     """
     derived = dict(derived or {})
     lean = rows.drop(*derived)
@@ -251,9 +279,14 @@ def replace_latest(
     def whole(moved: DataFrame) -> DataFrame:
         return moved.withColumns({c: how for c, how in derived.items() if c not in moved.columns}).select(*stored)
 
-    ranged = lean.repartitionByRange(part, *keys).withColumn(part_col, part)
+    if sizes:
+        moved = _dealt(lean, part, keys, sizes).withColumn(part_col, part)
+        meet = [part_col, *keys, _PLACE]
+    else:
+        moved = lean.repartitionByRange(part, *keys).withColumn(part_col, part)
+        meet = [part_col, *keys]
     return replace_partitions(
-        whole(dedup_latest(ranged, [part_col, *keys], order, ties)), path, part_col, batch_id, replaced, high_water, keep, observe,
+        whole(dedup_latest(moved, meet, order, ties)), path, part_col, batch_id, replaced, high_water, keep, observe,
         placed=True, unique=keys, otherwise=lambda: whole(dedup_latest(lean, keys, order, ties)),
     )
 
@@ -414,18 +447,48 @@ def _repeated(df: DataFrame, keys: Sequence[str]) -> bool:
     return bool(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").take(1))
 
 
-def _concerned(table, fresh, keys, part_col, stable_partition) -> tuple[Column, list[str]]:
-    """The partitions to rewrite, as a filter on literals and as text."""
+def partition_sizes(df: DataFrame, part_col: str, high_water: str | None = None) -> tuple[dict[str, int], str | None]:
+    """Rows per partition value, named as ``partitions`` names them, and the maximum of ``high_water`` as text. Values, not rows, come to the
+    driver: at most as many as the table has folders."""
+    most = F.lit(None).cast("string") if high_water is None else F.max(high_water)
+    each = df.groupBy(F.col(part_col).alias("_p")).agg(F.count(F.lit(1)).alias("_n"), most.alias("_most"))
+    found = each.agg(F.collect_list(F.struct(F.col("_p").cast("string").alias("p"), "_n")).alias("parts"), F.max("_most").cast("string").alias("most")).first()
+    return {_NULL_FOLDER if p is None else p: n for p, n in found["parts"]}, found["most"]
+
+
+_PLACE = "_place"
+_FRACTIONS = 20  # bits
+
+
+def _dealt(df: DataFrame, part: Column, keys: Sequence[str], sizes: Mapping[str, int]) -> DataFrame:
+    """``df`` dealt out so that rows with the same partition value and key meet, few partition values come to a task and tasks get equal numbers
+    of rows; its number is in ``_place``. Sizes that are not right make uneven tasks, no wrong ones."""
+    spark, total = df.sparkSession, sum(sizes.values())
+    tasks = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // MANY_ROWS), total // FEW_ROWS + 1)
+    laid, before = [], 0
+    for value, n in sorted(sizes.items()):
+        laid.append((None if value == _NULL_FOLDER else value, before, n))
+        before += n
+    # One row per partition value, so it may be sent to all tasks.
+    line = F.broadcast(spark.createDataFrame(laid, "_value string, _before bigint, _rows bigint"))
+    at = F.col("_before") + F.shiftright(F.pmod(F.xxhash64(*keys), F.lit(1 << _FRACTIONS)) * F.col("_rows"), _FRACTIONS)
+    place = F.coalesce(F.floor(at * tasks / total), F.lit(0)).cast("int")
+    placed = df.join(line, part.cast("string").eqNullSafe(F.col("_value")), "left").select(*df.columns, place.alias(_PLACE))
+    return placed.repartitionById(tasks, _PLACE)
+
+
+def _concerned(
+    table: DataFrame, held: Mapping[str, int], fresh: DataFrame, touched: Sequence[str], keys: Sequence[str], part_col: str
+) -> list[str]:
+    """The partitions to rewrite, as text: those ``touched`` by the rows of ``fresh``, and those of the others in the table that hold a key of
+    them. Only the latter are read for it, and none if there is none."""
+    others = [p for p in held if p not in set(touched)]
+    if not others:
+        return [*touched]
     keys = list(keys)
-    touched = fresh.select(part_col)
-    if not stable_partition:
-        held = table.select(*keys, part_col).join(fresh.select(*keys), keys, "left_semi")
-        touched = touched.unionByName(held.select(part_col))
-    # Partition values, not rows: at most as many as the table has folders. As literals
-    # they prune the scan to those folders.
-    rows = touched.distinct().select(F.col(part_col).cast("string")).collect()
-    values = [_NULL_FOLDER if r[0] is None else r[0] for r in rows]
-    return _parts(part_col, table.schema[part_col].dataType, values), values
+    elsewhere = table.filter(_parts(part_col, table.schema[part_col].dataType, others)).select(*keys, part_col)
+    rows = elsewhere.join(fresh.select(*keys), keys, "left_semi").select(F.col(part_col).cast("string")).distinct().collect()
+    return [*touched, *{_NULL_FOLDER if r[0] is None else r[0] for r in rows} - set(touched)]
 
 
 def materialise(

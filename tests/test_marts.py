@@ -444,6 +444,54 @@ def test_loads_of_older_rows_reach_the_marts(spark, tmp_path, rows):
     assert tables["request_facts"].count() == 5
 
 
+def test_the_first_update_times_do_not_stage_older_loads_again(spark, tmp_path, rows, monkeypatch):
+    """A table without any update time: a load with them is merged by itself, and its rows without one bring the other rows of their keys."""
+    demo = spark.createDataFrame([("1400000US1", 10.0, 100.0, 5.0, 1.0, 1.0, 1.0, "36", "005", "1", "005", 2022)], RAW_DEMOGRAPHICS)
+    staged, upsert = [], runs.upsert_table
+
+    def seen(updates, *args, **more):
+        staged.append((rows(updates, "unique_key"), more["stored"]))
+        return upsert(updates, *args, **more)
+
+    monkeypatch.setattr(runs, "upsert_table", seen)
+
+    def build(name, day, stamp, data):
+        path = f"{tmp_path}/raw-{name}"
+        df = spark.createDataFrame(data, RAW_REQUESTS).withColumn("tract_geoid", F.lit("1")).withColumn("ingestion_timestamp", F.lit(stamp))
+        runs.load_raw(df, path, day, "resolution_action_updated_date")
+        return runs.build_marts(spark.read.parquet(path), demo, f"{tmp_path}/{name}", day, 1, 1, suites=NO_CHECKS, raw_path=path)
+
+    def request(key, hours, updated=None):
+        return record(key, "2024-01-01T00:00:00", f"2024-01-01T{hours:02d}:00:00", updated, 0.5, 0.5)
+
+    early, later = datetime(2024, 1, 2), datetime(2024, 1, 3)
+    build("m", "1", later, [request(k, 5) for k in ("a", "b", "c")])
+    build("m", "2", early, [request("a", 7, "2024-01-02T00:00:00"), request("d", 8, "2024-01-02T00:00:00")])
+    assert staged == [([("a",), ("b",), ("c",)], True), ([("a",), ("d",)], True)]
+    # With a row without update time in the later load, b is staged with its other row, which was loaded later and stays.
+    build("n", "1", later, [request(k, 5) for k in ("a", "b", "c")])
+    tables = build("n", "2", early, [request("b", 9), request("c", 9, "2024-01-02T00:00:00")])
+    assert staged[-1] == ([("b",), ("b",), ("c",)], False)
+    whole = runs.build_marts(spark.read.parquet(f"{tmp_path}/raw-n"), demo, str(tmp_path / "w"), "1", 1, 1, suites=NO_CHECKS)
+    for name in ("intermediate", "request_facts", "tract_stats"):
+        assert rows(tables[name].select(sorted(tables[name].columns))) == rows(whole[name].select(sorted(whole[name].columns))), name
+    assert rows(tables["request_facts"], "unique_key", "response_time_hours") == [("a", 5), ("b", 5), ("c", 9)]
+
+
+def test_a_load_is_not_sorted_by_its_name(spark, tmp_path):
+    schema = "unique_key string, resolution_action_updated_date string"
+    load = lambda data: runs.load_raw(spark.createDataFrame(data, schema), f"{tmp_path}/raw", "2024-02-01", "resolution_action_updated_date")
+    assert load([("1", "2024-01-05T00:00:00Z"), ("2", None), ("3", "2024-01-04T00:00:00")]) == 3
+    done = spark._jsparkSession.sharedState().statusStore().executionsList()
+    write = [p for p in (done.apply(i).physicalPlanDescription() for i in range(done.size())) if f"{tmp_path}/raw" in p and "WriteFiles" in p][-1]
+    assert "Sort" not in write and write.split("(1)")[0].count("CollectMetrics") == 1
+    found = runs.manifest(spark, f"{tmp_path}/raw")["2024-02-01"]
+    assert (found.rows, found.oldest, found.newest, found.undated) == (3, "2024-01-04 00:00:00", "2024-01-05 00:00:00", 1)
+    # A rerun that finds nothing leaves the rows, as before.
+    assert load([]) == 0 and spark.read.parquet(f"{tmp_path}/raw").count() == 3
+    assert runs.manifest(spark, f"{tmp_path}/raw")["2024-02-01"].rows == 0
+
+
 def test_the_bound_of_a_daily_run_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "raw")
     spark.createDataFrame([record("a", *["2024-01-01T10:00:00"] * 3, 0.5, 0.5)], RAW_REQUESTS).write.parquet(path)

@@ -185,6 +185,78 @@ def test_rows_of_a_merge_move_once(spark, tmp_path, monkeypatch):
         assert plan.count("Exchange") == plan.count("Exchange rangepartitioning") == 1 and more["placed"]
 
 
+def test_stored_updates_are_read_where_they_are(spark, tmp_path, rows, monkeypatch):
+    """Not landed again, and dealt out by sizes of partitions: no look at whole rows before they move. The table is the same as without."""
+    import random
+
+    from fairwait.sinks import tables
+
+    rng, plain, plans = random.Random(5), tables.replace_partitions, {}
+    monkeypatch.setattr(tables, "FEW_ROWS", 20)  # so that several tasks take part
+
+    def seen(df, path, *args, **more):
+        plans.setdefault(path, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, path, *args, **more)
+
+    monkeypatch.setattr(tables, "replace_partitions", seen)
+    paths = {kept: str(tmp_path / f"kept-{kept}") for kept in (False, True)}
+    for batch, months in enumerate([["m1", "m2", "m3", None], ["m2", "m4"], ["m1", "m2", "m3", "m4", None]]):
+        # Keys move from month to month, some have none, and equal update times are settled by the value.
+        data = [(rng.choice([None, *map(str, range(60))]), rng.choice([None, "a", "b", f"c{batch}"]), f"v{n}", rng.choice(months)) for n in range(200)]
+        versions(spark, data).write.parquet(f"{tmp_path}/u{batch}")
+        updates, found = spark.read.parquet(f"{tmp_path}/u{batch}"), {}
+        for kept, path in paths.items():
+            found[kept] = sorted(tables.upsert_table(updates, path, *UPSERT, batch, ["v"], high_water="updated", stored=kept))
+        now = [rows(sinks.read_or_none(spark, path), "k", "updated", "v", "month") for path in paths.values()]
+        assert now[0] == now[1] and len(now[1]) == len({r[0] for r in now[1]})
+        assert found[False] == found[True] and sinks.high_water_mark(spark, paths[True]) == sinks.high_water_mark(spark, paths[False]) == f"c{batch}"
+    assert not (tmp_path / "kept-True" / "_updates").exists()
+    for plan in plans[paths[True]]:
+        moves = [x for x in plan.splitlines() if "Exchange" in x and "BroadcastExchange" not in x]
+        assert len(moves) == 1 and "shufflepartitionidpassthrough" in moves[0] and "rangepartitioning" not in plan
+
+
+def test_sizes_of_partitions_deal_rows_evenly(spark, monkeypatch):
+    from fairwait.sinks import tables
+
+    monkeypatch.setattr(tables, "FEW_ROWS", 250)
+    df = spark.range(4000).select("id", F.when(F.col("id") < 3000, "big").when(F.col("id") % 2 == 0, F.concat(F.lit("s"), F.col("id") % 10)).alias("part"))
+    sizes, newest = tables.partition_sizes(df, "part", "id")
+    assert sizes["big"] == 3000 and sizes["__HIVE_DEFAULT_PARTITION__"] == 500 and len(sizes) == 7 and newest == "3999"
+    dealt = tables._dealt(df.unionByName(df), F.col("part"), ["id"], {p: 2 * n for p, n in sizes.items()})
+    per = dealt.withColumn("task", F.spark_partition_id()).groupBy("_place").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("task").alias("where")).collect()
+    assert dealt.rdd.getNumPartitions() == len(per) == 4 and all(r["where"] == 1 and 1700 < r["n"] < 2300 for r in per)
+    # A key's rows of one partition come to one task, also where the sizes say nothing of it.
+    for given in (sizes, {"big": 10}):
+        spread = tables._dealt(df.unionByName(df), F.col("part"), ["id"], given).groupBy("id").agg(F.countDistinct("_place").alias("n"))
+        assert spread.filter("n > 1").count() == 0 and spread.count() == 4000
+
+
+def test_only_partitions_without_updates_are_searched_for_moved_keys(spark):
+    from fairwait.sinks.tables import _concerned
+
+    assert _concerned(None, {"m1": 1}, None, ["m1", "m2"], ["k"], "month") == ["m1", "m2"]  # none: nothing is read
+    table = versions(spark, [("1", "a", "x", "m1"), ("2", "a", "x", "m2"), ("3", "a", "x", None), ("4", "a", "x", "m4")])
+    fresh = versions(spark, [("1", "b", "x", "m1"), ("2", "b", "x", "m1"), ("3", "b", "x", "m1"), (None, "b", "x", "m1")])
+    held = {"m1": 1, "m2": 1, "__HIVE_DEFAULT_PARTITION__": 1, "m4": 1}
+    assert sorted(_concerned(table, held, fresh, ["m1"], ["k"], "month")) == ["__HIVE_DEFAULT_PARTITION__", "m1", "m2"]
+
+
+@pytest.mark.parametrize("text", [
+    "2024-01-05T23:30:00-05:00", "2024-01-05T23:30:00+0900", "2024-01-05 23:30:00.123Z", "2024-01-05T23:30:00+09", "2024-01-05T23:30:00-05:00\n",
+    "2024-01-05T23:30:00-05:00\r\n", "2024-01-05", "2024-01-05T23:30:00.000", "5 Z", "-05:00", "Z", "", None,
+])
+def test_zones_at_the_end_are_found(spark, text):
+    from fairwait.operators.upsert import instant
+
+    df = spark.createDataFrame([(text,)], "u string")
+    c = F.col("u")
+    there = F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.try_cast("timestamp").cast("timestamp_ntz"))
+    whole = F.when(c.rlike(r"[0-9][T ].*(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"), there).otherwise(c.try_cast("timestamp_ntz"))
+    one, other = df.select(instant(df, "u"), whole).first()
+    assert one == other
+
+
 def test_versions_of_a_key_in_several_partitions(spark, tmp_path, rows):
     """What is told by ranges of partition and key alone is told by key then, in the first batch and in a merge; ties too."""
     path = str(tmp_path / "t")
